@@ -1,0 +1,8 @@
+"""Streaming.
+
+The recommender this package re-implements is a batch job: it has no stream source,
+watermark, stateful operator or incremental sink, so there is nothing to express with
+Structured Streaming here. The batch operators are plain DataFrame functions, so they can be
+applied per micro-batch inside ``foreachBatch`` by a caller who needs that; the package adds
+no streaming operator of its own.
+"""
