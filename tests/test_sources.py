@@ -1,0 +1,65 @@
+"""Readers: malformed, short, latin-1 and delimiter-in-title lines; JSON round trips."""
+
+import os
+import tempfile
+
+import pytest
+
+from segrec.sinks import write_documents
+from segrec.sources import read_documents, read_items, read_ratings, read_recommendations, require_columns
+
+
+def _write(lines: bytes) -> str:
+    d = tempfile.mkdtemp(prefix="segrec-test-")
+    path = os.path.join(d, "data.dat")
+    with open(path, "wb") as f:
+        f.write(lines)
+    return path
+
+
+RATINGS = b"1::10::4.5::978300760\n2::11::bad::978300761\n3::12\n"
+
+
+def test_ratings_permissive(spark):
+    rows = sorted(tuple(r) for r in read_ratings(spark, _write(RATINGS)).collect())
+    assert rows == [(1, 10, 4.5, 978300760), (2, 11, None, 978300761), (3, 12, None, None)]
+
+
+def test_ratings_dropmalformed(spark):
+    rows = [tuple(r) for r in read_ratings(spark, _write(RATINGS), mode="dropmalformed").collect()]
+    assert rows == [(1, 10, 4.5, 978300760)]
+
+
+def test_ratings_failfast(spark):
+    with pytest.raises(Exception, match="malformed ratings line"):
+        read_ratings(spark, _write(RATINGS), mode="failfast").collect()
+
+
+def test_items_latin1_and_delimiter_in_title(spark):
+    data = "1::Caf\xe9 (1990)::Drama\n2::A::B (2000)::Comedy\n".encode("latin-1")
+    rows = sorted(tuple(r) for r in read_items(spark, _write(data), encoding="ISO-8859-1").collect())
+    assert rows == [(1, "Café (1990)", "Drama"), (2, "A", "B (2000)")]
+
+
+def test_bad_mode(spark):
+    with pytest.raises(ValueError):
+        read_ratings(spark, _write(RATINGS), mode="strict")
+
+
+def test_documents_roundtrip(spark):
+    docs = spark.createDataFrame(
+        [(1, 0, [(10, "A", 1.5), (11, None, 1.0)]), (2, 1, [])],
+        "user_id bigint, cluster bigint, recommendations array<struct<movie_id:bigint,movie_title:string,score:double>>")
+    out = tempfile.mkdtemp(prefix="segrec-docs-")
+    write_documents(docs, out)
+    back = sorted((r.user_id, r.cluster, [tuple(x) for x in r.recommendations])
+                  for r in read_documents(spark, out).collect())
+    assert back == [(1, 0, [(10, "A", 1.5), (11, None, 1.0)]), (2, 1, [])]
+
+
+def test_read_recommendations_checks_columns(spark):
+    out = tempfile.mkdtemp(prefix="segrec-recs-")
+    spark.createDataFrame([(1, 2)], "userId bigint, movieId bigint").write.mode("overwrite").json(out)
+    with pytest.raises(ValueError, match="missing columns"):
+        read_recommendations(spark, out, schema=False)
+    assert require_columns(spark.range(1), ["id"]).columns == ["id"]
