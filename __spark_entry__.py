@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from segrec.functions.expressions import ACTIVITY_LABELS, DESCRIPTION_JOINER, RATING_LABELS
 from segrec.operators.clusters import assign_nearest, describe_clusters, kmeans_invariants, training_cost
 from segrec.operators.evaluate import global_metrics, relevant_counts
-from segrec.operators.features import unpack_vector
+from segrec.operators.features import unpack_vector, user_features
 from segrec.operators.prepare import profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import candidate_counts, sample_recommendations, seen_items
 from segrec.operators.scoring import cluster_genres, cluster_stats, top_genres
@@ -88,7 +88,7 @@ def q_item_genres(spark, sf_dir):
 
 
 def q_user_features(spark, sf_dir):
-    return _w(spark, sf_dir).features.select("userId", "movies_rated", _r("avg_rating"))
+    return user_features(_w(spark, sf_dir).train).select("userId", "movies_rated", _r("avg_rating"))
 
 
 def q_scaled_features(spark, sf_dir):

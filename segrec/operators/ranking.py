@@ -2,9 +2,14 @@
 
 ``rank_within_groups`` numbers the rows of each group 1..n in a total order without putting
 a group into one task: a range shuffle spreads every group (even a group holding most rows)
-over many sorted slices, each row gets its slice-local position, and a small table of slice
-offsets (one row per non-empty (slice, group) pair, at most slices + groups - 1 rows) turns
-that into the group-wide position.
+over many sorted slices, each row gets its slice id and slice-local position, and a small
+table of slice offsets (one row per non-empty (slice, group) pair, at most slices + groups - 1
+rows) turns that into the group-wide position.
+
+Slice ids are physical partition ids, so the sliced rows are materialised once with a
+reliable checkpoint (shared ``spark.checkpoint.dir``) before the offsets are derived from
+them: rows and offsets then always come from the same data, whatever AQE does to later
+shuffle reads, and a lost executor re-reads the checkpoint instead of re-sampling ranges.
 
 ``top_n_per_group`` is ``row_number <= n``; Spark plans it with ``WindowGroupLimit`` which
 keeps only ``n`` rows per group in every map task before the shuffle, so a hot group sends at
@@ -18,22 +23,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segrec.session import cut_lineage
+
 _SLICE_BITS = 33  # monotonically_increasing_id = slice index << 33 | position in slice
 
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                       rank_col: str = "rank") -> DataFrame:
+                       rank_col: str = "rank", num_slices: int | None = None) -> DataFrame:
     """``row_number() over (partition by group_cols order by order)``, computed distributed.
 
     ``order`` must make the order total within a group (end it with a unique key), otherwise
-    positions of tied rows are arbitrary, as with ``row_number``.
+    positions of tied rows are arbitrary, as with ``row_number``. Eager: runs the range
+    shuffle and checkpoints the sliced rows (one pass over ``df``).
     """
+    spark = df.sparkSession
+    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc() for g in group_cols] + list(order)
-    sliced = (df.repartitionByRange(*keys)
+    sliced = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_slice", F.shiftright("_mid", _SLICE_BITS))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _SLICE_BITS) - 1))))
+              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _SLICE_BITS) - 1)))
+              .drop("_mid"))
+    sliced = cut_lineage(sliced)
     segments = sliced.groupBy("_slice", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -42,7 +54,7 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence
     # offsets has at most (#slices + #groups - 1) rows: safe to broadcast.
     ranked = sliced.join(F.broadcast(offsets), ["_slice", *group_cols])
     rank = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")
-    return ranked.withColumn(rank_col, rank).drop("_mid", "_slice", "_pos", "_first", "_offset")
+    return ranked.withColumn(rank_col, rank).drop("_slice", "_pos", "_first", "_offset")
 
 
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], n: int,

@@ -51,10 +51,18 @@ def attach_items(ranked: DataFrame, items: DataFrame | None) -> DataFrame:
     return ranked.join(items.select("movieId", "title", "genres"), "movieId", "left")
 
 
-def gap_histogram(rated: DataFrame, ranked: DataFrame, top_n: int) -> DataFrame:
-    """Per user: (userId, hist array<struct<gap, n>>) with the gaps below ``top_n``."""
-    seen = rated.select("userId", "cluster", "movieId").distinct()
-    seen_pos = seen.join(ranked.select("cluster", "movieId", "cluster_rank"), ["cluster", "movieId"])
+def gap_histogram(rated: DataFrame, ranked: DataFrame, top_n: int,
+                  broadcast_ranked: bool = False) -> DataFrame:
+    """Per user: (userId, hist array<struct<gap, n>>) with the gaps below ``top_n``.
+
+    ``rated`` is ``with_clusters`` output (one row per user and item). ``broadcast_ranked``
+    must only be set after checking the ranked table's size; otherwise the join is left to
+    the planner (a shuffle join, or AQE's runtime broadcast)."""
+    seen = rated.select("userId", "cluster", "movieId")
+    positions = ranked.select("cluster", "movieId", "cluster_rank")
+    if broadcast_ranked:
+        positions = F.broadcast(positions)
+    seen_pos = seen.join(positions, ["cluster", "movieId"])
     # Per-user order of rated items; a user's group is bounded by the catalogue size.
     w = Window.partitionBy("userId").orderBy("cluster_rank")
     gaps = (seen_pos.select("userId", (F.col("cluster_rank") - F.row_number().over(w)).alias("gap"))
@@ -82,12 +90,15 @@ def wanted_positions(user_clusters: DataFrame, hist: DataFrame, top_n: int) -> D
 
 def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
               items: DataFrame | None = None, top_n: int = 10, num_clusters: int | None = None,
-              broadcast_rows: int = 200_000, ranked: DataFrame | None = None) -> DataFrame:
+              broadcast_rows: int = 200_000, ranked: DataFrame | None = None,
+              ranked_rows: int | None = None) -> DataFrame:
     """Top-``top_n`` unseen items per user, ranked by (score desc, count desc, movieId asc).
 
-    rated: train rows with cluster (``with_clusters``); user_clusters: (userId, cluster);
-    scores: ``cluster_item_scores(rated)``; items: (movieId, title, genres) or None.
-    A user whose cluster has fewer unseen items gets fewer rows.
+    rated: ``with_clusters`` output; user_clusters: (userId, cluster); scores:
+    ``cluster_item_scores(rated)``; items: (movieId, title, genres) or None. A user whose
+    cluster has fewer unseen items gets fewer rows. ``ranked`` may pass a persisted
+    ``rank_items(scores)`` and ``ranked_rows`` its counted size: at most ``broadcast_rows``
+    makes the rated-items lookup a broadcast join (no shuffle of the rated pairs).
 
     The lookup of positions 1..H per cluster (H = broadcast_rows // num_clusters, at least
     top_n) is a broadcast of at most ``broadcast_rows`` rows; positions beyond H (users who
@@ -96,7 +107,8 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
     if ranked is None:
         ranked = rank_items(scores)
     catalog = attach_items(ranked, items)
-    hist = gap_histogram(rated, ranked, top_n)
+    small = ranked_rows is not None and ranked_rows <= broadcast_rows
+    hist = gap_histogram(rated, ranked, top_n, broadcast_ranked=small)
     wanted = wanted_positions(user_clusters, hist, top_n)
 
     value_cols = ["cluster", "cluster_rank", "movieId", "title", "genres",
@@ -115,10 +127,10 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
 
 def candidate_counts(user_clusters: DataFrame, scores: DataFrame, rated: DataFrame) -> DataFrame:
     """(userId, candidates): unseen items of the user's cluster, i.e. cluster items minus the
-    user's distinct rated items (all of which are cluster items), without listing pairs."""
+    user's distinct rated items (all of which are cluster items), without listing pairs.
+    ``rated`` is ``with_clusters`` output (one row per user and item)."""
     cluster_size = scores.groupBy("cluster").agg(F.count(F.lit(1)).alias("_items"))
-    seen = rated.select("userId", "movieId").distinct().groupBy("userId").agg(
-        F.count(F.lit(1)).alias("_seen"))
+    seen = rated.groupBy("userId").agg(F.count(F.lit(1)).alias("_seen"))
     # cluster_size has one row per cluster (k rows): broadcast.
     return (user_clusters.select("userId", "cluster")
             .join(F.broadcast(cluster_size), "cluster")

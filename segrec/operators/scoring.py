@@ -15,23 +15,48 @@ def score_order() -> list:
             F.col("movieId").asc()]
 
 
-def with_clusters(train: DataFrame, user_clusters: DataFrame) -> DataFrame:
-    """Train rows tagged with their user's cluster: (userId, movieId, rating, cluster).
+def user_item_pairs(train: DataFrame) -> DataFrame:
+    """One row per distinct (userId, movieId): rating_sum, rating_n (non-NULL ratings) and rows.
+
+    The single aggregation of the rating table everything else starts from (user features,
+    item scores, genre counts, seen items). Partial aggregation runs map-side and the shuffle
+    is on (userId, movieId), so one user holding a large share of all rows is spread over many
+    partitions by item instead of landing in one task."""
+    return train.groupBy("userId", "movieId").agg(
+        F.sum("rating").alias("rating_sum"),
+        F.count("rating").alias("rating_n"),
+        F.count("movieId").alias("rows"),
+    )
+
+
+def user_features_from_pairs(pairs: DataFrame) -> DataFrame:
+    """(userId, movies_rated, avg_rating) from ``user_item_pairs``; equal to ``user_features``
+    on the rows (rows counted with duplicates, mean of the non-NULL ratings)."""
+    return pairs.groupBy("userId").agg(
+        F.sum("rows").alias("movies_rated"),
+        F.try_divide(F.sum("rating_sum"), F.sum("rating_n")).alias("avg_rating"),
+    )
+
+
+def with_clusters(pairs: DataFrame, user_clusters: DataFrame) -> DataFrame:
+    """(userId, movieId, cluster, rating_sum, rating_n, rows): the user-item pairs tagged with
+    the user's cluster. Raw rating rows are aggregated to pairs first.
 
     Computed once and shared by item scores, genre counts and the seen-item ranks. The join
-    shuffles on userId; AQE splits a partition made huge by one hot user (the cluster side
-    has one row per user) or turns it into a broadcast when the cluster table is small."""
-    return train.select("userId", "movieId", "rating").join(
-        user_clusters.select("userId", "cluster"), "userId")
+    is on userId; the cluster side has one row per user, so AQE can split a partition that a
+    hot user makes huge, or broadcast the cluster table when it is small."""
+    if "rating_sum" not in pairs.columns:
+        pairs = user_item_pairs(pairs)
+    return pairs.join(user_clusters.select("userId", "cluster"), "userId")
 
 
 def cluster_item_scores(rated: DataFrame) -> DataFrame:
-    """(cluster, movieId, cluster_avg_movie_rating, cluster_rating_count, recommendation_score).
-
-    Map-side partial aggregation per (cluster, movieId) before the shuffle."""
+    """(cluster, movieId, cluster_avg_movie_rating, cluster_rating_count, recommendation_score)
+    from ``with_clusters`` output; the mean is the ratio of summed sums and counts (NULL when
+    no rating is present). Map-side partial aggregation per (cluster, movieId)."""
     agg = rated.groupBy("cluster", "movieId").agg(
-        F.avg("rating").alias("cluster_avg_movie_rating"),
-        F.count("rating").alias("cluster_rating_count"),
+        F.try_divide(F.sum("rating_sum"), F.sum("rating_n")).alias("cluster_avg_movie_rating"),
+        F.sum("rating_n").alias("cluster_rating_count"),
     )
     return agg.withColumn("recommendation_score",
                           recommendation_score("cluster_avg_movie_rating", "cluster_rating_count"))
@@ -40,9 +65,9 @@ def cluster_item_scores(rated: DataFrame) -> DataFrame:
 def cluster_genres(rated: DataFrame, item_genres: DataFrame) -> DataFrame:
     """(cluster, genre, count): rated rows per cluster and genre of the rated item.
 
-    Rows are first counted per (cluster, item); only those counts meet the genre bridge, so the
+    Rows are first summed per (cluster, item); only those counts meet the genre bridge, so the
     per-genre fan-out applies to distinct (cluster, item) pairs and not to every rating."""
-    per_item = rated.groupBy("cluster", "movieId").agg(F.count(F.lit(1)).alias("_n"))
+    per_item = rated.groupBy("cluster", "movieId").agg(F.sum("rows").alias("_n"))
     return (per_item.join(item_genres, "movieId")
             .groupBy("cluster", "genre")
             .agg(F.sum("_n").alias("count")))

@@ -19,10 +19,18 @@ from pyspark.storagelevel import StorageLevel
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_clusters, describe_clusters, fit_clusters, training_cost
 from segrec.operators.evaluate import evaluate
-from segrec.operators.features import scale_features, user_features
+from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import rank_items, recommend, sample_recommendations
-from segrec.operators.scoring import cluster_genres, cluster_item_scores, cluster_stats, top_genres, with_clusters
+from segrec.operators.scoring import (
+    cluster_genres,
+    cluster_item_scores,
+    cluster_stats,
+    top_genres,
+    user_features_from_pairs,
+    user_item_pairs,
+    with_clusters,
+)
 from segrec.operators.sweep import best_k, metrics_summary, union_metrics
 from segrec.session import cut_lineage
 from segrec.sinks import write_table
@@ -71,12 +79,14 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
           items: DataFrame | None = None, item_genres: DataFrame | None = None,
           cfg: RunConfig = RunConfig(), model=None, cost: float | None = None) -> RunResult:
     """Everything that follows a cluster assignment (``user_clusters``: userId, cluster,
-    movies_rated, avg_rating). Taking the assignment as input lets tests inject one."""
+    movies_rated, avg_rating). Taking the assignment as input lets tests inject one.
+    ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep)."""
     rated = with_clusters(train, user_clusters).persist(_LEVEL)
     scores = cluster_item_scores(rated)
     ranked = rank_items(scores).persist(_LEVEL)
     recs = recommend(rated, user_clusters, scores, items, cfg.top_n, num_clusters=k,
-                     broadcast_rows=cfg.broadcast_rows, ranked=ranked).persist(_LEVEL)
+                     broadcast_rows=cfg.broadcast_rows, ranked=ranked,
+                     ranked_rows=ranked.count()).persist(_LEVEL)
     global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold)
     global_m = (global_m.withColumn("k", F.lit(k).cast("bigint"))
                 .withColumn("training_cost", F.lit(cost).cast("double")))
@@ -122,14 +132,16 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
                  out: str | None = None, fmt: str = "json", checkpoint: bool = False) -> PipelineResult:
     ratings, items, train, test = prepare_inputs(ratings, items, cfg, checkpoint)
     item_genres = explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres).persist(_LEVEL)
-    scaled = scale_features(user_features(train))
+    # The rating table is aggregated once to distinct user-item pairs; every K reuses them.
+    pairs = user_item_pairs(train).persist(_LEVEL)
+    scaled = scale_features(user_features_from_pairs(pairs))
     scaled = cut_lineage(scaled) if checkpoint else scaled.persist(_LEVEL)
 
     metrics, written = [], []
     for k in cfg.k_values:
         model = fit_clusters(scaled, k, cfg.seed)
         user_clusters = assign_clusters(model, scaled).persist(_LEVEL)
-        result = run_k(train, test, user_clusters, k, items, item_genres, cfg,
+        result = run_k(pairs, test, user_clusters, k, items, item_genres, cfg,
                        model=model, cost=training_cost(model))
         if out:
             # <out>/<name>/k=<K>: reading <out>/<name> gives k back as a partition column.

@@ -1,8 +1,13 @@
 """The standard derived tables over the Parquet test tables, shared by the registered queries,
-the benchmark and the tests. Everything is lazy; nothing is collected.
+the benchmark and the tests. Everything is lazy except one size check (a count of the
+persisted ranked item table, which decides a broadcast); nothing is collected.
+
+Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
+the ranked item table) are persisted, so the rating table is scanned and shuffled once per
+plan instead of once per consumer.
 
 Clusters are *injected* by default (``cluster = #thresholds below movies_rated``) so results
-are deterministic and checkable against SQL; ``kmeans_clusters`` gives the Spark ML ones.
+are deterministic and checkable against SQL; ``kmeans(k)`` gives the Spark ML ones.
 """
 
 from __future__ import annotations
@@ -10,17 +15,25 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit_clusters
 from segrec.operators.evaluate import per_user_metrics, relevant_items
-from segrec.operators.features import scale_features, user_features
+from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split
 from segrec.operators.recommend import rank_items, recommend
-from segrec.operators.scoring import cluster_item_scores, with_clusters
+from segrec.operators.scoring import (
+    cluster_item_scores,
+    user_features_from_pairs,
+    user_item_pairs,
+    with_clusters,
+)
 from segrec.operators.serving import pack_documents
 from segrec.sources.tables import TABLE_GENRES, items_from_tables, ratings_from_tables
 
+_LEVEL = StorageLevel.MEMORY_AND_DISK
+
 # Injected assignment used by the checked queries: 3 clusters split at 25 and 40 ratings.
 INJECTED_THRESHOLDS = (25, 40)
 # Injected assignments compared by the sweep queries (2, 3 and 5 clusters).
@@ -63,9 +76,13 @@ class TableWorkload:
     def test(self) -> DataFrame:
         return self.split[1]
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return user_item_pairs(self.train).persist(_LEVEL)
+
     @cached_property
     def features(self) -> DataFrame:
-        return user_features(self.train)
+        return user_features_from_pairs(self.pairs)
 
     @cached_property
     def user_clusters(self) -> DataFrame:
@@ -74,7 +91,7 @@ class TableWorkload:
 
     @cached_property
     def rated(self) -> DataFrame:
-        return with_clusters(self.train, self.user_clusters)
+        return with_clusters(self.pairs, self.user_clusters).persist(_LEVEL)
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -82,13 +99,18 @@ class TableWorkload:
 
     @cached_property
     def ranked(self) -> DataFrame:
-        return rank_items(self.scores)
+        return rank_items(self.scores).persist(_LEVEL)
+
+    @cached_property
+    def ranked_rows(self) -> int:
+        """Counted size of the persisted ranked table (decides the broadcast)."""
+        return self.ranked.count()
 
     @cached_property
     def recommendations(self) -> DataFrame:
         return recommend(self.rated, self.user_clusters, self.scores, self.items, self.cfg.top_n,
                          num_clusters=self.k, broadcast_rows=self.cfg.broadcast_rows,
-                         ranked=self.ranked)
+                         ranked=self.ranked, ranked_rows=self.ranked_rows)
 
     @cached_property
     def relevant(self) -> DataFrame:
@@ -104,7 +126,7 @@ class TableWorkload:
 
     @cached_property
     def scaled(self) -> DataFrame:
-        return scale_features(self.features)
+        return scale_features(self.features).persist(_LEVEL)
 
     def kmeans(self, k: int):
         model = fit_clusters(self.scaled, k, self.cfg.seed)
@@ -113,7 +135,7 @@ class TableWorkload:
     def with_thresholds(self, thresholds) -> "TableWorkload":
         other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
         # share the lazily built inputs
-        for name in ("ratings", "items", "item_genres", "split", "features", "scaled"):
+        for name in ("ratings", "items", "item_genres", "split", "pairs", "features", "scaled"):
             if name in self.__dict__:
                 other.__dict__[name] = self.__dict__[name]
         return other
