@@ -22,6 +22,7 @@ from segrec.operators.prepare import profile, random_split, rating_distribution,
 from segrec.operators.recommend import candidate_counts, sample_recommendations, seen_items
 from segrec.operators.scoring import cluster_genres, cluster_stats, top_genres
 from segrec.operators.serving import (
+    count_documents,
     document_stats,
     flatten_documents,
     lookup,
@@ -30,12 +31,14 @@ from segrec.operators.serving import (
     preview_documents,
 )
 from segrec.operators.sweep import best_k, metrics_summary, union_metrics
-from segrec.plans.pipeline import run_k
+from segrec.config import RunConfig
+from segrec.plans.pipeline import run_k, run_pipeline
+from segrec.sinks import write_documents
 from segrec.plans.workload import SWEEP_THRESHOLDS, TableWorkload
 from segrec.session import scratch_path
-from segrec.sources.json import read_recommendations
+from segrec.sources.json import read_documents, read_recommendations
 from segrec.sources.tables import TABLE_GENRES, table
-from segrec.sources.text import read_ratings, render_ratings_lines
+from segrec.sources.text import read_items, read_ratings, render_items_lines, render_ratings_lines
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Fixed centres (movies_rated, avg_rating) for the SQL-checkable assignment.
@@ -253,6 +256,32 @@ def q_roundtrip_json(spark, sf_dir):
     return _recs_out(read_recommendations(spark, path))
 
 
+def q_parse_items_lines(spark, sf_dir):
+    items = _w(spark, sf_dir).items
+    path = scratch_path(spark, "items-lines")
+    render_items_lines(items).write.mode("overwrite").text(path)
+    return read_items(spark, path, mode="failfast")
+
+
+def q_roundtrip_documents(spark, sf_dir):
+    docs = _w(spark, sf_dir).documents
+    path = scratch_path(spark, "documents")
+    write_documents(docs, path)
+    flat = flatten_documents(read_documents(spark, path))
+    return flat.select("user_id", "cluster", "position", "movie_id", "movie_title", _r("score"))
+
+
+def q_count_documents(spark, sf_dir):
+    return count_documents(_w(spark, sf_dir).documents)
+
+
+def q_pipeline_summary(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    cfg = RunConfig(k_values=SWEEP_KS, genre_vocabulary=TABLE_GENRES)
+    result = run_pipeline(w.ratings, w.items, cfg, out=scratch_path(spark, "pipeline"), checkpoint=True)
+    return result.summary.select("k", "precision_at_k", "recall_at_k", "evaluated_users", "training_cost")
+
+
 def q_parse_ratings_lines(spark, sf_dir):
     ratings = _w(spark, sf_dir).ratings
     path = scratch_path(spark, "ratings-lines")
@@ -297,6 +326,10 @@ _QUERIES = {
     "page_users": q_page_users,
     "roundtrip_json": q_roundtrip_json,
     "parse_ratings_lines": q_parse_ratings_lines,
+    "parse_items_lines": q_parse_items_lines,
+    "roundtrip_documents": q_roundtrip_documents,
+    "count_documents": q_count_documents,
+    "pipeline_summary": q_pipeline_summary,
 }
 
 
@@ -510,5 +543,10 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT DISTINCT user_id FROM df ORDER BY user_id LIMIT 100 OFFSET 100)"),
         "roundtrip_json": _with(_uc(), _scores(), _recs()) + f"SELECT {rec_cols} FROM recs",
         "parse_ratings_lines": _with() + "SELECT userId, movieId, rating, timestamp FROM ratings",
+        "parse_items_lines": _with() + "SELECT movieId, title, genres FROM items",
+        "roundtrip_documents": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
+            "SELECT user_id, cluster, position, movie_id, movie_title, round(score, 6) AS score FROM df"),
+        "count_documents": _with(_uc(), _scores(), _recs()) + (
+            "SELECT count(DISTINCT userId) AS total_users FROM recs"),
     }
     return out

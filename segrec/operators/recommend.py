@@ -141,6 +141,8 @@ def candidate_counts(user_clusters: DataFrame, scores: DataFrame, rated: DataFra
 def sample_recommendations(recs: DataFrame, n_users: int = 20) -> DataFrame:
     """All recommendations of the ``n_users`` smallest user ids that have any, by (userId, rank).
 
-    The user list is a top-k (``TakeOrderedAndProject``) of at most ``n_users`` rows."""
-    users = recs.select("userId").distinct().orderBy("userId").limit(n_users)
+    Every user with a list has exactly one rank-1 row, so the user list is a top-k
+    (``TakeOrderedAndProject``) over those rows: no distinct shuffle, at most ``n_users`` rows
+    broadcast."""
+    users = recs.filter(F.col("rank") == 1).select("userId").orderBy("userId").limit(n_users)
     return recs.join(F.broadcast(users), "userId", "left_semi").orderBy("userId", "rank")

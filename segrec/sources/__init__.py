@@ -9,6 +9,7 @@ from segrec.sources.text import (  # noqa: F401
     dedupe_items,
     read_items,
     read_ratings,
+    render_items_lines,
     render_ratings_lines,
     valid_ratings,
 )

@@ -109,3 +109,9 @@ def render_ratings_lines(ratings: DataFrame, delimiter: str = DELIMITER) -> Data
                                       F.col("movieId").cast("string"),
                                       F.col("rating").cast("string"),
                                       F.col("timestamp").cast("string")).alias("value"))
+
+
+def render_items_lines(items: DataFrame, delimiter: str = DELIMITER) -> DataFrame:
+    """The inverse of ``read_items``: ``movieId::title::genres`` lines."""
+    return items.select(F.concat_ws(delimiter, F.col("movieId").cast("string"), F.col("title"),
+                                    F.col("genres")).alias("value"))
