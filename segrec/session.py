@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # checkpoint files of garbage-collected DataFrames are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -42,16 +44,17 @@ def build_session(master: str | None = None, app_name: str = "segrec",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; a local folder is made only when it is unset.
-    """
+    The context's checkpoint folder if one is set, else ``spark.checkpoint.dir``; a local
+    folder is made only when neither is set (tests, laptops)."""
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="segrec-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
-    return root
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
