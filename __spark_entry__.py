@@ -122,7 +122,7 @@ def q_kmeans_sweep_metrics(spark, sf_dir):
     metrics = []
     for k in SWEEP_KS:
         model, user_clusters = w.kmeans(k)
-        result = run_k(w.train, w.test, user_clusters, k, w.items, None, w.cfg,
+        result = run_k(w.pairs, w.test, user_clusters, k, w.items, None, w.cfg,
                        cost=training_cost(model))
         metrics.append(result.global_metrics)
     return metrics_summary(union_metrics(metrics))
