@@ -32,7 +32,7 @@ def parse_args(argv=None):
     return p.parse_args(argv)
 
 
-def main(argv=None) -> None:
+def main(argv=None, stop: bool = True) -> None:
     args = parse_args(argv)
     spark = build_session(master=args.master, app_name="segrec-pipeline")
     if args.parquet_tables:
@@ -50,7 +50,8 @@ def main(argv=None) -> None:
                           checkpoint=args.checkpoint)
     result.summary.show(truncate=False)
     result.best.show(truncate=False)
-    spark.stop()
+    if stop:
+        spark.stop()
 
 
 if __name__ == "__main__":
