@@ -10,7 +10,8 @@ position is
 
 so the list needs only (a) the cluster position of every rated item, an equi-join of the
 distinct rated pairs with the ranked item table, and (b) per user a histogram of
-``gap = s_i - i`` restricted to gaps < N (at most N entries). The j-th item is then an
+``gap = s_i - i`` restricted to gaps < N (at most N entries), computed per block of
+positions so that no task holds a whole user history. The j-th item is then an
 equi-join on (cluster, position r_j). Work is O(rated pairs + users * N); no candidate pair
 that ends up discarded is ever built, and no anti join is needed.
 
@@ -52,20 +53,51 @@ def attach_items(ranked: DataFrame, items: DataFrame | None) -> DataFrame:
 
 
 def gap_histogram(rated: DataFrame, ranked: DataFrame, top_n: int,
-                  broadcast_ranked: bool = False) -> DataFrame:
+                  broadcast_ranked: bool = False, block_size: int = 4096,
+                  max_user_items: int | None = None) -> DataFrame:
     """Per user: (userId, hist array<struct<gap, n>>) with the gaps below ``top_n``.
 
     ``rated`` is ``with_clusters`` output (one row per user and item). ``broadcast_ranked``
     must only be set after checking the ranked table's size; otherwise the join is left to
-    the planner (a shuffle join, or AQE's runtime broadcast)."""
+    the planner (a shuffle join, or AQE's runtime broadcast).
+
+    No group holds a user's whole history: cluster positions are cut into blocks of
+    ``block_size``; rated items are counted per (user, block) (map-side partial counts), a
+    per-user prefix over the non-empty blocks (at most catalogue / block_size rows per user)
+    gives the rated items before each block, and only blocks with fewer than ``top_n``
+    unseen positions before them can hold a gap below ``top_n``. Item order is then taken
+    inside (user, block) groups of at most ``block_size`` rows.
+
+    ``max_user_items`` (a checked upper bound of rated items per user, e.g. the largest
+    ``movies_rated``) at most ``block_size`` means every user fits one block: the per-user
+    order is then one window whose groups are already bounded, without the block prefix.
+    """
     seen = rated.select("userId", "cluster", "movieId")
     positions = ranked.select("cluster", "movieId", "cluster_rank")
     if broadcast_ranked:
         positions = F.broadcast(positions)
-    seen_pos = seen.join(positions, ["cluster", "movieId"])
-    # Per-user order of rated items; a user's group is bounded by the catalogue size.
-    w = Window.partitionBy("userId").orderBy("cluster_rank")
-    gaps = (seen_pos.select("userId", (F.col("cluster_rank") - F.row_number().over(w)).alias("gap"))
+    seen_pos = seen.join(positions, ["cluster", "movieId"]).select(
+        "userId", "cluster_rank",
+        F.floor((F.col("cluster_rank") - 1) / F.lit(block_size)).cast("bigint").alias("block"))
+
+    if max_user_items is not None and max_user_items <= block_size:
+        one_block = Window.partitionBy("userId").orderBy("cluster_rank")
+        gaps = (seen_pos.select("userId", (F.col("cluster_rank") - F.row_number().over(one_block)).alias("gap"))
+                .filter(F.col("gap") < F.lit(top_n)))
+        counts = gaps.groupBy("userId", "gap").agg(F.count(F.lit(1)).alias("n"))
+        return counts.groupBy("userId").agg(F.collect_list(F.struct("gap", "n")).alias("hist"))
+
+    per_block = seen_pos.groupBy("userId", "block").agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy("userId").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (per_block
+              .select("userId", "block", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+              # unseen positions before the block = block * size - rated items before it
+              .filter(F.col("block") * F.lit(block_size) - F.col("_before") < F.lit(top_n)))
+
+    in_block = Window.partitionBy("userId", "block").orderBy("cluster_rank")
+    gaps = (seen_pos.join(blocks, ["userId", "block"])
+            .select("userId", (F.col("cluster_rank") - F.col("_before")
+                               - F.row_number().over(in_block)).alias("gap"))
             .filter(F.col("gap") < F.lit(top_n)))
     counts = gaps.groupBy("userId", "gap").agg(F.count(F.lit(1)).alias("n"))
     # At most top_n entries per user.
@@ -91,7 +123,8 @@ def wanted_positions(user_clusters: DataFrame, hist: DataFrame, top_n: int) -> D
 def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
               items: DataFrame | None = None, top_n: int = 10, num_clusters: int | None = None,
               broadcast_rows: int = 200_000, ranked: DataFrame | None = None,
-              ranked_rows: int | None = None) -> DataFrame:
+              ranked_rows: int | None = None, block_size: int = 4096,
+              max_user_items: int | None = None) -> DataFrame:
     """Top-``top_n`` unseen items per user, ranked by (score desc, count desc, movieId asc).
 
     rated: ``with_clusters`` output; user_clusters: (userId, cluster); scores:
@@ -99,6 +132,8 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
     cluster has fewer unseen items gets fewer rows. ``ranked`` may pass a persisted
     ``rank_items(scores)`` and ``ranked_rows`` its counted size: at most ``broadcast_rows``
     makes the rated-items lookup a broadcast join (no shuffle of the rated pairs).
+    ``max_user_items``, a checked bound of rated items per user, selects the one-window path
+    of ``gap_histogram`` when it is at most ``block_size``.
 
     The lookup of positions 1..H per cluster (H = broadcast_rows // num_clusters, at least
     top_n) is a broadcast of at most ``broadcast_rows`` rows; positions beyond H (users who
@@ -108,7 +143,8 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
         ranked = rank_items(scores)
     catalog = attach_items(ranked, items)
     small = ranked_rows is not None and ranked_rows <= broadcast_rows
-    hist = gap_histogram(rated, ranked, top_n, broadcast_ranked=small)
+    hist = gap_histogram(rated, ranked, top_n, broadcast_ranked=small, block_size=block_size,
+                         max_user_items=max_user_items)
     wanted = wanted_positions(user_clusters, hist, top_n)
 
     value_cols = ["cluster", "cluster_rank", "movieId", "title", "genres",
@@ -125,6 +161,11 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
     return found.select(*RECOMMENDATION_COLUMNS)
 
 
+def max_rated(user_features: DataFrame) -> int:
+    """The largest ``movies_rated`` (0 when empty): one aggregate over the users table."""
+    return int(user_features.agg(F.max("movies_rated")).first()[0] or 0)
+
+
 def candidate_counts(user_clusters: DataFrame, scores: DataFrame, rated: DataFrame) -> DataFrame:
     """(userId, candidates): unseen items of the user's cluster, i.e. cluster items minus the
     user's distinct rated items (all of which are cluster items), without listing pairs.

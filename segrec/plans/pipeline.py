@@ -21,7 +21,7 @@ from segrec.operators.clusters import assign_clusters, describe_clusters, fit_cl
 from segrec.operators.evaluate import evaluate
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import rank_items, recommend, sample_recommendations
+from segrec.operators.recommend import max_rated, rank_items, recommend, sample_recommendations
 from segrec.operators.scoring import (
     cluster_genres,
     cluster_item_scores,
@@ -85,8 +85,8 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
     scores = cluster_item_scores(rated)
     ranked = rank_items(scores).persist(_LEVEL)
     recs = recommend(rated, user_clusters, scores, items, cfg.top_n, num_clusters=k,
-                     broadcast_rows=cfg.broadcast_rows, ranked=ranked,
-                     ranked_rows=ranked.count()).persist(_LEVEL)
+                     broadcast_rows=cfg.broadcast_rows, ranked=ranked, ranked_rows=ranked.count(),
+                     max_user_items=max_rated(user_clusters)).persist(_LEVEL)
     global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold)
     global_m = (global_m.withColumn("k", F.lit(k).cast("bigint"))
                 .withColumn("training_cost", F.lit(cost).cast("double")))

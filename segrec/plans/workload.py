@@ -1,6 +1,7 @@
 """The standard derived tables over the Parquet test tables, shared by the registered queries,
 the benchmark and the tests. Everything is lazy except one size check (a count of the
-persisted ranked item table, which decides a broadcast); nothing is collected.
+persisted ranked item table, which decides a broadcast, and the largest per-user history,
+which decides the per-user ordering path); nothing else is collected.
 
 Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
 the ranked item table) are persisted, so the rating table is scanned and shuffled once per
@@ -22,7 +23,7 @@ from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit
 from segrec.operators.evaluate import per_user_metrics, relevant_items
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split
-from segrec.operators.recommend import rank_items, recommend
+from segrec.operators.recommend import max_rated, rank_items, recommend
 from segrec.operators.scoring import (
     cluster_item_scores,
     user_features_from_pairs,
@@ -106,11 +107,17 @@ class TableWorkload:
         """Counted size of the persisted ranked table (decides the broadcast)."""
         return self.ranked.count()
 
+    @cached_property
+    def max_user_items(self) -> int:
+        """Largest rated-row count of a user (bounds distinct rated items per user)."""
+        return max_rated(self.features)
+
     @cached_property
     def recommendations(self) -> DataFrame:
         return recommend(self.rated, self.user_clusters, self.scores, self.items, self.cfg.top_n,
                          num_clusters=self.k, broadcast_rows=self.cfg.broadcast_rows,
-                         ranked=self.ranked, ranked_rows=self.ranked_rows)
+                         ranked=self.ranked, ranked_rows=self.ranked_rows,
+                         max_user_items=self.max_user_items)
 
     @cached_property
     def relevant(self) -> DataFrame:

@@ -31,15 +31,21 @@ def _random_fixture(seed, users=40, items=30, rows=400, k=3, hot_user=True):
     return train, clusters
 
 
-@pytest.mark.parametrize("seed,top_n,broadcast_rows", [(1, 5, 200_000), (2, 10, 200_000), (3, 3, 6),
-                                                       (4, 25, 9), (5, 1, 200_000)])
-def test_recommend_equals_brute_force(spark, seed, top_n, broadcast_rows):
+@pytest.mark.parametrize("seed,top_n,broadcast_rows,block_size", [
+    (1, 5, 200_000, 4096), (2, 10, 200_000, 3), (3, 3, 6, 2), (4, 25, 9, 4), (5, 1, 200_000, 1),
+    (6, 4, 200_000, 5), (7, 6, 200_000, None)])
+def test_recommend_equals_brute_force(spark, seed, top_n, broadcast_rows, block_size):
     train_pd, clusters_pd = _random_fixture(seed)
     train = spark.createDataFrame(train_pd)
     clusters = spark.createDataFrame(clusters_pd)
     rated = with_clusters(train, clusters)
     scores = cluster_item_scores(rated)
-    recs = recommend(rated, clusters, scores, None, top_n, num_clusters=3, broadcast_rows=broadcast_rows)
+    if block_size is None:  # checked bound: every user fits one block (one-window path)
+        recs = recommend(rated, clusters, scores, None, top_n, num_clusters=3,
+                         broadcast_rows=broadcast_rows, max_user_items=len(train_pd))
+    else:
+        recs = recommend(rated, clusters, scores, None, top_n, num_clusters=3,
+                         broadcast_rows=broadcast_rows, block_size=block_size)
     got = sorted((r.userId, r.rank, r.movieId) for r in recs.collect())
     want = brute_recommend(train_pd, clusters_pd, top_n)
     expected = sorted(zip(want.userId.astype(int), want["rank"].astype(int), want.movieId.astype(int)))
