@@ -249,6 +249,12 @@ def q_page_users(spark, sf_dir):
     return flatten_documents(docs).select("user_id", "cluster", "position", "movie_id", _r("score"))
 
 
+def q_page_users_deep(spark, sf_dir):
+    # the same page through the distributed positional path used for deep offsets
+    docs = page(_w(spark, sf_dir).documents, limit=100, offset=100, topk_rows=0)
+    return flatten_documents(docs).select("user_id", "cluster", "position", "movie_id", _r("score"))
+
+
 def q_roundtrip_json(spark, sf_dir):
     recs = _w(spark, sf_dir).recommendations
     path = scratch_path(spark, "roundtrip-json")
@@ -324,6 +330,7 @@ _QUERIES = {
     "lookup_users": q_lookup_users,
     "missing_users": q_missing_users,
     "page_users": q_page_users,
+    "page_users_deep": q_page_users_deep,
     "roundtrip_json": q_roundtrip_json,
     "parse_ratings_lines": q_parse_ratings_lines,
     "parse_items_lines": q_parse_items_lines,
@@ -541,6 +548,9 @@ def oracle_sql() -> dict[str, str]:
         "page_users": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
             "SELECT user_id, cluster, position, movie_id, round(score, 6) AS score FROM df WHERE user_id IN "
             "(SELECT DISTINCT user_id FROM df ORDER BY user_id LIMIT 100 OFFSET 100)"),
+        "page_users_deep": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
+            "SELECT user_id, cluster, position, movie_id, round(score, 6) AS score FROM df WHERE user_id IN "
+            "(SELECT DISTINCT user_id FROM df ORDER BY user_id LIMIT 100 OFFSET 100)"),
         "roundtrip_json": _with(_uc(), _scores(), _recs()) + f"SELECT {rec_cols} FROM recs",
         "parse_ratings_lines": _with() + "SELECT userId, movieId, rating, timestamp FROM ratings",
         "parse_items_lines": _with() + "SELECT movieId, title, genres FROM items",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segrec.functions.expressions import MORE_SUFFIX, shorten
+from segrec.operators.ranking import rank_within_groups
 
 
 def pack_documents(recs: DataFrame) -> DataFrame:
@@ -54,11 +55,21 @@ def missing(docs: DataFrame, ids) -> DataFrame:
     return _ids_frame(docs, ids).distinct().join(docs.select("user_id"), "user_id", "left_anti")
 
 
-def page(docs: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """Users ``offset .. offset+limit-1`` in user_id order (a bounded top-k with offset)."""
+def page(docs: DataFrame, limit: int = 100, offset: int = 0, topk_rows: int = 100_000) -> DataFrame:
+    """Users ``offset .. offset+limit-1`` in user_id order.
+
+    A shallow page (``offset + limit <= topk_rows``) is a top-k: every task keeps at most
+    ``offset + limit`` rows before the final merge. A deep page numbers all documents with the
+    distributed positional rank (range shuffle, no single task holds them) and keeps the
+    positions in range."""
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be >= 0")
-    return docs.orderBy("user_id").offset(offset).limit(limit)
+    if offset + limit <= topk_rows:
+        return docs.orderBy("user_id").offset(offset).limit(limit)
+    numbered = rank_within_groups(docs.withColumn("_all", F.lit(0)), ["_all"],
+                                  [F.col("user_id").asc()], "_position")
+    return (numbered.filter((F.col("_position") > offset) & (F.col("_position") <= offset + limit))
+            .drop("_all", "_position"))
 
 
 def document_stats(docs: DataFrame) -> DataFrame:

@@ -57,3 +57,13 @@ def test_preview(docs):
     got = {r.user_id: (r.n_recommendations, r.preview) for r in preview_documents(docs).collect()}
     assert got[1] == (4, "A very long title that goes be... | B | C | +1 más")
     assert got[2] == (1, "Z")
+
+
+def test_deep_page_matches_top_k(spark):
+    recs = spark.range(1, 301).selectExpr("id AS userId", "id % 4 AS cluster", "id * 10 AS movieId",
+                                           "'t' AS title", "1.0D AS recommendation_score", "1L AS rank")
+    docs = pack_documents(recs)
+    shallow = [r.user_id for r in page(docs, limit=25, offset=140).collect()]
+    deep = sorted(r.user_id for r in page(docs, limit=25, offset=140, topk_rows=10).collect())
+    assert shallow == deep == list(range(141, 166))
+    assert page(docs, limit=10, offset=295, topk_rows=10).count() == 5
