@@ -135,9 +135,10 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
     ``max_user_items``, a checked bound of rated items per user, selects the one-window path
     of ``gap_histogram`` when it is at most ``block_size``.
 
-    The lookup of positions 1..H per cluster (H = broadcast_rows // num_clusters, at least
-    top_n) is a broadcast of at most ``broadcast_rows`` rows; positions beyond H (users who
-    rated most of their cluster's head) use a shuffle join.
+    The lookup of positions 1..H per cluster (H = broadcast_rows // num_clusters, so at most
+    ``broadcast_rows`` rows when ``num_clusters`` bounds the clusters) is a broadcast join;
+    positions beyond H (users who rated most of their cluster's head, or a very large
+    ``top_n``) use a shuffle join.
     """
     if ranked is None:
         ranked = rank_items(scores)
@@ -149,8 +150,8 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
 
     value_cols = ["cluster", "cluster_rank", "movieId", "title", "genres",
                   "cluster_avg_movie_rating", "cluster_rating_count", "recommendation_score"]
-    if num_clusters:
-        head_rank = max(top_n, broadcast_rows // max(1, num_clusters))
+    head_rank = broadcast_rows // num_clusters if num_clusters else 0
+    if head_rank > 0:
         head = catalog.filter(F.col("cluster_rank") <= head_rank).select(*value_cols)
         tail = catalog.filter(F.col("cluster_rank") > head_rank).select(*value_cols)
         found = wanted.filter(F.col("cluster_rank") <= head_rank).join(
