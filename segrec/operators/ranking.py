@@ -36,10 +36,11 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence
     positions of tied rows are arbitrary, as with ``row_number``. Eager: runs the range
     shuffle and checkpoints the sliced rows (one pass over ``df``).
     """
-    spark = df.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc() for g in group_cols] + list(order)
-    sliced = (df.repartitionByRange(n, *keys)
+    # Without num_slices the partition count is the session's, and AQE may coalesce small
+    # range partitions (adjacent ranges, order kept); the checkpoint below fixes the slices.
+    ranged = df.repartitionByRange(num_slices, *keys) if num_slices else df.repartitionByRange(*keys)
+    sliced = (ranged
               .sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_slice", F.shiftright("_mid", _SLICE_BITS))

@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # let AQE coalesce the partitions of persisted plans too (the pair and cluster tables are
+    # persisted and re-read many times; 200 near-empty partitions cost 200 tasks per read)
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # checkpoint files of garbage-collected DataFrames are removed
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
