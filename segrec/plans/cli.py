@@ -28,6 +28,8 @@ def parse_args(argv=None):
     p.add_argument("--items-encoding", default="ISO-8859-1")
     p.add_argument("--format", choices=("json", "parquet"), default="json")
     p.add_argument("--checkpoint", action="store_true")
+    p.add_argument("--documents-k", default=None,
+                   help="pack this K's recommendations (or 'best') into <output-dir>/documents")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -46,8 +48,11 @@ def main(argv=None, stop: bool = True) -> None:
     cfg = RunConfig(k_values=parse_k_values(args.k_values), top_n=args.top_n,
                     relevance_threshold=args.relevance_threshold, seed=args.seed, split=args.split,
                     genre_vocabulary=vocabulary)
+    documents_k = args.documents_k
+    if documents_k not in (None, "best"):
+        documents_k = int(documents_k)
     result = run_pipeline(ratings, items, cfg, out=args.output_dir, fmt=args.format,
-                          checkpoint=args.checkpoint)
+                          checkpoint=args.checkpoint, documents_k=documents_k)
     result.summary.show(truncate=False)
     result.best.show(truncate=False)
     if stop:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
@@ -33,7 +34,9 @@ from segrec.operators.scoring import (
 )
 from segrec.operators.sweep import best_k, metrics_summary, union_metrics
 from segrec.session import cut_lineage
-from segrec.sinks import write_table
+from segrec import schemas
+from segrec.operators.serving import pack_documents
+from segrec.sinks import write_documents, write_table
 from segrec.sources.text import dedupe_items, valid_ratings
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
@@ -129,7 +132,12 @@ def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig, checkpo
 
 
 def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfig(),
-                 out: str | None = None, fmt: str = "json", checkpoint: bool = False) -> PipelineResult:
+                 out: str | None = None, fmt: str = "json", checkpoint: bool = False,
+                 documents_k: int | str | None = None) -> PipelineResult:
+    """The whole sweep. With ``out``, every per-K table is written to ``<out>/<name>/k=<K>``
+    and the summary to ``<out>/metrics_summary``; ``documents_k`` (a K of the sweep, or
+    ``"best"``) also packs that K's recommendations into served documents at
+    ``<out>/documents``, reading back only that K's partition."""
     ratings, items, train, test = prepare_inputs(ratings, items, cfg, checkpoint)
     item_genres = explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres).persist(_LEVEL)
     # The rating table is aggregated once to distinct user-item pairs; every K reuses them.
@@ -159,6 +167,14 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     if out:
         write_table(summary.drop("ordinal"), f"{out.rstrip('/')}/metrics_summary", fmt)
         written.append(f"{out.rstrip('/')}/metrics_summary")
+        if documents_k is not None:
+            chosen = int(best_k(all_metrics).first()["k"]) if documents_k == "best" else int(documents_k)
+            recs_path = f"{out.rstrip('/')}/recommendations_topn"
+            with_k = T.StructType(schemas.RECOMMENDATIONS.fields + [T.StructField("k", T.LongType())])
+            reader = items.sparkSession.read.schema(with_k)
+            recs = getattr(reader, fmt)(recs_path).filter(F.col("k") == chosen)
+            write_documents(pack_documents(recs), f"{out.rstrip('/')}/documents")
+            written.append(f"{out.rstrip('/')}/documents")
     return PipelineResult(profile=profile(ratings, items), rating_distribution=rating_distribution(ratings),
                           split_profile=split_profile(train, test), metrics=all_metrics, summary=summary,
                           best=best_k(all_metrics), written=written)
