@@ -162,9 +162,16 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
     return found.select(*RECOMMENDATION_COLUMNS)
 
 
+def user_stats(user_features: DataFrame) -> tuple[int, int]:
+    """(number of users, largest ``movies_rated``): one aggregate over the users table, used
+    as the checked sizes that choose broadcasts and the per-user ordering path."""
+    row = user_features.agg(F.count(F.lit(1)), F.max("movies_rated")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
 def max_rated(user_features: DataFrame) -> int:
-    """The largest ``movies_rated`` (0 when empty): one aggregate over the users table."""
-    return int(user_features.agg(F.max("movies_rated")).first()[0] or 0)
+    """The largest ``movies_rated`` (0 when empty)."""
+    return user_stats(user_features)[1]
 
 
 def candidate_counts(user_clusters: DataFrame, scores: DataFrame, rated: DataFrame) -> DataFrame:

@@ -38,16 +38,18 @@ def user_features_from_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def with_clusters(pairs: DataFrame, user_clusters: DataFrame) -> DataFrame:
+def with_clusters(pairs: DataFrame, user_clusters: DataFrame, broadcast_clusters: bool = False) -> DataFrame:
     """(userId, movieId, cluster, rating_sum, rating_n, rows): the user-item pairs tagged with
     the user's cluster. Raw rating rows are aggregated to pairs first.
 
     Computed once and shared by item scores, genre counts and the seen-item ranks. The join
     is on userId; the cluster side has one row per user, so AQE can split a partition that a
-    hot user makes huge, or broadcast the cluster table when it is small."""
+    hot user makes huge. ``broadcast_clusters`` (set only after counting the users) broadcasts
+    the cluster table so the pairs are not shuffled at all."""
     if "rating_sum" not in pairs.columns:
         pairs = user_item_pairs(pairs)
-    return pairs.join(user_clusters.select("userId", "cluster"), "userId")
+    clusters = user_clusters.select("userId", "cluster")
+    return pairs.join(F.broadcast(clusters) if broadcast_clusters else clusters, "userId")
 
 
 def cluster_item_scores(rated: DataFrame) -> DataFrame:

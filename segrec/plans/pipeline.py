@@ -22,7 +22,7 @@ from segrec.operators.clusters import assign_clusters, describe_clusters, fit_cl
 from segrec.operators.evaluate import evaluate
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import max_rated, rank_items, recommend, sample_recommendations
+from segrec.operators.recommend import rank_items, recommend, sample_recommendations, user_stats
 from segrec.operators.scoring import (
     cluster_genres,
     cluster_item_scores,
@@ -84,12 +84,14 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
     """Everything that follows a cluster assignment (``user_clusters``: userId, cluster,
     movies_rated, avg_rating). Taking the assignment as input lets tests inject one.
     ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep)."""
-    rated = with_clusters(train, user_clusters).persist(_LEVEL)
+    n_users, max_items = user_stats(user_clusters)
+    rated = with_clusters(train, user_clusters,
+                          broadcast_clusters=n_users <= cfg.broadcast_rows).persist(_LEVEL)
     scores = cluster_item_scores(rated)
     ranked = rank_items(scores).persist(_LEVEL)
     recs = recommend(rated, user_clusters, scores, items, cfg.top_n, num_clusters=k,
                      broadcast_rows=cfg.broadcast_rows, ranked=ranked, ranked_rows=ranked.count(),
-                     max_user_items=max_rated(user_clusters)).persist(_LEVEL)
+                     max_user_items=max_items).persist(_LEVEL)
     global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold)
     global_m = (global_m.withColumn("k", F.lit(k).cast("bigint"))
                 .withColumn("training_cost", F.lit(cost).cast("double")))

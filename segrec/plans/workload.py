@@ -1,7 +1,8 @@
 """The standard derived tables over the Parquet test tables, shared by the registered queries,
 the benchmark and the tests. Everything is lazy except one size check (a count of the
-persisted ranked item table, which decides a broadcast, and the largest per-user history,
-which decides the per-user ordering path); nothing else is collected.
+persisted ranked item table, and one aggregate giving the number of users and the largest
+per-user history; they decide broadcasts and the per-user ordering path); nothing else is
+collected.
 
 Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
 the ranked item table) are persisted, so the rating table is scanned and shuffled once per
@@ -23,7 +24,7 @@ from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit
 from segrec.operators.evaluate import per_user_metrics, relevant_items
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split
-from segrec.operators.recommend import max_rated, rank_items, recommend
+from segrec.operators.recommend import rank_items, recommend, user_stats
 from segrec.operators.scoring import (
     cluster_item_scores,
     user_features_from_pairs,
@@ -90,9 +91,15 @@ class TableWorkload:
         return assign_by_thresholds(self.features, self.thresholds).select(
             "userId", "cluster", "movies_rated", "avg_rating")
 
+    @cached_property
+    def user_stats(self) -> tuple[int, int]:
+        """(users, largest rated-row count of a user): checked sizes for the plan choices."""
+        return user_stats(self.features)
+
     @cached_property
     def rated(self) -> DataFrame:
-        return with_clusters(self.pairs, self.user_clusters).persist(_LEVEL)
+        small = self.user_stats[0] <= self.cfg.broadcast_rows
+        return with_clusters(self.pairs, self.user_clusters, broadcast_clusters=small).persist(_LEVEL)
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -107,10 +114,10 @@ class TableWorkload:
         """Counted size of the persisted ranked table (decides the broadcast)."""
         return self.ranked.count()
 
-    @cached_property
+    @property
     def max_user_items(self) -> int:
         """Largest rated-row count of a user (bounds distinct rated items per user)."""
-        return max_rated(self.features)
+        return self.user_stats[1]
 
     @cached_property
     def recommendations(self) -> DataFrame:
