@@ -63,3 +63,15 @@ def test_read_recommendations_checks_columns(spark):
     with pytest.raises(ValueError, match="missing columns"):
         read_recommendations(spark, out, schema=False)
     assert require_columns(spark.range(1), ["id"]).columns == ["id"]
+
+
+def test_documents_json_array_file(spark):
+    d = tempfile.mkdtemp(prefix="segrec-array-")
+    path = os.path.join(d, "docs.json")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('[{"user_id": 1, "cluster": 2, "recommendations": '
+                '[{"movie_id": 5, "movie_title": "Café", "score": 6.42}]},\n'
+                ' {"user_id": 2, "cluster": 0, "recommendations": []}]')
+    rows = sorted((r.user_id, r.cluster, [tuple(x) for x in r.recommendations])
+                  for r in read_documents(spark, path, multiline=True).collect())
+    assert rows == [(1, 2, [(5, "Café", 6.42)]), (2, 0, [])]
