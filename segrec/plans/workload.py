@@ -5,7 +5,7 @@ per-user history; they decide broadcasts and the per-user ordering path); nothin
 collected.
 
 Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
-the ranked item table) are persisted, so the rating table is scanned and shuffled once per
+the ranked item table, the recommendations) are persisted, so the rating table is scanned and shuffled once per
 plan instead of once per consumer.
 
 Clusters are *injected* by default (``cluster = #thresholds below movies_rated``) so results
@@ -124,7 +124,7 @@ class TableWorkload:
         return recommend(self.rated, self.user_clusters, self.scores, self.items, self.cfg.top_n,
                          num_clusters=self.k, broadcast_rows=self.cfg.broadcast_rows,
                          ranked=self.ranked, ranked_rows=self.ranked_rows,
-                         max_user_items=self.max_user_items)
+                         max_user_items=self.max_user_items).persist(_LEVEL)
 
     @cached_property
     def relevant(self) -> DataFrame:
