@@ -123,7 +123,7 @@ def q_kmeans_sweep_metrics(spark, sf_dir):
     for k in SWEEP_KS:
         model, user_clusters = w.kmeans(k)
         result = run_k(w.pairs, w.test, user_clusters, k, w.items, None, w.cfg,
-                       cost=training_cost(model))
+                       cost=training_cost(model), relevant=w.relevant)
         metrics.append(result.global_metrics)
     return metrics_summary(union_metrics(metrics))
 

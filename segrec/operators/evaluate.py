@@ -42,7 +42,11 @@ def global_metrics(per_user: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(recs: DataFrame, test: DataFrame, top_n: int, threshold: float = 4.0):
-    """(global_metrics, per_user_metrics)."""
-    per_user = per_user_metrics(recs, relevant_items(test, threshold), top_n)
+def evaluate(recs: DataFrame, test: DataFrame | None, top_n: int, threshold: float = 4.0,
+             relevant: DataFrame | None = None):
+    """(global_metrics, per_user_metrics). ``relevant`` may pass a precomputed (persisted)
+    ``relevant_items(test, threshold)`` shared by several runs."""
+    if relevant is None:
+        relevant = relevant_items(test, threshold)
+    per_user = per_user_metrics(recs, relevant, top_n)
     return global_metrics(per_user), per_user

@@ -19,7 +19,7 @@ from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_clusters, describe_clusters, fit_clusters, training_cost
-from segrec.operators.evaluate import evaluate
+from segrec.operators.evaluate import evaluate, relevant_items
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import rank_items, recommend, sample_recommendations, user_stats
@@ -80,10 +80,12 @@ class RunResult:
 
 def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
           items: DataFrame | None = None, item_genres: DataFrame | None = None,
-          cfg: RunConfig = RunConfig(), model=None, cost: float | None = None) -> RunResult:
+          cfg: RunConfig = RunConfig(), model=None, cost: float | None = None,
+          relevant: DataFrame | None = None) -> RunResult:
     """Everything that follows a cluster assignment (``user_clusters``: userId, cluster,
     movies_rated, avg_rating). Taking the assignment as input lets tests inject one.
-    ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep)."""
+    ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep);
+    ``relevant`` may pass the persisted relevant test pairs (shared across a sweep)."""
     n_users, max_items = user_stats(user_clusters)
     rated = with_clusters(train, user_clusters,
                           broadcast_clusters=n_users <= cfg.broadcast_rows).persist(_LEVEL)
@@ -92,7 +94,7 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
     recs = recommend(rated, user_clusters, scores, items, cfg.top_n, num_clusters=k,
                      broadcast_rows=cfg.broadcast_rows, ranked=ranked, ranked_rows=ranked.count(),
                      max_user_items=max_items).persist(_LEVEL)
-    global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold)
+    global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold, relevant=relevant)
     global_m = (global_m.withColumn("k", F.lit(k).cast("bigint"))
                 .withColumn("training_cost", F.lit(cost).cast("double")))
     stats = cluster_stats(user_clusters)
@@ -142,8 +144,10 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     ``<out>/documents``, reading back only that K's partition."""
     ratings, items, train, test = prepare_inputs(ratings, items, cfg, checkpoint)
     item_genres = explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres).persist(_LEVEL)
-    # The rating table is aggregated once to distinct user-item pairs; every K reuses them.
+    # The rating table is aggregated once to distinct user-item pairs; every K reuses them,
+    # and the relevant test pairs likewise.
     pairs = user_item_pairs(train).persist(_LEVEL)
+    relevant = relevant_items(test, cfg.relevance_threshold).persist(_LEVEL)
     scaled = scale_features(user_features_from_pairs(pairs))
     scaled = cut_lineage(scaled) if checkpoint else scaled.persist(_LEVEL)
 
@@ -152,7 +156,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
         model = fit_clusters(scaled, k, cfg.seed)
         user_clusters = assign_clusters(model, scaled).persist(_LEVEL)
         result = run_k(pairs, test, user_clusters, k, items, item_genres, cfg,
-                       model=model, cost=training_cost(model))
+                       model=model, cost=training_cost(model), relevant=relevant)
         if out:
             # <out>/<name>/k=<K>: reading <out>/<name> gives k back as a partition column.
             for name, df in result.tables().items():

@@ -5,7 +5,7 @@ per-user history; they decide broadcasts and the per-user ordering path); nothin
 collected.
 
 Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
-the ranked item table, the recommendations) are persisted, so the rating table is scanned and shuffled once per
+the ranked item table, the recommendations, the relevant test pairs) are persisted, so the rating table is scanned and shuffled once per
 plan instead of once per consumer.
 
 Clusters are *injected* by default (``cluster = #thresholds below movies_rated``) so results
@@ -128,7 +128,7 @@ class TableWorkload:
 
     @cached_property
     def relevant(self) -> DataFrame:
-        return relevant_items(self.test, self.cfg.relevance_threshold)
+        return relevant_items(self.test, self.cfg.relevance_threshold).persist(_LEVEL)
 
     @cached_property
     def per_user(self) -> DataFrame:
@@ -149,7 +149,8 @@ class TableWorkload:
     def with_thresholds(self, thresholds) -> "TableWorkload":
         other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
         # share the lazily built inputs
-        for name in ("ratings", "items", "item_genres", "split", "pairs", "features", "scaled"):
+        for name in ("ratings", "items", "item_genres", "split", "pairs", "features", "scaled",
+                     "relevant"):
             if name in self.__dict__:
                 other.__dict__[name] = self.__dict__[name]
         return other
