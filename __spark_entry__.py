@@ -19,7 +19,7 @@ from segrec.operators.clusters import assign_nearest, describe_clusters, kmeans_
 from segrec.operators.evaluate import global_metrics, relevant_counts
 from segrec.operators.features import unpack_vector, user_features
 from segrec.operators.prepare import profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import candidate_counts, sample_recommendations, seen_items
+from segrec.operators.recommend import candidate_counts, rank_items, sample_recommendations, seen_items
 from segrec.operators.scoring import cluster_genres, cluster_stats, top_genres
 from segrec.operators.serving import (
     count_documents,
@@ -146,7 +146,8 @@ def q_cluster_item_scores(spark, sf_dir):
 
 
 def q_cluster_item_ranks(spark, sf_dir):
-    return _w(spark, sf_dir).ranked.select("cluster", "movieId", "cluster_rank")
+    # the distributed ranking (range slices + offsets), whatever the table size
+    return rank_items(_w(spark, sf_dir).scores).select("cluster", "movieId", "cluster_rank")
 
 
 def q_cluster_genres(spark, sf_dir):

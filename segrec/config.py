@@ -28,6 +28,9 @@ class RunConfig:
     top_genres: int = 5
     # Upper bound (rows) of any table this package broadcasts without a runtime check.
     broadcast_rows: int = 200_000
+    # Largest (cluster, item) table ranked with one window per cluster; above it the ranking
+    # is distributed over range slices.
+    window_rows: int = 1_000_000
 
     def __post_init__(self):
         if not self.k_values:

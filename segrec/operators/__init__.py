@@ -27,6 +27,7 @@ from segrec.operators.ranking import rank_within_groups, top_n_per_group  # noqa
 from segrec.operators.recommend import (  # noqa: F401
     candidate_counts,
     rank_items,
+    rank_items_checked,
     recommend,
     sample_recommendations,
     seen_items,

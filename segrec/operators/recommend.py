@@ -38,10 +38,22 @@ def seen_items(train: DataFrame) -> DataFrame:
 
 
 def rank_items(scores: DataFrame) -> DataFrame:
-    """Scores plus ``cluster_rank``: the item's position in its cluster's order."""
+    """Scores plus ``cluster_rank``: the item's position in its cluster's order (distributed:
+    no cluster is sorted in one task)."""
     return rank_within_groups(scores, ["cluster"], score_order(), "cluster_rank")
 
 
+def rank_items_checked(scores: DataFrame, window_rows: int = 1_000_000) -> tuple[DataFrame, int]:
+    """(ranked scores, their row count). Counts the (cluster, item) table first: at most
+    ``window_rows`` rows bounds every cluster's group, so one window per cluster ranks it;
+    above that the distributed ``rank_items`` is used. Pass a persisted ``scores``."""
+    n = scores.count()
+    if n <= window_rows:
+        w = Window.partitionBy("cluster").orderBy(*score_order())
+        return scores.withColumn("cluster_rank", F.row_number().over(w).cast("bigint")), n
+    return rank_items(scores), n
+
+
 def attach_items(ranked: DataFrame, items: DataFrame | None) -> DataFrame:
     """Title and genres on the ranked (cluster, item) table, before users are involved: the
     ranked table has one row per (cluster, item), far fewer than users x N, and a popular item

@@ -22,7 +22,7 @@ from segrec.operators.clusters import assign_clusters, describe_clusters, fit_cl
 from segrec.operators.evaluate import evaluate, relevant_items
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import rank_items, recommend, sample_recommendations, user_stats
+from segrec.operators.recommend import rank_items_checked, recommend, sample_recommendations, user_stats
 from segrec.operators.scoring import (
     cluster_genres,
     cluster_item_scores,
@@ -89,10 +89,11 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
     n_users, max_items = user_stats(user_clusters)
     rated = with_clusters(train, user_clusters,
                           broadcast_clusters=n_users <= cfg.broadcast_rows).persist(_LEVEL)
-    scores = cluster_item_scores(rated)
-    ranked = rank_items(scores).persist(_LEVEL)
+    scores = cluster_item_scores(rated).persist(_LEVEL)
+    ranked, ranked_rows = rank_items_checked(scores, cfg.window_rows)
+    ranked = ranked.persist(_LEVEL)
     recs = recommend(rated, user_clusters, scores, items, cfg.top_n, num_clusters=k,
-                     broadcast_rows=cfg.broadcast_rows, ranked=ranked, ranked_rows=ranked.count(),
+                     broadcast_rows=cfg.broadcast_rows, ranked=ranked, ranked_rows=ranked_rows,
                      max_user_items=max_items).persist(_LEVEL)
     global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold, relevant=relevant)
     global_m = (global_m.withColumn("k", F.lit(k).cast("bigint"))
@@ -106,7 +107,7 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
         scores=ranked, recommendations=recs,
         sample_recommendations=sample_recommendations(recs, cfg.sample_users),
         per_user_metrics=per_user, global_metrics=global_m, model=model, cost=cost,
-        _cached=[rated, ranked, recs],
+        _cached=[rated, scores, ranked, recs],
     )
 
 

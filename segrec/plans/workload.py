@@ -1,8 +1,8 @@
 """The standard derived tables over the Parquet test tables, shared by the registered queries,
-the benchmark and the tests. Everything is lazy except one size check (a count of the
-persisted ranked item table, and one aggregate giving the number of users and the largest
-per-user history; they decide broadcasts and the per-user ordering path); nothing else is
-collected.
+the benchmark and the tests. Everything is lazy except the size checks (a count of the
+persisted (cluster, item) score table, and one aggregate giving the number of users and the
+largest per-user history; they choose broadcasts and ranking/ordering paths); nothing else
+is collected.
 
 Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
 the ranked item table, the recommendations, the relevant test pairs) are persisted, so the rating table is scanned and shuffled once per
@@ -24,7 +24,7 @@ from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit
 from segrec.operators.evaluate import per_user_metrics, relevant_items
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split
-from segrec.operators.recommend import rank_items, recommend, user_stats
+from segrec.operators.recommend import rank_items_checked, recommend, user_stats
 from segrec.operators.scoring import (
     cluster_item_scores,
     user_features_from_pairs,
@@ -103,16 +103,21 @@ class TableWorkload:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return cluster_item_scores(self.rated)
+        return cluster_item_scores(self.rated).persist(_LEVEL)
 
     @cached_property
+    def _ranked_checked(self) -> tuple[DataFrame, int]:
+        ranked, n = rank_items_checked(self.scores, self.cfg.window_rows)
+        return ranked.persist(_LEVEL), n
+
+    @property
     def ranked(self) -> DataFrame:
-        return rank_items(self.scores).persist(_LEVEL)
+        return self._ranked_checked[0]
 
-    @cached_property
+    @property
     def ranked_rows(self) -> int:
-        """Counted size of the persisted ranked table (decides the broadcast)."""
-        return self.ranked.count()
+        """Counted size of the (cluster, item) table (decides the ranking path and a broadcast)."""
+        return self._ranked_checked[1]
 
     @property
     def max_user_items(self) -> int:
