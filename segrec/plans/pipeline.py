@@ -2,10 +2,11 @@
 (``run_pipeline``): load -> profile -> split -> features -> scale -> for each K: fit, assign,
 score, recommend, evaluate, sample -> compare K -> write.
 
-Reused intermediates are persisted (train/test and scaled features for the whole sweep;
-per run the rated-with-cluster rows, the ranked item table and the recommendations) and
-released when no longer needed. With ``checkpoint=True`` the sweep inputs are checkpointed
-into the shared ``spark.checkpoint.dir`` so a lost executor never replays the load and split.
+Reused intermediates are persisted (for the whole sweep: the user-item pairs, the relevant
+test pairs and the scaled features, never the raw rating rows; per run the pairs with
+cluster, the score and ranked tables and the recommendations) and per-run ones are released
+after the run. With ``checkpoint=True`` the sweep inputs are checkpointed into the shared
+``spark.checkpoint.dir`` instead, so a lost executor never replays the load and split.
 """
 
 from __future__ import annotations
@@ -122,17 +123,16 @@ class PipelineResult:
     written: list = field(default_factory=list)
 
 
-def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig, checkpoint: bool = False):
+def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig):
+    """Valid rows, de-duplicated items and the train/test split, all lazy: the raw splits are
+    read once each, into their aggregates (user-item pairs, relevant pairs), which are the
+    tables kept for the sweep."""
     ratings = valid_ratings(ratings)
     items = dedupe_items(items)
     if cfg.split == "hash":
         train, test = hash_split(ratings, cfg.train_fraction)
     else:
         train, test = random_split(ratings, (cfg.train_fraction, 1 - cfg.train_fraction), cfg.seed)
-    if checkpoint:
-        train, test = cut_lineage(train), cut_lineage(test)
-    else:
-        train, test = train.persist(_LEVEL), test.persist(_LEVEL)
     return ratings, items, train, test
 
 
@@ -143,14 +143,15 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     and the summary to ``<out>/metrics_summary``; ``documents_k`` (a K of the sweep, or
     ``"best"``) also packs that K's recommendations into served documents at
     ``<out>/documents``, reading back only that K's partition."""
-    ratings, items, train, test = prepare_inputs(ratings, items, cfg, checkpoint)
+    ratings, items, train, test = prepare_inputs(ratings, items, cfg)
     item_genres = explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres).persist(_LEVEL)
-    # The rating table is aggregated once to distinct user-item pairs; every K reuses them,
-    # and the relevant test pairs likewise.
-    pairs = user_item_pairs(train).persist(_LEVEL)
-    relevant = relevant_items(test, cfg.relevance_threshold).persist(_LEVEL)
-    scaled = scale_features(user_features_from_pairs(pairs))
-    scaled = cut_lineage(scaled) if checkpoint else scaled.persist(_LEVEL)
+    # The rating table is aggregated once to distinct user-item pairs and the test split to
+    # its relevant pairs; every K reuses them (persisted, or checkpointed to the shared folder
+    # so a lost executor never replays the scan and split).
+    keep = cut_lineage if checkpoint else (lambda df: df.persist(_LEVEL))
+    pairs = keep(user_item_pairs(train))
+    relevant = keep(relevant_items(test, cfg.relevance_threshold))
+    scaled = keep(scale_features(user_features_from_pairs(pairs)))
 
     metrics, written = [], []
     for k in cfg.k_values:
