@@ -19,7 +19,13 @@ from segrec.operators.clusters import assign_nearest, describe_clusters, kmeans_
 from segrec.operators.evaluate import global_metrics, relevant_counts
 from segrec.operators.features import unpack_vector, user_features
 from segrec.operators.prepare import profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import candidate_counts, rank_items, sample_recommendations, seen_items
+from segrec.operators.recommend import (
+    candidate_counts,
+    rank_items,
+    recommend,
+    sample_recommendations,
+    seen_items,
+)
 from segrec.operators.scoring import cluster_genres, cluster_stats, top_genres
 from segrec.operators.serving import (
     count_documents,
@@ -179,6 +185,16 @@ def q_recommend_topn(spark, sf_dir):
     return _recs_out(_w(spark, sf_dir).recommendations)
 
 
+def q_recommend_topn_blocked(spark, sf_dir):
+    # the same recommendations through the block-wise per-user ordering (blocks of 16 cluster
+    # positions, the path taken when a user history exceeds one block)
+    w = _w(spark, sf_dir)
+    recs = recommend(w.rated, w.user_clusters, w.scores, w.items, w.cfg.top_n, num_clusters=w.k,
+                     broadcast_rows=w.cfg.broadcast_rows, ranked=w.ranked, ranked_rows=w.ranked_rows,
+                     block_size=16)
+    return _recs_out(recs)
+
+
 def q_sample_recommendations(spark, sf_dir):
     w = _w(spark, sf_dir)
     return _recs_out(sample_recommendations(w.recommendations, w.cfg.sample_users))
@@ -319,6 +335,7 @@ _QUERIES = {
     "seen_items": q_seen_items,
     "unseen_candidates": q_unseen_candidates,
     "recommend_topn": q_recommend_topn,
+    "recommend_topn_blocked": q_recommend_topn_blocked,
     "sample_recommendations": q_sample_recommendations,
     "relevant_counts": q_relevant_counts,
     "per_user_metrics": q_per_user_metrics,
@@ -509,6 +526,7 @@ def oracle_sql() -> dict[str, str]:
             "WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = u.userId AND t.movieId = c.movieId) "
             "GROUP BY u.userId"),
         "recommend_topn": _with(_uc(), _scores(), _recs()) + f"SELECT {rec_cols} FROM recs",
+        "recommend_topn_blocked": _with(_uc(), _scores(), _recs()) + f"SELECT {rec_cols} FROM recs",
         "sample_recommendations": _with(_uc(), _scores(), _recs()) + (
             f"SELECT {rec_cols} FROM recs WHERE userId IN "
             "(SELECT DISTINCT userId FROM recs ORDER BY userId LIMIT 20) ORDER BY userId, rank"),
