@@ -72,10 +72,4 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "cut_lineage", "local_path",
-           "DEFAULT_CONF"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "cut_lineage", "DEFAULT_CONF"]

@@ -36,7 +36,7 @@ def _apply_mode(df: DataFrame, malformed: Column, mode: str, what: str) -> DataF
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "permissive":
-        return df.drop("_malformed") if "_malformed" in df.columns else df
+        return df
     df = df.withColumn("_malformed", malformed)
     if mode == "dropmalformed":
         return df.filter(~F.col("_malformed")).drop("_malformed")
