@@ -155,7 +155,7 @@ class TableWorkload:
         other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
         # share the lazily built inputs
         for name in ("ratings", "items", "item_genres", "split", "pairs", "features", "scaled",
-                     "relevant"):
+                     "relevant", "user_stats"):
             if name in self.__dict__:
                 other.__dict__[name] = self.__dict__[name]
         return other
