@@ -153,9 +153,8 @@ class TableWorkload:
 
     def with_thresholds(self, thresholds) -> "TableWorkload":
         other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
-        # share the lazily built inputs
-        for name in ("ratings", "items", "item_genres", "split", "pairs", "features", "scaled",
-                     "relevant", "user_stats"):
-            if name in self.__dict__:
-                other.__dict__[name] = self.__dict__[name]
+        # share the inputs that do not depend on the clustering (built here once; all lazy
+        # except the user statistics, one small aggregate)
+        for name in ("ratings", "items", "split", "pairs", "features", "relevant", "user_stats"):
+            other.__dict__[name] = getattr(self, name)
         return other
