@@ -151,6 +151,13 @@ class TableWorkload:
         model = fit_clusters(self.scaled, k, self.cfg.seed)
         return model, assign_clusters(model, self.scaled)
 
+    def release(self) -> None:
+        """Unpersist every table this workload persisted (shared inputs included)."""
+        for value in list(self.__dict__.values()):
+            for df in (value if isinstance(value, tuple) else (value,)):
+                if isinstance(df, DataFrame) and df.storageLevel.useMemory | df.storageLevel.useDisk:
+                    df.unpersist()
+
     def with_thresholds(self, thresholds) -> "TableWorkload":
         other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
         # share the inputs that do not depend on the clustering (built here once; all lazy

@@ -62,3 +62,13 @@ def test_ratings_view_types(spark):
     df = ratings_from_tables(spark, SF_SMALL)
     assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "bigint", "double", "bigint"]
     assert df.filter(F.col("rating").isNull()).count() == 0
+
+
+def test_workload_release_unpersists(spark):
+    from segrec.plans.workload import TableWorkload
+
+    w = TableWorkload(spark, SF_SMALL)
+    w.recommendations.count()
+    assert w.pairs.storageLevel.useMemory
+    w.release()
+    assert not w.pairs.storageLevel.useMemory and not w.recommendations.storageLevel.useMemory
