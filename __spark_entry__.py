@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrec.functions.expressions import ACTIVITY_LABELS, DESCRIPTION_JOINER, RATING_LABELS
-from segrec.operators.clusters import assign_nearest, describe_clusters, kmeans_invariants, training_cost
+from segrec.operators.clusters import (
+    assign_clusters,
+    assign_nearest,
+    describe_clusters,
+    fit_sweep,
+    kmeans_invariants,
+    training_cost,
+)
 from segrec.operators.evaluate import global_metrics, relevant_counts
 from segrec.operators.features import unpack_vector, user_features
 from segrec.operators.prepare import profile, random_split, rating_distribution, split_profile
@@ -125,9 +132,11 @@ def q_kmeans_invariants(spark, sf_dir):
 
 def q_kmeans_sweep_metrics(spark, sf_dir):
     w = _w(spark, sf_dir)
+    models = fit_sweep(w.scaled, SWEEP_KS, w.cfg.seed, parallelism=w.cfg.fit_parallelism)
     metrics = []
     for k in SWEEP_KS:
-        model, user_clusters = w.kmeans(k)
+        model = models[k]
+        user_clusters = assign_clusters(model, w.scaled)
         result = run_k(w.pairs, w.test, user_clusters, k, w.items, None, w.cfg,
                        cost=training_cost(model), relevant=w.relevant)
         metrics.append(result.global_metrics)

@@ -31,6 +31,8 @@ class RunConfig:
     # Largest (cluster, item) table ranked with one window per cluster; above it the ranking
     # is distributed over range slices.
     window_rows: int = 1_000_000
+    # K-Means fits of the sweep submitted concurrently (1 = one after another).
+    fit_parallelism: int = 3
 
     def __post_init__(self):
         if not self.k_values:

@@ -4,6 +4,7 @@ from segrec.operators.clusters import (  # noqa: F401
     assign_nearest,
     describe_clusters,
     fit_clusters,
+    fit_sweep,
     kmeans_invariants,
     training_cost,
 )

@@ -27,6 +27,22 @@ def fit_clusters(scaled: DataFrame, k: int, seed: int = 42, features_col: str =
     return KMeans(featuresCol=features_col, k=k, seed=seed, **params).fit(scaled)
 
 
+def fit_sweep(scaled: DataFrame, ks: Sequence[int], seed: int = 42, features_col: str = "features",
+              parallelism: int = 1) -> dict[int, KMeansModel]:
+    """One K-Means model per k. With ``parallelism`` > 1 the fits are submitted from a thread
+    pool (as Spark ML's CrossValidator does), so their small per-iteration jobs share the
+    cluster instead of running one after another; models do not depend on the order.
+    ``scaled`` should be persisted."""
+    ks = list(dict.fromkeys(ks))
+    if parallelism <= 1 or len(ks) == 1:
+        return {k: fit_clusters(scaled, k, seed, features_col) for k in ks}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
+        futures = {k: pool.submit(fit_clusters, scaled, k, seed, features_col) for k in ks}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def assign_clusters(model: KMeansModel, scaled: DataFrame) -> DataFrame:
     """(userId, cluster, movies_rated, avg_rating): nearest centre per user (map-only)."""
     return model.transform(scaled).select(

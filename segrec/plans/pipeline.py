@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
-from segrec.operators.clusters import assign_clusters, describe_clusters, fit_clusters, training_cost
+from segrec.operators.clusters import assign_clusters, describe_clusters, fit_sweep, training_cost
 from segrec.operators.evaluate import evaluate, relevant_items
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
@@ -154,8 +154,9 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     scaled = keep(scale_features(user_features_from_pairs(pairs)))
 
     metrics, written = [], []
+    models = fit_sweep(scaled, cfg.k_values, cfg.seed, parallelism=cfg.fit_parallelism)
     for k in cfg.k_values:
-        model = fit_clusters(scaled, k, cfg.seed)
+        model = models[k]
         user_clusters = assign_clusters(model, scaled).persist(_LEVEL)
         result = run_k(pairs, test, user_clusters, k, items, item_genres, cfg,
                        model=model, cost=training_cost(model), relevant=relevant)

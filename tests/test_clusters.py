@@ -66,3 +66,12 @@ def test_describe_labels(spark):
     assert got[0] == "Usuario muy activo con perfil de calificacion muy positivo"
     assert got[1] == "Usuario activo con perfil de calificacion mas critico"
     assert got[2] == "Usuario ocasional o moderado con perfil de calificacion intermedio"
+
+
+def test_parallel_sweep_equals_sequential(spark, scaled):
+    from segrec.operators import fit_sweep
+
+    seq = fit_sweep(scaled, (3, 5), seed=42, parallelism=1)
+    par = fit_sweep(scaled, (3, 5), seed=42, parallelism=2)
+    for k in (3, 5):
+        assert [list(c) for c in seq[k].clusterCenters()] == [list(c) for c in par[k].clusterCenters()]
