@@ -138,7 +138,7 @@ def q_kmeans_sweep_metrics(spark, sf_dir):
         model = models[k]
         user_clusters = assign_clusters(model, w.scaled)
         result = run_k(w.pairs, w.test, user_clusters, k, w.items, None, w.cfg,
-                       cost=training_cost(model), relevant=w.relevant)
+                       cost=training_cost(model), relevant=w.relevant, stats=w.user_stats)
         metrics.append(result.global_metrics)
     return metrics_summary(union_metrics(metrics))
 

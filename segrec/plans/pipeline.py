@@ -82,12 +82,13 @@ class RunResult:
 def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
           items: DataFrame | None = None, item_genres: DataFrame | None = None,
           cfg: RunConfig = RunConfig(), model=None, cost: float | None = None,
-          relevant: DataFrame | None = None) -> RunResult:
+          relevant: DataFrame | None = None, stats: tuple[int, int] | None = None) -> RunResult:
     """Everything that follows a cluster assignment (``user_clusters``: userId, cluster,
     movies_rated, avg_rating). Taking the assignment as input lets tests inject one.
     ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep);
-    ``relevant`` may pass the persisted relevant test pairs (shared across a sweep)."""
-    n_users, max_items = user_stats(user_clusters)
+    ``relevant`` may pass the persisted relevant test pairs and ``stats`` the
+    ``user_stats`` of the users (both the same for every K of a sweep)."""
+    n_users, max_items = stats if stats is not None else user_stats(user_clusters)
     rated = with_clusters(train, user_clusters,
                           broadcast_clusters=n_users <= cfg.broadcast_rows).persist(_LEVEL)
     scores = cluster_item_scores(rated).persist(_LEVEL)
@@ -155,11 +156,12 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
 
     metrics, written = [], []
     models = fit_sweep(scaled, cfg.k_values, cfg.seed, parallelism=cfg.fit_parallelism)
+    stats = user_stats(scaled)  # users and largest history: the same for every K
     for k in cfg.k_values:
         model = models[k]
         user_clusters = assign_clusters(model, scaled).persist(_LEVEL)
         result = run_k(pairs, test, user_clusters, k, items, item_genres, cfg,
-                       model=model, cost=training_cost(model), relevant=relevant)
+                       model=model, cost=training_cost(model), relevant=relevant, stats=stats)
         if out:
             # <out>/<name>/k=<K>: reading <out>/<name> gives k back as a partition column.
             for name, df in result.tables().items():
