@@ -37,6 +37,9 @@ from segrec.operators.scoring import (  # noqa: F401
     cluster_genres,
     cluster_item_scores,
     cluster_stats,
+    pairs_of,
+    relevant_of,
+    split_pairs,
     top_genres,
     with_clusters,
 )

@@ -28,6 +28,9 @@ from segrec.operators.scoring import (
     cluster_genres,
     cluster_item_scores,
     cluster_stats,
+    pairs_of,
+    relevant_of,
+    split_pairs,
     top_genres,
     user_features_from_pairs,
     user_item_pairs,
@@ -150,8 +153,13 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     # its relevant pairs; every K reuses them (persisted, or checkpointed to the shared folder
     # so a lost executor never replays the scan and split).
     keep = cut_lineage if checkpoint else (lambda df: df.persist(_LEVEL))
-    pairs = keep(user_item_pairs(train))
-    relevant = keep(relevant_items(test, cfg.relevance_threshold))
+    if cfg.split == "hash":
+        # the hash split is a per-row predicate: one scan and one shuffle give both sides
+        split = keep(split_pairs(ratings, cfg.train_fraction, cfg.relevance_threshold))
+        pairs, relevant = pairs_of(split), relevant_of(split)
+    else:
+        pairs = keep(user_item_pairs(train))
+        relevant = keep(relevant_items(test, cfg.relevance_threshold))
     scaled = keep(scale_features(user_features_from_pairs(pairs)))
 
     metrics, written = [], []

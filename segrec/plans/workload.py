@@ -4,8 +4,9 @@ persisted (cluster, item) score table, and one aggregate giving the number of us
 largest per-user history; they choose broadcasts and ranking/ordering paths); nothing else
 is collected.
 
-Intermediates read more than once inside a plan (the user-item pairs, the clustered pairs,
-the ranked item table, the recommendations, the relevant test pairs) are persisted, so the rating table is scanned and shuffled once per
+Intermediates read more than once inside a plan (the one-pass split aggregate that holds the
+train user-item pairs and the relevant test pairs, the clustered pairs, the score and ranked
+item tables, the recommendations) are persisted, so the rating table is scanned and shuffled once per
 plan instead of once per consumer.
 
 Clusters are *injected* by default (``cluster = #thresholds below movies_rated``) so results
@@ -21,14 +22,16 @@ from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit_clusters
-from segrec.operators.evaluate import per_user_metrics, relevant_items
+from segrec.operators.evaluate import per_user_metrics
 from segrec.operators.features import scale_features
 from segrec.operators.prepare import explode_genres, hash_split
 from segrec.operators.recommend import rank_items_checked, recommend, user_stats
 from segrec.operators.scoring import (
     cluster_item_scores,
+    pairs_of,
+    relevant_of,
+    split_pairs,
     user_features_from_pairs,
-    user_item_pairs,
     with_clusters,
 )
 from segrec.operators.serving import pack_documents
@@ -78,9 +81,14 @@ class TableWorkload:
     def test(self) -> DataFrame:
         return self.split[1]
 
+    @cached_property
+    def split_table(self) -> DataFrame:
+        """Both sides of the hash split aggregated per (user, item) in one pass (persisted)."""
+        return split_pairs(self.ratings, self.cfg.train_fraction, self.cfg.relevance_threshold).persist(_LEVEL)
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return user_item_pairs(self.train).persist(_LEVEL)
+        return pairs_of(self.split_table)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -133,7 +141,7 @@ class TableWorkload:
 
     @cached_property
     def relevant(self) -> DataFrame:
-        return relevant_items(self.test, self.cfg.relevance_threshold).persist(_LEVEL)
+        return relevant_of(self.split_table)
 
     @cached_property
     def per_user(self) -> DataFrame:
@@ -162,6 +170,7 @@ class TableWorkload:
         other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
         # share the inputs that do not depend on the clustering (built here once; all lazy
         # except the user statistics, one small aggregate)
-        for name in ("ratings", "items", "split", "pairs", "features", "relevant", "user_stats"):
+        for name in ("ratings", "items", "split", "split_table", "pairs", "features", "relevant",
+                     "user_stats"):
             other.__dict__[name] = getattr(self, name)
         return other

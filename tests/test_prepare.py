@@ -69,6 +69,20 @@ def test_workload_release_unpersists(spark):
 
     w = TableWorkload(spark, SF_SMALL)
     w.recommendations.count()
-    assert w.pairs.storageLevel.useMemory
+    assert w.split_table.storageLevel.useMemory and w.recommendations.storageLevel.useMemory
     w.release()
-    assert not w.pairs.storageLevel.useMemory and not w.recommendations.storageLevel.useMemory
+    assert not w.split_table.storageLevel.useMemory and not w.recommendations.storageLevel.useMemory
+
+
+def test_split_pairs_equals_two_pass(spark):
+    from segrec.operators.evaluate import relevant_items
+    from segrec.operators.scoring import pairs_of, relevant_of, split_pairs, user_item_pairs
+
+    ratings = ratings_from_tables(spark, SF_SMALL)
+    train, test = hash_split(ratings)
+    split = split_pairs(ratings)
+    one = sorted(tuple(r) for r in pairs_of(split).collect())
+    two = sorted(tuple(r) for r in user_item_pairs(train).collect())
+    assert one == two
+    assert sorted(tuple(r) for r in relevant_of(split).collect()) == \
+        sorted(tuple(r) for r in relevant_items(test, 4.0).collect())
