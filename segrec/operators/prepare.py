@@ -65,12 +65,18 @@ def random_split(ratings: DataFrame, weights: Sequence[float] = (0.8, 0.2),
     return ratings.randomSplit(list(weights), seed=seed)
 
 
+def train_bucket_cut(train_fraction: float, buckets: int = 10) -> int:
+    """Buckets ``[0, cut)`` are train: ``train_fraction`` rounded to whole buckets."""
+    cut = int(round(train_fraction * buckets))
+    if not 0 < cut < buckets:
+        raise ValueError("train_fraction leaves one side empty at this bucket count")
+    return cut
+
+
 def hash_split(ratings: DataFrame, train_fraction: float = 0.8, buckets: int = 10,
                keys: tuple[str, str, str] = ("userId", "movieId", "timestamp")) -> tuple[DataFrame, DataFrame]:
     """Deterministic split on an integer hash of (user, item, timestamp): a row's side never
     depends on partitioning or task retries. ``train_fraction`` is rounded to whole buckets."""
-    cut = int(round(train_fraction * buckets))
-    if not 0 < cut < buckets:
-        raise ValueError("train_fraction leaves one side empty at this bucket count")
+    cut = train_bucket_cut(train_fraction, buckets)
     bucket = split_bucket(*keys, buckets=buckets)
     return ratings.filter(bucket < cut), ratings.filter(bucket >= cut)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrec.functions.expressions import recommendation_score
+from segrec.functions.expressions import recommendation_score, split_bucket
+from segrec.operators.prepare import train_bucket_cut
 from segrec.operators.ranking import top_n_per_group
 
 
@@ -38,11 +39,7 @@ def split_pairs(ratings: DataFrame, train_fraction: float = 0.8, threshold: floa
     ``pairs_of(split)`` equals ``user_item_pairs(train)`` and ``relevant_of(split)`` equals
     ``relevant_items(test, threshold)`` of ``hash_split``: one scan and one shuffle instead of
     one per side."""
-    from segrec.functions.expressions import split_bucket
-
-    cut = int(round(train_fraction * buckets))
-    if not 0 < cut < buckets:
-        raise ValueError("train_fraction leaves one side empty at this bucket count")
+    cut = train_bucket_cut(train_fraction, buckets)
     bucket = split_bucket("userId", "movieId", "timestamp", buckets=buckets)
     in_train, in_test = bucket < cut, bucket >= cut
     rating = F.col("rating")
