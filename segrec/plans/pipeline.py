@@ -21,7 +21,7 @@ from pyspark.storagelevel import StorageLevel
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_clusters, describe_clusters, fit_sweep, training_cost
 from segrec.operators.evaluate import evaluate, relevant_items
-from segrec.operators.features import scale_features
+from segrec.operators.features import scale_features, sized_for_iterations
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import rank_items_checked, recommend, sample_recommendations, user_stats
 from segrec.operators.scoring import (
@@ -160,11 +160,12 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     else:
         pairs = keep(user_item_pairs(train))
         relevant = keep(relevant_items(test, cfg.relevance_threshold))
-    scaled = keep(scale_features(user_features_from_pairs(pairs)))
+    features = user_features_from_pairs(pairs)
+    stats = user_stats(features)  # users and largest history: the same for every K
+    scaled = keep(scale_features(sized_for_iterations(features, stats[0])))
 
     metrics, written = [], []
     models = fit_sweep(scaled, cfg.k_values, cfg.seed, parallelism=cfg.fit_parallelism)
-    stats = user_stats(scaled)  # users and largest history: the same for every K
     for k in cfg.k_values:
         model = models[k]
         user_clusters = assign_clusters(model, scaled).persist(_LEVEL)

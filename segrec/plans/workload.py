@@ -23,7 +23,7 @@ from pyspark.storagelevel import StorageLevel
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit_clusters
 from segrec.operators.evaluate import per_user_metrics
-from segrec.operators.features import scale_features
+from segrec.operators.features import scale_features, sized_for_iterations
 from segrec.operators.prepare import explode_genres, hash_split
 from segrec.operators.recommend import rank_items_checked, recommend, user_stats
 from segrec.operators.scoring import (
@@ -153,7 +153,8 @@ class TableWorkload:
 
     @cached_property
     def scaled(self) -> DataFrame:
-        return scale_features(self.features).persist(_LEVEL)
+        users = sized_for_iterations(self.features, self.user_stats[0])
+        return scale_features(users).persist(_LEVEL)
 
     def kmeans(self, k: int):
         model = fit_clusters(self.scaled, k, self.cfg.seed)
