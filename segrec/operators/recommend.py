@@ -152,6 +152,8 @@ def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
     positions beyond H (users who rated most of their cluster's head, or a very large
     ``top_n``) use a shuffle join.
     """
+    if top_n < 1:
+        raise ValueError("top_n must be >= 1")
     if ranked is None:
         ranked = rank_items(scores)
     catalog = attach_items(ranked, items)
