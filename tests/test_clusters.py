@@ -75,3 +75,14 @@ def test_parallel_sweep_equals_sequential(spark, scaled):
     par = fit_sweep(scaled, (3, 5), seed=42, parallelism=2)
     for k in (3, 5):
         assert [list(c) for c in seq[k].clusterCenters()] == [list(c) for c in par[k].clusterCenters()]
+
+
+def test_describe_label_boundaries(spark):
+    # activity: > 300 very active, > 100 active; rating: >= 4.0 very positive, < 3.2 critical
+    stats = spark.createDataFrame([(0, 300.0, 4.0), (1, 100.0, 3.2), (2, 300.5, 3.1999), (3, 100.5, 3.99)],
+                                  "cluster bigint, avg_movies_rated double, avg_user_rating double")
+    got = {r.cluster: (r.activity, r.rating_profile) for r in describe_clusters(stats).collect()}
+    assert got[0] == ("Usuario activo", "muy positivo")
+    assert got[1] == ("Usuario ocasional o moderado", "intermedio")
+    assert got[2] == ("Usuario muy activo", "mas critico")
+    assert got[3] == ("Usuario activo", "intermedio")
