@@ -375,8 +375,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_recommend_topn(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from segrec.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "segrec.llm", "segrec.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 # ---------------------------------------------------------------------------------------
@@ -590,4 +605,4 @@ def oracle_sql() -> dict[str, str]:
         "count_documents": _with(_uc(), _scores(), _recs()) + (
             "SELECT count(DISTINCT userId) AS total_users FROM recs"),
     }
-    return out
+    return {**out, **_training_data()[1]}
