@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,6 +17,17 @@ from segrec.session import scratch_path
 CHUNK_BYTES = 8 << 20
 
 
+def ensure_importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough wherever that folder exists (local mode, a shared file system, images); elsewhere
+    the package is sent with ``--py-files`` as usual."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back.
 
@@ -64,5 +76,5 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-__all__ = ["CHUNK_BYTES", "arrow_schema", "map_rows", "materialise", "partitions_for", "pick",
+__all__ = ["CHUNK_BYTES", "arrow_schema", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick",
            "text_bytes", "words_of"]

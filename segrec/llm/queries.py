@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from segrec.llm import shards, tokencount
+from segrec.llm import chat, minhash, rpforest, shards, substring, tokencount, warc
+from segrec.llm.common import ensure_importable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ensure_importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -18,16 +21,52 @@ def piece_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_tree(turns))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substring.remove_repeats(docs, width=35)
+    # one space between words: white space of the kept text normalised as the contract asks
+    words = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    return cut.select("row.doc_id", "n_words", "n_removed",
+                      F.sha2(F.regexp_replace(words, "^ | $", ""), 256).alias("kept_sha256"))
+
+
+def op6_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.archive_pages(table(spark, sf_dir, "pages"), min_revisit=100)
+    chunks = warc.read_chunks(manifest, payloads=False)
+    return chunks.where("is_last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                                          (F.col("chunk_no") + 1).alias("n_chunks"))
+
+
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), piece_model(), limit=4096)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rpforest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
 
 QUERIES = {
+    "op1_chat_tree": op1_chat_tree,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op6_warc_records": op6_warc_records,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_token_counts": op8_token_counts,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
 }
 
