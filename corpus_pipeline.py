@@ -1,20 +1,79 @@
 """Corpus pipeline: documents through five of the training-data operators.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
-DataFrame that is written as Parquet and read again as the next one's docs.
+DataFrame that is written as Parquet and read again as the next one's docs. All but the last
+return the columns of ``documents``.
+
+Decisions: the quality classifier drops what it rejects; of a group of near-duplicates (five
+words, similarity 0.8) the document with the smallest id stays; passages of 50 words that occur
+more than once are cut from what is left (a document of which nothing remains goes); documents
+that overlap a benchmark item go; the last stage gives the piece ids of what was kept.
+
+A null doc_id cannot be matched and is kept by the stages that decide by id. Rows that repeat
+the smallest id of a group are one document, of which one row stays.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from segrec.llm import decontam, minhash, nbest, quality, substring
+from segrec.llm.common import ensure_importable
+from segrec.llm.queries import piece_model, table
 from segrec.session import scratch_path
 
-STAGES = []
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(rows: DataFrame) -> DataFrame:
+    """The columns of ``documents`` from an operator's ``row`` struct and its text."""
+    return rows.select("row.doc_id", "text", "row.lang", "row.source", F.length("text").cast("long").alias("n_chars"))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), with_text=True)
+    return scored.where("kept").select("row.doc_id", "text", "row.lang", "row.source", "row.n_chars")
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = minhash.near_duplicates(docs, shingle=5, percent=80)
+    gone = groups.where("not kept").select("doc_id").distinct()
+    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    # repeated rows of one id and text are copies too
+    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeats(docs.select(*COLUMNS), width=50)
+    return _documents(cut.where("n_removed < n_words or n_words = 0"))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    overlaps = decontam.find_overlaps(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return docs.select(*COLUMNS).join(overlaps.select("row.doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = nbest.encode_documents(docs, piece_model(), n_best=4)
+    return encoded.select("doc_id", "n_pieces", "piece_ids", "nbest_scores", "round_trip")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece_encoding", sentencepiece_encoding),
+]
+
+# Language-model scoring, lattice search and shingle components are not SQL-expressible;
+# tests/llm compares every stage with a brute-force version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")

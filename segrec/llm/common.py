@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from segrec.session import scratch_path
 
@@ -47,13 +51,6 @@ def partitions_for(total_bytes: float, per_partition: int = 16 << 20, least: int
     return max(least, math.ceil((total_bytes or 0) / per_partition))
 
 
-def text_bytes(df: DataFrame, column: str = "text") -> tuple[int, int]:
-    """(rows, UTF-8 bytes) of a text column; used for sizing only."""
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.sum(F.octet_length(F.col(column))), F.lit(0)).alias("b")).first()
-    return int(row["n"]), int(row["b"])
-
-
 def map_rows(df: DataFrame, schema: str, work: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` over plain column dictionaries (name -> list)."""
     def run(batches):
@@ -71,10 +68,36 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a text in UTF-8 (``bytes.split`` cuts at exactly these)."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def chunk_table(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
+    """The documents as a written table bucketed by chunk, and the bytes of their texts.
 
+    Columns: chunk, nth (place in the chunk), text (UTF-8, binary) and row (struct of all other
+    columns). A chunk is what one task handles at a time; it ends at ``chunk_bytes``. The table
+    is written without a shuffle and read by chunk without one, as often as an operator needs."""
+    spark = docs.sparkSession
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    carried = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
+    rows = docs.select(F.col(f"`{text_col}`").cast("binary").alias("text"), carried.alias("row"))
+    schema = StructType([StructField("chunk", LongType()), StructField("nth", LongType()), *rows.schema.fields])
 
-__all__ = ["CHUNK_BYTES", "arrow_schema", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick",
-           "text_bytes", "words_of"]
+    def run(batches):
+        chunk, nth, held = 0, 0, 0
+        for batch in batches:
+            chunks, places = [], []
+            for n in pc.binary_length(batch.column(0)).to_pylist():
+                chunks.append(TaskContext.get().partitionId() << 32 | chunk)
+                places.append(nth)
+                nth, held = nth + 1, held + (n or 0) + 64
+                if held >= chunk_bytes:
+                    chunk, nth, held = chunk + 1, 0, 0
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(places, pa.int64()), *batch.columns],
+                                             names=schema.names)
+
+    name = f"chunks_{uuid.uuid4().hex}"
+    source_bytes = int(docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0)
+    (rows.mapInArrow(run, schema).write.option("path", scratch_path(spark, name)).option("compression", "zstd")
+     .bucketBy(partitions_for(source_bytes, chunk_bytes, 4), "chunk").sortBy("chunk").saveAsTable(name))
+    return spark.table(name), source_bytes
+
+
+__all__ = ["CHUNK_BYTES", "arrow_schema", "chunk_table", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrec.llm import chat, minhash, rpforest, shards, substring, tokencount, warc
+from segrec.llm import chat, decontam, minhash, nbest, quality, rpforest, shards, substring, tokencount, warc
 from segrec.llm.common import ensure_importable
 
 
@@ -37,6 +37,23 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.regexp_replace(words, "^ | $", ""), 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "row.lang", "n_bytes", F.round("perplexity", 4).alias("perplexity"),
+                         F.round(F.exp("threshold"), 4).alias("perplexity_limit"), "kept")
+
+
+def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.encode_digests(table(spark, sf_dir, "documents"), piece_model(), n_best=4)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    return found.groupBy(F.col("row.doc_id").alias("doc_id"), "item_id").agg(
+        F.max("n_words").alias("n_words"), F.max("n_equal").alias("n_equal"))
+
+
 def op6_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.archive_pages(table(spark, sf_dir, "pages"), min_revisit=100)
     chunks = warc.read_chunks(manifest, payloads=False)
@@ -63,6 +80,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_tree": op1_chat_tree,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_sentencepiece_nbest": op4_sentencepiece_nbest,
+    "op5_decontamination": op5_decontamination,
     "op6_warc_records": op6_warc_records,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_token_counts": op8_token_counts,

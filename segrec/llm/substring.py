@@ -30,19 +30,14 @@ along; an empty table gives an empty result; other input columns come back in th
 from __future__ import annotations
 
 import re
-import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from segrec.llm.common import CHUNK_BYTES, materialise, partitions_for
+from segrec.llm.common import CHUNK_BYTES, chunk_table, materialise
 from segrec.llm.hashing import Windows, word_hashes
-from segrec.session import scratch_path
 
 CELLS = 1 << 22       # cells of one shard of a sketch lane
 CELLS_PER_WINDOW = 4
@@ -154,34 +149,6 @@ def cut_words(text: bytes, gone: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def _chunked(docs: DataFrame, text_col: str, chunk_bytes: int) -> DataFrame:
-    """The documents as a written table bucketed by chunk; a chunk ends at ``chunk_bytes``."""
-    spark = docs.sparkSession
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    carried = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
-    rows = docs.select(F.col(f"`{text_col}`").cast("binary").alias("text"), carried.alias("row"))
-    schema = StructType([StructField("chunk", LongType()), StructField("n_bytes", LongType()), *rows.schema.fields])
-
-    def run(batches):
-        chunk, held = 0, 0
-        for batch in batches:
-            sizes = [0 if n is None else n for n in pc.binary_length(batch.column(0)).to_pylist()]
-            chunks = []
-            for n in sizes:
-                chunks.append(TaskContext.get().partitionId() << 32 | chunk)
-                held += n + 64
-                if held >= chunk_bytes:
-                    chunk, held = chunk + 1, 0
-            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(sizes, pa.int64()), *batch.columns],
-                                             names=["chunk", "n_bytes", "text", "row"])
-
-    name = f"chunks_{uuid.uuid4().hex}"
-    source_bytes = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
-    (rows.mapInArrow(run, schema).write.option("path", scratch_path(spark, name)).option("compression", "zstd")
-     .bucketBy(partitions_for(source_bytes, chunk_bytes, 4), "chunk").sortBy("chunk").saveAsTable(name))
-    return spark.table(name), int(source_bytes)
-
-
 def _merge_cells(key, table):
     """One shard of one lane: which cells of each fragment are counted twice or more in all."""
     cells = [unpack_cells(x) for x in table["cells"].to_pylist()]
@@ -220,7 +187,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, text_col: str = "text", chu
     """Per document: ``row`` (the other columns), ``text`` without the repeated passages, n_words, n_removed.
 
     Texts of which nothing is removed come back unchanged."""
-    chunks, source_bytes = _chunked(docs, text_col, chunk_bytes)
+    chunks, source_bytes = chunk_table(docs, text_col, chunk_bytes)
     windows = max(1, source_bytes // 6)  # for sizes only: words have about five letters
     space = -(-windows * CELLS_PER_WINDOW // CELLS) * CELLS
     print_bits = (windows // PRINTS).bit_length()
