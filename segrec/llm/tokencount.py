@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from segrec.llm.common import map_rows, pick
 from segrec.llm.pieces import Cache, vocab
 
-# Entries of the per-worker memo of unit counts (about 150 bytes each).
-CACHE_UNITS = 1_000_000
+# Entries of the per-worker memos (about 200 bytes each): they save work, results do not depend on them.
+CACHE = 1_200_000
 
 
 class PrefixCounter:
@@ -39,10 +39,16 @@ class PrefixCounter:
 
     def __init__(self, model_path: str):
         self.vocab = vocab(model_path)
-        self._compatible = Cache(self._keeps_border, CACHE_UNITS)
-        self._segment_total = Cache(lambda s: self.segment_counts(s)[-1], CACHE_UNITS // 4)
-        self.unit_total = Cache(lambda u: sum(map(self._segment_total.__getitem__, self.vocab.segments(u))),
-                                CACHE_UNITS)
+        # pieces by their characters from last to first; the piece itself under ""
+        self._ending: dict = {}
+        for piece in self.vocab.ids:
+            node = self._ending
+            for ch in reversed(piece):
+                node = node.setdefault(ch, {})
+            node[""] = piece
+        self._compatible = Cache(self._keeps_border, CACHE // 2)
+        self._states: dict[str, tuple[str, int]] = {"": ("", 0)}
+        self.unit_total = Cache(lambda unit: self.state(unit)[1], CACHE)
 
     def _merge(self, symbols: list[str]) -> list[str]:
         """The tokens of a short string: best-scored neighbours first, the leftmost of equals."""
@@ -58,19 +64,31 @@ class PrefixCounter:
     def _keeps_border(self, pair: tuple[str, str]) -> bool:
         return self._merge([*pair[0], *pair[1]]) == [p for p in pair if p]
 
-    def segment_counts(self, segment: str) -> list[int]:
-        """Counts of the prefixes of lengths 1, 2, ... of a segment."""
-        ids, reach, fits = self.vocab.ids, self.vocab.reach, self._compatible
-        last, counts = [""], [0]
-        for end in range(1, len(segment) + 1):
-            for start in range(max(0, end - reach.get(segment[max(0, end - 2):end], 1)), end):
-                token = segment[start:end]
-                if token in ids or end - start == 1:
-                    if fits[last[start], token]:
-                        last.append(token)
-                        counts.append(counts[start] + (1 if token in ids else len(token.encode())))
-                        break
-        return counts[1:]
+    def state(self, unit: str) -> tuple[str, int]:
+        """(last token, token count) of a unit. The states of its prefixes are kept, so a unit
+        costs only the characters after its longest prefix that was met before."""
+        states, fits = self._states, self._compatible
+        if len(states) > CACHE:
+            states.clear()
+            states[""] = ("", 0)
+        known = len(unit)
+        while unit[:known] not in states:
+            known -= 1
+        for end in range(known + 1, len(unit) + 1):
+            node, at, tokens = self._ending, end, []
+            while at and (node := node.get(unit[at - 1])) is not None:
+                at -= 1
+                if "" in node:
+                    tokens.append((at, node[""]))
+            for start, token in reversed(tokens):
+                before, count = states[unit[:start]]
+                if fits[before, token]:
+                    break
+            else:  # a character outside the vocabulary: its bytes
+                token = unit[end - 1]
+                count = states[unit[:end - 1]][1] + len(token.encode("utf-8", "surrogatepass")) - 1
+            states[unit[:end]] = (token, count + 1)
+        return states[unit]
 
     def total(self, text: str | None) -> int:
         return sum(map(self.unit_total.__getitem__, self.vocab.units(text))) if text else 0
@@ -79,10 +97,9 @@ class PrefixCounter:
         """Tokens of ``text[:0]``, ``text[:1]``, ... ``text``."""
         out, base = [0], 0
         for unit in self.vocab.units(text or ""):
-            for segment in self.vocab.segments(unit):
-                counts = self.segment_counts(segment)
-                out.extend(base + c for c in counts)
-                base += counts[-1]
+            total = self.state(unit)[1]
+            out.extend(base + self._states[unit[:k]][1] for k in range(1, len(unit) + 1))
+            base += total
         # the leading blank that encoding adds is no character of the text
         return np.array([0, *out[2:]], dtype=np.int64) if len(out) > 1 else np.zeros(1, np.int64)
 
