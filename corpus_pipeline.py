@@ -15,7 +15,7 @@ the smallest id of a group are one document, of which one row stays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segrec.llm import decontam, minhash, nbest, quality, substring
@@ -40,8 +40,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     groups = minhash.near_duplicates(docs, shingle=5, percent=80)
     gone = groups.where("not kept").select("doc_id").distinct()
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    # repeated rows of one id and text are copies too
-    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    # repeated rows of one id and text are copies too; the join has put them together already
+    nth = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars"))
+    return kept.withColumn("nth", nth).where("nth = 1 or doc_id is null").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,31 @@
+import brute_llm as brute
+import corpus_pipeline
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_on_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        if k < 4:
+            assert tuple(out.columns) == tuple(docs.columns)
+        rows = {r["doc_id"]: r for r in out.collect()}
+        kept.append(rows)
+        docs = spark.createDataFrame(list(rows.values()), out.schema) if k < 4 else None
+    quality, near, cut, clean, pieces = kept
+    groups = brute.near([(i, r["text"]) for i, r in quality.items()], 5)
+    assert set(near) == {i for i, (_, c) in groups.items() if i == c}
+    expect = brute.repeats([(i, r["text"]) for i, r in near.items()], 50)
+    assert set(cut) == {i for i, (n, gone, _) in expect.items() if gone < n or not n}
+    for i, r in cut.items():
+        assert len(r["text"].split()) == expect[i][0] - expect[i][1] and r["n_chars"] == len(r["text"])
+    assert set(clean) <= set(cut) and set(pieces) == set(clean)
+    assert all(r["round_trip"] and len(r["piece_ids"]) == r["n_pieces"] for r in pieces.values())
+
+
+def test_run_equals_the_stages(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert rows and all(r["round_trip"] for r in rows)
+    assert len({r["doc_id"] for r in rows}) == len(rows)
