@@ -13,8 +13,9 @@ path is expanded that is not part of one of the N best (but for ties).
 
 For a whole text the N best are combinations of alternatives of single units. An alternative
 among the N best changes only units whose second-best loss is among the N - 1 smallest of the
-text, so the search runs for those units alone; the loss itself is read off the forward and
-backward Viterbi passes (the best path through any arc outside the best path).
+text, so the search runs for those units alone. The loss comes with the forward pass, which
+keeps the second-best score of every prefix too and runs over all new units of one length
+together, in arrays.
 
 Scores are whole numbers and sums exact. Ties: the best segmentation takes the longest last
 piece, again and again; among equal alternatives the order is by the earlier unit in the text.
@@ -29,6 +30,7 @@ import heapq
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain, islice
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,8 +38,12 @@ from pyspark.sql import DataFrame
 from segrec.llm.common import map_rows, pick
 from segrec.llm.pieces import BLANK, Cache, vocab
 
-# Entries of the per-worker memo (about 400 bytes each).
-CACHE_UNITS = 400_000
+# Entries of the per-worker memos (about 300 bytes each): they save work, results do not depend on them.
+CACHE = 700_000
+# a solved unit: best score, its piece ids (32-bit, packed), loss of the second best, decoded text
+_SCORE, _IDS, _LOSS, _TEXT = map(itemgetter, range(4))
+NONE = 1 << 62       # loss of a unit with a single segmentation
+LONGEST_BATCHED = 40  # units up to this length are solved together, longer ones one by one
 UNSCORED = -10**8  # pieces at or below (runs of blanks in some vocabularies) do not set the byte score
 
 
@@ -47,9 +53,28 @@ class Lattice:
     def __init__(self, model_path: str):
         self.vocab = vocab(model_path)
         self.byte_score = min(s for s in self.vocab.scores.values() if s > UNSCORED) - 10
-        self._segment = Cache(self._segment_best, CACHE_UNITS // 2)
-        self.unit = Cache(self._unit_best, CACHE_UNITS)
-        self._alternatives = Cache(lambda key: list(islice(self._unit_paths(key[0]), key[1])), CACHE_UNITS // 20)
+        self.unit = Cache(self._unit_best, CACHE)
+        self._alternatives = Cache(lambda key: list(islice(self._unit_paths(key[0]), key[1])), CACHE // 20)
+        # pieces by a 64-bit polynomial hash of their code points, for many units at once
+        step = 0x9E3779B97F4A7C15
+        self._powers = np.cumprod(np.array([1] + [step] * LONGEST_BATCHED, dtype=np.uint64), dtype=np.uint64)
+        self._inverse = np.cumprod(np.array([1] + [pow(step, -1, 1 << 64)] * LONGEST_BATCHED, dtype=np.uint64), dtype=np.uint64)
+        pieces = [p for p in self.vocab.ids if len(p) <= LONGEST_BATCHED]
+        hashes = np.array([self._hash(p) for p in pieces], dtype=np.uint64)
+        order = np.argsort(hashes)
+        self._hashes = hashes[order]
+        if (self._hashes[1:] == self._hashes[:-1]).any():
+            raise ValueError("two pieces have one hash")
+        # most substrings are no piece: their leading hash bits tell so at once
+        self._maybe = np.zeros(1 << 20, dtype=bool)
+        self._maybe[self._hashes >> np.uint64(44)] = True
+        self._hashed_ids = np.array([self.vocab.ids[p] for p in pieces], dtype=np.int64)[order]
+        self._hashed_scores = np.array([self.vocab.scores[p] for p in pieces], dtype=np.int64)[order]
+        self._longest = max(map(len, pieces))
+
+    def _hash(self, piece: str) -> int:
+        codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        return int((codes * self._powers[:len(codes)]).sum(dtype=np.uint64))
 
     def arcs(self, segment: str) -> list[list[tuple[int, int]]]:
         """For every end position: (start, score) of the arcs that end there."""
@@ -67,46 +92,92 @@ class Lattice:
         return out
 
     @staticmethod
-    def forward(arcs) -> tuple[list[int], list[int]]:
-        """Viterbi: the best score of every prefix and the start of its last arc."""
-        best, back = [0], [0]
+    def forward(arcs) -> tuple[list[int], list[int], list[int]]:
+        """Viterbi: best and second-best score of every prefix, and where its last arc begins.
+
+        The longest piece wins ties."""
+        best, second, back = [0], [-NONE], [0]
         for here in arcs[1:]:
-            top, at = None, 0
+            top, other, place = -NONE, -NONE, 0
             for start, score in here:
-                if top is None or best[start] + score > top:
-                    top, at = best[start] + score, start
+                first = best[start] + score
+                if first > top:
+                    top, other, place = first, max(top, other), start
+                else:
+                    other = max(other, first)
+                other = max(other, second[start] + score) if second[start] > -NONE else other
             best.append(top)
-            back.append(at)
-        return best, back
-
-    def _segment_best(self, segment: str):
-        """(score, cuts, loss of the second-best segmentation or None)."""
-        arcs = self.arcs(segment)
-        best, back = self.forward(arcs)
-        n = len(segment)
-        cuts, at = [n], n
-        while at:
-            at = back[at]
-            cuts.append(at)
-        cuts.reverse()
-        on_path = set(zip(cuts, cuts[1:], strict=False))
-        rest = [None] * n + [0]  # best score from a position to the end
-        second = None
-        for end in range(n, 0, -1):
-            if rest[end] is None:
-                continue
-            for start, score in arcs[end]:
-                tail = rest[end] + score
-                if rest[start] is None or tail > rest[start]:
-                    rest[start] = tail
-                if (start, end) not in on_path and (second is None or best[start] + tail > second):
-                    second = best[start] + tail
-        return best[n], tuple(cuts), None if second is None else best[n] - second
+            second.append(other)
+            back.append(place)
+        return best, second, back
+
+    def prepare(self, units) -> None:
+        """Solve the units not met before, all units of one length together."""
+        by_length: dict[int, list[str]] = {}
+        for unit in set(units):
+            if unit not in self.unit:
+                by_length.setdefault(len(unit), []).append(unit)
+        if len(self.unit) + sum(map(len, by_length.values())) > CACHE:
+            self.unit.clear()
+        for length, group in by_length.items():
+            if length <= LONGEST_BATCHED and len(group) >= 8:
+                self._solve(group, length)
+
+    def _places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self._hashes, wanted)
+        at[at == len(self._hashes)] = 0
+        return at, self._hashes[at] == wanted
+
+    def _solve(self, group: list[str], n: int) -> None:
+        """``forward`` for many units of ``n`` characters, a column of arrays per position."""
+        codes = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n).T.astype(np.uint64)
+        sums = np.zeros((n + 1, len(group)), dtype=np.uint64)
+        np.cumsum(codes * self._powers[:n, None], axis=0, dtype=np.uint64, out=sums[1:])
+        n_bytes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+        shape = (n + 1, len(group))
+        best, second = np.full(shape, -NONE, dtype=np.int64), np.full(shape, -NONE, dtype=np.int64)
+        back, last = np.zeros(shape, dtype=np.int64), np.full(shape, -1, dtype=np.int64)
+        best[0] = 0
+        for end in range(1, n + 1):
+            top, other = best[end], second[end]
+            for start in range(max(0, end - self._longest), end):
+                wanted = (sums[end] - sums[start]) * self._inverse[start]
+                if end - start > 1:
+                    columns = np.flatnonzero(self._maybe[wanted >> np.uint64(44)])
+                    at, found = self._places(wanted[columns])
+                    columns, piece = columns[found], at[found]
+                    if not len(columns):
+                        continue
+                    score = self._hashed_scores[piece]
+                else:
+                    columns = slice(None)
+                    at, found = self._places(wanted)
+                    score = np.where(found, self._hashed_scores[at], self.byte_score * n_bytes[start])
+                    piece = np.where(found, at, -1)
+                first = best[start, columns] + score
+                old, before = top[columns], second[start, columns]
+                better = first > old
+                runner = np.maximum(other[columns], np.where(better, old, first))
+                other[columns] = np.where(before > -NONE, np.maximum(runner, before + score), runner)
+                top[columns] = np.where(better, first, old)
+                back[end, columns] = np.where(better, start, back[end, columns])
+                last[end, columns] = np.where(better, piece, last[end, columns])
+        # pieces from the end to the begin; -2 where a unit is done
+        steps, at, each = [], np.full(len(group), n), np.arange(len(group))
+        while at.any():
+            steps.append(np.where(at > 0, np.where(last[at, each] >= 0, self._hashed_ids[last[at, each]], -1), -2))
+            at = np.where(at > 0, back[at, each], 0)
+        loss = np.where(second[n] > -NONE, best[n] - second[n], NONE).tolist()
+        table = np.array(steps[::-1], dtype="<i4").T
+        ones, skip = (table == -1).any(axis=1).tolist(), (table == -2).sum(axis=1).tolist()
+        for unit, score, ids, gap, has_bytes, k in zip(group, best[n].tolist(), np.ascontiguousarray(table), loss, ones, skip, strict=True):
+            if not has_bytes:  # else left to the one-by-one path
+                self.unit[unit] = score, ids[k:].tobytes(), gap, self._text(ids[k:].tolist())
 
     def segment_paths(self, segment: str):
         """All segmentations of a segment as (score, cuts), best first: backward A*."""
         arcs = self.arcs(segment)
-        best, _ = self.forward(arcs)
+        best, _, _ = self.forward(arcs)
         queue = [(-best[-1], len(segment), 0, (len(segment),))]
         while queue:
             _, at, done, cuts = heapq.heappop(queue)
@@ -128,55 +199,66 @@ class Lattice:
         return out
 
     def _unit_best(self, unit: str):
-        """(score, ids, smallest loss of an alternative or None)."""
-        score, ids, loss = 0, [], None
+        """A unit on its own, segment by segment."""
+        score, ids, loss = 0, [], NONE
         for segment in self.vocab.segments(unit):
-            s, cuts, gap = self._segment[segment]
-            score += s
-            ids += self._ids(segment, cuts)
-            if gap is not None and (loss is None or gap < loss):
-                loss = gap
-        return score, tuple(ids), loss
+            best, second, back = self.forward(self.arcs(segment))
+            cuts = [len(segment)]
+            while cuts[-1]:
+                cuts.append(back[cuts[-1]])
+            score += best[-1]
+            ids += self._ids(segment, cuts[::-1])
+            if second[-1] > -NONE:
+                loss = min(loss, best[-1] - second[-1])
+        return score, _packed(ids), loss, self._text(ids)
+
+    def _text(self, ids) -> bytes:
+        return b"".join([self.vocab.texts[i] for i in ids])
 
     def _unit_paths(self, unit: str):
-        """All segmentations of a unit as (score, ids), best first."""
+        """All segmentations of a unit as (score, packed ids), best first."""
         segments = self.vocab.segments(unit)
         return _merged([_Lazy(self.segment_paths(s)) for s in segments],
-                       lambda chosen: tuple(chain.from_iterable(self._ids(s, p) for s, p in zip(segments, chosen, strict=True))))
+                       lambda chosen: _packed(chain.from_iterable(self._ids(s, p) for s, p in zip(segments, chosen, strict=True))))
+
+    def _found(self, units: list[str], n: int):
+        """Best segmentations of the units, the places that the ``n`` best of the text may
+        change, and the options at those places."""
+        found = list(map(self.unit.__getitem__, units))
+        if n == 1 or not units:
+            return found, [], []
+        loss = np.fromiter(map(_LOSS, found), dtype=np.int64, count=len(found))
+        most = np.partition(loss, n - 2)[n - 2] if len(loss) >= n - 1 else NONE
+        places = np.flatnonzero((loss <= most) & (loss < NONE))
+        places = sorted(places[np.argsort(loss[places], kind="stable")][:n - 1].tolist())
+        return found, places, [_Lazy(iter(self._options(units[i], n))) for i in places]
+
+    def best(self, units: list[str], n: int = 1) -> tuple[bytes, list[int], bytes]:
+        """For a text's units: packed piece ids of the best segmentation, scores of the ``n``
+        best, and the decoded text (with the blank that encoding puts first)."""
+        found, places, options = self._found(units, n)
+        score = sum(map(_SCORE, found))
+        base = score - sum(found[i][0] for i in places)
+        scores = [base + s for s, _ in islice(_merged(options, len), n)] if places else [score]
+        return b"".join(map(_IDS, found)), scores, b"".join(map(_TEXT, found))
 
     def encode(self, text: str | None, n: int = 1) -> list[tuple[int, list[int]]]:
         """The ``n`` best segmentations of a text as (score, piece ids), best first."""
-        units = self.vocab.units(text or "")
-        found = [self.unit[u] for u in units]
-        best = sum(f[0] for f in found), list(chain.from_iterable(f[1] for f in found))
-        if n == 1 or not units:
-            return [best]
-        losses = {u: f[2] for u, f in zip(units, found, strict=True) if f[2] is not None}
-        change = heapq.nsmallest(n - 1, losses, key=losses.get)
-        wanted, left = set(change), dict.fromkeys(change, n - 1)
-        places = []
-        for i, u in enumerate(units):
-            if u in wanted and left[u]:
-                left[u] -= 1
-                places.append(i)
-        places = sorted(sorted(places, key=lambda i: losses[units[i]])[:n - 1])
-        options = [self._options(units[i], n) for i in places]
-        starts = np.cumsum([0, *(len(f[1]) for f in found)]).tolist()
+        found, places, options = self._found(self.vocab.units(text or ""), n)
+        ids = list(map(_IDS, found))
+        base = sum(map(_SCORE, found)) - sum(found[i][0] for i in places)
 
         def rebuilt(chosen):
-            out, at = [], 0
-            for i, ids in zip(places, chosen, strict=True):
-                out += best[1][at:starts[i]]
-                out += ids
-                at = starts[i + 1]
-            return out + best[1][at:]
+            changed = ids.copy()
+            for i, other in zip(places, chosen, strict=True):
+                changed[i] = other
+            return np.frombuffer(b"".join(changed), "<i4").tolist()
 
-        base = best[0] - sum(found[i][0] for i in places)
-        return [(base + s, rebuilt(c)) for s, c in islice(_merged([_Lazy(iter(o)) for o in options], list), n)]
+        return [(base + s, rebuilt(c)) for s, c in islice(_merged(options, list), n)]
 
     def _options(self, unit: str, n: int) -> list:
         """The ``n`` best of a unit; the first is the one that ``encode`` takes."""
-        score, ids, _ = self.unit[unit]
+        score, ids = self.unit[unit][:2]
         others = [x for x in self._alternatives[unit, n + 1] if x[1] != ids]
         return [(score, ids), *others][:n]
 
@@ -184,6 +266,10 @@ class Lattice:
         return self.vocab.decode(ids)
 
 
+def _packed(ids) -> bytes:
+    return np.array(list(ids), dtype="<i4").tobytes()
+
+
 class _Lazy:
     """Indexed access to an iterator of (score, value), best first."""
 
@@ -224,14 +310,14 @@ def encode_documents(docs: DataFrame, model_path: str, n_best: int = 4, id_col:
     text that decoding the best segmentation gives) and round_trip (it equals the input, in
     which a literal blank mark counts as a blank)."""
     return _mapped(docs, model_path, n_best, id_col, text_col,
-                   "piece_ids array<int>, decoded string", lambda ids, decoded: (ids, decoded))
+                   "piece_ids array<int>, decoded string",
+                   lambda ids, decoded: (np.frombuffer(ids, "<i4"), decoded.decode("utf-8", "replace")))
 
 
 def encode_digests(docs: DataFrame, model_path: str, n_best: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``encode_documents`` with digests in place of the pieces and the decoded text."""
     return _mapped(docs, model_path, n_best, id_col, text_col, "ids_sha256 string, decoded_sha256 string",
-                   lambda ids, decoded: (sha256(np.array(ids, dtype="<i4").tobytes()).hexdigest(),
-                                         sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest()))
+                   lambda ids, decoded: (sha256(ids).hexdigest(), sha256(decoded).hexdigest()))
 
 
 def _mapped(docs, model_path, n_best, id_col, text_col, more, result) -> DataFrame:
@@ -241,13 +327,15 @@ def _mapped(docs, model_path, n_best, id_col, text_col, more, result) -> DataFra
         coder = lattice(model_path)
         for b in batches:
             out = {"doc_id": b["doc_id"], "n_pieces": [], "nbest_scores": [], "round_trip": [], **{n: [] for n in names}}
-            for text in b["text"]:
-                found = coder.encode(text, n_best)
-                ids = found[0][1]
-                decoded = coder.decode(ids)
-                out["n_pieces"].append(len(ids))
-                out["nbest_scores"].append([s for s, _ in found])
-                out["round_trip"].append(decoded == (text or "").replace(BLANK, " "))
+            for k, text in enumerate(b["text"]):
+                if k % 500 == 0:
+                    units = [coder.vocab.units(t or "") for t in b["text"][k:k + 500]]
+                    coder.prepare(chain.from_iterable(units))
+                ids, scores, decoded = coder.best(units[k % 500], n_best)
+                decoded = decoded.removeprefix(b" ")
+                out["n_pieces"].append(len(ids) // 4)
+                out["nbest_scores"].append(scores)
+                out["round_trip"].append(decoded == (text or "").replace(BLANK, " ").encode("utf-8", "surrogatepass"))
                 for name, value in zip(names, result(ids, decoded), strict=True):
                     out[name].append(value)
             yield out

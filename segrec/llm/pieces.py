@@ -28,7 +28,7 @@ class PieceVocab:
             raise ValueError("the model's normaliser changes texts; only identity with a leading blank is supported")
         self.ids: dict[str, int] = {}
         self.byte_ids: list[int] = [sp.unk_id()] * 256
-        self.texts: dict[int, bytes] = {}
+        self.texts: list[bytes] = [b""] * sp.get_piece_size()
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -43,19 +43,31 @@ class PieceVocab:
         if any(sp.get_score(i) != self.scores[p] for p, i in self.ids.items()):
             raise ValueError("piece scores are not whole numbers")
         self.joined = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        # line breaks stand alone if no piece holds one with another character
+        self.cuts_lines = not any("\n" in pair for pair in self.joined)
         # the longest piece that ends in two given characters
         self.reach: dict[str, int] = {}
         for p in self.ids:
             self.reach[p[-2:]] = max(len(p), self.reach.get(p[-2:], 1))
-
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """``text`` as blank-led units; joined they are the normalised text."""
+        # pieces by their characters from last to first; the piece itself under ""
+        self.ending: dict = {}
+        for piece in self.ids:
+            node = self.ending
+            for ch in reversed(piece):
+                node = node.setdefault(ch, {})
+            node[""] = piece
+
+    def units(self, text: str) -> list[str]:
+        """``text`` as units, blank-led or a line break or what follows one; joined they are the
+        normalised text."""
         if not text:
             return []
         if BLANK not in text and "  " not in text and text[-1] != " " and text[0] != " ":
             # the usual case: single blanks between words
-            return (BLANK + text.replace(" ", " " + BLANK)).split(" ")
+            marked = BLANK + text.replace(" ", " " + BLANK)
+            if self.cuts_lines and "\n" in marked:
+                return list(filter(None, marked.replace("\n", " \n ").split(" ")))
+            return marked.split(" ")
         return _UNITS.findall(BLANK + text.replace(" ", BLANK))
 
     def segments(self, unit: str) -> list[str]:

@@ -39,13 +39,6 @@ class PrefixCounter:
 
     def __init__(self, model_path: str):
         self.vocab = vocab(model_path)
-        # pieces by their characters from last to first; the piece itself under ""
-        self._ending: dict = {}
-        for piece in self.vocab.ids:
-            node = self._ending
-            for ch in reversed(piece):
-                node = node.setdefault(ch, {})
-            node[""] = piece
         self._compatible = Cache(self._keeps_border, CACHE // 2)
         self._states: dict[str, tuple[str, int]] = {"": ("", 0)}
         self.unit_total = Cache(lambda unit: self.state(unit)[1], CACHE)
@@ -75,7 +68,7 @@ class PrefixCounter:
         while unit[:known] not in states:
             known -= 1
         for end in range(known + 1, len(unit) + 1):
-            node, at, tokens = self._ending, end, []
+            node, at, tokens = self.vocab.ending, end, []
             while at and (node := node.get(unit[at - 1])) is not None:
                 at -= 1
                 if "" in node:
