@@ -93,11 +93,17 @@ def chunk_table(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUN
             yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(places, pa.int64()), *batch.columns],
                                              names=schema.names)
 
-    name = f"chunks_{uuid.uuid4().hex}"
     source_bytes = int(docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0)
-    (rows.mapInArrow(run, schema).write.option("path", scratch_path(spark, name)).option("compression", "zstd")
-     .bucketBy(partitions_for(source_bytes, chunk_bytes, 4), "chunk").sortBy("chunk").saveAsTable(name))
-    return spark.table(name), source_bytes
+    return bucketed(rows.mapInArrow(run, schema), "chunks", "chunk", partitions_for(source_bytes, chunk_bytes, 4)), source_bytes
 
 
-__all__ = ["CHUNK_BYTES", "arrow_schema", "chunk_table", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick"]
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a written table bucketed and sorted by ``key``: it is grouped, joined or
+    cogrouped by that key without a shuffle, as often as needed."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    (df.write.option("path", scratch_path(df.sparkSession, name)).option("compression", "zstd")
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+__all__ = ["CHUNK_BYTES", "arrow_schema", "bucketed", "chunk_table", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick"]

@@ -19,7 +19,7 @@ copy, is scored by a model that saw it.
    above it are rejected.
 
 What is counted and joined grows with the corpus; nothing is sampled and only counts of counts
-(at most 4 numbers per order and fold) reach the driver.
+(eight numbers per order) and one threshold reach the driver.
 
 Defined results: a null or empty text has no perplexity and is kept (nothing speaks against
 it); with no trusted text at all there is no threshold and everything is kept; labels that are
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from segrec.llm.common import CHUNK_BYTES, chunk_table, materialise, pick
+from segrec.llm.common import CHUNK_BYTES, bucketed, chunk_table, materialise, pick
 
 SHARD_GRAMS = 1 << 20
 
@@ -78,28 +78,42 @@ class ChunkGrams:
         self.which = rank[codes]
 
 
-def _shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
-    """A shard by the trailing bytes, mixed; equal grams of both folds and all chunks meet."""
-    mixed = (grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-    return (mixed % np.uint64(shards)).astype(np.int64)
-
-
-def _by_shard(grams: np.ndarray, shards: int):
-    """(shard, places) for an array of grams; places keep the order of the array."""
-    shard = _shard_of(grams, shards)
-    order = np.argsort(shard, kind="stable")
-    edges = np.flatnonzero(np.diff(shard[order])) + 1
-    for places in np.split(order, edges) if len(order) else []:
-        yield int(shard[places[0]]), places
-
-
-def _pack(grams: np.ndarray) -> bytes:
-    """Ascending grams as steps; small numbers compress well when written."""
-    return np.diff(grams, prepend=0).tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, dtype=np.int64))
+def _by_shard(distinct: np.ndarray, order: int, shards: int):
+    """((fold, shard), places): the distinct grams of a chunk dealt by fold and shard, ascending.
+
+    The shard depends on all but the last two bytes, so the grams of a fragment lie close
+    together (few bytes per step), and at most 65,536 grams share one prefix."""
+    prefix = (distinct & ((1 << (8 * order)) - 1)) >> 16
+    mixed = (prefix.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    fold = distinct >> (8 * order)
+    dealt = fold * shards + (mixed % np.uint64(shards)).astype(np.int64)
+    places = np.argsort(dealt, kind="stable")
+    for run in np.split(places, np.flatnonzero(np.diff(dealt[places])) + 1) if len(places) else []:
+        yield divmod(int(dealt[run[0]]), shards), run
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Numbers >= 0 in groups of seven bits; small ones take one byte."""
+    values = values.astype(np.uint64)
+    length = np.ones(len(values), dtype=np.int64)
+    for k in range(1, 9):
+        length += values >= np.uint64(1 << (7 * k))
+    start = np.cumsum(length) - length
+    out = np.zeros(int(length.sum()), dtype=np.uint8)
+    for k in range(int(length.max(initial=0))):
+        has = np.flatnonzero(length > k)
+        group = (values[has] >> np.uint64(7 * k)).astype(np.uint64) & np.uint64(127)
+        out[start[has] + k] = group.astype(np.uint8) | np.where(length[has] > k + 1, 128, 0).astype(np.uint8)
+    return out.tobytes()
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, dtype=np.uint8)
+    ends = np.flatnonzero(raw < 128)
+    starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
+    shift = (np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)) * 7
+    parts = (raw & 127).astype(np.int64) << shift
+    return np.add.reduceat(parts, starts) if len(starts) else parts
 
 
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
@@ -114,57 +128,43 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
 
 
 def log_probabilities(counts: DataFrame, order: int, alphabet: int = 257) -> DataFrame:
-    """``counts`` (fold, gram, c: trusted count, 0 if none) -> fold, gram, logp.
+    """``counts`` (shard, gram, c0, c1: how often the gram is in trusted texts of either fold,
+    possibly never) -> shard, gram, p0, p1: its interpolated log-probabilities in both models.
 
-    The gram of a fold is scored by the other fold's counts, so they are joined crosswise.
     p_n(w|u) = max(c(uw) - D, 0) / c(u) + gamma(u) p_(n-1)(w|u'), with continuation counts in
     place of c below the highest order and 1 / alphabet below order 1."""
-    top = counts.where("c > 0").select("fold", "gram", "c")
-    levels = {order: top}
+    levels = {order: counts}
     for n in range(order - 1, 0, -1):
-        levels[n] = materialise(levels[n + 1].groupBy("fold", F.col("gram").bitwiseAND((1 << (8 * n)) - 1).alias("gram"))
-                                .agg(F.count(F.lit(1)).alias("c")), "kn-level")
-    # counts of counts: at most four numbers per order and fold
+        levels[n] = materialise(levels[n + 1].groupBy(F.col("gram").bitwiseAND((1 << (8 * n)) - 1).alias("gram")).agg(
+            F.count_if(F.col("c0") > 0).alias("c0"), F.count_if(F.col("c1") > 0).alias("c1")), "kn-level")
+    # counts of counts: eight numbers per order
     tallies = reduce(DataFrame.unionByName, (
-        level.where("c <= 4").groupBy("fold", "c").agg(F.count(F.lit(1)).alias("n")).withColumn("level", F.lit(n))
+        level.agg(F.lit(n).alias("n"), *(F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in ("c0", "c1") for k in (1, 2, 3, 4)))
         for n, level in levels.items()))
-    seen: dict[tuple[int, int], dict[int, int]] = {}
-    for r in tallies.collect():
-        seen.setdefault((r["level"], r["fold"]), {})[r["c"]] = r["n"]
-
-    def taken(n: int):
-        """The discount of a count, by fold."""
-        by_fold = []
-        for fold in (0, 1):
-            d = discounts(seen.get((n, fold), {}))
-            by_fold.append(F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2]))
-        return F.when(F.col("fold") == 0, by_fold[0]).otherwise(by_fold[1])
-
-    asked = counts.select((1 - F.col("fold")).alias("fold"), "gram")  # the model that scores them
+    cut = {(r["n"], c): discounts({k: r[f"{c}_{k}"] for k in (1, 2, 3, 4)}) for r in tallies.collect() for c in ("c0", "c1")}
+
     lower = None
     for n in range(1, order + 1):
-        mask, part = (1 << (8 * n)) - 1, F.lit(1.0 / alphabet)
-        wanted = asked.select("fold", F.col("gram").bitwiseAND(mask).alias("gram"))
-        wanted = wanted.distinct() if n < order else wanted
-        wanted = wanted.withColumn("context", F.shiftright("gram", 8))
-        level = levels[n].withColumn("taken", taken(n))
-        contexts = level.groupBy("fold", F.shiftright("gram", 8).alias("context")).agg(
-            F.sum("c").alias("total"), (F.sum("taken") / F.sum("c")).alias("gamma"))
-        known = level.select("fold", "gram", (F.col("c") - F.col("taken")).alias("rest"))
-        p = wanted.join(known, ["fold", "gram"], "left").join(contexts, ["fold", "context"], "left")
-        if lower is not None:
-            p = p.withColumn("short", F.col("gram").bitwiseAND((1 << (8 * (n - 1))) - 1)).join(
-                lower.select("fold", F.col("gram").alias("short"), F.col("p").alias("below")), ["fold", "short"])
-            part = F.col("below")
-        p = p.select("fold", "gram", (F.coalesce(F.col("rest") / F.col("total"), F.lit(0.0))
-                                      + F.coalesce("gamma", F.lit(1.0)) * part).alias("p"))
-        lower = materialise(p, "kn-probabilities")
-    return lower.select((1 - F.col("fold")).alias("fold"), "gram", F.log("p").cast("float").alias("logp"))
+        level = levels[n].withColumn("context", F.shiftright("gram", 8))
+        for f in "01":
+            c, (d1, d2, d3) = F.col(f"c{f}"), cut[n, f"c{f}"]
+            level = level.withColumn(f"taken{f}", F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3))
+        sums = [F.sum(f"{x}{f}").alias(f"{x}{f}_all") for f in "01" for x in ("c", "taken")]
+        p = level.join(level.groupBy("context").agg(*sums), "context")
+        if lower is None:
+            p = p.withColumn("below0", F.lit(1.0 / alphabet)).withColumn("below1", F.lit(1.0 / alphabet))
+        else:
+            p = p.withColumn("short", F.col("gram").bitwiseAND((1 << (8 * (n - 1))) - 1)).join(lower, "short")
+        own = [F.when(F.col(f"c{f}_all") > 0, (F.col(f"c{f}") - F.col(f"taken{f}") + F.col(f"taken{f}_all") * F.col(f"below{f}"))
+                      / F.col(f"c{f}_all")).otherwise(F.col(f"below{f}")) for f in "01"]
+        if n == order:
+            return p.select("shard", "gram", *(F.log(x).cast("float").alias(f"p{f}") for f, x in zip("01", own)))
+        lower = materialise(p.select(F.col("gram").alias("short"), own[0].alias("below0"), own[1].alias("below1")), "kn-probabilities")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float = 2.0, quantile: float = 0.995,
                     margin: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    chunk_bytes: int = CHUNK_BYTES // 2, with_text: bool = False) -> DataFrame:
+                    chunk_bytes: int = CHUNK_BYTES * 3 // 4, with_text: bool = False) -> DataFrame:
     """Per document: ``row`` (its other columns), n_bytes, perplexity (per byte), score, threshold,
     kept; with ``with_text`` also its text."""
     if not 2 <= order <= 7:
@@ -178,52 +178,57 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
     trusted = materialise(ids.join(verdict, "doc_id", "left_semi").select("chunk", "nth"), "trusted")
 
     def fragments(key, left, right):
-        order_ = left["nth"].to_numpy()
         w = ChunkGrams(left["text"].to_pylist(), order)
-        is_trusted = np.isin(order_, right["nth"].to_numpy())
+        is_trusted = np.isin(left["nth"].to_numpy(), right["nth"].to_numpy())
         counts = np.bincount(w.which[is_trusted[w.doc]], minlength=len(w.distinct))
-        rows = [(key[0].as_py(), shard, _pack(w.distinct[places]), counts[places].astype(np.int32).tobytes())
-                for shard, places in _by_shard(w.distinct, shards)]
-        columns = zip(*rows, strict=True) if rows else [()] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
-                        names=["chunk", "shard", "grams", "counts"])
-
+        grams = w.distinct & gram_mask
+        rows = [(key[0].as_py(), fold, shard, pack_numbers(np.diff(grams[places], prepend=0)), pack_numbers(counts[places]))
+                for (fold, shard), places in _by_shard(w.distinct, order, shards)]
+        columns = zip(*rows, strict=True) if rows else [()] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chunk", "fold", "shard", "grams", "counts"])
+
+    gram_mask = (1 << (8 * order)) - 1
     sent = chunks.select("chunk", "nth", "text").groupBy("chunk").cogroup(trusted.groupBy("chunk")).applyInArrow(
-        fragments, "chunk long, shard long, grams binary, counts binary")
-    sent = materialise(sent, "gram-fragments")
+        fragments, "chunk long, fold long, shard long, grams binary, counts binary")
+    # merged once and answered once: dealt by shard and written, so both read it without a shuffle
+    sent = bucketed(sent.repartition(shards, "shard"), "grams", "shard", shards)
 
     def merge(key, table):
-        grams = np.concatenate([_unpack(x) for x in table["grams"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.int32) for x in table["counts"].to_pylist()])
-        codes, distinct = pd.factorize(grams)
-        total = np.bincount(codes, weights=counts).astype(np.int64)
-        return pa.table({"shard": pa.array(np.full(len(distinct), key[0].as_py()), pa.int64()),
-                         "fold": pa.array(distinct >> (8 * order), pa.int64()),
-                         "gram": pa.array(distinct & ((1 << (8 * order)) - 1), pa.int64()), "c": pa.array(total)})
-
-    counts = materialise(sent.groupBy("shard").applyInArrow(merge, "shard long, fold long, gram long, c long"), "gram-counts")
-    logp = log_probabilities(counts.select("fold", "gram", "c"), order)
-    logp = logp.join(counts.select("shard", "fold", "gram"), ["fold", "gram"])
+        grams = [np.cumsum(unpack_numbers(x)) for x in table["grams"].to_pylist()]
+        counts = np.concatenate([unpack_numbers(x) for x in table["counts"].to_pylist()])
+        second = np.repeat(table["fold"].to_numpy(), [len(g) for g in grams]) == 1
+        codes, distinct = pd.factorize(np.concatenate(grams))
+        c0, c1 = (np.bincount(codes, weights=counts * side, minlength=len(distinct)).astype(np.int64) for side in (~second, second))
+        return pa.table({"shard": pa.array(np.full(len(distinct), key[0].as_py()), pa.int64()), "gram": pa.array(distinct, pa.int64()),
+                         "c0": pa.array(c0), "c1": pa.array(c1)})
+
+    counts = materialise(sent.select("fold", "shard", "grams", "counts").groupBy("shard").applyInArrow(
+        merge, "shard long, gram long, c0 long, c1 long"), "gram-counts")
+    logp = log_probabilities(counts, order)
 
     def answer(key, left, right):
-        grams = right["gram"].to_numpy() | right["fold"].to_numpy() << (8 * order)
-        place = np.argsort(grams)
-        grams, values = grams[place], right["logp"].to_numpy()[place]
-        out = [values[np.searchsorted(grams, _unpack(x))].astype(np.float32).tobytes() for x in left["grams"].to_pylist()]
-        return pa.table([left["chunk"], left["shard"], pa.array(out, pa.binary())], names=["chunk", "shard", "logp"])
-
-    answers = materialise(sent.select("chunk", "shard", "grams").groupBy("shard").cogroup(logp.groupBy("shard")).applyInArrow(
-        answer, "chunk long, shard long, logp binary"), "gram-answers")
-    known = trusted.withColumn("shard", F.lit(-1).cast("long")).withColumn("logp", F.lit(None).cast("binary"))
+        place = np.argsort(right["gram"].to_numpy())
+        known = right["gram"].to_numpy()[place]
+        values = [right[p].to_numpy()[place] for p in ("p1", "p0")]  # a fold is scored by the other's model
+        out = [values[f][np.searchsorted(known, np.cumsum(unpack_numbers(x)))].astype(np.float32).tobytes()
+               for f, x in zip(left["fold"].to_pylist(), left["grams"].to_pylist(), strict=True)]
+        return pa.table([left["chunk"], left["fold"], left["shard"], pa.array(out, pa.binary())], names=["chunk", "fold", "shard", "logp"])
+
+    answers = sent.select("chunk", "fold", "shard", "grams").groupBy("shard").cogroup(logp.groupBy("shard")).applyInArrow(
+        answer, "chunk long, fold long, shard long, logp binary")
+    # the trusted documents of a chunk come along as rows of a shard of their own
+    known = trusted.select("chunk", F.lit(None).cast("long").alias("fold"), F.lit(-1).cast("long").alias("shard"),
+                           F.lit(None).cast("binary").alias("logp"), "nth")
     answers = answers.withColumn("nth", F.lit(None).cast("long")).unionByName(known)
 
     def score(key, left, right):
         order_ = left["nth"].to_numpy()
         w = ChunkGrams(left["text"].to_pylist(), order)
-        got = {s: x for s, x in zip(right["shard"].to_pylist(), right["logp"].to_pylist(), strict=True) if x is not None}
+        got = {(f, s): x for f, s, x in zip(*(right[c].to_pylist() for c in ("fold", "shard", "logp")), strict=True)}
         values = np.zeros(len(w.distinct))
-        for shard, places in _by_shard(w.distinct, shards):
-            values[places] = np.frombuffer(got[shard], np.float32)
+        for dealt, places in _by_shard(w.distinct, order, shards):
+            values[places] = np.frombuffer(got[dealt], np.float32)
         each = -values[w.which]
         n = w.lengths
         total = np.bincount(w.doc, weights=each, minlength=len(n))

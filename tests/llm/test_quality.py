@@ -2,8 +2,11 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from segrec.llm import quality
 from segrec.llm.queries import op3_quality_classifier
@@ -95,3 +98,10 @@ def test_held_out_accuracy(spark):
     bad = [kept[i] for i, v in labels.items() if v[0] == 0]
     assert sum(good) >= 0.99 * len(good)
     assert sum(bad) <= 0.2 * len(bad)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2**56)))
+def test_numbers_round_trip(numbers):
+    packed = quality.pack_numbers(np.array(numbers, dtype=np.int64))
+    assert quality.unpack_numbers(packed).tolist() == numbers
