@@ -1,4 +1,4 @@
-"""The registered queries ``opN_<name>`` and their DuckDB SQL, one per operator."""
+"""The registered queries ``opN_<name>``, one per operator; their DuckDB SQL is in ``oracles.py``."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from segrec.llm import chat, decontam, minhash, nbest, quality, rpforest, shards, substring, tokencount, warc
 from segrec.llm.common import ensure_importable
+from segrec.llm.oracles import ORACLE_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
 
+__all__ = ["ORACLE_SQL", "QUERIES", "piece_model", "table"]
+
 QUERIES = {
     "op1_chat_tree": op1_chat_tree,
     "op2_substring_dedup": op2_substring_dedup,
@@ -89,5 +92,3 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
 }
-
-ORACLE_SQL: dict[str, str] = {}
