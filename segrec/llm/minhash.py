@@ -8,11 +8,12 @@
    similarity estimated from the signatures by bit counts, corrected for chance collisions of
    the low bits, is within ``slack`` standard errors of the threshold; what passes is verified
    on the full sets, fetched for those texts alone, and links are united.
-3. What is left are buckets whose classes lie in several components. Their classes are dealt
-   into blocks by hash, a task compares one pair of blocks by bit counts and returns the pairs
-   of different components that pass the estimate; these are verified and united as before.
-   Afterwards every two classes of a bucket are in one component or were compared, so no
-   candidate is lost, and no group is held or expanded by one task.
+3. What is left are buckets whose classes lie in several components. Their classes, with their
+   full sets, are dealt into blocks of bounded bytes by hash. A task compares one pair of
+   blocks by bit counts, verifies what passes the estimate and joins components not yet joined
+   (each pair in the first bucket that its classes share), and returns only the links that did
+   join: no pair is emitted for not being one. Afterwards every two classes of a bucket are in
+   one component or were compared, so no candidate is lost, and no group is held by one task.
 
 With 32 bands of 4 minima a pair of similarity 0.8 shares no band with probability 5e-8; the
 estimate misses one with probability below 4e-5 (``slack`` = 4 standard errors). No link below
@@ -37,7 +38,8 @@ from segrec.llm.common import map_rows, materialise, pick
 from segrec.llm.components import connected_components
 from segrec.llm.hashing import Windows, mix, shingle_set, word_hashes
 
-BLOCK = 2048
+BLOCK = 2048           # classes of one block of a bucket, at most about so many
+BLOCK_SHINGLES = 1 << 20  # and shingles in their sets
 SLICE = 4096
 
 
@@ -136,11 +138,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def work(batches):
         for c in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(c["sa"], c["sb"], strict=True)):
-                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                if 100 * both >= percent * (len(x) // 8 + len(y) // 8 - both):
-                    keep.append(i)
+            keep = [i for i, (x, y) in enumerate(zip(c["sa"], c["sb"], strict=True))
+                    if _linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)]
             yield {"a": [c["a"][i] for i in keep], "b": [c["b"][i] for i in keep]}
 
     return map_rows(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), "a long, b long", work)
@@ -150,31 +149,48 @@ def _compare_blocks(least: int, hashes: int, bits: int, percent: int):
     words = hashes // 64
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """One bucket, one pair of blocks: pairs of different components that pass the estimate."""
-        first, second = group["first"].iloc[0], group["second"].iloc[0]
+        """One bucket, one pair of blocks: links that join components not joined before."""
+        here, first, second = (group[c].iloc[0] for c in ("key", "first", "second"))
         block = group["block"].to_numpy()
         planes = np.stack(group["signature"].to_numpy()).astype(np.int64).view(np.uint64)
-        ids, component, size = (group[c].to_numpy() for c in ("class_id", "component", "n"))
+        ids, size = group["class_id"].to_numpy(), group["n"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+        keys = [frozenset(x.tolist()) for x in group["keys"]]
+        _, component = np.unique(group["component"].to_numpy(), return_inverse=True)
+        parent = np.arange(component.max() + 1)
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        out_a, out_b = [], []
+        links = []
         for i in left:
             others = right[(component[right] != component[i]) & ((ids[right] > ids[i]) | (first != second))]
             small, big = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
             others = others[100 * small >= percent * big]
             if not len(others):
                 continue
-            differ = planes[others] ^ planes[i]
-            differ = np.bitwise_or.reduce(differ.reshape(-1, bits, words), axis=1)
+            differ = np.bitwise_or.reduce((planes[others] ^ planes[i]).reshape(-1, bits, words), axis=1)
             same = hashes - np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
-            others = others[same >= least]
-            out_a += [ids[i]] * len(others)
-            out_b += ids[others].tolist()
-        a, b = np.array(out_a, dtype=np.int64), np.array(out_b, dtype=np.int64)
+            for j in others[same >= least]:
+                p, q = root(component[i]), root(component[j])
+                if p != q and min(keys[i] & keys[j]) == here and _linked(sets[i], sets[j], percent):
+                    parent[max(p, q)] = min(p, q)
+                    links.append((ids[i], ids[j]))
+        a, b = np.array(links, dtype=np.int64).reshape(-1, 2).T
         return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes: int = 128, bands: int = 32,
                     bits: int = 2, slack: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
@@ -200,24 +216,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
     near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (
         matches(F.col("ga"), F.col("gb"), hashes, bits) >= least)
     star = materialise(star.join(sa, "a").join(sb, "b").where(near).select("a", "b"), "minhash-star")
-    sets = _full_sets(rows, classes, star, shingle)
+    met = star.select(F.col("a").alias("class_id")).unionByName(star.select(F.col("b").alias("class_id"))).distinct()
+    sets = _full_sets(rows, classes, met, shingle)
     links = materialise(_verified(star, sets, percent), "minhash-links")
     component = materialise(connected_components(classes.select(F.col("class_id").alias("node")), links), "minhash-components")
 
     # 3. buckets that still hold several components
     crowded = members.join(hubs.select("key"), "key").join(component.withColumnRenamed("node", "class_id"), "class_id")
-    mixed = (crowded.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.count(F.lit(1)).alias("size")).where("low != high and size > 2")
-             .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    dealt = (crowded.join(mixed, "key").join(signed, "class_id")
+    mixed = (crowded.join(signed.select("class_id", "n"), "class_id")
+             .groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                 F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+             .where("low != high and size > 2")
+             .select("key", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+                     .cast("int").alias("blocks")))
+    crowded = materialise(crowded.join(mixed, "key"), "minhash-crowded")
+    keys = crowded.groupBy("class_id").agg(F.collect_set("key").alias("keys"))  # at most one per band
+    sets = _full_sets(rows, classes, crowded.select("class_id").distinct(), shingle)
+    dealt = (crowded.join(signed.join(keys, "class_id").join(sets, "class_id"), "class_id")
              .withColumn("block", F.pmod(F.xxhash64("class_id", "key"), F.col("blocks")).cast("int"))
              .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("block", "mate").alias("first"), F.greatest("block", "mate").alias("second"),
-                     "block", "class_id", "component", "n", "signature"))
-    rest = dealt.groupBy("key", "first", "second").applyInPandas(
-        _compare_blocks(least, hashes, bits, percent), "a long, b long").distinct()
-    rest = materialise(rest, "minhash-rest")
-    more = materialise(_verified(rest, _full_sets(rows, classes, rest, shingle), percent), "minhash-more")
+                     "block", "class_id", "component", "n", "signature", "keys", "shingles"))
+    more = materialise(dealt.groupBy("key", "first", "second").applyInPandas(
+        _compare_blocks(least, hashes, bits, percent), "a long, b long"), "minhash-more")
     component = connected_components(classes.select(F.col("class_id").alias("node")), links.unionByName(more))
 
     named = classes.select("class_id", "set_key", "least_id").join(component.withColumnRenamed("node", "class_id"), "class_id")
@@ -229,9 +250,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
                       F.coalesce(found == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _full_sets(rows: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """class_id and full shingle set of the classes in ``pairs``, from one text of each class."""
-    wanted = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id"))).distinct()
+def _full_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """class_id and full shingle set of the wanted classes, from one text of each."""
     wanted = classes.select("class_id", "set_key", F.col("least_id").alias("doc_id")).join(wanted, "class_id")
 
     def work(batches):
