@@ -44,6 +44,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 from segrec.llm.common import CHUNK_BYTES, bucketed, chunk_table, materialise, pick
 
 SHARD_GRAMS = 1 << 20
+SALTS = 64
 
 
 class ChunkGrams:
@@ -258,7 +259,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
     good = scored.where("trusted and score is not null")
     overall = good.agg(cut("score")).first()[0]
     per_lang = good.where("lang is not null").groupBy("lang").agg(cut("score").alias("own"))
-    out = scored.join(per_lang, "lang", "left")
+    # one language can hold nearly all rows: documents meet one of several copies of its threshold
+    copies = per_lang.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = scored.withColumn("salt", F.pmod(F.xxhash64("chunk", "nth"), F.lit(SALTS)).cast("int")).join(copies, ["lang", "salt"], "left")
     threshold = F.coalesce("own", F.lit(overall).cast("double"))
     out = out.select("chunk", "nth", "row", "n_bytes", "perplexity", "score", threshold.alias("threshold"),
                      F.coalesce(F.col("score") <= threshold, F.lit(True)).alias("kept"))
