@@ -2,7 +2,7 @@
 
 Sub-packages: ``sources`` (readers), ``sinks`` (writers), ``functions`` (column
 expressions), ``operators`` (DataFrame -> DataFrame steps), ``plans`` (composite runs and
-the CLI), ``streaming`` (intentionally empty: the workload is batch).
+the CLI). The workload is batch; there is no streaming part.
 """
 
 from segrec.config import RunConfig  # noqa: F401

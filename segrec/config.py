@@ -26,11 +26,8 @@ class RunConfig:
     normalize_genres: bool = False
     sample_users: int = 20
     top_genres: int = 5
-    # Upper bound (rows) of any table this package broadcasts without a runtime check.
-    broadcast_rows: int = 200_000
-    # Largest (cluster, item) table ranked with one window per cluster; above it the ranking
-    # is distributed over range slices.
-    window_rows: int = 1_000_000
+    # Buckets of the hash split; train_fraction must be a whole number of them.
+    split_buckets: int = 10
     # K-Means fits of the sweep submitted concurrently (1 = one after another).
     fit_parallelism: int = 3
 
@@ -45,6 +42,20 @@ class RunConfig:
             raise ValueError("train_fraction must be in (0, 1)")
         if self.split not in ("hash", "random"):
             raise ValueError("split must be 'hash' or 'random'")
+        if self.split == "hash":
+            train_buckets(self.train_fraction, self.split_buckets)
+
+
+def train_buckets(train_fraction: float, buckets: int = 10) -> int:
+    """Buckets ``[0, n)`` of the hash split are train. A fraction that is no whole number of
+    buckets is an error, never rounded."""
+    n = round(train_fraction * buckets)
+    if abs(train_fraction * buckets - n) > 1e-9:
+        raise ValueError(f"train_fraction {train_fraction} is no whole number of {buckets} buckets; "
+                         "choose another split_buckets")
+    if not 0 < n < buckets:
+        raise ValueError("train_fraction leaves one side empty at this bucket count")
+    return n
 
 
 def parse_k_values(text: str) -> tuple[int, ...]:
@@ -52,4 +63,4 @@ def parse_k_values(text: str) -> tuple[int, ...]:
     return tuple(int(part.strip()) for part in text.split(",") if part.strip())
 
 
-__all__ = ["RunConfig", "MOVIELENS_GENRES", "parse_k_values"]
+__all__ = ["RunConfig", "MOVIELENS_GENRES", "parse_k_values", "train_buckets"]

@@ -35,13 +35,14 @@ def split_bucket(user: str | Column, item: str | Column, ts: str | Column,
                  buckets: int = 10) -> Column:
     """Bucket in ``[0, buckets)`` of ``((user*A + item*B + ts) mod P) mod buckets``.
 
-    Each term is reduced mod P before multiplying, so no intermediate exceeds ~2e12 and the
-    result equals the unreduced formula for non-negative ids without ever overflowing BIGINT.
+    Each term is reduced to ``[0, P)`` before multiplying, so no intermediate exceeds ~2e12
+    and negative ids fall into the same buckets as their residues, never below zero.
     """
     p = F.lit(SPLIT_MODULUS)
     a = F.lit(SPLIT_USER_MULT % SPLIT_MODULUS)
     b = F.lit(SPLIT_ITEM_MULT % SPLIT_MODULUS)
-    total = (col(user) % p) * a + (col(item) % p) * b + (F.coalesce(col(ts), F.lit(0)) % p)
+    total = (F.pmod(col(user), p) * a + F.pmod(col(item), p) * b
+             + F.pmod(F.coalesce(col(ts), F.lit(0)), p))
     return (total % p) % F.lit(buckets)
 
 

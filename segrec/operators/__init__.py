@@ -15,7 +15,7 @@ from segrec.operators.evaluate import (  # noqa: F401
     relevant_counts,
     relevant_items,
 )
-from segrec.operators.features import assemble, scale_features, unpack_vector, user_features  # noqa: F401
+from segrec.operators.features import assemble, clusterable, scale_features, unpack_vector, user_features  # noqa: F401
 from segrec.operators.prepare import (  # noqa: F401
     explode_genres,
     hash_split,
@@ -28,7 +28,6 @@ from segrec.operators.ranking import rank_within_groups, top_n_per_group  # noqa
 from segrec.operators.recommend import (  # noqa: F401
     candidate_counts,
     rank_items,
-    rank_items_checked,
     recommend,
     sample_recommendations,
     seen_items,
@@ -37,6 +36,7 @@ from segrec.operators.scoring import (  # noqa: F401
     cluster_genres,
     cluster_item_scores,
     cluster_stats,
+    clusters_of,
     pairs_of,
     relevant_of,
     split_pairs,
@@ -51,6 +51,7 @@ from segrec.operators.serving import (  # noqa: F401
     missing,
     pack_documents,
     page,
+    page_envelope,
     preview_documents,
 )
 from segrec.operators.sweep import best_k, metrics_summary, union_metrics  # noqa: F401

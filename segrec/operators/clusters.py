@@ -63,10 +63,10 @@ def assign_nearest(df: DataFrame, centers: Sequence[Sequence[float]], cols: Sequ
 
 
 def assign_by_thresholds(user_features: DataFrame, thresholds: Sequence[float],
-                         col: str = "movies_rated") -> DataFrame:
+                         col: str = "movies_rated", out: str = "cluster") -> DataFrame:
     """Deterministic stand-in for K-Means: cluster = number of thresholds below ``col``
     (len(thresholds)+1 clusters). Used to inject a known assignment."""
-    return user_features.withColumn("cluster", threshold_bucket(col, thresholds))
+    return user_features.withColumn(out, threshold_bucket(col, thresholds))
 
 
 def kmeans_invariants(model: KMeansModel, scaled: DataFrame, features_col: str = "features",

@@ -10,18 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FEATURE_COLUMNS = ("movies_rated", "avg_rating")
-# Users per partition of the (small, iteratively read) feature table that K-Means scans once
-# per iteration: enough rows per task to outweigh scheduling, still many tasks at scale.
-USERS_PER_PARTITION = 200_000
-
-
-def sized_for_iterations(users: DataFrame, n_users: int,
-                         users_per_partition: int = USERS_PER_PARTITION) -> DataFrame:
-    """``users`` coalesced (no shuffle) to ceil(n_users / users_per_partition) partitions when
-    it has more: K-Means runs one job per iteration over this table, and hundreds of
-    near-empty partitions per job cost more than the work (a counted ``n_users`` is needed)."""
-    return users.coalesce(max(1, -(-n_users // users_per_partition)))
-
 
 def user_features(ratings: DataFrame) -> DataFrame:
     """(userId, movies_rated, avg_rating). ``movies_rated`` counts rating rows, so a user who
@@ -33,6 +21,12 @@ def user_features(ratings: DataFrame) -> DataFrame:
     )
 
 
+def clusterable(features: DataFrame) -> DataFrame:
+    """Users that can be clustered: those with at least one rating value. A user whose ratings
+    are all NULL has no mean, and a NULL cannot enter a feature vector."""
+    return features.filter(F.col("avg_rating").isNotNull())
+
+
 def assemble(df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS, out: str = "features_raw") -> DataFrame:
     """Dense vector of ``cols`` (raises on NULL, like VectorAssembler)."""
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segrec.config import train_buckets
 from segrec.functions.expressions import split_bucket
-
-# Above this many vocabulary entries the filter becomes a broadcast left-semi join instead of
-# an IN list (the vocabulary is a driver-side list, so its size is known).
-_INLIST_MAX = 1000
+from segrec.session import cut_lineage
 
 
 def explode_genres(items: DataFrame, vocabulary: Sequence[str], normalize: bool = False) -> DataFrame:
@@ -24,13 +22,8 @@ def explode_genres(items: DataFrame, vocabulary: Sequence[str], normalize: bool
     out = items.select("movieId", genre)
     if normalize:
         out = out.withColumn("genre", F.regexp_replace("genre", "[^A-Za-z]", ""))
-    out = out.filter(F.col("genre").isNotNull())
-    vocab = list(dict.fromkeys(vocabulary))
-    if len(vocab) <= _INLIST_MAX:
-        return out.filter(F.col("genre").isin(vocab))
-    spark = items.sparkSession
-    vocab_df = spark.createDataFrame([(v,) for v in vocab], "genre string")
-    return out.join(F.broadcast(vocab_df), "genre", "left_semi").select("movieId", "genre")
+    # the vocabulary is a driver-side list: a hash set in the filter, whatever its length
+    return out.filter(F.col("genre").isNotNull() & F.col("genre").isin(list(dict.fromkeys(vocabulary))))
 
 
 def rating_distribution(ratings: DataFrame) -> DataFrame:
@@ -60,23 +53,17 @@ def split_profile(train: DataFrame, test: DataFrame) -> DataFrame:
 
 def random_split(ratings: DataFrame, weights: Sequence[float] = (0.8, 0.2),
                  seed: int = 42) -> list[DataFrame]:
-    """Spark's seeded ``randomSplit`` (as the original job). The split depends on the input
-    partitioning, so the same seed can give different rows on another layout."""
-    return ratings.randomSplit(list(weights), seed=seed)
-
-
-def train_bucket_cut(train_fraction: float, buckets: int = 10) -> int:
-    """Buckets ``[0, cut)`` are train: ``train_fraction`` rounded to whole buckets."""
-    cut = int(round(train_fraction * buckets))
-    if not 0 < cut < buckets:
-        raise ValueError("train_fraction leaves one side empty at this bucket count")
-    return cut
+    """Spark's seeded ``randomSplit`` (as the original job) of a checkpoint of the input, so
+    that both sides are cut from the same rows in the same order and every row is in exactly
+    one. The split depends on the input partitioning: the same seed can give different rows on
+    another layout."""
+    return cut_lineage(ratings).randomSplit(list(weights), seed=seed)
 
 
 def hash_split(ratings: DataFrame, train_fraction: float = 0.8, buckets: int = 10,
                keys: tuple[str, str, str] = ("userId", "movieId", "timestamp")) -> tuple[DataFrame, DataFrame]:
     """Deterministic split on an integer hash of (user, item, timestamp): a row's side never
-    depends on partitioning or task retries. ``train_fraction`` is rounded to whole buckets."""
-    cut = train_bucket_cut(train_fraction, buckets)
+    depends on partitioning or task retries. ``train_fraction`` must be whole buckets."""
+    cut = train_buckets(train_fraction, buckets)
     bucket = split_bucket(*keys, buckets=buckets)
     return ratings.filter(bucket < cut), ratings.filter(bucket >= cut)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from segrec.session import cut_lineage
 
+
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                        rank_col: str = "rank", num_slices: int | None = None) -> DataFrame:
     """``row_number() over (partition by group_cols order by order)``, computed distributed.
@@ -46,8 +47,9 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence
     before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = segments.select("_slice", *group_cols,
                               F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # offsets has at most (#slices + #groups - 1) rows: safe to broadcast.
-    ranked = local.join(F.broadcast(offsets), ["_slice", *group_cols])
+    # offsets has at most (#slices + #groups - 1) rows, which can be many groups: its bytes decide
+    # whether it is broadcast
+    ranked = local.join(offsets, ["_slice", *group_cols])
     rank = (F.col("_offset") + F.col("_pos")).cast("bigint")
     return ranked.withColumn(rank_col, rank).drop("_slice", "_pos", "_offset")
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from segrec.operators.ranking import rank_within_groups
 from segrec.operators.scoring import score_order
 
+# The columns of the flat recommendation rows.
 RECOMMENDATION_COLUMNS = ("userId", "cluster", "movieId", "title", "genres",
                           "cluster_avg_movie_rating", "cluster_rating_count",
                           "recommendation_score", "rank")
@@ -43,17 +44,6 @@ def rank_items(scores: DataFrame) -> DataFrame:
     return rank_within_groups(scores, ["cluster"], score_order(), "cluster_rank")
 
 
-def rank_items_checked(scores: DataFrame, window_rows: int = 1_000_000) -> tuple[DataFrame, int]:
-    """(ranked scores, their row count). Counts the (cluster, item) table first: at most
-    ``window_rows`` rows bounds every cluster's group, so one window per cluster ranks it;
-    above that the distributed ``rank_items`` is used. Pass a persisted ``scores``."""
-    n = scores.count()
-    if n <= window_rows:
-        w = Window.partitionBy("cluster").orderBy(*score_order())
-        return scores.withColumn("cluster_rank", F.row_number().over(w).cast("bigint")), n
-    return rank_items(scores), n
-
-
 def attach_items(ranked: DataFrame, items: DataFrame | None) -> DataFrame:
     """Title and genres on the ranked (cluster, item) table, before users are involved: the
     ranked table has one row per (cluster, item), far fewer than users x N, and a popular item
@@ -64,52 +54,32 @@ def attach_items(ranked: DataFrame, items: DataFrame | None) -> DataFrame:
     return ranked.join(items.select("movieId", "title", "genres"), "movieId", "left")
 
 
-def gap_histogram(rated: DataFrame, ranked: DataFrame, top_n: int,
-                  broadcast_ranked: bool = False, block_size: int = 4096,
-                  max_user_items: int | None = None) -> DataFrame:
+def gap_histogram(rated: DataFrame, ranked: DataFrame, top_n: int, block_size: int = 1024,
+                  join_hint: str | None = None) -> DataFrame:
     """Per user: (userId, hist array<struct<gap, n>>) with the gaps below ``top_n``.
 
-    ``rated`` is ``with_clusters`` output (one row per user and item). ``broadcast_ranked``
-    must only be set after checking the ranked table's size; otherwise the join is left to
-    the planner (a shuffle join, or AQE's runtime broadcast).
-
-    No group holds a user's whole history: cluster positions are cut into blocks of
-    ``block_size``; rated items are counted per (user, block) (map-side partial counts), a
-    per-user prefix over the non-empty blocks (at most catalogue / block_size rows per user)
-    gives the rated items before each block, and only blocks with fewer than ``top_n``
-    unseen positions before them can hold a gap below ``top_n``. Item order is then taken
-    inside (user, block) groups of at most ``block_size`` rows.
-
-    ``max_user_items`` (a checked upper bound of rated items per user, e.g. the largest
-    ``movies_rated``) at most ``block_size`` means every user fits one block: the per-user
-    order is then one window whose groups are already bounded, without the block prefix.
+    ``rated`` is ``with_clusters`` output (one row per user and item). The join with the ranked
+    table, the largest of a run, is made once. No group holds a user's whole history: cluster
+    positions are cut into blocks of ``block_size`` and the rated positions are collected per
+    (user, block), at most ``block_size`` of them. A per-user running count over the non-empty
+    blocks (at most catalogue / block_size rows per user) gives the rated items before each
+    block; only blocks with fewer than ``top_n`` unseen positions before them can hold a gap
+    below ``top_n``, and a position's place in its block gives the rest of its gap.
     """
-    seen = rated.select("userId", "cluster", "movieId")
     positions = ranked.select("cluster", "movieId", "cluster_rank")
-    if broadcast_ranked:
-        positions = F.broadcast(positions)
-    seen_pos = seen.join(positions, ["cluster", "movieId"]).select(
+    if join_hint:
+        positions = positions.hint(join_hint)
+    seen_pos = rated.select("userId", "cluster", "movieId").join(positions, ["cluster", "movieId"]).select(
         "userId", "cluster_rank",
         F.floor((F.col("cluster_rank") - 1) / F.lit(block_size)).cast("bigint").alias("block"))
-
-    if max_user_items is not None and max_user_items <= block_size:
-        one_block = Window.partitionBy("userId").orderBy("cluster_rank")
-        gaps = (seen_pos.select("userId", (F.col("cluster_rank") - F.row_number().over(one_block)).alias("gap"))
-                .filter(F.col("gap") < F.lit(top_n)))
-        counts = gaps.groupBy("userId", "gap").agg(F.count(F.lit(1)).alias("n"))
-        return counts.groupBy("userId").agg(F.collect_list(F.struct("gap", "n")).alias("hist"))
-
-    per_block = seen_pos.groupBy("userId", "block").agg(F.count(F.lit(1)).alias("_c"))
+    blocks = seen_pos.groupBy("userId", "block").agg(F.sort_array(F.collect_list("cluster_rank")).alias("_taken"))
     earlier = Window.partitionBy("userId").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (per_block
-              .select("userId", "block", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    blocks = (blocks
+              .withColumn("_before", F.coalesce(F.sum(F.size("_taken")).over(earlier), F.lit(0)))
               # unseen positions before the block = block * size - rated items before it
               .filter(F.col("block") * F.lit(block_size) - F.col("_before") < F.lit(top_n)))
-
-    in_block = Window.partitionBy("userId", "block").orderBy("cluster_rank")
-    gaps = (seen_pos.join(blocks, ["userId", "block"])
-            .select("userId", (F.col("cluster_rank") - F.col("_before")
-                               - F.row_number().over(in_block)).alias("gap"))
+    gaps = (blocks.select("userId", "_before", F.posexplode("_taken").alias("_i", "_rank"))
+            .select("userId", (F.col("_rank") - F.col("_before") - F.col("_i") - 1).alias("gap"))
             .filter(F.col("gap") < F.lit(top_n)))
     counts = gaps.groupBy("userId", "gap").agg(F.count(F.lit(1)).alias("n"))
     # At most top_n entries per user.
@@ -132,73 +102,59 @@ def wanted_positions(user_clusters: DataFrame, hist: DataFrame, top_n: int) -> D
             .select("userId", "cluster", F.inline(positions)))
 
 
+def items_at(wanted: DataFrame, catalog: DataFrame, top_n: int, salts: int = 16,
+             join_hint: str | None = None) -> DataFrame:
+    """``wanted`` joined with the item at its (cluster, cluster_rank).
+
+    Nearly all users want the first positions of their cluster, so a few keys hold nearly all
+    rows. Those positions (the first ``16 * top_n``) are salted: users are spread over
+    ``salts`` copies of the head of the catalogue, which has at most clusters * 16 * top_n rows.
+    Later positions have one copy."""
+    head = F.col("cluster_rank") <= F.lit(16 * top_n)
+    left = wanted.withColumn("_salt", F.when(head, F.pmod(F.xxhash64("userId"), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    right = catalog.withColumn("_salt", F.explode(F.when(head, F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                  .otherwise(F.array(F.lit(0)))))
+    if join_hint:
+        right = right.hint(join_hint)
+    return left.join(right, ["cluster", "cluster_rank", "_salt"]).drop("_salt")
+
+
 def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
-              items: DataFrame | None = None, top_n: int = 10, num_clusters: int | None = None,
-              broadcast_rows: int = 200_000, ranked: DataFrame | None = None,
-              ranked_rows: int | None = None, block_size: int = 4096,
-              max_user_items: int | None = None) -> DataFrame:
+              items: DataFrame | None = None, top_n: int = 10, ranked: DataFrame | None = None,
+              block_size: int = 1024, salts: int = 16, join_hint: str | None = None) -> DataFrame:
     """Top-``top_n`` unseen items per user, ranked by (score desc, count desc, movieId asc).
 
     rated: ``with_clusters`` output; user_clusters: (userId, cluster); scores:
     ``cluster_item_scores(rated)``; items: (movieId, title, genres) or None. A user whose
     cluster has fewer unseen items gets fewer rows. ``ranked`` may pass a persisted
-    ``rank_items(scores)`` and ``ranked_rows`` its counted size: at most ``broadcast_rows``
-    makes the rated-items lookup a broadcast join (no shuffle of the rated pairs).
-    ``max_user_items``, a checked bound of rated items per user, selects the one-window path
-    of ``gap_histogram`` when it is at most ``block_size``.
-
-    The lookup of positions 1..H per cluster (H = broadcast_rows // num_clusters, so at most
-    ``broadcast_rows`` rows when ``num_clusters`` bounds the clusters) is a broadcast join;
-    positions beyond H (users who rated most of their cluster's head, or a very large
-    ``top_n``) use a shuffle join.
+    ``rank_items(scores)``. Whether a side is broadcast is left to its bytes at run time;
+    ``join_hint`` ("merge") forces the plan of large tables.
     """
     if top_n < 1:
         raise ValueError("top_n must be >= 1")
     if ranked is None:
         ranked = rank_items(scores)
-    catalog = attach_items(ranked, items)
-    small = ranked_rows is not None and ranked_rows <= broadcast_rows
-    hist = gap_histogram(rated, ranked, top_n, broadcast_ranked=small, block_size=block_size,
-                         max_user_items=max_user_items)
+    hist = gap_histogram(rated, ranked, top_n, block_size=block_size, join_hint=join_hint)
     wanted = wanted_positions(user_clusters, hist, top_n)
-
-    value_cols = ["cluster", "cluster_rank", "movieId", "title", "genres",
-                  "cluster_avg_movie_rating", "cluster_rating_count", "recommendation_score"]
-    head_rank = broadcast_rows // num_clusters if num_clusters else 0
-    if head_rank > 0:
-        head = catalog.filter(F.col("cluster_rank") <= head_rank).select(*value_cols)
-        tail = catalog.filter(F.col("cluster_rank") > head_rank).select(*value_cols)
-        found = wanted.filter(F.col("cluster_rank") <= head_rank).join(
-            F.broadcast(head), ["cluster", "cluster_rank"]).unionByName(
-            wanted.filter(F.col("cluster_rank") > head_rank).join(tail, ["cluster", "cluster_rank"]))
-    else:
-        found = wanted.join(catalog.select(*value_cols), ["cluster", "cluster_rank"])
-    return found.select(*RECOMMENDATION_COLUMNS)
-
-
-def user_stats(user_features: DataFrame) -> tuple[int, int]:
-    """(number of users, largest ``movies_rated``): one aggregate over the users table, used
-    as the checked sizes that choose broadcasts and the per-user ordering path."""
-    row = user_features.agg(F.count(F.lit(1)), F.max("movies_rated")).first()
-    return int(row[0] or 0), int(row[1] or 0)
-
-
-def max_rated(user_features: DataFrame) -> int:
-    """The largest ``movies_rated`` (0 when empty)."""
-    return user_stats(user_features)[1]
+    catalog = attach_items(ranked, items).select(
+        "cluster", "cluster_rank", "movieId", "title", "genres",
+        "cluster_avg_movie_rating", "cluster_rating_count", "recommendation_score")
+    return items_at(wanted, catalog, top_n, salts, join_hint).select(*RECOMMENDATION_COLUMNS)
 
 
 def candidate_counts(user_clusters: DataFrame, scores: DataFrame, rated: DataFrame) -> DataFrame:
     """(userId, candidates): unseen items of the user's cluster, i.e. cluster items minus the
-    user's distinct rated items (all of which are cluster items), without listing pairs.
+    user's distinct rated items (all of which are cluster items), without listing pairs. A user
+    who rated them all has no candidate and no row, as an anti join would leave it.
     ``rated`` is ``with_clusters`` output (one row per user and item)."""
     cluster_size = scores.groupBy("cluster").agg(F.count(F.lit(1)).alias("_items"))
     seen = rated.groupBy("userId").agg(F.count(F.lit(1)).alias("_seen"))
-    # cluster_size has one row per cluster (k rows): broadcast.
+    # cluster_size has one row per cluster; its measured bytes make the join a broadcast
     return (user_clusters.select("userId", "cluster")
-            .join(F.broadcast(cluster_size), "cluster")
+            .join(cluster_size, "cluster")
             .join(seen, "userId", "left")
-            .select("userId", (F.col("_items") - F.coalesce(F.col("_seen"), F.lit(0))).alias("candidates")))
+            .select("userId", (F.col("_items") - F.coalesce(F.col("_seen"), F.lit(0))).alias("candidates"))
+            .filter(F.col("candidates") > 0))
 
 
 def sample_recommendations(recs: DataFrame, n_users: int = 20) -> DataFrame:

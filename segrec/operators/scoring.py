@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segrec.config import train_buckets
 from segrec.functions.expressions import recommendation_score, split_bucket
-from segrec.operators.prepare import train_bucket_cut
 from segrec.operators.ranking import top_n_per_group
 
 
@@ -39,7 +39,7 @@ def split_pairs(ratings: DataFrame, train_fraction: float = 0.8, threshold: floa
     ``pairs_of(split)`` equals ``user_item_pairs(train)`` and ``relevant_of(split)`` equals
     ``relevant_items(test, threshold)`` of ``hash_split``: one scan and one shuffle instead of
     one per side."""
-    cut = train_bucket_cut(train_fraction, buckets)
+    cut = train_buckets(train_fraction, buckets)
     bucket = split_bucket("userId", "movieId", "timestamp", buckets=buckets)
     in_train, in_test = bucket < cut, bucket >= cut
     rating = F.col("rating")
@@ -65,25 +65,30 @@ def relevant_of(split: DataFrame) -> DataFrame:
 
 def user_features_from_pairs(pairs: DataFrame) -> DataFrame:
     """(userId, movies_rated, avg_rating) from ``user_item_pairs``; equal to ``user_features``
-    on the rows (rows counted with duplicates, mean of the non-NULL ratings)."""
+    on the rows that have a rating (counted with duplicates)."""
     return pairs.groupBy("userId").agg(
-        F.sum("rows").alias("movies_rated"),
+        F.sum("rating_n").alias("movies_rated"),
         F.try_divide(F.sum("rating_sum"), F.sum("rating_n")).alias("avg_rating"),
     )
 
 
-def with_clusters(pairs: DataFrame, user_clusters: DataFrame, broadcast_clusters: bool = False) -> DataFrame:
-    """(userId, movieId, cluster, rating_sum, rating_n, rows): the user-item pairs tagged with
-    the user's cluster. Raw rating rows are aggregated to pairs first.
+def with_clusters(pairs: DataFrame, user_clusters: DataFrame, cluster_cols: tuple[str, ...] = ("cluster",)) -> DataFrame:
+    """(userId, movieId, <cluster_cols>, rating_sum, rating_n, rows): the user-item pairs tagged
+    with the user's cluster, or with the clusters of every run of a sweep in one join. Raw
+    rating rows are aggregated to pairs first.
 
     Computed once and shared by item scores, genre counts and the seen-item ranks. The join
-    is on userId; the cluster side has one row per user, so AQE can split a partition that a
-    hot user makes huge. ``broadcast_clusters`` (set only after counting the users) broadcasts
-    the cluster table so the pairs are not shuffled at all."""
+    is on userId and the cluster side has one row per user. Pass a table that was written
+    (``session.stored``): then both sides are shuffled for this join only and AQE splits a
+    partition that a hot user makes huge, or broadcasts the users if their bytes allow it."""
     if "rating_sum" not in pairs.columns:
         pairs = user_item_pairs(pairs)
-    clusters = user_clusters.select("userId", "cluster")
-    return pairs.join(F.broadcast(clusters) if broadcast_clusters else clusters, "userId")
+    return pairs.join(user_clusters.select("userId", *cluster_cols), "userId")
+
+
+def clusters_of(tagged: DataFrame, cluster_col: str) -> DataFrame:
+    """One run's ``with_clusters`` table out of a sweep's."""
+    return tagged.select("userId", "movieId", F.col(cluster_col).alias("cluster"), "rating_sum", "rating_n", "rows")
 
 
 def cluster_item_scores(rated: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ service or a dashboard runs on it (point lookup, paging, summary, preview), as p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segrec.functions.expressions import MORE_SUFFIX, shorten
@@ -12,19 +12,21 @@ from segrec.operators.ranking import rank_within_groups
 
 def pack_documents(recs: DataFrame) -> DataFrame:
     """Flat rows -> (user_id, cluster, recommendations array<struct<movie_id, movie_title,
-    score>>) ordered by rank. A list holds at most top-N entries, so the per-user collection
-    is bounded."""
+    score>>) ordered by rank. Rows of several runs (a ``k`` column, as the sinks' folders read
+    back have) give one document per user and run, with ``k`` kept. A list holds at most top-N
+    entries, so the per-user collection is bounded."""
     entry = F.struct(F.col("rank"),
                      F.col("movieId").cast("bigint").alias("movie_id"),
                      F.col("title").alias("movie_title"),
                      F.col("recommendation_score").cast("double").alias("score"))
-    packed = recs.groupBy("userId", "cluster").agg(F.sort_array(F.collect_list(entry)).alias("_l"))
+    run = ["k"] if "k" in recs.columns else []
+    packed = recs.groupBy("userId", "cluster", *run).agg(F.sort_array(F.collect_list(entry)).alias("_l"))
     items = F.transform("_l", lambda e: F.struct(e["movie_id"].alias("movie_id"),
                                                  e["movie_title"].alias("movie_title"),
                                                  e["score"].alias("score")))
     return packed.select(F.col("userId").cast("bigint").alias("user_id"),
                          F.col("cluster").cast("bigint").alias("cluster"),
-                         items.alias("recommendations"))
+                         items.alias("recommendations"), *run)
 
 
 def flatten_documents(docs: DataFrame) -> DataFrame:
@@ -55,21 +57,39 @@ def missing(docs: DataFrame, ids) -> DataFrame:
     return _ids_frame(docs, ids).distinct().join(docs.select("user_id"), "user_id", "left_anti")
 
 
-def page(docs: DataFrame, limit: int = 100, offset: int = 0, topk_rows: int = 100_000) -> DataFrame:
-    """Users ``offset .. offset+limit-1`` in user_id order.
+def page_ids(docs: DataFrame, limit: int = 100, offset: int = 0, topk_rows: int = 100_000) -> DataFrame:
+    """(user_id, position) of documents ``offset + 1 .. offset + limit`` in user_id order.
 
-    A shallow page (``offset + limit <= topk_rows``) is a top-k: every task keeps at most
-    ``offset + limit`` rows before the final merge. A deep page numbers all documents with the
-    distributed positional rank (range shuffle, no single task holds them) and keeps the
-    positions in range."""
+    Only ids are ordered, never the nested documents. A shallow page is a top-k of at most
+    ``topk_rows`` ids per task; a deep one numbers all ids with the distributed positional rank
+    (range shuffle, no task holds them all). Rows and order are the same either way."""
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be >= 0")
+    ids = docs.select("user_id")
     if offset + limit <= topk_rows:
-        return docs.orderBy("user_id").offset(offset).limit(limit)
-    numbered = rank_within_groups(docs.withColumn("_all", F.lit(0)), ["_all"],
-                                  [F.col("user_id").asc()], "_position")
-    return (numbered.filter((F.col("_position") > offset) & (F.col("_position") <= offset + limit))
-            .drop("_all", "_position"))
+        ids = ids.orderBy("user_id").limit(offset + limit)
+        nth = F.row_number().over(Window.orderBy("user_id")).cast("bigint")  # at most topk_rows ids
+        numbered = ids.withColumn("position", nth)
+    else:
+        numbered = rank_within_groups(ids.withColumn("_all", F.lit(0)), ["_all"],
+                                      [F.col("user_id").asc()], "position")
+    return numbered.filter((F.col("position") > offset) & (F.col("position") <= offset + limit)).select("user_id", "position")
+
+
+def page(docs: DataFrame, limit: int = 100, offset: int = 0, topk_rows: int = 100_000) -> DataFrame:
+    """The documents of one page with their ``position``, in that order."""
+    return docs.join(page_ids(docs, limit, offset, topk_rows), "user_id").orderBy("position")
+
+
+def page_envelope(docs: DataFrame, limit: int = 100, offset: int = 0, topk_rows: int = 100_000) -> DataFrame:
+    """One row: total, limit, offset and the page's documents in order (at most ``limit``)."""
+    entry = F.struct("position", "user_id", "cluster", "recommendations")
+    users = page(docs, limit, offset, topk_rows).agg(F.sort_array(F.collect_list(entry)).alias("_u"))
+    user = lambda e: F.struct(e["user_id"].alias("user_id"), e["cluster"].alias("cluster"),
+                              e["recommendations"].alias("recommendations"))
+    total = docs.select(F.count(F.lit(1))).scalar()
+    return users.select(total.alias("total"), F.lit(limit).cast("bigint").alias("limit"),
+                        F.lit(offset).cast("bigint").alias("offset"), F.transform("_u", user).alias("users"))
 
 
 def document_stats(docs: DataFrame) -> DataFrame:
@@ -101,5 +121,5 @@ def count_documents(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count(F.lit(1)).alias("total_users"))
 
 
-__all__ = ["pack_documents", "flatten_documents", "lookup", "missing", "page", "document_stats",
+__all__ = ["pack_documents", "flatten_documents", "lookup", "missing", "page", "page_envelope", "page_ids", "document_stats",
            "preview_documents", "count_documents"]

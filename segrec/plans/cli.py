@@ -16,15 +16,18 @@ from segrec.sources.text import read_items, read_ratings
 
 
 def parse_args(argv=None):
-    p = argparse.ArgumentParser(description="Cluster-based recommendation on Spark.")
+    cfg = RunConfig()
+    p = argparse.ArgumentParser(description="Fit user segments for each K, recommend unseen items per segment, compare the Ks.")
     p.add_argument("--dataset-path", default="ml-1m")
     p.add_argument("--parquet-tables", default=None)
     p.add_argument("--output-dir", default="output/cluster-recommender")
-    p.add_argument("--k-values", default="3,5,8")
-    p.add_argument("--top-n", type=int, default=10)
-    p.add_argument("--relevance-threshold", type=float, default=4.0)
-    p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--split", choices=("hash", "random"), default="hash")
+    p.add_argument("--k-values", default=",".join(map(str, cfg.k_values)))
+    p.add_argument("--top-n", type=int, default=cfg.top_n)
+    p.add_argument("--relevance-threshold", type=float, default=cfg.relevance_threshold)
+    p.add_argument("--seed", type=int, default=cfg.seed)
+    p.add_argument("--split", choices=("hash", "random"), default=cfg.split)
+    p.add_argument("--train-fraction", type=float, default=cfg.train_fraction)
+    p.add_argument("--split-buckets", type=int, default=cfg.split_buckets)
     p.add_argument("--items-encoding", default="ISO-8859-1")
     p.add_argument("--format", choices=("json", "parquet"), default="json")
     p.add_argument("--checkpoint", action="store_true")
@@ -47,6 +50,7 @@ def main(argv=None, stop: bool = True) -> None:
         vocabulary = RunConfig().genre_vocabulary
     cfg = RunConfig(k_values=parse_k_values(args.k_values), top_n=args.top_n,
                     relevance_threshold=args.relevance_threshold, seed=args.seed, split=args.split,
+                    train_fraction=args.train_fraction, split_buckets=args.split_buckets,
                     genre_vocabulary=vocabulary)
     documents_k = args.documents_k
     if documents_k not in (None, "best"):
@@ -55,6 +59,7 @@ def main(argv=None, stop: bool = True) -> None:
                           checkpoint=args.checkpoint, documents_k=documents_k)
     result.summary.show(truncate=False)
     result.best.show(truncate=False)
+    result.release()
     if stop:
         spark.stop()
 

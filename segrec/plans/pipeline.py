@@ -2,11 +2,11 @@
 (``run_pipeline``): load -> profile -> split -> features -> scale -> for each K: fit, assign,
 score, recommend, evaluate, sample -> compare K -> write.
 
-Reused intermediates are persisted (for the whole sweep: the user-item pairs, the relevant
-test pairs and the scaled features, never the raw rating rows; per run the pairs with
-cluster, the score and ranked tables and the recommendations) and per-run ones are released
-after the run. With ``checkpoint=True`` the sweep inputs are checkpointed into the shared
-``spark.checkpoint.dir`` instead, so a lost executor never replays the load and split.
+The rating table is aggregated once to user-item pairs and relevant test pairs, and joined
+once with a users table that holds the clusters of every K; a run only groups by its own
+cluster column. Tables shared by the runs are persisted (with ``checkpoint=True`` the pairs
+are checkpointed into the shared ``spark.checkpoint.dir``, so a lost executor never replays
+the load and split) and released by ``PipelineResult.release``.
 """
 
 from __future__ import annotations
@@ -15,19 +15,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
-from segrec.operators.clusters import assign_clusters, describe_clusters, fit_sweep, training_cost
-from segrec.operators.evaluate import evaluate, relevant_items
-from segrec.operators.features import scale_features, sized_for_iterations
+from segrec.operators.clusters import describe_clusters, fit_sweep, training_cost
+from segrec.operators.evaluate import evaluate, global_metrics, relevant_items
+from segrec.operators.features import clusterable, scale_features
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import rank_items_checked, recommend, sample_recommendations, user_stats
+from segrec.operators.recommend import rank_items, recommend, sample_recommendations
 from segrec.operators.scoring import (
     cluster_genres,
     cluster_item_scores,
     cluster_stats,
+    clusters_of,
     pairs_of,
     relevant_of,
     split_pairs,
@@ -37,11 +37,10 @@ from segrec.operators.scoring import (
     with_clusters,
 )
 from segrec.operators.sweep import best_k, metrics_summary, union_metrics
-from segrec.session import cut_lineage
-from segrec import schemas
+from segrec.session import cut_lineage, stored
 from segrec.operators.serving import pack_documents
 from segrec.sinks import write_documents, write_table
-from segrec.sources.text import dedupe_items, valid_ratings
+from segrec.sources.text import dedupe_items, quarantine_ratings, usable_ratings
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
 
@@ -64,12 +63,16 @@ class RunResult:
     _cached: list = field(default_factory=list)
 
     def tables(self) -> dict[str, DataFrame]:
-        """The seven per-run output tables, each with a ``k`` column."""
+        """The per-run output tables, each with a ``k`` column."""
         k = F.lit(self.k).cast("bigint")
+        more = {} if self.top_genres is None else {
+            "cluster_genres": self.cluster_genres.withColumn("k", k), "top_genres": self.top_genres.withColumn("k", k)}
+        # The names of the seven tables of a run; two descriptive ones are added.
         return {
             "user_clusters": self.user_clusters.withColumn("k", k),
             "cluster_stats": self.cluster_stats.withColumn("k", k),
-            "cluster_genres": self.cluster_genres.withColumn("k", k),
+            "cluster_descriptions": self.cluster_descriptions.withColumn("k", k),
+            **more,
             "recommendations_topn": self.recommendations.withColumn("k", k),
             "sample_recommendations_20_users": self.sample_recommendations.withColumn("k", k),
             "per_user_metrics": self.per_user_metrics.withColumn("k", k),
@@ -85,23 +88,20 @@ class RunResult:
 def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
           items: DataFrame | None = None, item_genres: DataFrame | None = None,
           cfg: RunConfig = RunConfig(), model=None, cost: float | None = None,
-          relevant: DataFrame | None = None, stats: tuple[int, int] | None = None) -> RunResult:
+          relevant: DataFrame | None = None, rated: DataFrame | None = None) -> RunResult:
     """Everything that follows a cluster assignment (``user_clusters``: userId, cluster,
     movies_rated, avg_rating). Taking the assignment as input lets tests inject one.
     ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep);
-    ``relevant`` may pass the persisted relevant test pairs and ``stats`` the
-    ``user_stats`` of the users (both the same for every K of a sweep)."""
-    n_users, max_items = stats if stats is not None else user_stats(user_clusters)
-    rated = with_clusters(train, user_clusters,
-                          broadcast_clusters=n_users <= cfg.broadcast_rows).persist(_LEVEL)
-    scores = cluster_item_scores(rated).persist(_LEVEL)
-    ranked, ranked_rows = rank_items_checked(scores, cfg.window_rows)
-    ranked = ranked.persist(_LEVEL)
-    recs = recommend(rated, user_clusters, scores, items, cfg.top_n, num_clusters=k,
-                     broadcast_rows=cfg.broadcast_rows, ranked=ranked, ranked_rows=ranked_rows,
-                     max_user_items=max_items).persist(_LEVEL)
+    ``relevant`` may pass the persisted relevant test pairs and ``rated`` the run's
+    ``with_clusters`` table (``clusters_of`` a sweep's)."""
+    if rated is None:
+        rated = with_clusters(train, user_clusters)
+    rated = rated.persist(_LEVEL)
+    ranked = rank_items(cluster_item_scores(rated)).persist(_LEVEL)
+    recs = recommend(rated, user_clusters, ranked, items, cfg.top_n, ranked=ranked).persist(_LEVEL)
     global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold, relevant=relevant)
-    global_m = (global_m.withColumn("k", F.lit(k).cast("bigint"))
+    per_user = per_user.persist(_LEVEL)
+    global_m = (global_metrics(per_user).withColumn("k", F.lit(k).cast("bigint"))
                 .withColumn("training_cost", F.lit(cost).cast("double")))
     stats = cluster_stats(user_clusters)
     genres = cluster_genres(rated, item_genres) if item_genres is not None else None
@@ -112,29 +112,44 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
         scores=ranked, recommendations=recs,
         sample_recommendations=sample_recommendations(recs, cfg.sample_users),
         per_user_metrics=per_user, global_metrics=global_m, model=model, cost=cost,
-        _cached=[rated, scores, ranked, recs],
+        _cached=[rated, ranked, recs, per_user],
     )
 
 
 @dataclass
 class PipelineResult:
+    """Results of a sweep. ``runs`` holds every K's tables (descriptions, top genres,
+    recommendations, ...), ``best_sample`` the sample of the best K. They are lazy on top of
+    persisted tables until ``release``, which also ends what was persisted for the sweep."""
+
     profile: DataFrame
     rating_distribution: DataFrame
     split_profile: DataFrame
     metrics: DataFrame
     summary: DataFrame
     best: DataFrame
+    best_sample: DataFrame
+    quarantine: DataFrame
+    runs: dict[int, RunResult]
     written: list = field(default_factory=list)
+    _cached: list = field(default_factory=list)
+
+    def release(self) -> None:
+        for run in self.runs.values():
+            run.release()
+        for df in self._cached:
+            df.unpersist()
+        self._cached.clear()
 
 
 def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig):
-    """Valid rows, de-duplicated items and the train/test split, all lazy: the raw splits are
-    read once each, into their aggregates (user-item pairs, relevant pairs), which are the
-    tables kept for the sweep."""
-    ratings = valid_ratings(ratings)
+    """Usable rows, de-duplicated items and the train/test split: the raw splits are read once
+    each, into their aggregates (user-item pairs, relevant pairs), which are the tables kept
+    for the sweep. Lazy, but for the checkpoint that a random split is cut from."""
+    ratings = usable_ratings(ratings)
     items = dedupe_items(items)
     if cfg.split == "hash":
-        train, test = hash_split(ratings, cfg.train_fraction)
+        train, test = hash_split(ratings, cfg.train_fraction, cfg.split_buckets)
     else:
         train, test = random_split(ratings, (cfg.train_fraction, 1 - cfg.train_fraction), cfg.seed)
     return ratings, items, train, test
@@ -143,34 +158,43 @@ def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig):
 def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfig(),
                  out: str | None = None, fmt: str = "json", checkpoint: bool = False,
                  documents_k: int | str | None = None) -> PipelineResult:
-    """The whole sweep. With ``out``, every per-K table is written to ``<out>/<name>/k=<K>``
-    and the summary to ``<out>/metrics_summary``; ``documents_k`` (a K of the sweep, or
-    ``"best"``) also packs that K's recommendations into served documents at
-    ``<out>/documents``, reading back only that K's partition."""
+    """The whole sweep. With ``out``, every per-K table is written to ``<out>/<name>/k=<K>``,
+    the summary to ``<out>/metrics_summary`` and rating rows without a user or item to
+    ``<out>/quarantine``; ``documents_k`` (a K of the sweep, or ``"best"``) also packs that K's
+    recommendations into served documents at ``<out>/documents``."""
+    quarantine = quarantine_ratings(ratings)
     ratings, items, train, test = prepare_inputs(ratings, items, cfg)
-    item_genres = explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres).persist(_LEVEL)
-    # The rating table is aggregated once to distinct user-item pairs and the test split to
-    # its relevant pairs; every K reuses them (persisted, or checkpointed to the shared folder
-    # so a lost executor never replays the scan and split).
-    keep = cut_lineage if checkpoint else (lambda df: df.persist(_LEVEL))
+    kept = []
+
+    def persisted(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(_LEVEL))
+        return df
+
+    item_genres = persisted(explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres))
+    keep = cut_lineage if checkpoint else persisted
     if cfg.split == "hash":
         # the hash split is a per-row predicate: one scan and one shuffle give both sides
-        split = keep(split_pairs(ratings, cfg.train_fraction, cfg.relevance_threshold))
+        split = keep(split_pairs(ratings, cfg.train_fraction, cfg.relevance_threshold, cfg.split_buckets))
         pairs, relevant = pairs_of(split), relevant_of(split)
     else:
         pairs = keep(user_item_pairs(train))
         relevant = keep(relevant_items(test, cfg.relevance_threshold))
-    features = user_features_from_pairs(pairs)
-    stats = user_stats(features)  # users and largest history: the same for every K
-    scaled = keep(scale_features(sized_for_iterations(features, stats[0])))
-
-    metrics, written = [], []
+    # one row per user, written once: K-Means reads it every iteration
+    features = stored(clusterable(user_features_from_pairs(pairs)), "features")
+    scaled = persisted(scale_features(features))
     models = fit_sweep(scaled, cfg.k_values, cfg.seed, parallelism=cfg.fit_parallelism)
+    users = scaled
+    for k, model in models.items():
+        users = model.transform(users).withColumn(f"cluster_{k}", F.col("prediction").cast("bigint")).drop("prediction")
+    columns = tuple(f"cluster_{k}" for k in models)
+    users = stored(users.select("userId", "movies_rated", "avg_rating", *columns), "users")
+    tagged = persisted(with_clusters(pairs, users, columns))
+
+    metrics, written, runs = [], [], {}
     for k in cfg.k_values:
-        model = models[k]
-        user_clusters = assign_clusters(model, scaled).persist(_LEVEL)
-        result = run_k(pairs, test, user_clusters, k, items, item_genres, cfg,
-                       model=model, cost=training_cost(model), relevant=relevant, stats=stats)
+        user_clusters = users.select("userId", F.col(f"cluster_{k}").alias("cluster"), "movies_rated", "avg_rating")
+        result = runs[k] = run_k(pairs, test, user_clusters, k, items, item_genres, cfg, model=models[k],
+                                 cost=training_cost(models[k]), relevant=relevant, rated=clusters_of(tagged, f"cluster_{k}"))
         if out:
             # <out>/<name>/k=<K>: reading <out>/<name> gives k back as a partition column.
             for name, df in result.tables().items():
@@ -179,22 +203,19 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
                 written.append(path)
         # Metrics are tiny: keep them as a checkpoint so the summary does not replay the run.
         metrics.append(cut_lineage(result.global_metrics))
-        result.release()
-        user_clusters.unpersist()
 
     all_metrics = union_metrics(metrics)
     summary = metrics_summary(all_metrics)
+    best = int(best_k(all_metrics).first()["k"])
     if out:
-        write_table(summary.drop("ordinal"), f"{out.rstrip('/')}/metrics_summary", fmt)
-        written.append(f"{out.rstrip('/')}/metrics_summary")
+        for name, df in (("metrics_summary", summary.drop("ordinal")), ("quarantine", quarantine)):
+            write_table(df, f"{out.rstrip('/')}/{name}", fmt)
+            written.append(f"{out.rstrip('/')}/{name}")
         if documents_k is not None:
-            chosen = int(best_k(all_metrics).first()["k"]) if documents_k == "best" else int(documents_k)
-            recs_path = f"{out.rstrip('/')}/recommendations_topn"
-            with_k = T.StructType(schemas.RECOMMENDATIONS.fields + [T.StructField("k", T.LongType())])
-            reader = items.sparkSession.read.schema(with_k)
-            recs = getattr(reader, fmt)(recs_path).filter(F.col("k") == chosen)
-            write_documents(pack_documents(recs), f"{out.rstrip('/')}/documents")
+            chosen = best if documents_k == "best" else int(documents_k)
+            write_documents(pack_documents(runs[chosen].recommendations), f"{out.rstrip('/')}/documents", fmt)
             written.append(f"{out.rstrip('/')}/documents")
     return PipelineResult(profile=profile(ratings, items), rating_distribution=rating_distribution(ratings),
                           split_profile=split_profile(train, test), metrics=all_metrics, summary=summary,
-                          best=best_k(all_metrics), written=written)
+                          best=best_k(all_metrics), best_sample=runs[best].sample_recommendations,
+                          quarantine=quarantine, runs=runs, written=written, _cached=kept)

@@ -1,13 +1,12 @@
 """The standard derived tables over the Parquet test tables, shared by the registered queries,
-the benchmark and the tests. Everything is lazy except the size checks (a count of the
-persisted (cluster, item) score table, and one aggregate giving the number of users and the
-largest per-user history; they choose broadcasts and ranking/ordering paths); nothing else
-is collected.
+the benchmark and the tests.
 
 Intermediates read more than once inside a plan (the one-pass split aggregate that holds the
-train user-item pairs and the relevant test pairs, the clustered pairs, the score and ranked
-item tables, the recommendations) are persisted, so the rating table is scanned and shuffled once per
-plan instead of once per consumer.
+train user-item pairs and the relevant test pairs, the clustered pairs, the ranked item table,
+the recommendations) are persisted, so the rating table is scanned and shuffled once per
+plan instead of once per consumer. The users table (one row per user) is written into the
+shared scratch folder when it is first needed; nothing else is eager but the ranking's
+checkpoint, and nothing is collected.
 
 Clusters are *injected* by default (``cluster = #thresholds below movies_rated``) so results
 are deterministic and checkable against SQL; ``kmeans(k)`` gives the Spark ML ones.
@@ -23,11 +22,12 @@ from pyspark.storagelevel import StorageLevel
 from segrec.config import RunConfig
 from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit_clusters
 from segrec.operators.evaluate import per_user_metrics
-from segrec.operators.features import scale_features, sized_for_iterations
+from segrec.operators.features import clusterable, scale_features
 from segrec.operators.prepare import explode_genres, hash_split
-from segrec.operators.recommend import rank_items_checked, recommend, user_stats
+from segrec.operators.recommend import rank_items, recommend
 from segrec.operators.scoring import (
     cluster_item_scores,
+    clusters_of,
     pairs_of,
     relevant_of,
     split_pairs,
@@ -35,6 +35,7 @@ from segrec.operators.scoring import (
     with_clusters,
 )
 from segrec.operators.serving import pack_documents
+from segrec.session import stored
 from segrec.sources.tables import TABLE_GENRES, items_from_tables, ratings_from_tables
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
@@ -71,7 +72,7 @@ class TableWorkload:
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return hash_split(self.ratings, self.cfg.train_fraction)
+        return hash_split(self.ratings, self.cfg.train_fraction, self.cfg.split_buckets)
 
     @property
     def train(self) -> DataFrame:
@@ -84,7 +85,8 @@ class TableWorkload:
     @cached_property
     def split_table(self) -> DataFrame:
         """Both sides of the hash split aggregated per (user, item) in one pass (persisted)."""
-        return split_pairs(self.ratings, self.cfg.train_fraction, self.cfg.relevance_threshold).persist(_LEVEL)
+        return split_pairs(self.ratings, self.cfg.train_fraction, self.cfg.relevance_threshold,
+                           self.cfg.split_buckets).persist(_LEVEL)
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -92,52 +94,30 @@ class TableWorkload:
 
     @cached_property
     def features(self) -> DataFrame:
-        return user_features_from_pairs(self.pairs)
+        """One row per user, written once and read by every consumer."""
+        return stored(clusterable(user_features_from_pairs(self.pairs)), "features")
 
     @cached_property
     def user_clusters(self) -> DataFrame:
         return assign_by_thresholds(self.features, self.thresholds).select(
             "userId", "cluster", "movies_rated", "avg_rating")
 
-    @cached_property
-    def user_stats(self) -> tuple[int, int]:
-        """(users, largest rated-row count of a user): checked sizes for the plan choices."""
-        return user_stats(self.features)
-
     @cached_property
     def rated(self) -> DataFrame:
-        small = self.user_stats[0] <= self.cfg.broadcast_rows
-        return with_clusters(self.pairs, self.user_clusters, broadcast_clusters=small).persist(_LEVEL)
+        return with_clusters(self.pairs, self.user_clusters).persist(_LEVEL)
 
     @cached_property
     def scores(self) -> DataFrame:
-        return cluster_item_scores(self.rated).persist(_LEVEL)
+        return cluster_item_scores(self.rated)
 
     @cached_property
-    def _ranked_checked(self) -> tuple[DataFrame, int]:
-        ranked, n = rank_items_checked(self.scores, self.cfg.window_rows)
-        return ranked.persist(_LEVEL), n
-
-    @property
     def ranked(self) -> DataFrame:
-        return self._ranked_checked[0]
-
-    @property
-    def ranked_rows(self) -> int:
-        """Counted size of the (cluster, item) table (decides the ranking path and a broadcast)."""
-        return self._ranked_checked[1]
-
-    @property
-    def max_user_items(self) -> int:
-        """Largest rated-row count of a user (bounds distinct rated items per user)."""
-        return self.user_stats[1]
+        return rank_items(self.scores).persist(_LEVEL)
 
     @cached_property
     def recommendations(self) -> DataFrame:
         return recommend(self.rated, self.user_clusters, self.scores, self.items, self.cfg.top_n,
-                         num_clusters=self.k, broadcast_rows=self.cfg.broadcast_rows,
-                         ranked=self.ranked, ranked_rows=self.ranked_rows,
-                         max_user_items=self.max_user_items).persist(_LEVEL)
+                         ranked=self.ranked).persist(_LEVEL)
 
     @cached_property
     def relevant(self) -> DataFrame:
@@ -153,11 +133,10 @@ class TableWorkload:
 
     @cached_property
     def scaled(self) -> DataFrame:
-        users = sized_for_iterations(self.features, self.user_stats[0])
-        return scale_features(users).persist(_LEVEL)
+        return scale_features(self.features).persist(_LEVEL)
 
-    def kmeans(self, k: int):
-        model = fit_clusters(self.scaled, k, self.cfg.seed)
+    def kmeans(self, k: int, **params):
+        model = fit_clusters(self.scaled, k, self.cfg.seed, **params)
         return model, assign_clusters(model, self.scaled)
 
     def release(self) -> None:
@@ -167,11 +146,20 @@ class TableWorkload:
                 if isinstance(df, DataFrame) and df.storageLevel.useMemory | df.storageLevel.useDisk:
                     df.unpersist()
 
-    def with_thresholds(self, thresholds) -> "TableWorkload":
-        other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
-        # share the inputs that do not depend on the clustering (built here once; all lazy
-        # except the user statistics, one small aggregate)
-        for name in ("ratings", "items", "split", "split_table", "pairs", "features", "relevant",
-                     "user_stats"):
-            other.__dict__[name] = getattr(self, name)
-        return other
+    def sweep(self, assignments) -> list["TableWorkload"]:
+        """One workload per assignment. They share every input that does not depend on the
+        clustering, and one join of the pairs with a users table of all assignments."""
+        users, columns = self.features, []
+        for i, thresholds in enumerate(assignments):
+            columns.append(f"cluster_{i}")
+            users = assign_by_thresholds(users, thresholds, out=columns[-1])
+        tagged = with_clusters(self.pairs, users, tuple(columns)).persist(_LEVEL)
+        out = []
+        for thresholds, column in zip(assignments, columns):
+            other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
+            for name in ("ratings", "items", "split", "split_table", "pairs", "features", "relevant"):
+                other.__dict__[name] = getattr(self, name)
+            other.__dict__["rated"] = clusters_of(tagged, column)
+            other.__dict__["tagged"] = tagged
+            out.append(other)
+        return out

@@ -2,19 +2,7 @@
 
 from pyspark.sql import types as T
 
-RATINGS = T.StructType([
-    T.StructField("userId", T.LongType()),
-    T.StructField("movieId", T.LongType()),
-    T.StructField("rating", T.DoubleType()),
-    T.StructField("timestamp", T.LongType()),
-])
-
-ITEMS = T.StructType([
-    T.StructField("movieId", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("genres", T.StringType()),
-])
-
+# The columns of the flat recommendation rows and of the served documents.
 RECOMMENDATIONS = T.StructType([
     T.StructField("userId", T.LongType()),
     T.StructField("cluster", T.LongType()),
@@ -41,11 +29,3 @@ DOCUMENTS = T.StructType([
     T.StructField("cluster", T.LongType()),
     T.StructField("recommendations", T.ArrayType(RECOMMENDATION_ITEM)),
 ])
-
-GLOBAL_METRICS = T.StructType([
-    T.StructField("precision_at_k", T.DoubleType()),
-    T.StructField("recall_at_k", T.DoubleType()),
-    T.StructField("evaluated_users", T.LongType()),
-    T.StructField("k", T.LongType()),
-    T.StructField("training_cost", T.DoubleType()),
-])

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions (a hot user or item).
@@ -47,14 +47,17 @@ def build_session(master: str | None = None, app_name: str = "segrec",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    The context's checkpoint folder if one is set, else ``spark.checkpoint.dir``; a local
-    folder is made only when neither is set (tests, laptops)."""
+    The context's checkpoint folder if one is set, else ``spark.checkpoint.dir``. A local
+    folder is made only when neither is set and the session is local (tests, laptops); on a
+    cluster each machine would see its own, so that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="segrec-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
@@ -72,4 +75,29 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "cut_lineage", "DEFAULT_CONF"]
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the scratch folder and read back.
+
+    Unlike a persisted or checkpointed DataFrame the table read back has no partitioning that
+    a later join could reuse, so that join shuffles both sides itself and AQE may split a hot
+    key; it also survives lost executors and is a plain, well-sized scan for every consumer."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STORED.append(path)
+    return out
+
+
+_STORED: list[str] = []
+
+
+def drop_stored(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables that ``stored`` wrote, but for the first ``keep`` of them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while len(_STORED) > keep:
+        path = hadoop(_STORED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "cut_lineage", "stored", "drop_stored",
+           "DEFAULT_CONF"]

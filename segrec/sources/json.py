@@ -1,14 +1,20 @@
-"""JSON sources: flat recommendation rows (JSON Lines, as Spark writes them) and nested
-served documents. Both are read with a declared schema, so there is no inference pass."""
+"""Recommendation sources: flat rows (JSON Lines, as Spark writes them) and nested served
+documents. All are read with a declared schema, so there is no inference pass."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segrec import schemas
 
+# Lines looked at for the required columns: JSON Lines omit fields that are NULL, so one line
+# proves nothing. The check reads only these lines; the data is read whole.
+CHECK_LINES = 1000
+
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Raise ``ValueError`` naming the missing columns; return ``df`` unchanged otherwise."""
@@ -18,18 +24,42 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df
 
 
-def read_recommendations(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Flat recommendations written by ``write_outputs``. With ``schema=False`` the schema is
-    inferred (one extra pass) and the required columns are checked."""
+def read_recommendations(spark: SparkSession, path: str, schema=None, fmt: str = "json", check: bool = True) -> DataFrame:
+    """Flat recommendations written by the sinks.
+
+    A file without one of the required columns would read as NULLs under a declared schema, so
+    they are checked first: against the file's own schema for Parquet, against the fields of
+    the first lines for JSON (``check=False`` for rows that may lack a title throughout). With
+    ``schema=False`` the JSON schema is inferred (one extra pass)."""
+    required = schemas.REQUIRED_RECOMMENDATION_COLUMNS
     if schema is False:
-        df = spark.read.json(path)
-        return require_columns(df, schemas.REQUIRED_RECOMMENDATION_COLUMNS)
-    return spark.read.schema(schema or schemas.RECOMMENDATIONS).json(path)
+        return require_columns(getattr(spark.read, fmt)(path), required)
+    if check and fmt == "parquet":
+        require_columns(spark.read.parquet(path), required)
+    elif check:
+        fields: set[str] = set()
+        lines = [r["value"] for r in spark.read.text(path).limit(CHECK_LINES).collect()]
+        for line in lines:
+            fields |= json.loads(line).keys()
+        if lines and (missing := sorted(set(required) - fields)):
+            raise ValueError(f"missing columns {missing}; available: {sorted(fields)}")
+    return getattr(spark.read.schema(schema or schemas.RECOMMENDATIONS), fmt)(path)
+
+
+def dedupe_documents(docs: DataFrame) -> DataFrame:
+    """One document per user. Of several the longest list wins, then the greatest cluster and
+    list: files of a distributed write have no order in which a last one could win. Filters on
+    user_id still reach the scan through the grouping."""
+    best = F.max(F.struct(F.size("recommendations").alias("n"), "cluster", "recommendations")).alias("best")
+    return docs.groupBy("user_id").agg(best).select("user_id", "best.cluster", "best.recommendations")
 
 
-def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Served documents: ``user_id, cluster, recommendations[{movie_id, movie_title, score}]``.
-    ``multiline=True`` reads one JSON array per file (not splittable: small files only)."""
-    return (spark.read.schema(schemas.DOCUMENTS)
-            .option("multiLine", multiline)
-            .json(path))
+def read_documents(spark: SparkSession, path: str, multiline: bool = False, fmt: str = "json",
+                   unique: bool = False) -> DataFrame:
+    """Served documents: ``user_id, cluster, recommendations[{movie_id, movie_title, score}]``,
+    one per user (``unique=True``: the files are known to hold one per user, as the sink
+    writes them, and need no grouping). ``multiline=True`` reads one JSON array per file (not
+    splittable: small files only)."""
+    reader = spark.read.schema(schemas.DOCUMENTS)
+    docs = reader.parquet(path) if fmt == "parquet" else reader.option("multiLine", multiline).json(path)
+    return docs if unique else dedupe_documents(docs)

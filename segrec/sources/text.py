@@ -96,10 +96,23 @@ def valid_ratings(ratings: DataFrame) -> DataFrame:
                           & F.col("rating").isNotNull())
 
 
+def usable_ratings(ratings: DataFrame) -> DataFrame:
+    """Rows that name a user and an item. A row without a rating value stays: its item counts
+    as seen, it only adds nothing to means and relevance."""
+    return ratings.filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
+
+
+def quarantine_ratings(ratings: DataFrame) -> DataFrame:
+    """The other rows, with the reason: a NULL user or item can never be matched or excluded."""
+    reason = F.when(F.col("userId").isNull(), "no user").when(F.col("movieId").isNull(), "no item")
+    return ratings.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def dedupe_items(items: DataFrame) -> DataFrame:
-    """One row per movieId (the smallest (title, genres) wins), so a duplicated catalogue
-    line cannot duplicate a recommendation."""
-    first = F.min(F.struct("title", "genres")).alias("_first")
+    """One row per movieId, so a duplicated catalogue line cannot duplicate a recommendation:
+    the smallest (title, genres), any title before none and any genres before none."""
+    first = F.min(F.struct(F.col("title").isNull().alias("untitled"), "title",
+                           F.col("genres").isNull().alias("bare"), "genres")).alias("_first")
     return items.groupBy("movieId").agg(first).select("movieId", "_first.title", "_first.genres")
 
 

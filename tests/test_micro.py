@@ -30,7 +30,7 @@ def micro(spark):
     items = spark.createDataFrame(ITEMS, "movieId bigint, title string, genres string")
     rated = with_clusters(train, clusters)
     scores = cluster_item_scores(rated)
-    recs = recommend(rated, clusters, scores, items, top_n=2, num_clusters=2)
+    recs = recommend(rated, clusters, scores, items, top_n=2)
     return dict(train=train, test=test, feats=feats, clusters=clusters, items=items, rated=rated,
                 scores=scores, recs=recs)
 

@@ -19,6 +19,16 @@ def test_run_pipeline_writes_outputs(spark):
     summary = res.summary.collect()
     assert [r.k for r in summary] and sorted(r.k for r in summary) == [3, 5]
     assert res.best.count() == 1
+    assert sorted(res.runs) == [3, 5]
+    best = res.best.first()["k"]
+    run = res.runs[best]
+    assert 0 < run.cluster_descriptions.count() <= best and run.top_genres.count() > 0
+    assert res.best_sample.select("userId").distinct().count() == 20
+    assert run.recommendations.count() == spark.read.json(f"{out}/recommendations_topn/k={best}").count()
+    res.release()
+    assert not any(df.storageLevel.useMemory for df in (run.recommendations, run.scores, run.per_user_metrics))
+    for name in ("cluster_descriptions", "top_genres", "quarantine"):
+        assert os.path.isdir(os.path.join(out, name)), name
     for name in ("user_clusters", "cluster_stats", "cluster_genres", "recommendations_topn",
                  "sample_recommendations_20_users", "per_user_metrics", "metrics", "metrics_summary"):
         assert os.path.isdir(os.path.join(out, name)), name

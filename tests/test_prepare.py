@@ -50,6 +50,39 @@ def test_split_bucket_no_overflow(spark):
     assert val == ((4_000_000_000_000 * 2654435761 + 9_000_000_000_000 * 40503 + 2_000_000_000) % 1000003) % 10
 
 
+def test_split_is_never_negative_or_rounded(spark):
+    ids = spark.range(10_000).selectExpr("-id - 1 AS userId", "-id * 7 AS movieId", "id AS timestamp", "1.0D AS rating")
+    train, test = hash_split(ids)
+    assert 0.77 < train.count() / 10_000 < 0.83 and test.count() == 10_000 - train.count()
+    train, _ = hash_split(ids, 0.75, buckets=100)
+    assert 0.72 < train.count() / 10_000 < 0.78
+    for fraction in (0.75, 0.84, 0.96):
+        with pytest.raises(ValueError):
+            hash_split(ids, fraction)
+        with pytest.raises(ValueError):
+            RunConfig(train_fraction=fraction)
+    assert RunConfig(train_fraction=0.75, split_buckets=100).split_buckets == 100
+
+
+def test_random_split_sides_are_disjoint_and_complete(spark):
+    from segrec.operators import random_split
+
+    rows = spark.range(5000).withColumn("x", F.rand()).repartition(7)  # a source that differs on every read
+    train, test = random_split(rows, (0.8, 0.2), 42)
+    a, b = ({r.id for r in x.collect()} for x in (train, test))
+    assert not a & b and len(a) + len(b) == 5000 and 0.75 < len(a) / 5000 < 0.85
+
+
+def test_user_features_are_not_coalesced(spark):
+    from segrec.plans.workload import TableWorkload
+    from segrec.operators.scoring import user_features_from_pairs
+
+    w = TableWorkload(spark, SF_SMALL)
+    plan = user_features_from_pairs(w.pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
+    assert "Aggregate" not in w.scaled._jdf.queryExecution().optimizedPlan().toString()  # reads the stored users
+
+
 def test_config():
     assert parse_k_values(" 3, 5,,8 ") == (3, 5, 8)
     with pytest.raises(ValueError):

@@ -31,21 +31,16 @@ def _random_fixture(seed, users=40, items=30, rows=400, k=3, hot_user=True):
     return train, clusters
 
 
-@pytest.mark.parametrize("seed,top_n,broadcast_rows,block_size", [
-    (1, 5, 200_000, 4096), (2, 10, 200_000, 3), (3, 3, 6, 2), (4, 25, 9, 4), (5, 1, 200_000, 1),
-    (6, 4, 200_000, 5), (7, 6, 200_000, None)])
-def test_recommend_equals_brute_force(spark, seed, top_n, broadcast_rows, block_size):
+@pytest.mark.parametrize("seed,top_n,hint,block_size", [
+    (1, 5, None, 4096), (2, 10, None, 3), (3, 3, "merge", 2), (4, 25, "merge", 4), (5, 1, None, 1),
+    (6, 4, "shuffle_hash", 5), (7, 6, None, 1024)])
+def test_recommend_equals_brute_force(spark, seed, top_n, hint, block_size):
     train_pd, clusters_pd = _random_fixture(seed)
     train = spark.createDataFrame(train_pd)
     clusters = spark.createDataFrame(clusters_pd)
     rated = with_clusters(train, clusters)
     scores = cluster_item_scores(rated)
-    if block_size is None:  # checked bound: every user fits one block (one-window path)
-        recs = recommend(rated, clusters, scores, None, top_n, num_clusters=3,
-                         broadcast_rows=broadcast_rows, max_user_items=len(train_pd))
-    else:
-        recs = recommend(rated, clusters, scores, None, top_n, num_clusters=3,
-                         broadcast_rows=broadcast_rows, block_size=block_size)
+    recs = recommend(rated, clusters, scores, None, top_n, block_size=block_size, join_hint=hint)
     got = sorted((r.userId, r.rank, r.movieId) for r in recs.collect())
     want = brute_recommend(train_pd, clusters_pd, top_n)
     expected = sorted(zip(want.userId.astype(int), want["rank"].astype(int), want.movieId.astype(int)))
@@ -67,7 +62,47 @@ def test_candidate_counts_match_brute_force(spark):
     got = {r.userId: r.candidates for r in
            candidate_counts(clusters, cluster_item_scores(rated), rated).collect()}
     want = brute_recommend(train_pd, clusters_pd, 10 ** 6).groupby("userId").size().to_dict()
-    assert {u: c for u, c in got.items() if c} == want
+    assert got == want  # a user without a candidate has no row
+
+
+def _final_plan(df) -> list[str]:
+    from explain_plans import condense, executed
+
+    return condense(executed(df))
+
+
+def test_large_plan_joins_rated_and_ranked_once(spark):
+    import __spark_entry__ as e
+    from conftest import SF_SMALL
+
+    plan = _final_plan(e.queries()["recommend_topn_large"](spark, SF_SMALL))
+    joins = [line for line in plan if "Join" in line]
+    assert len([j for j in joins if "[cluster, movieId], [cluster, movieId]" in j]) == 1, plan
+    assert len([j for j in joins if "_salt" in j]) == 1, plan
+    assert not [j for j in joins if "Broadcast" in j and "cluster" in j], plan
+
+
+def test_hot_user_is_split(spark, monkeypatch):
+    from segrec.session import stored
+
+    hot = spark.range(60_000).selectExpr("IF(id % 2 = 0, 1, id % 97 + 2) AS userId", "id AS movieId",
+                                         "3.0D AS rating_sum", "1L AS rating_n", "1L AS rows")
+    pairs = hot.repartition(8, "userId", "movieId")
+    users = pairs.groupBy("userId").agg(F.sum("rating_n").alias("movies_rated"))
+    users = stored(users.withColumn("cluster", F.lit(0)), "users")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plan = _final_plan(with_clusters(pairs, users))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert any("SortMergeJoin(skew=true)" in line for line in plan), plan
 
 
 def test_rank_within_groups_matches_row_number(spark):

@@ -10,6 +10,7 @@ from segrec.operators import (
     missing,
     pack_documents,
     page,
+    page_envelope,
     preview_documents,
 )
 
@@ -47,6 +48,29 @@ def test_page(docs):
         page(docs, limit=-1)
 
 
+def test_page_envelope(docs):
+    r = page_envelope(docs, limit=1, offset=1).collect()[0]
+    assert (r.total, r.limit, r.offset, [u.user_id for u in r.users]) == (2, 1, 1, [2])
+    assert page_envelope(docs, limit=5, offset=9).collect()[0].users == []
+
+
+def test_runs_are_packed_apart(spark):
+    recs = spark.createDataFrame([(*r, k) for r in RECS for k in (3, 5)], SCHEMA + ", k bigint")
+    got = pack_documents(recs).collect()
+    assert sorted((r.user_id, r.k, len(r.recommendations)) for r in got) == [(1, 3, 4), (1, 5, 4), (2, 3, 1), (2, 5, 1)]
+
+
+def test_point_read_of_stored_documents(spark, docs, tmp_path):
+    from segrec.sinks import write_documents
+    from segrec.sources import read_documents
+
+    write_documents(docs, str(tmp_path / "d"), "parquet")
+    found = lookup(read_documents(spark, str(tmp_path / "d"), fmt="parquet", unique=True), [2])
+    assert [r.user_id for r in found.collect()] == [2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,2)]" in plan or "In(user_id" in plan
+
+
 def test_stats(docs):
     r = document_stats(docs).collect()[0]
     assert (r.users, r.total_recommendations, r.avg_per_user, r.min_cluster, r.max_cluster) == (2, 5, 2.5, 0, 1)
@@ -64,6 +88,7 @@ def test_deep_page_matches_top_k(spark):
                                            "'t' AS title", "1.0D AS recommendation_score", "1L AS rank")
     docs = pack_documents(recs)
     shallow = [r.user_id for r in page(docs, limit=25, offset=140).collect()]
-    deep = sorted(r.user_id for r in page(docs, limit=25, offset=140, topk_rows=10).collect())
+    deep = [r.user_id for r in page(docs, limit=25, offset=140, topk_rows=10).collect()]
     assert shallow == deep == list(range(141, 166))
+    assert [r.position for r in page(docs, limit=25, offset=140, topk_rows=10).collect()] == shallow
     assert page(docs, limit=10, offset=295, topk_rows=10).count() == 5

@@ -19,6 +19,39 @@ def test_cut_lineage_keeps_rows_and_drops_lineage(spark):
     assert "Filter" not in cut._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_local_scratch_only_for_local_sessions():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_stored_tables_are_dropped(spark):
+    from segrec import session
+
+    keep = len(session._STORED)
+    table = session.stored(spark.range(10), "numbers")
+    assert table.count() == 10
+    path = session._STORED[-1]
+    session.drop_stored(spark, keep)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_recommend_rejects_empty_lists(spark):
     df = spark.createDataFrame([(1, 1, 0)], "userId bigint, movieId bigint, cluster bigint")
     with pytest.raises(ValueError):

@@ -62,9 +62,22 @@ def test_read_recommendations_checks_columns(spark):
     spark.createDataFrame([(1, 2)], "userId bigint, movieId bigint").write.mode("overwrite").json(out)
     with pytest.raises(ValueError, match="missing columns"):
         read_recommendations(spark, out, schema=False)
+    with pytest.raises(ValueError, match="missing columns"):
+        read_recommendations(spark, out)
+    assert read_recommendations(spark, out, check=False).count() == 1
     assert require_columns(spark.range(1), ["id"]).columns == ["id"]
 
 
+def test_one_document_per_user(spark):
+    d = tempfile.mkdtemp(prefix="segrec-dup-")
+    with open(os.path.join(d, "docs.json"), "w", encoding="utf-8") as f:
+        f.write('{"user_id": 1, "cluster": 2, "recommendations": [{"movie_id": 5, "movie_title": "A", "score": 1.0}]}\n'
+                '{"user_id": 1, "cluster": 0, "recommendations": []}\n')
+    docs = read_documents(spark, d)
+    assert [(r.user_id, r.cluster, len(r.recommendations)) for r in docs.collect()] == [(1, 2, 1)]
+    assert read_documents(spark, d, unique=True).count() == 2
+
+
 def test_documents_json_array_file(spark):
     d = tempfile.mkdtemp(prefix="segrec-array-")
     path = os.path.join(d, "docs.json")
