@@ -41,12 +41,20 @@ class SizeDigest:
         self.known = [0, total] if total else [0]
         self.closed = set()  # running sizes with no unknown one between them and the known one before
 
-    def add(self, ends: list[tuple[int, int]]) -> None:
-        """``ends``: (largest running size of a bin, number of running sizes in the bin)."""
-        fresh = sorted(set(self.known) | {e for e, _ in ends})
-        one = {e for e, n in ends if n == 1}
-        self.closed = {e for e in self.closed} | one
-        self.known = fresh
+    def add(self, bins: list[tuple[int, int, int]]) -> None:
+        """``bins``: (smallest, largest, number) of the running sizes of each bin of a gap."""
+        self.known = sorted({*self.known, *(x for low, high, _ in bins for x in (low, high))})
+        self.closed |= {low for low, _, _ in bins} | {high for _, high, n in bins if n <= 2}
+
+    def open_gaps(self, low: int, high: int) -> list[tuple[int, int]]:
+        """Gaps between known running sizes that reach into (low, high) and may hold others."""
+        i = max(0, bisect.bisect_right(self.known, low) - 1)
+        out = []
+        while i + 1 < len(self.known) and self.known[i] < high:
+            if self.known[i + 1] not in self.closed:
+                out.append((self.known[i], self.known[i + 1]))
+            i += 1
+        return out
 
     def below(self, target: int, optimistic: bool) -> int:
         i = bisect.bisect_right(self.known, target) - 1
@@ -73,16 +81,16 @@ class SizeDigest:
         return low
 
 
-def _running_ends(groups: DataFrame, spans: list[tuple[int, int]], bins: int) -> list[tuple[int, int]]:
-    """The largest running size, and how many there are, of each bin of each span (low, high]."""
+def _running_ends(groups: DataFrame, spans: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int]]:
+    """The smallest and largest running size, and how many there are, of each bin of each span (low, high]."""
     pieces = []
     for i, (low, high) in enumerate(spans):
         width = max(1, math.ceil((high - low) / bins))
         inside = (F.col("end") > low) & (F.col("end") <= high)
         pieces.append(F.when(inside, F.lit(i * (bins + 1)) + F.floor((F.col("end") - low - 1) / width)))
     rows = (groups.select("end", F.coalesce(*pieces).alias("bin")).where("bin is not null")
-            .groupBy("bin").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).collect())
-    return [(int(r["end"]), int(r["n"])) for r in rows]
+            .groupBy("bin").agg(F.min("end").alias("low"), F.max("end").alias("high"), F.count(F.lit(1)).alias("n")).collect())
+    return [(int(r["low"]), int(r["high"]), int(r["n"])) for r in rows]
 
 
 def minimax_cuts(groups: DataFrame, total: int, largest: int, n_shards: int, bins: int = 1024) -> tuple[int, list[int]]:
@@ -91,21 +99,16 @@ def minimax_cuts(groups: DataFrame, total: int, largest: int, n_shards: int, bin
     if not total:
         return 0, [0] * n_shards
     floor = max(largest, -(-total // n_shards))
-    spans = [(0, total)]
+    gaps = [(0, total)]
     while True:
-        digest.add(_running_ends(groups, spans, bins))
+        # every open gap loses its first running size and is cut in two at least, so the search ends
+        digest.add(_running_ends(groups, gaps, max(2, bins // len(gaps))))
         high = digest.smallest(floor, total, n_shards, optimistic=False)
         low = digest.smallest(floor, high, n_shards, optimistic=True)
         if low == high:
             return high, digest.cuts(high, n_shards, optimistic=False)
-        spans = []
-        for a, b in zip(digest.cuts(low, n_shards, False)[:-1], digest.cuts(high, n_shards, True)[:-1], strict=True):
-            # out to the known running sizes around, so that bins between them close the gaps
-            b = digest.known[min(bisect.bisect_left(digest.known, b), len(digest.known) - 1)]
-            if spans and a <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-            elif a < b:
-                spans.append((a, b))
+        cuts = zip(digest.cuts(low, n_shards, False)[:-1], digest.cuts(high, n_shards, True)[:-1], strict=True)
+        gaps = sorted({gap for a, b in cuts for gap in digest.open_gaps(a, b)})
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -70,7 +70,7 @@ def test_search_with_coarse_bins(sizes, n, bins):
             for e in ends:
                 if low < e <= high:
                     out.setdefault((i, (e - low - 1) // width), []).append(e)
-        return [(max(x), len(x)) for x in out.values()]
+        return [(min(x), max(x), len(x)) for x in out.values()]
 
     original, shards._running_ends = shards._running_ends, running_ends
     try:
