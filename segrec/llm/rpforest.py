@@ -1,7 +1,10 @@
 """Embedding near-duplicates by a random-projection tree forest.
 
 Each of ``n_trees`` trees splits unit vectors recursively by random directions at the median of
-a bounded sample; a vector within ``spill`` of the split goes to both sides. Leaves are made
+a bounded sample; a vector within ``spill`` of the split goes to both sides. For a pair at
+cosine 0.93 in 64 dimensions a split parts the two with probability about 0.03, so eight trees
+miss it with probability 1e-6 three levels deep and 1e-4 eleven levels deep (billions of
+vectors); closer pairs are missed far less. Leaves are made
 per label (links need equal labels). The trees are fitted on a sample of at most
 ``sample_rows`` distinct vectors (a parameter; the sample only places the split points), and
 all vectors are indexed. Vectors meet in a leaf, are compared there in double precision, and
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from segrec.llm.common import materialise, pick
 from segrec.llm.components import connected_components
 
-LEAF = 256      # a node of at most so many sample vectors of a label is not split further
+LEAF = 2048     # a node of at most so many vectors (in proportion: of the sample) is not split further
 BLOCK = 4096    # vectors of a leaf in one block
 TILE = 1024     # side of the dot-product tiles within a block pair
 
@@ -83,8 +86,13 @@ class Tree:
 
 def fit_forest(sample: dict[int, np.ndarray], n_trees: int, leaf: int, spill: float, seed: int) -> dict:
     """label, length -> trees, from the sample's unit vectors."""
-    return {key: [Tree(rows, np.random.default_rng([seed, *(x % 2**32 for x in key), t]), leaf, spill) for t in range(n_trees)]
-            for key, rows in sample.items()}
+    out = {}
+    for key, rows in sample.items():
+        trees = [Tree(rows, np.random.default_rng([seed, *(x % 2**32 for x in key), t]), leaf, spill) for t in range(n_trees)]
+        # where a tree is a single leaf all pairs meet in it, and no other tree is needed
+        whole = [t for t in trees if t.nodes[0] is None]
+        out[key] = whole[:1] or trees
+    return out
 
 
 def _units(vectors) -> np.ndarray:
@@ -99,48 +107,39 @@ def _usable(column: str):
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _compare_blocks(threshold: float, n_trees: int):
+def _compare_blocks(threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         """One leaf, one pair of blocks: link counts and a spanning forest of the links."""
-        key, leaf, first, second = (group[c].iloc[0] for c in ("tree", "leaf", "first", "second"))
-        group = group.sort_values("class_id", kind="stable")
-        ids, weight = group["class_id"].to_numpy(), group["n"].to_numpy()
-        rows, block = _units(group["v"]), group["block"].to_numpy()
-        places = [tuple(x) for x in group["places"]]
-        a_side, b_side = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        counts = np.zeros(len(ids), dtype=np.int64)
-        parent = list(range(len(ids)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        here = int(key) << 32 | int(leaf)
+        here, first, second = (group[c].iloc[0] for c in ("place", "first", "second"))
+        ids, weight, block = (group[c].to_numpy() for c in ("class_id", "n", "block"))
+        rows = _units(group["v"])
+        # a pair counts in the first leaf that the two share: earlier leaves as columns of ones
+        earlier = {p: k for k, p in enumerate(sorted({p for places in group["places"] for p in places if p < here}))}
+        met = np.zeros((len(ids), len(earlier)), dtype=np.float32)
+        for i, places in enumerate(group["places"]):
+            met[i, [earlier[p] for p in places if p < here]] = 1
+        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        counts, label = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
         edges = []
-        for i in range(0, len(a_side), TILE):
-            for j in range(i if first == second else 0, len(b_side), TILE):
-                a, b = a_side[i:i + TILE], b_side[j:j + TILE]
+        for i in range(0, len(left), TILE):
+            for j in range(i if first == second else 0, len(right), TILE):
+                a, b = left[i:i + TILE], right[j:j + TILE]
                 close = rows[a] @ rows[b].T >= threshold
                 if first == second and i == j:
                     close &= np.triu(np.ones(close.shape, dtype=bool), 1)
-                at_a, at_b = np.nonzero(close)
-                at_a, at_b = a[at_a], b[at_b]
-                if not len(at_a):
+                if not close.any():
                     continue
-                # a pair counts in the first leaf that the two share
-                if (key, leaf) != (0, 0) and len(at_a):
-                    lone = {x: places[x] for x in set(at_a.tolist()) | set(at_b.tolist())}
-                    mine = np.array([_first_shared(lone[x], lone[y]) == here
-                                     for x, y in zip(at_a.tolist(), at_b.tolist(), strict=True)], dtype=bool)
-                    at_a, at_b = at_a[mine], at_b[mine]
-                np.add.at(counts, at_a, weight[at_b])
-                np.add.at(counts, at_b, weight[at_a])
-                for x, y in zip(at_a.tolist(), at_b.tolist(), strict=True):
-                    if (p := root(x)) != (q := root(y)):
-                        parent[max(p, q)] = min(p, q)
-                        edges.append((ids[x], ids[y]))
+                if len(earlier):
+                    close &= met[a] @ met[b].T == 0
+                counts[a] += close @ weight[b]
+                counts[b] += weight[a] @ close
+                for k in np.flatnonzero(close.any(axis=1)):
+                    others = b[close[k]]
+                    _, one = np.unique(label[others], return_index=True)
+                    for other in others[one]:  # one link to each component not joined before
+                        if (p := label[a[k]]) != (q := label[other]):
+                            label[label == max(p, q)] = min(p, q)
+                            edges.append((ids[a[k]], ids[other]))
         linked = np.flatnonzero(counts)
         return pd.DataFrame({"class_id": np.concatenate([ids[linked], [e[0] for e in edges]]).astype(np.int64),
                              "other": pd.array([None] * len(linked) + [int(e[1]) for e in edges], dtype="Int64"),
@@ -149,27 +148,15 @@ def _compare_blocks(threshold: float, n_trees: int):
     return run
 
 
-def _first_shared(a: tuple, b: tuple) -> int:
-    """The smallest common element of two ascending tuples."""
-    i = j = 0
-    while True:
-        if a[i] == b[j]:
-            return a[i]
-        if a[i] < b[j]:
-            i += 1
-        else:
-            j += 1
-
-
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int = 10, spill: float = 0.05,
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int = 8, spill: float = 0.02,
                     leaf: int = LEAF, sample_rows: int = 50_000, seed: int = 17, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = pick(vectors, vec_id=id_col, v=vector_col, label=label_col)
-    rows = rows.withColumn("v", F.col("v").cast("array<double>")).withColumn("label", F.col("label").cast("long"))
+    rows = rows.withColumn("label", F.col("label").cast("long"))
     rows = rows.withColumn("valid", _usable("v") & F.col("label").isNotNull())
-    # -0.0 and 0.0 are one value; a class is one label and one vector
-    rows = rows.withColumn("v", F.when(F.col("valid"), F.transform("v", lambda x: x + F.lit(0.0))))
+    # -0.0 and 0.0 are one value; a class is one label and one vector, kept in the input's type
+    rows = rows.withColumn("v", F.when(F.col("valid"), F.transform("v", lambda x: F.when(x == 0, F.abs(x)).otherwise(x))))
     rows = rows.withColumn("class_key", F.when(F.col("valid"), F.sha2(F.to_json(F.struct("label", "v")), 256)))
     rows = materialise(rows, "vectors")
     classes = (rows.where("valid").groupBy("class_key").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id"),
@@ -203,8 +190,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int =
                         out[i] = [0]
             yield batch.assign(places=out)
 
+    vector = classes.schema["v"].dataType.simpleString()
     placed = classes.select("class_id", "label", "n", "v").mapInPandas(
-        place, "class_id long, label long, n long, v array<double>, places array<long>")
+        place, f"class_id long, label long, n long, v {vector}, places array<long>")
     placed = materialise(placed, "vector-leaves")
     entries = placed.withColumn("place", F.explode("places"))
     sizes = (entries.groupBy("label", F.size("v").alias("length"), "place").agg(F.count(F.lit(1)).alias("size"))
@@ -213,11 +201,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int =
     keyed = keyed.withColumn("block", F.pmod(F.xxhash64("class_id", "place"), F.col("blocks")).cast("int"))
     # a vector of block i meets the blocks before and after it
     paired = keyed.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "label", "length", F.shiftright("place", 32).alias("tree"), F.col("place").bitwiseAND(2**32 - 1).alias("leaf"),
+        "label", "length", "place",
         F.least("block", "mate").alias("first"), F.greatest("block", "mate").alias("second"),
         "block", "class_id", "n", "v", "places")
-    found = paired.groupBy("label", "length", "tree", "leaf", "first", "second").applyInPandas(
-        _compare_blocks(threshold, n_trees), "class_id long, other long, links long")
+    found = paired.groupBy("label", "length", "place", "first", "second").applyInPandas(
+        _compare_blocks(threshold), "class_id long, other long, links long")
     found = materialise(found, "vector-links")
 
     links = found.where("links > 0").groupBy("class_id").agg(F.sum("links").alias("links"))

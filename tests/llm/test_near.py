@@ -98,7 +98,6 @@ VECTOR = "vec_id long, embedding array<double>, label int, n string, places int"
 @pytest.mark.parametrize("block", [4096, 32])
 def test_forest_matches_all_pairs(frame, monkeypatch, block):
     monkeypatch.setattr(rpforest, "BLOCK", block)
-    monkeypatch.setattr(rpforest, "TILE", 16)
     rows = vectors() + ODD
     got = rpforest.near_duplicates(frame([(*r, "x", 1) for r in rows], VECTOR), leaf=20).collect()
     want = brute.cosines(rows)
