@@ -105,10 +105,11 @@ def _head(row: dict) -> bytes:
 
 
 class _ArchiveWriter:
-    """Gzip members of one task, in files of about ``FILE_BYTES``."""
+    """Gzip members of one task, in files of about ``file_bytes``."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, file_bytes: int):
         self.fs, self.folder = file_system(folder)
+        self.file_bytes = file_bytes
         self.fs.create_dir(self.folder, recursive=True)
         self.out, self.member, self.done = None, None, []
 
@@ -126,7 +127,7 @@ class _ArchiveWriter:
     def end(self) -> None:
         self._put(self.member.compress(b"\r\n\r\n") + self.member.flush())
         self.records += 1
-        if self.size >= FILE_BYTES:
+        if self.size >= self.file_bytes:
             self.close()
 
     def close(self) -> None:
@@ -141,10 +142,10 @@ class _ArchiveWriter:
             self.size += len(data)
 
 
-def write_archives(records: DataFrame, folder: str) -> DataFrame:
+def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the planned records; returns the committed manifest (file, records, bytes)."""
     def run(batches):
-        writer, left = _ArchiveWriter(folder), 0
+        writer, left = _ArchiveWriter(folder, file_bytes), 0
         for batch in batches:
             for row in batch.to_pylist():
                 if row["chunk_no"] == 0:
@@ -273,10 +274,11 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TABLE, strict=True)], schema=_TABLE)
 
 
-def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit: int = 100) -> DataFrame:
+def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit: int = 100,
+                  file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write all pages to archives and return their manifest."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    return write_archives(plan_records(pages, min_revisit), folder)
+    return write_archives(plan_records(pages, min_revisit), folder, file_bytes)
 
 
 __all__ = ["archive_pages", "file_system", "plan_records", "read_chunks", "record_id", "write_archives"]

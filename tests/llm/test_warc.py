@@ -14,14 +14,13 @@ def archived(frame, pages, **options):
     return warc.archive_pages(df, **options)
 
 
-def test_records_read_back(frame, monkeypatch):
-    monkeypatch.setattr(warc, "FILE_BYTES", 5000)
+def test_records_read_back(frame):
     rng = random.Random(2)
     body = "<p>caf\u00e9</p>\r\n\r\nWARC/1.1\r\n" * 20
     pages = [(i, body if i % 3 == 0 else rng.choice(["", None, "x" * 99, "x" * 100, f"page {i} " * 30])) for i in range(60)]
     big = "".join(rng.choice("abc\r\n") for _ in range(700_000))
     pages += [(100, big), (101, big), (99, body)]
-    manifest = archived(frame, pages)
+    manifest = archived(frame, pages, file_bytes=2000)
     chunks = warc.read_chunks(manifest).collect()
     last = [r for r in chunks if r["is_last"]]
     got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in last}
