@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -71,3 +72,24 @@ def test_query_finds_verbatim_passages(spark):
     leaked = {i for i, t in docs.items() if any(x in t for x in items)}
     got = {r["doc_id"] for r in op5_decontamination(spark, sf).collect()}
     assert leaked and leaked <= got and len(got - leaked) <= 0.05 * len(leaked)
+
+
+def test_query_matches_all_alignments(spark):
+    sf = "/root/testdata/sf0.001"
+    items = [(r["item_id"], decontam.normal_words(r["text"])) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    docs = [(r["doc_id"], decontam.normal_words(r["text"])) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = set()
+    for item, ours in items:
+        places = {}
+        for i, w in enumerate(ours):
+            places.setdefault(w, []).append(i)
+        for doc, theirs in docs:
+            shifts = Counter(j - i for j, w in enumerate(theirs) for i in places.get(w, ()))
+            for shift, n in shifts.items():
+                if n >= 0.8 * min(13, len(ours)):  # else no span can agree
+                    low, high = max(0, -shift), min(len(ours), len(theirs) - shift)
+                    a, b = decontam.longest_span(np.array([x == y for x, y in zip(ours[low:high], theirs[low + shift:high + shift], strict=True)]), 0.8)
+                    if b - a >= min(13, len(ours)):
+                        want.add((doc, item))
+    got = {(r["doc_id"], r["item_id"]) for r in op5_decontamination(spark, sf).collect()}
+    assert want and got == want
