@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from segrec.llm.common import map_rows, pick
 from segrec.llm.pieces import BLANK, Cache, vocab
 
-# Entries of the per-worker memos (about 300 bytes each): they save work, results do not depend on them.
-CACHE = 700_000
+# Entries of the memo of a task (about 300 bytes each): it saves work, results do not depend on it.
+CACHE = 500_000
 # a solved unit: best score, its piece ids (32-bit, packed), loss of the second best, decoded text
 _SCORE, _IDS, _LOSS, _TEXT = map(itemgetter, range(4))
 NONE = 1 << 62       # loss of a unit with a single segmentation
@@ -72,6 +72,11 @@ class Lattice:
         self._hashed_scores = np.array([self.vocab.scores[p] for p in pieces], dtype=np.int64)[order]
         self._longest = max(map(len, pieces))
 
+    def forget(self) -> None:
+        """Give the memory of the memos back: Spark keeps more Python workers than tasks run."""
+        self.unit.clear()
+        self._alternatives.clear()
+
     def _hash(self, piece: str) -> int:
         codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
         return int((codes * self._powers[:len(codes)]).sum(dtype=np.uint64))
@@ -339,6 +344,7 @@ def _mapped(docs, model_path, n_best, id_col, text_col, more, result) -> DataFra
                 for name, value in zip(names, result(ids, decoded), strict=True):
                     out[name].append(value)
             yield out
+        coder.forget()
 
     return map_rows(pick(docs, doc_id=id_col, text=text_col), f"doc_id {docs.schema[id_col].dataType.simpleString()}, "
                     f"n_pieces long, nbest_scores array<long>, round_trip boolean, {more}", work)
