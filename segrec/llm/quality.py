@@ -18,13 +18,21 @@ copy, is scored by a model that saw it.
    median; languages without trusted texts (or null) take that of all trusted texts. Documents
    above it are rejected.
 
+5. A second model of the same kind is trained on the texts labelled toxic, by the same shards
+   and folds. A document's toxicity is the largest sum, over windows of ``WINDOW`` bytes, of the
+   log-likelihood ratio of the two models of the other fold, so a few words in good prose count
+   in full however long the text. Its limit is formed as the threshold is, but with a margin
+   that grows where fewer than ``1 / (1 - quantile)`` trusted texts are scored (their largest
+   toxicity is no such quantile yet); documents above it are rejected. The label of a document itself decides nothing. Without toxic texts in the
+   other fold a document has no toxicity and the perplexity alone decides.
+
 What is counted and joined grows with the corpus; nothing is sampled and only counts of counts
-(eight numbers per order) and one threshold reach the driver.
+(sixteen numbers per order) and the two limits of all languages reach the driver.
 
 Defined results: a null or empty text has no perplexity and is kept (nothing speaks against
 it); with no trusted text at all there is no threshold and everything is kept; labels that are
 null, repeated or without a document: a document is trusted if any of its rows says quality 1
-and none says quality 0 or toxic 1; null doc_ids are never trusted; repeated rows are scored
+and none says quality 0 or toxic 1, and toxic if any says toxic 1; null doc_ids are neither; repeated rows are scored
 each; an empty table gives an empty result; other columns come back in the struct ``row``.
 """
 
@@ -45,6 +53,8 @@ from segrec.llm.common import CHUNK_BYTES, bucketed, chunk_table, materialise, p
 
 SHARD_GRAMS = 1 << 20
 SALTS = 64
+WINDOW = 16     # bytes of the window whose log-likelihood ratio is the toxicity
+RATIO_STEPS = 12  # a log-likelihood ratio of a byte is sent as one signed byte, in twelfths of a nat
 
 
 class ChunkGrams:
@@ -93,6 +103,25 @@ def _by_shard(distinct: np.ndarray, order: int, shards: int):
         yield divmod(int(dealt[run[0]]), shards), run
 
 
+def _marked(nth: pa.ChunkedArray, labelled: pa.Table, kind: str) -> np.ndarray:
+    """Which documents of a chunk have the mark ``kind``."""
+    return np.isin(nth.to_numpy(), labelled.filter(labelled[kind])["nth"].to_numpy())
+
+
+def strongest_window(values: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """Per text the largest sum of ``width`` neighbouring values (fewer at its begin), 0 if it is empty."""
+    running = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    high = np.arange(1, len(values) + 1)
+    sums = running[high] - running[np.maximum(high - width, np.repeat(starts, lengths))]
+    out = np.zeros(len(lengths), dtype=np.int64)
+    some = lengths > 0
+    if some.any():
+        out[some] = np.maximum.reduceat(sums, starts[some])
+    return out
+
+
 def pack_numbers(values: np.ndarray) -> bytes:
     """Numbers >= 0 in groups of seven bits; small ones take one byte."""
     values = values.astype(np.uint64)
@@ -129,107 +158,132 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
 
 
 def log_probabilities(counts: DataFrame, order: int, alphabet: int = 257) -> DataFrame:
-    """``counts`` (shard, gram, c0, c1: how often the gram is in trusted texts of either fold,
-    possibly never) -> shard, gram, p0, p1: its interpolated log-probabilities in both models.
+    """``counts`` (shard, gram, c0, c1, t0, t1: how often the gram is in trusted and in toxic texts
+    of either fold, possibly never) -> shard, gram, p0, p1: its interpolated log-probabilities in
+    both trusted models, r0, r1: its log-likelihood ratio, toxic to trusted, in steps (null where
+    a fold has no toxic text).
 
     p_n(w|u) = max(c(uw) - D, 0) / c(u) + gamma(u) p_(n-1)(w|u'), with continuation counts in
     place of c below the highest order and 1 / alphabet below order 1."""
+    models = ("c0", "c1", "t0", "t1")
     levels = {order: counts}
     for n in range(order - 1, 0, -1):
         levels[n] = materialise(levels[n + 1].groupBy(F.col("gram").bitwiseAND((1 << (8 * n)) - 1).alias("gram")).agg(
-            F.count_if(F.col("c0") > 0).alias("c0"), F.count_if(F.col("c1") > 0).alias("c1")), "kn-level")
-    # counts of counts: eight numbers per order
+            *(F.count_if(F.col(m) > 0).alias(m) for m in models)), "kn-level")
+    # counts of counts: sixteen numbers per order
     tallies = reduce(DataFrame.unionByName, (
-        level.agg(F.lit(n).alias("n"), *(F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in ("c0", "c1") for k in (1, 2, 3, 4)))
-        for n, level in levels.items()))
-    cut = {(r["n"], c): discounts({k: r[f"{c}_{k}"] for k in (1, 2, 3, 4)}) for r in tallies.collect() for c in ("c0", "c1")}
+        level.agg(F.lit(n).alias("n"), *(F.max(m).alias(m) for m in models),
+                  *(F.count_if(F.col(m) == k).alias(f"{m}_{k}") for m in models for k in (1, 2, 3, 4)))
+        for n, level in levels.items())).collect()
+    cut = {(r["n"], m): discounts({k: r[f"{m}_{k}"] for k in (1, 2, 3, 4)}) for r in tallies for m in models}
+    seen = {m: any(r[m] for r in tallies) for m in models}
 
     lower = None
     for n in range(1, order + 1):
         level = levels[n].withColumn("context", F.shiftright("gram", 8))
-        for f in "01":
-            c, (d1, d2, d3) = F.col(f"c{f}"), cut[n, f"c{f}"]
-            level = level.withColumn(f"taken{f}", F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3))
-        sums = [F.sum(f"{x}{f}").alias(f"{x}{f}_all") for f in "01" for x in ("c", "taken")]
+        for m in models:
+            c, (d1, d2, d3) = F.col(m), cut[n, m]
+            level = level.withColumn(f"taken_{m}", F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3))
+        sums = [F.sum(x).alias(f"{x}_all") for m in models for x in (m, f"taken_{m}")]
         p = level.join(level.groupBy("context").agg(*sums), "context")
         if lower is None:
-            p = p.withColumn("below0", F.lit(1.0 / alphabet)).withColumn("below1", F.lit(1.0 / alphabet))
+            p = p.withColumns({f"below_{m}": F.lit(1.0 / alphabet) for m in models})
         else:
             p = p.withColumn("short", F.col("gram").bitwiseAND((1 << (8 * (n - 1))) - 1)).join(lower, "short")
-        own = [F.when(F.col(f"c{f}_all") > 0, (F.col(f"c{f}") - F.col(f"taken{f}") + F.col(f"taken{f}_all") * F.col(f"below{f}"))
-                      / F.col(f"c{f}_all")).otherwise(F.col(f"below{f}")) for f in "01"]
+        own = {m: F.when(F.col(f"{m}_all") > 0, (F.col(m) - F.col(f"taken_{m}") + F.col(f"taken_{m}_all") * F.col(f"below_{m}"))
+                         / F.col(f"{m}_all")).otherwise(F.col(f"below_{m}")) for m in models}
         if n == order:
-            return p.select("shard", "gram", *(F.log(x).cast("float").alias(f"p{f}") for f, x in zip("01", own)))
-        lower = materialise(p.select(F.col("gram").alias("short"), own[0].alias("below0"), own[1].alias("below1")), "kn-probabilities")
+            ratio = {f: F.greatest(F.lit(-127), F.least(F.lit(127), F.round(RATIO_STEPS * F.log(own[f"t{f}"] / own[f"c{f}"])))) for f in "01"}
+            return p.select("shard", "gram", *(F.log(own[f"c{f}"]).cast("float").alias(f"p{f}") for f in "01"),
+                            *((ratio[f] if seen[f"t{f}"] else F.lit(None)).cast("tinyint").alias(f"r{f}") for f in "01"))
+        # the ratio is rounded, so the toxic side needs fewer digits
+        lower = materialise(p.select(F.col("gram").alias("short"), *(own[m].cast("float" if m[0] == "t" else "double").alias(f"below_{m}")
+                                                                     for m in models)), "kn-probabilities")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float = 2.0, quantile: float = 0.995,
                     margin: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     chunk_bytes: int = CHUNK_BYTES * 3 // 4, with_text: bool = False) -> DataFrame:
     """Per document: ``row`` (its other columns), n_bytes, perplexity (per byte), score, threshold,
-    kept; with ``with_text`` also its text."""
+    toxicity, toxic_limit, kept; with ``with_text`` also its text."""
     if not 2 <= order <= 7:
         raise ValueError("order must be between 2 and 7 (n-grams are kept in longs)")
     chunks, source_bytes = chunk_table(docs, text_col, chunk_bytes)
     shards = max(1, source_bytes // (20 * SHARD_GRAMS) + 1)
     verdict = (pick(labels, doc_id="doc_id", quality="quality", toxic="toxic").where("doc_id is not null").groupBy("doc_id")
                .agg(F.max("quality").alias("best"), F.min("quality").alias("worst"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
-               .where("best = 1 and worst = 1 and toxic = 0").select("doc_id"))
+               .selectExpr("doc_id", "coalesce(best = 1 and worst = 1 and toxic = 0, false) as trusted", "toxic = 1 as toxic")
+               .where("trusted or toxic"))
     ids = chunks.select("chunk", "nth", F.col(f"row.`{id_col}`").alias("doc_id"))
-    trusted = materialise(ids.join(verdict, "doc_id", "left_semi").select("chunk", "nth"), "trusted")
+    labelled = materialise(ids.join(verdict, "doc_id").select("chunk", "nth", "trusted", "toxic"), "labelled")
 
     def fragments(key, left, right):
         w = ChunkGrams(left["text"].to_pylist(), order)
-        is_trusted = np.isin(left["nth"].to_numpy(), right["nth"].to_numpy())
-        counts = np.bincount(w.which[is_trusted[w.doc]], minlength=len(w.distinct))
+        counts, toxic = (np.bincount(w.which[_marked(left["nth"], right, c)[w.doc]], minlength=len(w.distinct)) for c in ("trusted", "toxic"))
         grams = w.distinct & gram_mask
-        rows = [(key[0].as_py(), fold, shard, pack_numbers(np.diff(grams[places], prepend=0)), pack_numbers(counts[places]))
+        rows = [(key[0].as_py(), fold, shard, pack_numbers(np.diff(grams[places], prepend=0)), pack_numbers(counts[places]), pack_numbers(toxic[places]))
                 for (fold, shard), places in _by_shard(w.distinct, order, shards)]
-        columns = zip(*rows, strict=True) if rows else [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chunk", "fold", "shard", "grams", "counts"])
+        columns = zip(*rows, strict=True) if rows else [()] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chunk", "fold", "shard", "grams", "counts", "toxic"])
 
     gram_mask = (1 << (8 * order)) - 1
-    sent = chunks.select("chunk", "nth", "text").groupBy("chunk").cogroup(trusted.groupBy("chunk")).applyInArrow(
-        fragments, "chunk long, fold long, shard long, grams binary, counts binary")
+    sent = chunks.select("chunk", "nth", "text").groupBy("chunk").cogroup(labelled.groupBy("chunk")).applyInArrow(
+        fragments, "chunk long, fold long, shard long, grams binary, counts binary, toxic binary")
     # merged once and answered once: dealt by shard and written, so both read it without a shuffle
     sent = bucketed(sent.repartition(shards, "shard"), "grams", "shard", shards)
 
     def merge(key, table):
         grams = [np.cumsum(unpack_numbers(x)) for x in table["grams"].to_pylist()]
-        counts = np.concatenate([unpack_numbers(x) for x in table["counts"].to_pylist()])
         second = np.repeat(table["fold"].to_numpy(), [len(g) for g in grams]) == 1
         codes, distinct = pd.factorize(np.concatenate(grams))
-        c0, c1 = (np.bincount(codes, weights=counts * side, minlength=len(distinct)).astype(np.int64) for side in (~second, second))
-        return pa.table({"shard": pa.array(np.full(len(distinct), key[0].as_py()), pa.int64()), "gram": pa.array(distinct, pa.int64()),
-                         "c0": pa.array(c0), "c1": pa.array(c1)})
-
-    counts = materialise(sent.select("fold", "shard", "grams", "counts").groupBy("shard").applyInArrow(
-        merge, "shard long, gram long, c0 long, c1 long"), "gram-counts")
+        out = {"shard": pa.array(np.full(len(distinct), key[0].as_py()), pa.int64()), "gram": pa.array(distinct, pa.int64())}
+        for name, column in (("c", "counts"), ("t", "toxic")):
+            counts = np.concatenate([unpack_numbers(x) for x in table[column].to_pylist()])
+            for fold, side in enumerate((~second, second)):
+                out[f"{name}{fold}"] = pa.array(np.bincount(codes, weights=counts * side, minlength=len(distinct)).astype(np.int64))
+        return pa.table(out)
+
+    counts = materialise(sent.select("fold", "shard", "grams", "counts", "toxic").groupBy("shard").applyInArrow(
+        merge, "shard long, gram long, c0 long, c1 long, t0 long, t1 long"), "gram-counts")
     logp = log_probabilities(counts, order)
 
     def answer(key, left, right):
         place = np.argsort(right["gram"].to_numpy())
         known = right["gram"].to_numpy()[place]
-        values = [right[p].to_numpy()[place] for p in ("p1", "p0")]  # a fold is scored by the other's model
-        out = [values[f][np.searchsorted(known, np.cumsum(unpack_numbers(x)))].astype(np.float32).tobytes()
-               for f, x in zip(left["fold"].to_pylist(), left["grams"].to_pylist(), strict=True)]
-        return pa.table([left["chunk"], left["fold"], left["shard"], pa.array(out, pa.binary())], names=["chunk", "fold", "shard", "logp"])
+        # a fold is scored by the other's models
+        values = [right[p].to_numpy()[place].astype(np.float32) for p in ("p1", "p0")]
+        ratios = [None if right[r].null_count else right[r].to_numpy()[place].astype(np.int8) for r in ("r1", "r0")]
+        logp, ratio = [], []
+        for f, x in zip(left["fold"].to_pylist(), left["grams"].to_pylist(), strict=True):
+            at = np.searchsorted(known, np.cumsum(unpack_numbers(x)))
+            logp.append(values[f][at].tobytes())
+            ratio.append(None if ratios[f] is None else ratios[f][at].tobytes())
+        return pa.table([left["chunk"], left["fold"], left["shard"], pa.array(logp, pa.binary()), pa.array(ratio, pa.binary())],
+                        names=["chunk", "fold", "shard", "logp", "ratio"])
 
     answers = sent.select("chunk", "fold", "shard", "grams").groupBy("shard").cogroup(logp.groupBy("shard")).applyInArrow(
-        answer, "chunk long, fold long, shard long, logp binary")
+        answer, "chunk long, fold long, shard long, logp binary, ratio binary")
     # the trusted documents of a chunk come along as rows of a shard of their own
-    known = trusted.select("chunk", F.lit(None).cast("long").alias("fold"), F.lit(-1).cast("long").alias("shard"),
-                           F.lit(None).cast("binary").alias("logp"), "nth")
+    none = F.lit(None).cast("binary")
+    known = labelled.where("trusted").select("chunk", F.lit(None).cast("long").alias("fold"), F.lit(-1).cast("long").alias("shard"),
+                                             none.alias("logp"), none.alias("ratio"), "nth")
     answers = answers.withColumn("nth", F.lit(None).cast("long")).unionByName(known)
 
     def score(key, left, right):
         order_ = left["nth"].to_numpy()
         w = ChunkGrams(left["text"].to_pylist(), order)
-        got = {(f, s): x for f, s, x in zip(*(right[c].to_pylist() for c in ("fold", "shard", "logp")), strict=True)}
-        values = np.zeros(len(w.distinct))
+        got = {(f, s): x for f, s, *x in zip(*(right[c].to_pylist() for c in ("fold", "shard", "logp", "ratio")), strict=True)}
+        values, ratios = np.zeros(len(w.distinct)), np.zeros(len(w.distinct), dtype=np.int8)
+        unknown = set()  # folds without toxic texts to be scored by
         for dealt, places in _by_shard(w.distinct, order, shards):
-            values[places] = np.frombuffer(got[dealt], np.float32)
+            logp, ratio = got[dealt]
+            values[places] = np.frombuffer(logp, np.float32)
+            if ratio is None:
+                unknown.add(dealt[0])
+            else:
+                ratios[places] = np.frombuffer(ratio, np.int8)
+        toxicity = strongest_window(ratios[w.which], w.lengths, WINDOW) / RATIO_STEPS
         each = -values[w.which]
         n = w.lengths
         total = np.bincount(w.doc, weights=each, minlength=len(n))
@@ -239,15 +293,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
             error = np.sqrt(np.maximum(square / n - mean * mean, 0) / n)
         empty = n == 0
         is_trusted = np.isin(order_, right.filter(pc.equal(right["shard"], -1))["nth"].to_numpy())
+        unscored = empty | np.isin(w.fold, list(unknown))
         return pa.table([left["chunk"], left["nth"], left["row"], left["lang"], pa.array(n),
                          pa.array(np.exp(np.where(empty, 0, mean)), mask=empty),
-                         pa.array(np.where(empty, 0, mean - z * error), mask=empty), pa.array(is_trusted)],
-                        names=["chunk", "nth", "row", "lang", "n_bytes", "perplexity", "score", "trusted"])
+                         pa.array(np.where(empty, 0, mean - z * error), mask=empty), pa.array(toxicity, mask=unscored),
+                         pa.array(is_trusted)],
+                        names=["chunk", "nth", "row", "lang", "n_bytes", "perplexity", "score", "toxicity", "trusted"])
 
     scored_schema = StructType([chunks.schema["chunk"], chunks.schema["nth"], chunks.schema["row"],
                                 StructField("lang", StringType()), StructField("n_bytes", LongType()),
                                 StructField("perplexity", DoubleType()), StructField("score", DoubleType()),
-                                StructField("trusted", BooleanType())])
+                                StructField("toxicity", DoubleType()), StructField("trusted", BooleanType())])
     lang = F.col(f"row.`{lang_col}`").cast("string").alias("lang")
     scored = materialise(chunks.select("chunk", "nth", "text", "row", lang).groupBy("chunk").cogroup(answers.groupBy("chunk"))
                          .applyInArrow(score, scored_schema), "scored")
@@ -256,15 +312,22 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
         mid, high = F.percentile_approx(column, 0.5, 10_000), F.percentile_approx(column, quantile, 10_000)
         return high + F.lit(margin) * (high - mid)
 
+    def toxic_cut():
+        mid, high = F.percentile_approx("toxicity", 0.5, 10_000), F.percentile_approx("toxicity", quantile, 10_000)
+        few = F.greatest(F.lit(1.0), 1 / (1 - quantile) / F.count("toxicity"))
+        return high + F.lit(margin) * few * (high - mid)
+
     good = scored.where("trusted and score is not null")
-    overall = good.agg(cut("score")).first()[0]
-    per_lang = good.where("lang is not null").groupBy("lang").agg(cut("score").alias("own"))
+    overall = good.agg(cut("score"), toxic_cut()).first()
+    per_lang = good.where("lang is not null").groupBy("lang").agg(cut("score").alias("own"), toxic_cut().alias("own_toxic"))
     # one language can hold nearly all rows: documents meet one of several copies of its threshold
     copies = per_lang.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     out = scored.withColumn("salt", F.pmod(F.xxhash64("chunk", "nth"), F.lit(SALTS)).cast("int")).join(copies, ["lang", "salt"], "left")
-    threshold = F.coalesce("own", F.lit(overall).cast("double"))
+    threshold, toxic_limit = (F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("own", "own_toxic"), overall, strict=True))
     out = out.select("chunk", "nth", "row", "n_bytes", "perplexity", "score", threshold.alias("threshold"),
-                     F.coalesce(F.col("score") <= threshold, F.lit(True)).alias("kept"))
+                     "toxicity", toxic_limit.alias("toxic_limit"),
+                     (F.coalesce(F.col("score") <= threshold, F.lit(True))
+                      & F.coalesce(F.col("toxicity") <= toxic_limit, F.lit(True))).alias("kept"))
     if not with_text:
         return out.drop("chunk", "nth")
 
@@ -274,7 +337,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
         right = right.take(pa.array(place))
         return pa.table([right["row"], left["text"].cast(pa.string()), *(right[c] for c in fields)], names=["row", "text", *fields])
 
-    fields = ["n_bytes", "perplexity", "score", "threshold", "kept"]
+    fields = ["n_bytes", "perplexity", "score", "threshold", "toxicity", "toxic_limit", "kept"]
     schema = StructType([chunks.schema["row"], StructField("text", StringType()), *(out.schema[c] for c in fields)])
     return chunks.select("chunk", "nth", "text").groupBy("chunk").cogroup(out.groupBy("chunk")).applyInArrow(with_texts, schema)
 

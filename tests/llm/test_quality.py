@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -100,6 +101,27 @@ def test_held_out_accuracy(spark):
     assert sum(bad) <= 0.2 * len(bad)
 
 
+def test_toxic_documents_are_rejected_by_a_model_that_did_not_see_them(spark):
+    sf = "/root/testdata/sf0.1"
+    insults = re.compile(r"\b(idiot|trash|moron|pathetic|worthless|disgusting|stupid|clown|loser|scum)\b", re.I)
+    said = {r["doc_id"]: len(insults.findall(r["text"] or "")) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r["doc_id"]: (r["quality"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    kept = {r["doc_id"]: r["kept"] for r in op3_quality_classifier(spark, sf).collect()}
+    toxic = [kept[i] for i, v in labels.items() if v[1] == 1]
+    assert sum(toxic) <= 0.3 * len(toxic)  # four in ten of these labels have no insult in the text
+    rude = [kept[i] for i, n in said.items() if n >= 2]
+    assert sum(rude) <= 0.01 * len(rude)
+    unlabelled = [kept[i] for i, n in said.items() if n >= 1 and i not in labels]
+    assert sum(unlabelled) <= 0.01 * len(unlabelled)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(-127, 127), max_size=40), min_size=1, max_size=6))
+def test_strongest_window(texts):
+    got = quality.strongest_window(np.array([x for t in texts for x in t], dtype=np.int8), np.array([len(t) for t in texts]), 16)
+    assert got.tolist() == [max((sum(t[max(0, k - 16):k]) for k in range(1, len(t) + 1)), default=0) for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**56)))
 def test_numbers_round_trip(numbers):
