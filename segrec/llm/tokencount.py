@@ -7,6 +7,11 @@ from single characters gives the two back. So each prefix has one last token ``t
 
     count(prefix) = count(prefix without t) + 1
 
+Counts add up over the segments of a unit (``pieces.py``), so a segment is counted on its own.
+Prefixes of short units and segments are kept between texts, in a memo with a bound in bytes; a
+long segment is counted in lists by position that live as long as the segment does, so memory grows with the
+length of a run without blanks and not with its square.
+
 One pass over the characters gives the exact count of *every* prefix; a truncation or budget
 question is then a look-up, without encoding again. The table of a text is kept as one signed
 byte per character (the change of the count), ``count_deltas``; ``tokens_at`` and
@@ -20,6 +25,7 @@ are dropped); an empty table gives an empty result. Rows never leave their task.
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -30,8 +36,30 @@ from pyspark.sql import functions as F
 from segrec.llm.common import map_rows, pick
 from segrec.llm.pieces import Cache, vocab
 
-# Entries of the per-worker memos (about 200 bytes each): they save work, results do not depend on them.
-CACHE = 1_200_000
+# Bounds of the per-worker memos: entries of compatible pairs, bytes of prefix states and of unit
+# counts. They save work, results do not depend on them.
+CACHE = 600_000
+CACHE_BYTES = 240 << 20
+ENTRY = 200      # bytes of an entry besides its characters (four bytes each at most)
+SHORT = 40       # characters up to which a unit is not cut, and prefixes and counts are kept
+
+
+class _UnitTotals(dict):
+    """Token counts of units, computed when missing; only short units are kept."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute, self.bytes = compute, 0
+
+    def __missing__(self, unit):
+        total = self.compute(unit)
+        if len(unit) <= SHORT:
+            if self.bytes > CACHE_BYTES:
+                self.clear()
+                self.bytes = 0
+            self[unit] = total
+            self.bytes += ENTRY + 4 * len(unit)
+        return total
 
 
 class PrefixCounter:
@@ -39,9 +67,10 @@ class PrefixCounter:
 
     def __init__(self, model_path: str):
         self.vocab = vocab(model_path)
-        self._compatible = Cache(self._keeps_border, CACHE // 2)
+        self._compatible = Cache(self._keeps_border, CACHE)
         self._states: dict[str, tuple[str, int]] = {"": ("", 0)}
-        self.unit_total = Cache(lambda unit: self.state(unit)[1], CACHE)
+        self._states_bytes = 0
+        self.unit_total = _UnitTotals(lambda unit: sum(self.segment_states(x)[-1][1] for x in self._parts(unit)))
 
     def _merge(self, symbols: list[str]) -> list[str]:
         """The tokens of a short string: best-scored neighbours first, the leftmost of equals."""
@@ -57,42 +86,58 @@ class PrefixCounter:
     def _keeps_border(self, pair: tuple[str, str]) -> bool:
         return self._merge([*pair[0], *pair[1]]) == [p for p in pair if p]
 
-    def state(self, unit: str) -> tuple[str, int]:
-        """(last token, token count) of a unit. The states of its prefixes are kept, so a unit
-        costs only the characters after its longest prefix that was met before."""
-        states, fits = self._states, self._compatible
-        if len(states) > CACHE:
-            states.clear()
-            states[""] = ("", 0)
-        known = len(unit)
-        while unit[:known] not in states:
-            known -= 1
-        for end in range(known + 1, len(unit) + 1):
-            node, at, tokens = self.vocab.ending, end, []
-            while at and (node := node.get(unit[at - 1])) is not None:
+    def _extend(self, text: str, found: list[tuple[str, int]]) -> None:
+        """Append the (last token, token count) of the prefixes of ``text`` that ``found`` lacks."""
+        ending, fits = self.vocab.ending, self._compatible
+        for end in range(len(found), len(text) + 1):
+            node, at, tokens = ending, end, []
+            while at and (node := node.get(text[at - 1])) is not None:
                 at -= 1
                 if "" in node:
                     tokens.append((at, node[""]))
             for start, token in reversed(tokens):
-                before, count = states[unit[:start]]
+                before, count = found[start]
                 if fits[before, token]:
                     break
             else:  # a character outside the vocabulary: its bytes
-                token = unit[end - 1]
-                count = states[unit[:end - 1]][1] + len(token.encode("utf-8", "surrogatepass")) - 1
-            states[unit[:end]] = (token, count + 1)
-        return states[unit]
+                token = text[end - 1]
+                count = found[end - 1][1] + len(token.encode("utf-8", "surrogatepass")) - 1
+            found.append((token, count + 1))
+
+    def _parts(self, unit: str) -> list[str]:
+        return [unit] if len(unit) <= SHORT else self.vocab.segments(unit)
+
+    def segment_states(self, segment: str) -> list[tuple[str, int]]:
+        """(last token, token count) of every prefix of a segment or short unit. Those of a short one are kept, so
+        it costs only the characters after its longest prefix that was met before."""
+        if len(segment) > SHORT:
+            found = [("", 0)]
+            self._extend(segment, found)
+            return found
+        states = self._states
+        if self._states_bytes > CACHE_BYTES:
+            states.clear()
+            states[""], self._states_bytes = ("", 0), 0
+        known = len(segment)
+        while segment[:known] not in states:
+            known -= 1
+        found = [states[segment[:k]] for k in range(known + 1)]
+        self._extend(segment, found)
+        for k in range(known + 1, len(segment) + 1):
+            states[segment[:k]] = found[k]
+            self._states_bytes += ENTRY + 4 * k
+        return found
 
     def total(self, text: str | None) -> int:
         return sum(map(self.unit_total.__getitem__, self.vocab.units(text))) if text else 0
 
     def prefix_counts(self, text: str | None) -> np.ndarray:
         """Tokens of ``text[:0]``, ``text[:1]``, ... ``text``."""
-        out, base = [0], 0
+        out, base = array("q", [0]), 0
         for unit in self.vocab.units(text or ""):
-            total = self.state(unit)[1]
-            out.extend(base + self._states[unit[:k]][1] for k in range(1, len(unit) + 1))
-            base += total
+            for segment in self._parts(unit):
+                out.extend([base + n for _, n in self.segment_states(segment)[1:]])
+                base = out[-1]
         # the leading blank that encoding adds is no character of the text
         return np.array([0, *out[2:]], dtype=np.int64) if len(out) > 1 else np.zeros(1, np.int64)
 

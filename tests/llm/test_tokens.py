@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -68,6 +69,29 @@ def test_small_memo_changes_nothing(model, monkeypatch):
     assert [small.total(t) for t in texts()] == [usual.total(t) for t in texts()]
 
 
+def test_long_runs_without_blanks_take_memory_by_their_length(model, library):
+    rng = random.Random(5)
+    base64 = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(8000))
+    han = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(1500)) for _ in range(4)]
+    runs = [base64, "e" * 3000, "ing" * 1000, "\n".join(han)]
+    counter = tokencount.PrefixCounter(model)
+    tracemalloc.start()
+    for text in runs:
+        assert counter.total(text) == len(library.encode(text))
+        assert counter.prefix_counts(text)[-1] == counter.total(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6  # every prefix as a string of its own: more than 40 MB
+
+
+def test_memo_is_bounded_in_bytes(model, monkeypatch):
+    monkeypatch.setattr(tokencount, "CACHE_BYTES", 5000)
+    small, usual = tokencount.PrefixCounter(model), tokencount.counter(model)
+    for text in texts():
+        assert small.prefix_counts(text).tolist() == usual.prefix_counts(text).tolist() and small.total(text) == usual.total(text)
+        assert sum(tokencount.ENTRY + 4 * len(x) for x in small.unit_total) <= 5000 + tokencount.ENTRY + 4 * tokencount.SHORT
+
+
 def all_scores(coder, text):
     """Scores of all segmentations of a short text, best first."""
     norm = BLANK + text.replace(" ", BLANK) if text else ""
