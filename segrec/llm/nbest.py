@@ -15,7 +15,8 @@ For a whole text the N best are combinations of alternatives of single units. An
 among the N best changes only units whose second-best loss is among the N - 1 smallest of the
 text, so the search runs for those units alone. The loss comes with the forward pass, which
 keeps the second-best score of every prefix too and runs over all new units of one length
-together, in arrays.
+together, in arrays. Inside a unit the same holds for its segments: alternatives are searched
+in the segments with the N - 1 smallest losses alone, the others stay at their best.
 
 Scores are whole numbers and sums exact. Ties: the best segmentation takes the longest last
 piece, again and again; among equal alternatives the order is by the earlier unit in the text.
@@ -29,7 +30,7 @@ from __future__ import annotations
 import heapq
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain, islice
+from itertools import chain, count, islice
 from operator import itemgetter
 
 import numpy as np
@@ -54,7 +55,7 @@ class Lattice:
         self.vocab = vocab(model_path)
         self.byte_score = min(s for s in self.vocab.scores.values() if s > UNSCORED) - 10
         self.unit = Cache(self._unit_best, CACHE)
-        self._alternatives = Cache(lambda key: list(islice(self._unit_paths(key[0]), key[1])), CACHE // 20)
+        self._alternatives = Cache(lambda key: list(islice(self._unit_paths(*key), key[1])), CACHE // 20)
         # pieces by a 64-bit polynomial hash of their code points, for many units at once
         step = 0x9E3779B97F4A7C15
         self._powers = np.cumprod(np.array([1] + [step] * LONGEST_BATCHED, dtype=np.uint64), dtype=np.uint64)
@@ -183,14 +184,20 @@ class Lattice:
         """All segmentations of a segment as (score, cuts), best first: backward A*."""
         arcs = self.arcs(segment)
         best, _, _ = self.forward(arcs)
-        queue = [(-best[-1], len(segment), 0, (len(segment),))]
+        pushed = count()
+        # the cuts of a path are a chain (cut, chain of the cuts behind it): paths share their ends
+        queue = [(-best[-1], len(segment), 0, next(pushed), (len(segment), None))]
         while queue:
-            _, at, done, cuts = heapq.heappop(queue)
+            _, at, done, _, chain_ = heapq.heappop(queue)
             if at == 0:
-                yield done, cuts
+                cuts = []
+                while chain_:
+                    cuts.append(chain_[0])
+                    chain_ = chain_[1]
+                yield done, tuple(cuts)
                 continue
             for start, score in arcs[at]:
-                heapq.heappush(queue, (-(best[start] + score + done), start, score + done, (start, *cuts)))
+                heapq.heappush(queue, (-(best[start] + score + done), start, score + done, next(pushed), (start, chain_)))
 
     def _ids(self, segment: str, cuts) -> list[int]:
         ids, byte_ids = self.vocab.ids, self.vocab.byte_ids
@@ -220,11 +227,41 @@ class Lattice:
     def _text(self, ids) -> bytes:
         return b"".join([self.vocab.texts[i] for i in ids])
 
-    def _unit_paths(self, unit: str):
-        """All segmentations of a unit as (score, packed ids), best first."""
+    def _unit_paths(self, unit: str, n: int):
+        """The ``n`` best segmentations of a unit as (score, packed ids), best first.
+
+        A combination that changes a segment scores no better than the one that changes it alone,
+        so only the segments with the ``n - 1`` smallest losses (all that tie at the end would be
+        equal, the earlier go first) have alternatives among the ``n`` best."""
         segments = self.vocab.segments(unit)
-        return _merged([_Lazy(self.segment_paths(s)) for s in segments],
-                       lambda chosen: _packed(chain.from_iterable(self._ids(s, p) for s, p in zip(segments, chosen, strict=True))))
+        losses, fixed, score = [], [], 0
+        for segment in segments:
+            best, second, back = self.forward(self.arcs(segment))
+            cuts = [len(segment)]
+            while cuts[-1]:
+                cuts.append(back[cuts[-1]])
+            fixed.append(_packed(self._ids(segment, cuts[::-1])))
+            score += best[-1]
+            losses.append(best[-1] - second[-1] if second[-1] > -NONE else NONE)
+        places = heapq.nsmallest(n - 1, (i for i, loss in enumerate(losses) if loss < NONE), key=lambda i: (losses[i], i))
+        places.sort()
+        if not places:
+            yield score, b"".join(fixed)
+            return
+        # what lies between two of the places is the same in all
+        edges = [-1, *places, len(segments)]
+        between = [b"".join(fixed[a + 1:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+        def rebuilt(chosen):
+            out = [between[0]]
+            for i, cuts, after in zip(places, chosen, between[1:], strict=True):
+                out += [_packed(self._ids(segments[i], cuts)), after]
+            return b"".join(out)
+
+        options = [_Lazy(self.segment_paths(segments[i])) for i in places]
+        base = score - sum(x.get(0)[0] for x in options)
+        for found, ids in _merged(options, rebuilt):
+            yield base + found, ids
 
     def _found(self, units: list[str], n: int):
         """Best segmentations of the units, the places that the ``n`` best of the text may

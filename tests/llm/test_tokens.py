@@ -122,6 +122,24 @@ def test_n_best_are_the_best(model):
             assert coder.decode(ids) == text.replace(BLANK, " ")
 
 
+def test_n_best_of_a_long_unit(model):
+    coder = nbest.Lattice(model)
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for n in range(1, 7):
+        for text in ("".join(rng.choice(letters) for _ in range(150)), "www....!!!!" * 6):
+            assert [s for s, _ in coder.encode(text, n)] == all_scores(coder, text)[:n]
+    for text in ("".join(rng.choice(letters) for _ in range(6000)), "ing" * 2000):
+        tracemalloc.start()
+        found = coder.encode(text, 4)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 20e6  # whole index or cut tuples for every change take several times as much
+        assert [s for s, _ in found] == all_scores(coder, text)[:4]
+        assert len({tuple(ids) for _, ids in found}) == 4 and all(coder.decode(ids) == text for _, ids in found)
+        assert coder.best(coder.vocab.units(text), 4)[1] == [s for s, _ in found]
+
+
 def test_a_star_yields_in_order(model):
     coder = nbest.lattice(model)
     scores = [s for s, _ in coder.segment_paths(BLANK + "internationale")]
