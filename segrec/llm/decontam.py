@@ -4,7 +4,8 @@ Words are lower-cased runs without ASCII punctuation or white space. A fixed mas
 words of a window and ignores the others, so a seed still matches when ignored words were
 substituted; five masks of weight five and spans of 5 to 9 find 97 % of 15-word passages with
 every fifth word substituted at random, and all with fewer. Items shorter than the longest
-mask are also found by masks that fit them; items below ``least_words`` words are too short to
+mask are also found by masks that fit them (of five-word items only equal copies, of six-word
+items those and copies whose first, third or last word was substituted); items below ``least_words`` words are too short to
 identify a leak and have no seeds.
 
 1. The seeds of all benchmark items set bits in one bitmap of a fixed size (2^25 bits, built by
@@ -13,7 +14,8 @@ identify a leak and have no seeds.
 2. The seeds of the others join the item seeds; every hit names an item and a diagonal (the
    shift between the two texts). Each diagonal is verified once on the words themselves: the
    longest aligned span of at least ``span`` words (or the item's length, if shorter) with at
-   least ``agree`` of its words equal.
+   least ``agree`` of its words equal. The span is judged as it is; for the report unequal words are
+   cut from its ends as long as the required length remains.
 
 A benchmark passage in a third of all documents is a hot seed only of the small item side; the
 document side of the joins can be split. No text is shuffled but that of candidates.
@@ -109,7 +111,7 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
 
 
 def longest_span(equal: np.ndarray, agree: float) -> tuple[int, int]:
-    """The longest [low, high) that has at least ``agree`` of its places equal and equal ends."""
+    """The longest [low, high) that has at least ``agree`` of its places equal."""
     score = np.concatenate(([0.0], np.cumsum(equal - agree)))
     score = np.round(score, 9)
     lowest = np.minimum.accumulate(score)
@@ -117,10 +119,14 @@ def longest_span(equal: np.ndarray, agree: float) -> tuple[int, int]:
     first = np.searchsorted(-lowest, -score, side="left")
     length = np.arange(len(score)) - first
     high = int(np.argmax(length))
-    low = int(first[high])
-    while low < high and not equal[low]:
+    return int(first[high]), high
+
+
+def trimmed(equal: np.ndarray, low: int, high: int, least: int) -> tuple[int, int]:
+    """[low, high) without unequal places at its ends, but of ``least`` places at least."""
+    while high - low > least and not equal[low]:
         low += 1
-    while low < high and not equal[high - 1]:
+    while high - low > least and not equal[high - 1]:
         high -= 1
     return low, high
 
@@ -181,7 +187,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, span: int = 13, agree:
                 high = min(len(ours), low + len(theirs))
                 equal = np.array(ours[low:high]) == np.array(theirs[:high - low])
                 a, z = longest_span(equal, agree)
-                if z - a >= min(span, len(ours)):
+                least = min(span, len(ours))
+                if z - a >= least:
+                    a, z = trimmed(equal, a, z, least)
                     for k, v in zip(out, (doc, item_id, low + a + shift, low + a, z - a, int(equal[a:z].sum())), strict=True):
                         out[k].append(v)
             yield out

@@ -64,6 +64,26 @@ def test_longest_span(equal):
     assert best - 0.2 * best - 1 <= high - low <= best
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.booleans(), max_size=40), st.integers(1, 15))
+def test_a_span_passes_if_any_window_does(equal, least):
+    low, high = decontam.longest_span(np.array(equal, dtype=bool), 0.8)
+    windows = [(i, j) for i in range(len(equal)) for j in range(i + least, len(equal) + 1) if 10 * sum(equal[i:j]) >= 8 * (j - i)]
+    assert (high - low >= least) == bool(windows)
+    if windows:
+        a, b = decontam.trimmed(np.array(equal, dtype=bool), low, high, least)
+        assert low <= a and b <= high and (a, b) in windows and sum(equal[a:b]) == sum(equal[low:high])
+
+
+def test_substituted_ends_are_found(frame):
+    cases = [(13, {0}), (13, {12}), (15, {0, 1, 14}), (15, {12, 13, 14}), (12, {0, 11}), (10, {0, 9}), (6, {0}), (6, {5}), (7, {0}), (8, {7})]
+    items = [(k, " ".join(f"item{k}x{i}" for i in range(n)), "") for k, (n, _) in enumerate(cases)]
+    docs = [(k, "some words " + " ".join(f"other{i}" if i in gone else f"item{k}x{i}" for i in range(n)) + " and more", "", 0)
+            for k, (n, gone) in enumerate(cases)]
+    got = decontam.find_overlaps(frame(docs, SCHEMA), frame(items, ITEM)).collect()
+    assert sorted((r["row"]["doc_id"], r["item_id"]) for r in got) == [(k, k) for k in range(len(cases))]
+
+
 def test_query_finds_verbatim_passages(spark):
     sf = "/root/testdata/sf0.01"
     flat = lambda t: " ".join(t.split())
