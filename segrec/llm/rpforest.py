@@ -11,6 +11,10 @@ all vectors are indexed. Vectors meet in a leaf, are compared there in double pr
 links are united. Equal vectors of one label are one class with a count throughout, so copies
 cost nothing and lose nothing.
 
+A split is made only where it pays: the vectors that go to both sides must be less than
+``OVERLAP`` of the smaller side. Where no tried direction and cut does, the node stays one leaf,
+so a dense cluster costs one entry per vector and tree and not a tree of copies.
+
 A leaf can hold a third of all vectors (one dense cluster cannot be split without losing
 links). Its vectors are dealt into blocks by hash, and a task compares one pair of blocks, so
 memory is bounded and no pair is emitted: a task returns, per vector, how many rows it links
@@ -39,6 +43,8 @@ from segrec.llm.components import connected_components
 
 LEAF = 2048     # a node of at most so many vectors (in proportion: of the sample) is not split further
 BLOCK = 4096    # vectors of a leaf in one block
+OVERLAP = 0.45  # share of a split's smaller side that may be on both sides
+CUTS = (0.5, 0.5, 0.3, 0.7, 0.15, 0.85, 0.5, 0.3, 0.7, 0.15, 0.85)  # tried in turn, each along a new direction
 TILE = 1024     # side of the dot-product tiles within a block pair
 
 
@@ -53,16 +59,18 @@ class Tree:
     def _grow(self, rows: np.ndarray, rng: np.random.Generator) -> int:
         place = len(self.nodes)
         self.nodes.append(None)
-        if len(rows) > self.leaf:
+        for share in CUTS if len(rows) > self.leaf else ():
             direction = rng.standard_normal(rows.shape[1])
             direction /= np.linalg.norm(direction)
             along = rows @ direction
-            cut = float(np.median(along))
+            cut = float(np.quantile(along, share))
             left, right = along <= cut + self.spill, along >= cut - self.spill
-            # a split that keeps nearly everything on both sides separates nothing
-            if max(left.sum(), right.sum()) <= 0.9 * len(rows):
+            n_left, n_right = int(left.sum()), int(right.sum())
+            # a split that keeps nearly everything on one side or much on both separates little
+            if max(n_left, n_right) <= 0.9 * len(rows) and n_left + n_right - len(rows) <= OVERLAP * min(n_left, n_right):
                 children = self._grow(rows[left], rng), self._grow(rows[right], rng)
                 self.nodes[place] = (direction, cut, *children)
+                break
         return place
 
     def leaves(self, rows: np.ndarray) -> list[list[int]]:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import brute_llm as brute
 import numpy as np
@@ -114,6 +115,34 @@ def test_forest_fitted_on_a_small_sample(frame):
     assert found >= 0.99 * all_links and all(r["n_links"] <= want[r["vec_id"]][0] for r in got)
 
 
+def dense(n, cosine, rng, dims=64):
+    centre = rng.standard_normal(dims)
+    rows = centre / np.linalg.norm(centre) + rng.standard_normal((n, dims)) * np.sqrt((1 / cosine - 1) / dims)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("cosine", [0.95, 0.97, 0.99])
+def test_a_dense_cluster_does_not_multiply(cosine):
+    rng = np.random.default_rng(8)
+    others = rng.standard_normal((1500, 64))
+    others /= np.linalg.norm(others, axis=1, keepdims=True)
+    for rows in (dense(2400, cosine, rng), np.concatenate([dense(900, cosine, rng), others])):
+        tree = rpforest.Tree(rows, np.random.default_rng(2), 150, 0.02)
+        leaves = tree.leaves(rows)
+        assert sum(map(len, leaves)) <= 4 * len(rows)
+    sizes = Counter(x for places in leaves for x in places)
+    assert len(sizes) > 4  # what is not dense is split still
+
+
+def test_links_of_a_dense_label(frame):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([dense(700, 0.94, rng), dense(300, 0.97, rng)]))]
+    got = rpforest.near_duplicates(frame([(*r, "x", 1) for r in rows], VECTOR), leaf=100).collect()
+    want = brute.cosines(rows)
+    found, all_links = sum(r["n_links"] for r in got), sum(n for n, _ in want.values())
+    assert found >= 0.99 * all_links and all(r["n_links"] <= want[r["vec_id"]][0] for r in got)
+
+
 def test_forest_odd_rows(frame):
     v = [1.0, 2.0]
     got = rpforest.near_duplicates(frame([(1, v, 0, "", 0), (1, v, 0, "", 0), (2, [2.0, 4.0], 0, "", 0), (None, [5.0, -1.0], 0, "", 0)], VECTOR)).collect()
