@@ -16,7 +16,7 @@
    one component or were compared, so no candidate is lost, and no group is held by one task.
 
 With 32 bands of 4 minima a pair of similarity 0.8 shares no band with probability 5e-8; the
-estimate misses one with probability below 4e-5 (``slack`` = 4 standard errors). No link below
+estimate misses one with probability 4e-10 (binomial; ``slack`` = 7 standard errors). No link below
 the threshold is made.
 
 Defined results: null text, or text without words, has an empty set and links with nothing;
@@ -192,7 +192,7 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes: int = 128, bands: int = 32,
-                    bits: int = 2, slack: float = 4.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    bits: int = 2, slack: float = 7.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     signer = Signer(hashes, bands, bits)

@@ -1,3 +1,5 @@
+import inspect
+import math
 import random
 from collections import Counter
 
@@ -68,6 +70,12 @@ def test_estimate_is_corrected_for_collisions(spark):
     assert all(abs(r["share"] - r["e"]) < 0.03 for r in est)
 
 
+def test_estimate_misses_no_more_than_the_bands():
+    slack = inspect.signature(minhash.near_duplicates).parameters["slack"].default
+    least = minhash.least_matches(0.8, 128, 2, slack)
+    assert sum(math.comb(128, k) * 0.85**k * 0.15**(128 - k) for k in range(least)) < 5e-8
+
+
 def test_minhash_query(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op7_minhash_dedup(spark, "/root/testdata/sf0.001").collect()}
