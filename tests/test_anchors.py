@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as e
-from conftest import SF_MID
+from table_dirs import SF_MID
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from segrec.plans import cli
 from segrec.sources import (
     items_from_tables,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from segrec.operators import (
     assign_clusters,
     assign_nearest,

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as e
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from oracle import compare, duckdb_conn
 
 

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from segrec.config import RunConfig
 from segrec.plans.pipeline import run_pipeline
 from segrec.sources import TABLE_GENRES, items_from_tables, ratings_from_tables, read_recommendations

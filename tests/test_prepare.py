@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from segrec.config import RunConfig, parse_k_values
 from segrec.operators import hash_split, profile, rating_distribution, split_profile
 from segrec.sources import items_from_tables, ratings_from_tables

@@ -73,7 +73,7 @@ def _final_plan(df) -> list[str]:
 
 def test_large_plan_joins_rated_and_ranked_once(spark):
     import __spark_entry__ as e
-    from conftest import SF_SMALL
+    from table_dirs import SF_SMALL
 
     plan = _final_plan(e.queries()["recommend_topn_large"](spark, SF_SMALL))
     joins = [line for line in plan if "Join" in line]
