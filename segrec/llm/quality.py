@@ -53,8 +53,9 @@ from segrec.llm.common import CHUNK_BYTES, bucketed, chunk_table, materialise, p
 
 SHARD_GRAMS = 1 << 20
 SALTS = 64
+LEAST_DISCOUNT = 0.05  # below it a context would keep no mass for what it was not seen with
 WINDOW = 16     # bytes of the window whose log-likelihood ratio is the toxicity
-RATIO_STEPS = 12  # a log-likelihood ratio of a byte is sent as one signed byte, in twelfths of a nat
+RATIO_STEPS = 12  # a log-likelihood ratio of a byte is sent as one signed byte, in twelfths of a nat: held within 127 of them (10.6 nats)
 
 
 class ChunkGrams:
@@ -148,13 +149,15 @@ def unpack_numbers(data: bytes) -> np.ndarray:
 
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts 1, 2, 3+ from the numbers of n-grams seen 1 to 4
-    times; where too few counts make them senseless they are held between 0 and the count."""
+    times; where too few or repeated counts make them senseless they are held between
+    ``LEAST_DISCOUNT`` and a quarter below the count, so every context leaves some mass to the
+    lower order and no n-gram has probability 0."""
     n = [counts_of_counts.get(k, 0) for k in range(1, 5)]
     if not n[0]:
         return 0.5, 0.5, 0.5  # no singletons, as in a tiny or closed set
     y = n[0] / (n[0] + 2 * n[1])
     found = [k + 1 - (k + 2) * y * n[k + 1] / n[k] if n[k] else (k + 1) / 2 for k in range(3)]
-    return tuple(min(max(d, 0.0), k + 1 - 0.25) for k, d in enumerate(found))
+    return tuple(min(max(d, LEAST_DISCOUNT), k + 1 - 0.25) for k, d in enumerate(found))
 
 
 def log_probabilities(counts: DataFrame, order: int, alphabet: int = 257) -> DataFrame:
@@ -164,7 +167,8 @@ def log_probabilities(counts: DataFrame, order: int, alphabet: int = 257) -> Dat
     a fold has no toxic text).
 
     p_n(w|u) = max(c(uw) - D, 0) / c(u) + gamma(u) p_(n-1)(w|u'), with continuation counts in
-    place of c below the highest order and 1 / alphabet below order 1."""
+    place of c below the highest order and 1 / alphabet below order 1. Every D is above 0, so
+    every probability is too and no logarithm is null."""
     models = ("c0", "c1", "t0", "t1")
     levels = {order: counts}
     for n in range(order - 1, 0, -1):
@@ -193,12 +197,14 @@ def log_probabilities(counts: DataFrame, order: int, alphabet: int = 257) -> Dat
         own = {m: F.when(F.col(f"{m}_all") > 0, (F.col(m) - F.col(f"taken_{m}") + F.col(f"taken_{m}_all") * F.col(f"below_{m}"))
                          / F.col(f"{m}_all")).otherwise(F.col(f"below_{m}")) for m in models}
         if n == order:
-            ratio = {f: F.greatest(F.lit(-127), F.least(F.lit(127), F.round(RATIO_STEPS * F.log(own[f"t{f}"] / own[f"c{f}"])))) for f in "01"}
-            return p.select("shard", "gram", *(F.log(own[f"c{f}"]).cast("float").alias(f"p{f}") for f in "01"),
+            log = {m: F.log(own[m]) for m in models}
+            ratio = {f: F.greatest(F.lit(-127), F.least(F.lit(127), F.round(RATIO_STEPS * (log[f"t{f}"] - log[f"c{f}"])))) for f in "01"}
+            return p.select("shard", "gram", *(log[f"c{f}"].cast("float").alias(f"p{f}") for f in "01"),
                             *((ratio[f] if seen[f"t{f}"] else F.lit(None)).cast("tinyint").alias(f"r{f}") for f in "01"))
-        # the ratio is rounded, so the toxic side needs fewer digits
-        lower = materialise(p.select(F.col("gram").alias("short"), *(own[m].cast("float" if m[0] == "t" else "double").alias(f"below_{m}")
+        # the ratio is rounded, so the toxic side needs fewer digits; its logarithm cannot underflow
+        lower = materialise(p.select(F.col("gram").alias("short"), *(own[m].alias(f"below_{m}") if m[0] == "c" else F.log(own[m]).cast("float").alias(f"log_{m}")
                                                                      for m in models)), "kn-probabilities")
+        lower = lower.select("short", *(F.col(f"below_{m}") if m[0] == "c" else F.exp(f"log_{m}").alias(f"below_{m}") for m in models))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float = 2.0, quantile: float = 0.995,
@@ -314,7 +320,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
 
     def toxic_cut():
         mid, high = F.percentile_approx("toxicity", 0.5, 10_000), F.percentile_approx("toxicity", quantile, 10_000)
-        few = F.greatest(F.lit(1.0), 1 / (1 - quantile) / F.count("toxicity"))
+        few = F.greatest(F.lit(1.0), F.try_divide(F.lit(1 / (1 - quantile)), F.count("toxicity")))
         return high + F.lit(margin) * few * (high - mid)
 
     good = scored.where("trusted and score is not null")

@@ -80,6 +80,69 @@ def test_perplexity_matches_a_plain_model(frame, options):
     assert sum(kept[i] for i in range(150)) >= 148
 
 
+def rude_corpus(repeats):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice(["the", "an", "ber", "lo", "ing"]) for _ in range(rng.randrange(1, 4)))
+    good = [" ".join(word() for _ in range(rng.randrange(8, 40))) for _ in range(60)]
+    rude = [f"{good[k]} you zoxq {good[k + 1]} zoxqy" for k in range(12)]
+    texts = [t for t in good + rude for _ in range(repeats)]
+    docs = [(i, t, "en") for i, t in enumerate(texts)]
+    return docs, [(i, 1, 0) if "zoxq" not in t else (i, 0, 1) for i, t, _ in docs]
+
+
+def percentile(values, q):
+    return sorted(values)[max(math.ceil(q * len(values)), 1) - 1]
+
+
+@pytest.mark.parametrize("repeats", [1, 3, 5])
+def test_repeated_texts_leave_no_zero_probability(frame, repeats):
+    """Scores, toxicity, limits and decisions against a plain model, texts once and repeated."""
+    docs, labels = rude_corpus(repeats)
+    got = quality.score_documents(frame([(*d, "", 0) for d in docs], SCHEMA), frame(labels, "doc_id long, quality int, toxic int")).collect()
+    fold = lambda t: xxhash.xxh3_64_intdigest(t) & 1
+    raw = {i: t.encode() for i, t, _ in docs}
+    clean, toxic = ([raw[i] for i, _, x in labels if x == mark] for mark in (0, 1))
+    model = {(f, kind): kneser_ney([t for t in of if fold(t) == f], 5) for f in (0, 1) for kind, of in (("c", clean), ("t", toxic))}
+    scores, toxicity = {}, {}
+    for i, t in raw.items():
+        grams = [(bytes(4) + t)[k:k + 5] for k in range(len(t))]
+        by = {kind: [model[1 - fold(t), kind](g) for g in grams] for kind in "ct"}
+        steps = [max(-127, min(127, round(12 * (b - a)))) for a, b in zip(by["c"], by["t"], strict=True)]
+        toxicity[i] = max(sum(steps[max(0, k - 16):k]) for k in range(1, len(t) + 1)) / 12
+        each = -np.array(by["c"])
+        scores[i] = each.mean() - 2 * each.std() / math.sqrt(len(t))
+    good = [i for i, _, x in labels if not x]
+
+    def limit(of, few=1.0):
+        mid, high = percentile([of[i] for i in good], 0.5), percentile([of[i] for i in good], 0.995)
+        return high + 0.25 * few * (high - mid)
+
+    threshold, toxic_limit = limit(scores), limit(toxicity, max(1.0, 200 / len(good)))
+    assert len(got) == len(docs)
+    for r in got:
+        i = r["row"]["doc_id"]
+        assert r["score"] == pytest.approx(scores[i], rel=1e-4) and r["threshold"] == pytest.approx(threshold, rel=1e-4)
+        # a ratio close to half a step may round either way
+        assert r["toxicity"] == pytest.approx(toxicity[i], abs=2 / 12) and r["toxic_limit"] == pytest.approx(toxic_limit, abs=1)
+        assert all(math.isfinite(r[c]) for c in ("perplexity", "score", "toxicity"))
+        if abs(toxicity[i] - toxic_limit) > 1 and abs(scores[i] - threshold) > 1e-3:
+            assert r["kept"] == (scores[i] <= threshold and toxicity[i] <= toxic_limit)
+
+
+@pytest.mark.parametrize("counts", [{}, {1: 5}, {3: 40}, {1: 1, 2: 400, 3: 1}, {1: 10, 2: 1, 3: 90, 4: 1}, {1: 10, 2: 10, 3: 10, 4: 900}])
+def test_every_discount_leaves_mass(counts):
+    assert all(0 < d < k + 1 for k, d in enumerate(quality.discounts(counts)))
+
+
+@pytest.mark.parametrize("repeats", [1, 4])
+def test_closed_alphabet(frame, repeats):
+    """Texts of one letter, where every follower of a context has been seen."""
+    docs = [(i, "a" * (5 + i % 7), "en") for i in range(20 * repeats)] + [(900, "ab", "en"), (901, "zzz", "en")]
+    labels = [(i, 1, 0) for i in range(10 * repeats)] + [(i, 0, 1) for i in range(10 * repeats, 20 * repeats)]
+    got = quality.score_documents(frame([(*d, "", 0) for d in docs], SCHEMA), frame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == len(docs) and all(math.isfinite(r["perplexity"]) and (r["toxicity"] is None or math.isfinite(r["toxicity"])) for r in got)
+
+
 def test_no_labels_keeps_everything(frame):
     docs, _ = corpus()
     got = quality.score_documents(frame([(*d, "", 0) for d in docs], SCHEMA), frame([], "doc_id long, quality int, toxic int")).collect()
