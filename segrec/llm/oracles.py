@@ -136,11 +136,33 @@ root AS (SELECT d AS root FROM top WHERE n = 1)
 SELECT doc_id, leaf, s.d AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, f.d AS folded_root, f.d = root AS verified
 FROM placed JOIN subroots s USING (seq) CROSS JOIN root JOIN fold f ON f.id = placed.id AND f.level = f.height LEFT JOIN proofs ON proofs.id = placed.id"""
 
+RUNS = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS t),
+d AS (SELECT doc_id, row_number() OVER () AS id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws,
+             {_crc32('doc_id', 't')} AS h FROM documents, crc),
+e AS (SELECT *, len(ws) AS n, h // 10 AS g, (h // 10) % greatest(len(ws), 1) AS a FROM d),
+w AS (SELECT doc_id, id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+             ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE ws END AS ws FROM e),
+win AS (SELECT id, i, array_to_string(ws[i:i + 5], ' ') AS k FROM w, unnest(range(1, n - 4)) AS r(i)),
+pair AS (SELECT x.id, x.i, y.i - x.i AS q FROM win x JOIN win y ON x.id = y.id AND x.k = y.k AND x.i < y.i),
+island AS (SELECT *, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS nr FROM pair),
+stretch AS (SELECT id, q, min(i) - 1 AS s, count(*) + 5 + q AS len FROM island GROUP BY id, q, nr),
+runs AS (SELECT id, s, len, min(q) AS q FROM stretch WHERE len >= greatest(12, 2 * q) GROUP BY id, s, len),
+listed AS (SELECT id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+                  min_by({{'s': s, 'len': len, 'q': q}}, {{'l': -len, 's': s, 'q': q}}) AS best FROM runs GROUP BY id),
+gone AS (SELECT DISTINCT id, s + j AS p FROM runs, unnest(range(q, len)) AS r(j)),
+kept AS (SELECT id, string_agg(ws[p + 1], ' ' ORDER BY p) AS text
+         FROM (SELECT id, ws, p FROM w, unnest(range(n)) AS r(p)) ANTI JOIN gone USING (id, p) GROUP BY id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.len AS length, best.q AS period,
+       1000 * best.len // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM w LEFT JOIN listed USING (id) LEFT JOIN kept USING (id)"""
+
 ORACLE_SQL = {
     "op1_chat_tree": CHAT,
     "op2_substring_dedup": SUBSTRING,
     "op6_warc_records": WARC,
     "op7_minhash_dedup": MINHASH,
     "op9_embedding_dedup": EMBEDDINGS,
+    "op11_periodic_runs": RUNS,
     "op12_merkle_manifest": MERKLE,
 }

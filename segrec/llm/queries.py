@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segrec.llm import bytepair, chat, decontam, merkle, minhash, nbest, quality, rpforest, shards, substring, tokencount, warc
+from segrec.llm import bytepair, chat, decontam, merkle, minhash, nbest, quality, rpforest, runs, shards, substring, tokencount, warc
 from segrec.llm.common import ensure_importable
 from segrec.llm.oracles import ORACLE_SQL
 
@@ -82,6 +82,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
 
+def _with_planted_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the hash of its id repeats some of its words from a place on."""
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    tailed = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1), lambda i: F.get("words", place(i).cast("int")))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(tailed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_planted_tails(table(spark, sf_dir, "documents")), least=12)
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", first).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     rows = merkle.leaves(table(spark, sf_dir, "documents"), ("doc_id", "source", "lang", "n_chars", "text"), "doc_id", "lang",
@@ -112,6 +136,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_bpe_rank_array": op13_bpe_rank_array,
 }
