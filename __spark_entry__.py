@@ -37,6 +37,7 @@ from segrec.operators.recommend import (
     seen_items,
 )
 from segrec.operators.scoring import cluster_genres, cluster_stats, clusters_of, top_genres, with_clusters
+from segrec.operators.served import ServedDocuments, write_served
 from segrec.operators.serving import (
     count_documents,
     document_stats,
@@ -342,8 +343,21 @@ def _flat(docs: DataFrame) -> DataFrame:
     return flatten_documents(docs).select("user_id", "cluster", "position", "movie_id", _r("score"))
 
 
+def _served(spark, sf_dir) -> ServedDocuments:
+    path = scratch_path(spark, "served")
+    write_served(_w(spark, sf_dir).documents, path)
+    return ServedDocuments(spark, path)
+
+
 def q_lookup_users(spark, sf_dir):
-    return _flat(lookup(_w(spark, sf_dir).documents, _asked_ids(spark, sf_dir)))
+    # a table of ids against the lookup store
+    return _flat(_served(spark, sf_dir).lookup(_asked_ids(spark, sf_dir)))
+
+
+def q_lookup_users_pruned(spark, sf_dir):
+    # a table of few ids: most folders of the store are not read
+    asked = table(spark, sf_dir, "nation").select((F.col("n_nationkey") * 5 + 1).alias("id"))
+    return _flat(_served(spark, sf_dir).lookup(asked))
 
 
 def q_lookup_list(spark, sf_dir):
@@ -497,6 +511,7 @@ _QUERIES = {
     "document_stats": q_document_stats,
     "preview_documents": q_preview_documents,
     "lookup_users": q_lookup_users,
+    "lookup_users_pruned": q_lookup_users_pruned,
     "lookup_list": q_lookup_list,
     "missing_users": q_missing_users,
     "page_users": q_page_users,
@@ -768,6 +783,8 @@ def oracle_sql() -> dict[str, str]:
             "FROM recs GROUP BY userId, cluster"),
         "lookup_users": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
             f"{flat} WHERE user_id IN (SELECT c_custkey * 3 FROM customer)"),
+        "lookup_users_pruned": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
+            f"{flat} WHERE user_id IN (SELECT n_nationkey * 5 + 1 FROM nation)"),
         "lookup_list": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
             f"{flat} WHERE user_id IN ({', '.join(map(str, LOOKUP_IDS))})"),
         "missing_users": _with(_uc(), _scores(), _recs()) + (
