@@ -139,19 +139,29 @@ def _rounds(nodes: DataFrame, width: int, block_levels: int) -> list[DataFrame]:
 
     rounds, most = [nodes], nodes.agg(F.max("n")).first()[0] or 0
     while most > 1:
-        blocks = rounds[-1].select("seq", "pos", "digest", "n", F.floor(F.col("pos") / size).alias("block"))
+        blocks = rounds[-1]
+        if "block" not in blocks.columns:
+            blocks = blocks.withColumn("block", F.floor(F.col("pos") / size))
         rounds.append(materialise(blocks.groupBy("seq", "block").applyInArrow(fold, _NODES), "merkle-round"))
         most = math.ceil(most / size)
     return rounds
 
 
 def _numbered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """``df`` with pos (from 0 within seq) and n (rows of seq), written.
+    """``df`` with pos (from 0 within seq), written.
 
     A row number of the scan ends the order, so a crowd of equal rows is spread over slices too."""
     ranked = rank_within_groups(df.withColumn("tie", F.monotonically_increasing_id()), ["seq"], [*order, F.col("tie")])
-    ranked = materialise(ranked.withColumn("pos", F.col("rank") - 1).drop("rank", "tie"), "merkle-leaves")
-    return ranked.join(ranked.groupBy("seq").agg(F.count(F.lit(1)).alias("n")), "seq")
+    return materialise(ranked.withColumn("pos", F.col("rank") - 1).drop("rank", "tie"), "merkle-leaves")
+
+
+def _sized(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` with block and n (rows of seq). The count meets a row per block first and the rows by
+    block: by group alone, one task would hold a whole group."""
+    rows = rows.withColumn("block", F.floor(F.col("pos") / size))
+    totals = rows.groupBy("seq").agg((F.max("pos") + 1).alias("n"))
+    counts = rows.select("seq", "block").distinct().join(totals, "seq")
+    return rows.join(counts, ["seq", "block"])
 
 
 @dataclass
@@ -188,8 +198,9 @@ class Manifest:
         return materialise(self._by_block(nodes).cogroup(self._as_block(above)).applyInArrow(hand, spec), "merkle-paths")
 
     def _by_block(self, nodes: DataFrame):
-        size = self.width ** self.block_levels
-        return nodes.withColumn("block", F.floor(F.col("pos") / size)).groupBy("seq", "block")
+        if "block" not in nodes.columns:
+            nodes = nodes.withColumn("block", F.floor(F.col("pos") / self.width ** self.block_levels))
+        return nodes.groupBy("seq", "block")
 
     def _as_block(self, above: DataFrame):
         return above.withColumnRenamed("pos", "block").groupBy("seq", "block")
@@ -239,10 +250,11 @@ class Manifest:
 
 def build(leaf_rows: DataFrame, width: int = WIDTH, block_levels: int = BLOCK_LEVELS) -> Manifest:
     """The manifest of a table of ``leaves``."""
-    rows = _numbered(leaf_rows, [F.col("key").asc(), F.col("leaf").asc()])
-    rounds = _rounds(rows.select("seq", "pos", F.col("leaf").alias("digest"), "n"), width, block_levels)
+    size = width ** block_levels
+    rows = _sized(_numbered(leaf_rows, [F.col("key").asc(), F.col("leaf").asc()]), size)
+    rounds = _rounds(rows.select("seq", "pos", F.col("leaf").alias("digest"), "n", "block"), width, block_levels)
     tops = _numbered(rounds[-1].select(F.lit("").alias("seq"), "digest", F.col("seq").alias("name")), [F.col("name").asc()])
-    nodes = tops.select("seq", "pos", "digest", "n")
+    nodes = _sized(tops, size).select("seq", "pos", "digest", "n")
     return Manifest(rows, rounds, _rounds(nodes, width, block_levels), tops.select(F.col("name").alias("seq"), "pos"), width, block_levels)
 
 
