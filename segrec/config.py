@@ -30,6 +30,8 @@ class RunConfig:
     split_buckets: int = 10
     # K-Means fits of the sweep submitted concurrently (1 = one after another).
     fit_parallelism: int = 3
+    # Tables of one K that are written at a time.
+    write_parallelism: int = 4
 
     def __post_init__(self):
         if not self.k_values:

@@ -7,14 +7,24 @@ once with a users table that holds the clusters of every K; a run only groups by
 cluster column. Tables shared by the runs are persisted (with ``checkpoint=True`` the pairs
 are checkpointed into the shared ``spark.checkpoint.dir``, so a lost executor never replays
 the load and split) and released by ``PipelineResult.release``.
+
+With an output folder every table is staged and all are published together (``sinks.staged``):
+a sweep that ends early leaves the last result whole. The same sweep started again, with the
+same input files, plans and configuration, takes over each K that was finished, starts no fit for it, and reads
+the user features that the broken one had written, so the other K's meet the same rows in the same files.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+import json
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
@@ -40,6 +50,7 @@ from segrec.operators.sweep import best_k, metrics_summary, union_metrics
 from segrec.session import cut_lineage, stored
 from segrec.operators.serving import pack_documents
 from segrec.sinks import write_documents, write_table
+from segrec.sinks.staged import StagedOutput, input_key, recover
 from segrec.sources.text import dedupe_items, quarantine_ratings, usable_ratings
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
@@ -51,9 +62,9 @@ class RunResult:
     user_clusters: DataFrame
     cluster_stats: DataFrame
     cluster_descriptions: DataFrame
-    cluster_genres: DataFrame
-    top_genres: DataFrame
-    scores: DataFrame
+    cluster_genres: DataFrame | None
+    top_genres: DataFrame | None
+    scores: DataFrame | None  # not among the tables: None for a K taken over from a broken sweep
     recommendations: DataFrame
     sample_recommendations: DataFrame
     per_user_metrics: DataFrame
@@ -155,13 +166,68 @@ def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig):
     return ratings, items, train, test
 
 
+def _written_run(spark, k: int, done: dict, folder: Callable[[str], str], fmt: str) -> RunResult:
+    """A finished run from the tables that it wrote."""
+    def read(name):
+        if name not in done["schemas"]:
+            return None
+        return getattr(spark.read.schema(StructType.fromJson(done["schemas"][name])), fmt)(folder(f"{name}/k={k}"))
+
+    return RunResult(
+        k=k, user_clusters=read("user_clusters"), cluster_stats=read("cluster_stats"),
+        cluster_descriptions=read("cluster_descriptions"), cluster_genres=read("cluster_genres"), top_genres=read("top_genres"),
+        scores=None, recommendations=read("recommendations_topn"), sample_recommendations=read("sample_recommendations_20_users"),
+        per_user_metrics=read("per_user_metrics"), cost=done["cost"],
+        global_metrics=read("metrics").select("precision_at_k", "recall_at_k", "evaluated_users", F.lit(k).cast("bigint").alias("k"), "training_cost"))
+
+
+def _write_run(result: RunResult, stage: StagedOutput, fmt: str, parallelism: int) -> None:
+    """Stage the tables of one run and record that it is finished.
+
+    The recommendations go first, which fills the persisted tables that the others read; the others are
+    independent jobs and are submitted together."""
+    tables = result.tables()
+
+    def write(name):
+        write_table(tables[name].drop("k"), stage.path(f"{name}/k={result.k}"), fmt)
+
+    write("recommendations_topn")
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        list(pool.map(write, [name for name in tables if name != "recommendations_topn"]))
+    stage.finish(f"k={result.k}", {"cost": result.cost, "schemas": {n: df.drop("k").schema.jsonValue() for n, df in tables.items()}})
+
+
+def sweep_key(ratings: DataFrame, items: DataFrame, cfg: RunConfig, fmt: str) -> str:
+    """What a sweep is known by when it is started again: its configuration but for the K's (each K
+    is finished on its own) and how much is done at a time, and its input."""
+    asked = {k: v for k, v in asdict(cfg).items() if k not in ("k_values", "fit_parallelism", "write_parallelism")}
+    return hashlib.sha256(json.dumps([asked, fmt, input_key(ratings, items)]).encode()).hexdigest()[:32]
+
+
 def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfig(),
                  out: str | None = None, fmt: str = "json", checkpoint: bool = False,
-                 documents_k: int | str | None = None) -> PipelineResult:
+                 documents_k: int | str | None = None, resume: bool = True,
+                 assignments: Mapping[int, Callable[[DataFrame], DataFrame]] | None = None) -> PipelineResult:
     """The whole sweep. With ``out``, every per-K table is written to ``<out>/<name>/k=<K>``,
     the summary to ``<out>/metrics_summary`` and rating rows without a user or item to
     ``<out>/quarantine``; ``documents_k`` (a K of the sweep, or ``"best"``) also packs that K's
-    recommendations into served documents at ``<out>/documents``."""
+    recommendations into served documents at ``<out>/documents``. All of it is published at the end;
+    ``resume=False`` begins anew where a broken sweep of the same key was left.
+
+    ``assignments`` (K -> function that adds ``cluster`` to the user features) takes the place of the
+    K-Means fits, so that a known clustering goes through the whole pipeline."""
+    spark = ratings.sparkSession
+    ks = tuple(assignments) if assignments is not None else tuple(dict.fromkeys(cfg.k_values))
+    stage, done = None, {}
+    if out:
+        recover(spark, out)
+        # injected functions have no key: such a sweep is staged, never taken over
+        stage = StagedOutput(spark, out, sweep_key(ratings, items, cfg, fmt) if assignments is None else "injected")
+        if not resume or assignments is not None:
+            stage.discard()
+        done = {k: found for k in ks if (found := stage.finished(f"k={k}"))}
+    pending = [k for k in ks if k not in done]
+
     quarantine = quarantine_ratings(ratings)
     ratings, items, train, test = prepare_inputs(ratings, items, cfg)
     kept = []
@@ -170,52 +236,67 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
         kept.append(df.persist(_LEVEL))
         return df
 
-    item_genres = persisted(explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres))
-    keep = cut_lineage if checkpoint else persisted
-    if cfg.split == "hash":
-        # the hash split is a per-row predicate: one scan and one shuffle give both sides
-        split = keep(split_pairs(ratings, cfg.train_fraction, cfg.relevance_threshold, cfg.split_buckets))
-        pairs, relevant = pairs_of(split), relevant_of(split)
-    else:
-        pairs = keep(user_item_pairs(train))
-        relevant = keep(relevant_items(test, cfg.relevance_threshold))
-    # one row per user, written once: K-Means reads it every iteration
-    features = stored(clusterable(user_features_from_pairs(pairs)), "features")
-    scaled = persisted(scale_features(features))
-    models = fit_sweep(scaled, cfg.k_values, cfg.seed, parallelism=cfg.fit_parallelism)
-    users = scaled
-    for k, model in models.items():
-        users = model.transform(users).withColumn(f"cluster_{k}", F.col("prediction").cast("bigint")).drop("prediction")
-    columns = tuple(f"cluster_{k}" for k in models)
-    users = stored(users.select("userId", "movies_rated", "avg_rating", *columns), "users")
-    tagged = persisted(with_clusters(pairs, users, columns))
-
-    metrics, written, runs = [], [], {}
-    for k in cfg.k_values:
-        user_clusters = users.select("userId", F.col(f"cluster_{k}").alias("cluster"), "movies_rated", "avg_rating")
-        result = runs[k] = run_k(pairs, test, user_clusters, k, items, item_genres, cfg, model=models[k],
-                                 cost=training_cost(models[k]), relevant=relevant, rated=clusters_of(tagged, f"cluster_{k}"))
-        if out:
-            # <out>/<name>/k=<K>: reading <out>/<name> gives k back as a partition column.
-            for name, df in result.tables().items():
-                path = f"{out.rstrip('/')}/{name}/k={k}"
-                write_table(df.drop("k"), path, fmt)
-                written.append(path)
-        # Metrics are tiny: keep them as a checkpoint so the summary does not replay the run.
-        metrics.append(cut_lineage(result.global_metrics))
-
-    all_metrics = union_metrics(metrics)
+    runs: dict[int, RunResult] = {k: _written_run(spark, k, found, stage.path, fmt) for k, found in done.items()}
+    # metrics are tiny: keep them as checkpoints so the summary does not replay the runs
+    metrics = {k: cut_lineage(run.global_metrics) for k, run in runs.items()}
+    if pending:
+        item_genres = persisted(explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres))
+        # a staged sweep keeps the tables that it could not (random split) or should not compute again
+        table = stage.keep if stage else stored
+        keep = table if checkpoint or (stage and cfg.split == "random") else lambda df, name: persisted(df)
+        if cfg.split == "hash":
+            # the hash split is a per-row predicate: one scan and one shuffle give both sides
+            split = keep(split_pairs(ratings, cfg.train_fraction, cfg.relevance_threshold, cfg.split_buckets), "split")
+            pairs, relevant = pairs_of(split), relevant_of(split)
+        else:
+            pairs = keep(user_item_pairs(train), "pairs")
+            relevant = keep(relevant_items(test, cfg.relevance_threshold), "relevant")
+        # one row per user, written once: K-Means reads it every iteration
+        features = table(clusterable(user_features_from_pairs(pairs)), "features")
+        models, users = {}, features
+        if assignments is None:
+            users = scaled = persisted(scale_features(features))
+            scaled.count()  # filled once, before several fits read it at a time
+            models = fit_sweep(scaled, pending, cfg.seed, parallelism=cfg.fit_parallelism)
+        for k in pending:
+            users = (models[k].transform(users).withColumnRenamed("prediction", "cluster") if models else assignments[k](users))
+            users = users.withColumn(f"cluster_{k}", F.col("cluster").cast("bigint")).drop("cluster")
+        columns = tuple(f"cluster_{k}" for k in pending)
+        users = stored(users.select("userId", "movies_rated", "avg_rating", *columns), "users")
+        tagged = persisted(with_clusters(pairs, users, columns))
+        for k in pending:
+            user_clusters = users.select("userId", F.col(f"cluster_{k}").alias("cluster"), "movies_rated", "avg_rating")
+            result = runs[k] = run_k(pairs, test, user_clusters, k, items, item_genres, cfg, model=models.get(k),
+                                     cost=training_cost(models[k]) if models else None, relevant=relevant,
+                                     rated=clusters_of(tagged, f"cluster_{k}"))
+            if stage:
+                _write_run(result, stage, fmt, cfg.write_parallelism)
+            metrics[k] = cut_lineage(result.global_metrics)
+
+    all_metrics = union_metrics([metrics[k] for k in ks])
     summary = metrics_summary(all_metrics)
     best = int(best_k(all_metrics).first()["k"])
-    if out:
-        for name, df in (("metrics_summary", summary.drop("ordinal")), ("quarantine", quarantine)):
-            write_table(df, f"{out.rstrip('/')}/{name}", fmt)
-            written.append(f"{out.rstrip('/')}/{name}")
+    written = []
+    if stage:
+        names = ["metrics_summary", "quarantine"]
+        write_table(summary.drop("ordinal"), stage.path("metrics_summary"), fmt)
+        write_table(quarantine, stage.path("quarantine"), fmt)
         if documents_k is not None:
             chosen = best if documents_k == "best" else int(documents_k)
-            write_documents(pack_documents(runs[chosen].recommendations), f"{out.rstrip('/')}/documents", fmt)
-            written.append(f"{out.rstrip('/')}/documents")
+            write_documents(pack_documents(runs[chosen].recommendations), stage.path("documents"), fmt)
+            names.append("documents")
+        tables = [f"{name}/k={k}" for k in ks for name in _table_names(stage, k)] + names
+        found = {k: stage.finished(f"k={k}") for k in done}
+        stage.publish(tables, {"k_values": list(ks), "best": best, "format": fmt, "taken_over": sorted(done)})
+        written = [f"{out.rstrip('/')}/{table}" for table in tables]
+        # runs taken over are read from where their tables are now
+        runs.update({k: _written_run(spark, k, value, lambda table: f"{out.rstrip('/')}/{table}", fmt) for k, value in found.items()})
+    runs = {k: runs[k] for k in ks}
     return PipelineResult(profile=profile(ratings, items), rating_distribution=rating_distribution(ratings),
                           split_profile=split_profile(train, test), metrics=all_metrics, summary=summary,
                           best=best_k(all_metrics), best_sample=runs[best].sample_recommendations,
                           quarantine=quarantine, runs=runs, written=written, _cached=kept)
+
+
+def _table_names(stage: StagedOutput, k: int) -> list[str]:
+    return list(stage.finished(f"k={k}")["schemas"])
