@@ -21,6 +21,7 @@ from segrec.functions.expressions import ACTIVITY_LABELS, DESCRIPTION_JOINER, RA
 from segrec.operators.clusters import (
     assign_by_thresholds,
     assign_nearest,
+    cost_agreement,
     describe_clusters,
     fit_sweep,
     kmeans_invariants,
@@ -28,7 +29,7 @@ from segrec.operators.clusters import (
 )
 from segrec.operators.evaluate import global_metrics, relevant_counts
 from segrec.operators.features import unpack_vector, user_features
-from segrec.operators.prepare import hash_split, profile, random_split, rating_distribution, split_profile
+from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import (
     candidate_counts,
     rank_items,
@@ -49,10 +50,12 @@ from segrec.operators.serving import (
     page_envelope,
     preview_documents,
 )
+from segrec.operators.sketches import error_bound, sketch_loads, sketch_profile, store_sketches, stored_sketches
 from segrec.operators.sweep import best_k, metrics_summary, union_metrics
 from segrec.config import RunConfig
 from segrec.plans.pipeline import run_k, run_pipeline
 from segrec.sinks import write_documents, write_outputs
+from segrec.sinks.staged import committed
 from segrec.plans.workload import SWEEP_THRESHOLDS, TableWorkload
 from segrec.session import scratch_path, stored
 from segrec.sources.json import read_documents, read_recommendations
@@ -128,20 +131,43 @@ def q_hash_split_fraction(spark, sf_dir):
 
 
 def q_random_split(spark, sf_dir):
-    w = _w(spark, sf_dir)
-    numbered = w.ratings.withColumn("row", F.monotonically_increasing_id())
-    train, test = random_split(numbered, (0.8, 0.2), w.cfg.seed)
-    both = train.select("row", F.lit(1).alias("t")).unionByName(test.select("row", F.lit(0).alias("t")))
-    per_row = both.groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t"))
-    total = F.count(F.lit(1))
-    return per_row.agg(total.alias("rows"), F.sum("n").alias("rows_of_both_sides"),
-                       (F.abs(F.sum("t") / total - 0.8) < 0.05).alias("share_is_near"))
+    # the rows of both sides, each with whether its side has its share; which side a row is on is the sampler's
+    train, test = random_split(_w(spark, sf_dir).ratings, (0.8, 0.2), RunConfig().seed)
+    sides = []
+    for side, share in ((train, 0.8), (test, 0.2)):
+        near = F.abs(side.select(F.count(F.lit(1))).scalar() / train.unionByName(test).select(F.count(F.lit(1))).scalar() - share) < 0.05
+        sides.append(side.select("userId", "movieId", "rating", "timestamp", near.alias("share_is_near")))
+    return sides[0].unionByName(sides[1])
 
 
 def q_item_genres(spark, sf_dir):
     return _w(spark, sf_dir).item_genres
 
 
+def q_item_genres_table(spark, sf_dir):
+    # the vocabulary as a table: the words of all part types and the last words of all part names
+    part = table(spark, sf_dir, "part")
+    words = part.select(F.explode(F.split("p_type", " ")).alias("word")).unionByName(
+        part.select(F.substring_index("p_name", " ", -1).alias("word")))
+    return explode_genres(_w(spark, sf_dir).items, words)
+
+
+def q_profile_sketches(spark, sf_dir):
+    # loads by year: all but the first are added to a stored profile one by one, one of them twice
+    w = _w(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    year = F.year(F.timestamp_seconds("timestamp"))
+    loads = sketch_loads(w.ratings, year)
+    store_sketches(loads.filter("load < '1995'"), path)
+    store_sketches(loads.filter("load >= '1995'"), path)
+    store_sketches(loads.filter("load = '1995'"), path)
+    merged, exact = sketch_profile(stored_sketches(spark, path)), profile(w.ratings, w.items)
+    both = merged.select("loads", F.col("ratings_rows").alias("rows"), F.col("distinct_users").alias("u"), F.col("distinct_items").alias("i")).join(exact)
+    within = lambda a, b: F.abs(F.col(a) - F.col(b)) <= error_bound() * F.col(b)
+    return both.select("loads", F.col("rows").alias("ratings_rows"), "distinct_users", "distinct_items",
+                       within("u", "distinct_users").alias("users_within_bound"), within("i", "distinct_items").alias("items_within_bound"))
+
+
 def q_user_features(spark, sf_dir):
     return user_features(_w(spark, sf_dir).train).select("userId", "movies_rated", _r("avg_rating"))
 
@@ -196,14 +222,23 @@ def q_kmeans_sweep_metrics(spark, sf_dir):
         result = run_k(w.pairs, w.test, user_clusters, k, w.items, None, w.cfg, cost=training_cost(models[k]),
                        relevant=w.relevant, rated=clusters_of(tagged, f"cluster_{k}"))
         metrics.append(result.global_metrics)
-    return _checked_metrics(metrics_summary(union_metrics(metrics)))
+    return _checked_metrics(metrics_summary(union_metrics(metrics)), cost_agreement(models, w.scaled))
 
 
-def _checked_metrics(summary: DataFrame) -> DataFrame:
-    """k, evaluated users, and whether precision and recall lie in their range."""
+def _checked_metrics(summary: DataFrame, costs: DataFrame) -> DataFrame:
+    """k, evaluated users, whether precision and recall lie in their range, and whether the cost reported
+    is that of the assignment and falls with K."""
     inside = F.col("precision_at_k").between(0.0, 1.0) & F.col("recall_at_k").between(0.0, 1.0)
-    return summary.select("k", "evaluated_users", F.when(inside & (F.col("training_cost") > 0), F.col("evaluated_users"))
-                          .alias("users_with_valid_metrics"))
+    costs = costs.select("k", F.col("training_cost").alias("cost"), "cost_agrees", "cost_falls")
+    return summary.join(costs, "k").select(
+        "k", "evaluated_users", F.when(inside, F.col("evaluated_users")).alias("users_with_valid_metrics"),
+        (F.col("cost_agrees") & (F.col("cost") == F.col("training_cost"))).alias("cost_agrees"), "cost_falls")
+
+
+def q_kmeans_costs(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    models = fit_sweep(w.scaled, SWEEP_KS, w.cfg.seed, parallelism=w.cfg.fit_parallelism)
+    return cost_agreement(models, w.scaled).select("k", "users", "cost_agrees", "cost_falls")
 
 
 def q_cluster_stats(spark, sf_dir):
@@ -430,6 +465,15 @@ def q_parse_items_lines(spark, sf_dir):
     return read_items(spark, path, mode="dropmalformed")
 
 
+def q_parse_items_latin1(spark, sf_dir):
+    # titles with letters beyond ASCII, written as single bytes and read back with that encoding
+    items = _w(spark, sf_dir).items.withColumn("title", F.concat("title", F.lit(" é ñ ü ß"), F.col("movieId").cast("string")))
+    path = scratch_path(spark, "items-latin1")
+    # the bytes of a line in ISO-8859-1, written as they are
+    render_items_lines(items).select(F.encode("value", "ISO-8859-1").cast("string").alias("value")).write.text(path)
+    return read_items(spark, path, encoding="ISO-8859-1")
+
+
 def q_dedupe_items(spark, sf_dir):
     items = _w(spark, sf_dir).items
     copies = items.withColumn("title", F.lit(None).cast("string")).unionByName(items.withColumn("title", F.concat("title", F.lit("~"))))
@@ -452,7 +496,23 @@ def q_pipeline_summary(spark, sf_dir):
     w = _w(spark, sf_dir)
     cfg = RunConfig(k_values=SWEEP_KS, genre_vocabulary=TABLE_GENRES)
     result = run_pipeline(w.ratings, w.items, cfg, out=scratch_path(spark, "pipeline"), checkpoint=True)
-    return _checked_metrics(result.summary)
+    return _checked_metrics(result.summary, cost_agreement({k: run.model for k, run in result.runs.items()}, w.scaled))
+
+
+def q_pipeline_injected(spark, sf_dir):
+    # known clusters through the whole pipeline, in two attempts: the first stages one K, the second
+    # takes it over and publishes; what is returned was read from the published files
+    w = _w(spark, sf_dir)
+    cfg = RunConfig(genre_vocabulary=TABLE_GENRES)
+    out = scratch_path(spark, "injected")
+    cuts = {len(t) + 1: (lambda features, t=t: assign_by_thresholds(features, t)) for t in SWEEP_THRESHOLDS}
+    first = {k: cut for k, cut in list(cuts.items())[:1]}
+    run_pipeline(w.ratings, w.items, cfg, out=out, fmt="parquet", publish=False, resume_key="injected", assignments=first).release()
+    run_pipeline(w.ratings, w.items, cfg, out=out, fmt="parquet", resume_key="injected", assignments=cuts).release()
+    taken = committed(spark, out)["about"]["taken_over"]
+    users = spark.read.parquet(f"{out}/recommendations_topn").groupBy("k").agg(F.count(F.lit(1)).alias("recommended"))
+    return spark.read.parquet(f"{out}/metrics_summary").join(users, "k").select(
+        "k", _r("precision_at_k"), _r("recall_at_k"), "evaluated_users", "recommended", F.col("k").isin(taken).alias("taken_over"))
 
 
 def _lines_with_broken_ones(spark, sf_dir) -> str:
@@ -482,12 +542,15 @@ _QUERIES = {
     "hash_split_fraction": q_hash_split_fraction,
     "random_split": q_random_split,
     "item_genres": q_item_genres,
+    "item_genres_table": q_item_genres_table,
+    "profile_sketches": q_profile_sketches,
     "user_features": q_user_features,
     "scaled_features": q_scaled_features,
     "assign_nearest": q_assign_nearest,
     "kmeans_assign": q_kmeans_assign,
     "kmeans_invariants": q_kmeans_invariants,
     "kmeans_sweep_metrics": q_kmeans_sweep_metrics,
+    "kmeans_costs": q_kmeans_costs,
     "cluster_stats": q_cluster_stats,
     "describe_clusters": q_describe_clusters,
     "describe_clusters_all_labels": q_describe_clusters_all_labels,
@@ -523,10 +586,12 @@ _QUERIES = {
     "parse_ratings_lines": q_parse_ratings_lines,
     "quarantine_ratings": q_quarantine_ratings,
     "parse_items_lines": q_parse_items_lines,
+    "parse_items_latin1": q_parse_items_latin1,
     "dedupe_items": q_dedupe_items,
     "roundtrip_documents": q_roundtrip_documents,
     "count_documents": q_count_documents,
     "pipeline_summary": q_pipeline_summary,
+    "pipeline_injected": q_pipeline_injected,
 }
 
 
@@ -677,7 +742,7 @@ def _nearest_sql() -> str:
 
 def _valid_metrics_sql() -> str:
     ks = ", ".join(f"(CAST({k} AS BIGINT))" for k in SWEEP_KS)
-    return (f"SELECT k, n AS evaluated_users, n AS users_with_valid_metrics FROM (VALUES {ks}) AS t(k), "
+    return (f"SELECT k, n AS evaluated_users, n AS users_with_valid_metrics, true AS cost_agrees, true AS cost_falls FROM (VALUES {ks}) AS t(k), "
             "(SELECT count(DISTINCT userId) AS n FROM rel)")
 
 
@@ -706,8 +771,20 @@ def oracle_sql() -> dict[str, str]:
         "hash_split_fraction": _with() + (
             f"SELECT count(*) FILTER (WHERE {_bucket(100)} < 75) AS train_rows, "
             f"count(*) FILTER (WHERE {_bucket(100)} >= 75) AS test_rows FROM ratings"),
-        "random_split": _with() + ("SELECT count(*) AS rows, count(*) AS rows_of_both_sides, "
-                                   "count(*) > 0 AS share_is_near FROM ratings"),
+        "random_split": _with() + "SELECT userId, movieId, rating, timestamp, true AS share_is_near FROM ratings",
+        "item_genres_table": _with() + (
+            "SELECT movieId, genre FROM (SELECT movieId, unnest(string_split(genres, '|')) AS genre FROM items) WHERE genre IN "
+            "(SELECT unnest(string_split(p_type, ' ')) FROM part UNION SELECT regexp_extract(p_name, '[^ ]*$') FROM part)"),
+        "profile_sketches": _with() + (
+            "SELECT count(DISTINCT year(to_timestamp(timestamp))) AS loads, count(*) AS ratings_rows, count(DISTINCT userId) AS distinct_users, "
+            "count(DISTINCT movieId) AS distinct_items, true AS users_within_bound, true AS items_within_bound FROM ratings"),
+        "kmeans_costs": _with() + (
+            f"SELECT k, n AS users, true AS cost_agrees, true AS cost_falls FROM (VALUES {', '.join(f'(CAST({k} AS BIGINT))' for k in SWEEP_KS)}) "
+            "AS t(k), (SELECT count(*) AS n FROM uf)"),
+        "pipeline_injected": _sweep_sql() + (
+            "SELECT k, round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k, evaluated_users, "
+            "n AS recommended, k = 2 AS taken_over FROM allm JOIN (" + " UNION ALL ".join(
+                f"SELECT CAST({len(t) + 1} AS BIGINT) AS k, count(*) AS n FROM recs{i}" for i, t in enumerate(SWEEP_THRESHOLDS)) + ") USING (k)"),
         "kmeans_assign": _with() + ("SELECT count(*) AS users, count(*) AS users_in_range, "
                                     "count(*) AS users_at_means FROM uf"),
         "kmeans_sweep_metrics": _with(_relevant()) + _valid_metrics_sql(),
@@ -805,6 +882,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(NULL AS BIGINT) AS userId, movieId, rating, timestamp, 'no user' AS reason "
             "FROM ratings WHERE userId % 10 = 0"),
         "parse_items_lines": _with() + "SELECT movieId, title, genres FROM items",
+        "parse_items_latin1": _with() + "SELECT movieId, title || ' é ñ ü ß' || movieId AS title, genres FROM items",
         "dedupe_items": _with() + "SELECT movieId, title, genres FROM items",
         "roundtrip_documents": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
             "SELECT user_id, cluster, position, movie_id, movie_title, round(score, 6) AS score FROM df"),

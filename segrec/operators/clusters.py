@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segrec.functions.expressions import (
@@ -53,6 +53,39 @@ def training_cost(model: KMeansModel) -> float:
     return float(model.summary.trainingCost)
 
 
+def within_cluster_squares(assigned: DataFrame, cluster_col: str = "cluster", features_col: str = "features",
+                           dims: int = 2) -> DataFrame:
+    """One row (clusters, users, squares): the sum of squared distances of the rows to the mean of
+    their cluster, from the assignment alone, without model or centres.
+
+    One aggregate per cluster, combined in the map tasks. Variances are merged as (count, mean, squares
+    around the mean), so nothing is lost in a difference of large sums."""
+    arr = vector_to_array(F.col(features_col))
+    spread = sum((F.var_pop(arr[i]) for i in range(dims)), F.lit(0.0))
+    per_cluster = assigned.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("_n"), (F.count(F.lit(1)) * spread).alias("_s"))
+    return per_cluster.agg(F.count(F.lit(1)).alias("clusters"), F.coalesce(F.sum("_n"), F.lit(0)).alias("users"),
+                           F.coalesce(F.sum("_s"), F.lit(0.0)).alias("squares"))
+
+
+def cost_agreement(models: Mapping[int, KMeansModel], scaled: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Per K of a sweep, in its order: k, users, training_cost (of the model), squares (of its assignment),
+    cost_agrees, cost_falls.
+
+    K-Means reports the cost around the centres that its last step started from; the assignment's own
+    means can only be nearer, so ``cost_agrees`` if the squares are at most that cost and not more than
+    ``tolerance`` below it. ``cost_falls`` if no smaller K has smaller squares."""
+    rows = None
+    for ordinal, (k, model) in enumerate(models.items()):
+        squares = within_cluster_squares(model.transform(scaled), "prediction")
+        squares = squares.select(F.lit(ordinal).alias("ordinal"), F.lit(k).cast("bigint").alias("k"), "users",
+                                 F.lit(training_cost(model)).alias("training_cost"), "squares")
+        rows = squares if rows is None else rows.unionByName(squares)
+    smaller = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)  # one row per K
+    agrees = F.col("squares").between(F.col("training_cost") * (1 - tolerance) - 1e-9, F.col("training_cost") * (1 + 1e-9) + 1e-9)
+    falls = F.coalesce(F.col("squares") <= F.min("squares").over(smaller), F.lit(True))
+    return rows.withColumns({"cost_agrees": agrees, "cost_falls": falls}).orderBy("ordinal").drop("ordinal")
+
+
 def assign_nearest(df: DataFrame, centers: Sequence[Sequence[float]], cols: Sequence[str],
                    out: str = "cluster") -> DataFrame:
     """Nearest of the given centres by squared Euclidean distance over ``cols`` (first centre

@@ -12,9 +12,13 @@ from segrec.functions.expressions import split_bucket
 from segrec.session import cut_lineage
 
 
-def explode_genres(items: DataFrame, vocabulary: Sequence[str], normalize: bool = False) -> DataFrame:
+def explode_genres(items: DataFrame, vocabulary: Sequence[str] | DataFrame, normalize: bool = False) -> DataFrame:
     """(movieId, genres 'A|B|C') -> one (movieId, genre) row per listed genre in ``vocabulary``.
 
+    A list is a hash set within the filter. A DataFrame (its first column, of any length; repeats and
+    nulls change nothing) is a left-semi join on the genre: which side is sent to all tasks, or that
+    none is, is decided by the bytes at run time, and AQE splits a genre that very many items list.
+
     A NULL genres string yields no row. ``normalize`` strips everything but ASCII letters from
     each listed genre before the membership test (so 'Sci-Fi' matches 'SciFi').
     """
@@ -22,7 +26,10 @@ def explode_genres(items: DataFrame, vocabulary: Sequence[str], normalize: bool
     out = items.select("movieId", genre)
     if normalize:
         out = out.withColumn("genre", F.regexp_replace("genre", "[^A-Za-z]", ""))
-    # the vocabulary is a driver-side list: a hash set in the filter, whatever its length
+    if isinstance(vocabulary, DataFrame):
+        known = vocabulary.select(F.col(f"`{vocabulary.columns[0]}`").cast("string").alias("genre"))
+        # semi, so repeats need no distinct (a shuffle of their own); null matches nothing
+        return out.join(known, "genre", "left_semi").select("movieId", "genre")
     return out.filter(F.col("genre").isNotNull() & F.col("genre").isin(list(dict.fromkeys(vocabulary))))
 
 

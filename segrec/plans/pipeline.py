@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
@@ -206,24 +207,30 @@ def sweep_key(ratings: DataFrame, items: DataFrame, cfg: RunConfig, fmt: str) ->
 
 def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfig(),
                  out: str | None = None, fmt: str = "json", checkpoint: bool = False,
-                 documents_k: int | str | None = None, resume: bool = True,
+                 documents_k: int | str | None = None, resume: bool = True, publish: bool = True, resume_key: str | None = None,
                  assignments: Mapping[int, Callable[[DataFrame], DataFrame]] | None = None) -> PipelineResult:
     """The whole sweep. With ``out``, every per-K table is written to ``<out>/<name>/k=<K>``,
     the summary to ``<out>/metrics_summary`` and rating rows without a user or item to
     ``<out>/quarantine``; ``documents_k`` (a K of the sweep, or ``"best"``) also packs that K's
     recommendations into served documents at ``<out>/documents``. All of it is published at the end;
-    ``resume=False`` begins anew where a broken sweep of the same key was left.
+    with ``publish=False`` the runs stay staged, for a later call of the same key to take over and publish;
+    ``resume=False`` begins anew where an earlier attempt was left.
 
     ``assignments`` (K -> function that adds ``cluster`` to the user features) takes the place of the
-    K-Means fits, so that a known clustering goes through the whole pipeline."""
+    K-Means fits, so that a known clustering goes through the whole pipeline. What functions do, or rows
+    that come from no file, can't be known again: such a sweep is taken over only under a ``resume_key``
+    of the caller's (letters and digits) that stands for its input, configuration and functions."""
     spark = ratings.sparkSession
     ks = tuple(assignments) if assignments is not None else tuple(dict.fromkeys(cfg.k_values))
+    if documents_k not in (None, "best") and int(documents_k) not in ks:
+        raise ValueError(f"documents_k {documents_k} is none of the sweep's {list(ks)}")
     stage, done = None, {}
     if out:
         recover(spark, out)
-        # injected functions have no key: such a sweep is staged, never taken over
-        stage = StagedOutput(spark, out, sweep_key(ratings, items, cfg, fmt) if assignments is None else "injected")
-        if not resume or assignments is not None:
+        if resume_key is None:
+            resume_key = uuid.uuid4().hex if assignments is not None else sweep_key(ratings, items, cfg, fmt)
+        stage = StagedOutput(spark, out, resume_key)
+        if not resume:
             stage.discard()
         done = {k: found for k in ks if (found := stage.finished(f"k={k}"))}
     pending = [k for k in ks if k not in done]
@@ -277,7 +284,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     summary = metrics_summary(all_metrics)
     best = int(best_k(all_metrics).first()["k"])
     written = []
-    if stage:
+    if stage and publish:
         names = ["metrics_summary", "quarantine"]
         write_table(summary.drop("ordinal"), stage.path("metrics_summary"), fmt)
         write_table(quarantine, stage.path("quarantine"), fmt)

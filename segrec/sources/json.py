@@ -3,7 +3,6 @@ documents. All are read with a declared schema, so there is no inference pass.""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +10,6 @@ from pyspark.sql import functions as F
 
 from segrec import schemas
 
-# Lines looked at for the required columns: JSON Lines omit fields that are NULL, so one line
-# proves nothing. The check reads only these lines; the data is read whole.
-CHECK_LINES = 1000
-
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Raise ``ValueError`` naming the missing columns; return ``df`` unchanged otherwise."""
@@ -28,21 +23,23 @@ def read_recommendations(spark: SparkSession, path: str, schema=None, fmt: str =
     """Flat recommendations written by the sinks.
 
     A file without one of the required columns would read as NULLs under a declared schema, so
-    they are checked first: against the file's own schema for Parquet, against the fields of
-    the first lines for JSON (``check=False`` for rows that may lack a title throughout). With
-    ``schema=False`` the JSON schema is inferred (one extra pass)."""
+    they are checked first: against the file's own schema for Parquet; for JSON against the fields
+    that occur in any of its lines (lines omit fields that are NULL), one aggregate over all of them. Rows
+    that may lack a field throughout, or need no check, are read with ``check=False``. With ``schema=False`` the
+    JSON schema is inferred (one extra pass)."""
     required = schemas.REQUIRED_RECOMMENDATION_COLUMNS
     if schema is False:
         return require_columns(getattr(spark.read, fmt)(path), required)
     if check and fmt == "parquet":
         require_columns(spark.read.parquet(path), required)
     elif check:
-        fields: set[str] = set()
-        lines = [r["value"] for r in spark.read.text(path).limit(CHECK_LINES).collect()]
-        for line in lines:
-            fields |= json.loads(line).keys()
-        if lines and (missing := sorted(set(required) - fields)):
-            raise ValueError(f"missing columns {missing}; available: {sorted(fields)}")
+        # one row: which of the required fields any line has, and how many lines there are
+        named = F.json_object_keys("value")
+        found = spark.read.text(path).agg(
+            F.count(F.lit(1)).alias("lines"), *(F.max(F.array_contains(named, c)).alias(c) for c in required)).first()
+        missing = sorted(c for c in required if not found[c])
+        if found["lines"] and missing:
+            raise ValueError(f"missing columns {missing} in all {found['lines']} lines of {path}")
     return getattr(spark.read.schema(schema or schemas.RECOMMENDATIONS), fmt)(path)
 
 
