@@ -59,6 +59,7 @@ from segrec.sinks.staged import committed
 from segrec.plans.workload import SWEEP_THRESHOLDS, TableWorkload
 from segrec.session import scratch_path, stored
 from segrec.sources.json import read_documents, read_recommendations
+from segrec.sources.json_array import write_json_array
 from segrec.sources.tables import TABLE_GENRES, table
 from segrec.sources.text import (
     dedupe_items,
@@ -488,6 +489,19 @@ def q_roundtrip_documents(spark, sf_dir):
     return flat.select("user_id", "cluster", "position", "movie_id", "movie_title", _r("score"))
 
 
+def q_roundtrip_json_array(spark, sf_dir):
+    # two files of one array each, read in ranges of 64 KB; written while that setting holds
+    path, setting = scratch_path(spark, "documents-array"), "spark.sql.files.maxPartitionBytes"
+    write_json_array(_w(spark, sf_dir).documents.repartition(2, "user_id"), path)
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, 64 << 10)
+    try:
+        docs = stored(read_documents(spark, path, multiline=True, unique=True), "documents-read")
+    finally:
+        spark.conf.set(setting, usual)
+    return flatten_documents(docs).select("user_id", "cluster", "position", "movie_id", "movie_title", _r("score"))
+
+
 def q_count_documents(spark, sf_dir):
     return count_documents(_w(spark, sf_dir).documents)
 
@@ -589,6 +603,7 @@ _QUERIES = {
     "parse_items_latin1": q_parse_items_latin1,
     "dedupe_items": q_dedupe_items,
     "roundtrip_documents": q_roundtrip_documents,
+    "roundtrip_json_array": q_roundtrip_json_array,
     "count_documents": q_count_documents,
     "pipeline_summary": q_pipeline_summary,
     "pipeline_injected": q_pipeline_injected,
@@ -886,6 +901,8 @@ def oracle_sql() -> dict[str, str]:
         "dedupe_items": _with() + "SELECT movieId, title, genres FROM items",
         "roundtrip_documents": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
             "SELECT user_id, cluster, position, movie_id, movie_title, round(score, 6) AS score FROM df"),
+        "roundtrip_json_array": _with(_uc(), _scores(), _recs(), _docs_flat()) + (
+            "SELECT user_id, cluster, position, movie_id, movie_title, round(score, 6) AS score FROM df"),
         "count_documents": _with(_uc(), _scores(), _recs()) + (
             "SELECT count(DISTINCT userId) AS total_users FROM recs"),
     }

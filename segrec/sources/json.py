@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrec import schemas
+from segrec.sources.json_array import read_json_array
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -55,8 +56,10 @@ def read_documents(spark: SparkSession, path: str, multiline: bool = False, fmt:
                    unique: bool = False) -> DataFrame:
     """Served documents: ``user_id, cluster, recommendations[{movie_id, movie_title, score}]``,
     one per user (``unique=True``: the files are known to hold one per user, as the sink
-    writes them, and need no grouping). ``multiline=True`` reads one JSON array per file (not
-    splittable: small files only)."""
-    reader = spark.read.schema(schemas.DOCUMENTS)
-    docs = reader.parquet(path) if fmt == "parquet" else reader.option("multiLine", multiline).json(path)
+    writes them, and need no grouping). ``multiline=True`` reads files of one JSON array each, in
+    byte ranges (``json_array``)."""
+    if multiline and fmt == "json":
+        docs = read_json_array(spark, path, schemas.DOCUMENTS)
+    else:
+        docs = getattr(spark.read.schema(schemas.DOCUMENTS), fmt)(path)
     return docs if unique else dedupe_documents(docs)
