@@ -29,6 +29,7 @@ from segrec.operators.clusters import (
 )
 from segrec.operators.evaluate import global_metrics, relevant_counts
 from segrec.operators.features import unpack_vector, user_features
+from segrec.operators.layout import UserLayout
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import (
     candidate_counts,
@@ -37,7 +38,7 @@ from segrec.operators.recommend import (
     sample_recommendations,
     seen_items,
 )
-from segrec.operators.scoring import cluster_genres, cluster_stats, clusters_of, top_genres, with_clusters
+from segrec.operators.scoring import cluster_genres, cluster_item_scores, cluster_stats, clusters_of, top_genres, with_clusters
 from segrec.operators.served import ServedDocuments, write_served
 from segrec.operators.serving import (
     count_documents,
@@ -266,6 +267,23 @@ def q_cluster_item_scores(spark, sf_dir):
                     _r("recommendation_score"), "title", "genres"))
 
 
+def q_cluster_item_scores_layout(spark, sf_dir):
+    # the pairs stored by user, users of more than 40 pairs apart; the clusters of three runs in one join
+    w = _w(spark, sf_dir)
+    users = w.features
+    for t in SWEEP_THRESHOLDS:
+        users = assign_by_thresholds(users, t, out=f"cluster_{len(t) + 1}")
+    columns = tuple(f"cluster_{len(t) + 1}" for t in SWEEP_THRESHOLDS)
+    with UserLayout.store(w.pairs, buckets=8, hot_rows=40) as layout:
+        tagged = layout.with_clusters(stored(users, "users"), columns)
+        scores = None
+        for c in columns:
+            run = cluster_item_scores(clusters_of(tagged, c)).withColumn("k", F.lit(int(c.rsplit("_", 1)[1])).cast("bigint"))
+            scores = run if scores is None else scores.unionByName(run)
+        out = stored(scores, "layout-scores")
+    return out.select("k", "cluster", "movieId", _r("cluster_avg_movie_rating"), "cluster_rating_count", _r("recommendation_score"))
+
+
 def q_cluster_item_ranks(spark, sf_dir):
     # the distributed ranking (range slices + offsets), whatever the table size
     return rank_items(_w(spark, sf_dir).scores).select("cluster", "movieId", "cluster_rank")
@@ -569,6 +587,7 @@ _QUERIES = {
     "describe_clusters": q_describe_clusters,
     "describe_clusters_all_labels": q_describe_clusters_all_labels,
     "cluster_item_scores": q_cluster_item_scores,
+    "cluster_item_scores_layout": q_cluster_item_scores_layout,
     "cluster_item_ranks": q_cluster_item_ranks,
     "cluster_genres": q_cluster_genres,
     "top_genres": q_top_genres,
@@ -822,6 +841,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT cs.cluster, cs.movieId, round(cluster_avg_movie_rating, 6) AS cluster_avg_movie_rating, "
             "cluster_rating_count, round(recommendation_score, 6) AS recommendation_score, i.title, i.genres "
             "FROM cs LEFT JOIN items i ON i.movieId = cs.movieId"),
+        "cluster_item_scores_layout": _sweep_sql() + " UNION ALL ".join(
+            f"SELECT CAST({len(t) + 1} AS BIGINT) AS k, cluster, movieId, round(cluster_avg_movie_rating, 6) AS cluster_avg_movie_rating, "
+            f"cluster_rating_count, round(recommendation_score, 6) AS recommendation_score FROM cs{i}" for i, t in enumerate(SWEEP_THRESHOLDS)),
         "cluster_item_ranks": _with(_uc(), _scores()) + (
             "SELECT cluster, movieId, row_number() OVER (PARTITION BY cluster ORDER BY recommendation_score DESC, "
             "cluster_rating_count DESC, movieId ASC) AS cluster_rank FROM cs"),

@@ -32,6 +32,10 @@ class RunConfig:
     fit_parallelism: int = 3
     # Tables of one K that are written at a time.
     write_parallelism: int = 4
+    # Buckets of the stored layout by user (0: pairs are not stored), and the pairs from which a
+    # user is kept apart from them.
+    user_buckets: int = 0
+    hot_user_rows: int = 1_000_000
 
     def __post_init__(self):
         if not self.k_values:

@@ -32,6 +32,7 @@ from segrec.config import RunConfig
 from segrec.operators.clusters import describe_clusters, fit_sweep, training_cost
 from segrec.operators.evaluate import evaluate, global_metrics, relevant_items
 from segrec.operators.features import clusterable, scale_features
+from segrec.operators.layout import UserLayout
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import rank_items, recommend, sample_recommendations
 from segrec.operators.scoring import (
@@ -145,6 +146,7 @@ class PipelineResult:
     runs: dict[int, RunResult]
     written: list = field(default_factory=list)
     _cached: list = field(default_factory=list)
+    _layouts: list = field(default_factory=list)
 
     def release(self) -> None:
         for run in self.runs.values():
@@ -152,6 +154,9 @@ class PipelineResult:
         for df in self._cached:
             df.unpersist()
         self._cached.clear()
+        for layout in self._layouts:
+            layout.drop()
+        self._layouts.clear()
 
 
 def prepare_inputs(ratings: DataFrame, items: DataFrame, cfg: RunConfig):
@@ -201,7 +206,7 @@ def _write_run(result: RunResult, stage: StagedOutput, fmt: str, parallelism: in
 def sweep_key(ratings: DataFrame, items: DataFrame, cfg: RunConfig, fmt: str) -> str:
     """What a sweep is known by when it is started again: its configuration but for the K's (each K
     is finished on its own) and how much is done at a time, and its input."""
-    asked = {k: v for k, v in asdict(cfg).items() if k not in ("k_values", "fit_parallelism", "write_parallelism")}
+    asked = {k: v for k, v in asdict(cfg).items() if k not in ("k_values", "fit_parallelism", "write_parallelism", "user_buckets", "hot_user_rows")}
     return hashlib.sha256(json.dumps([asked, fmt, input_key(ratings, items)]).encode()).hexdigest()[:32]
 
 
@@ -237,7 +242,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
 
     quarantine = quarantine_ratings(ratings)
     ratings, items, train, test = prepare_inputs(ratings, items, cfg)
-    kept = []
+    kept, layouts = [], []
 
     def persisted(df: DataFrame) -> DataFrame:
         kept.append(df.persist(_LEVEL))
@@ -258,8 +263,13 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
         else:
             pairs = keep(user_item_pairs(train), "pairs")
             relevant = keep(relevant_items(test, cfg.relevance_threshold), "relevant")
+        layout = None
+        if cfg.user_buckets:
+            layout = UserLayout.store(pairs, cfg.user_buckets, cfg.hot_user_rows)
+            layouts.append(layout)
+            pairs = layout.pairs()
         # one row per user, written once: K-Means reads it every iteration
-        features = table(clusterable(user_features_from_pairs(pairs)), "features")
+        features = table(clusterable(layout.features() if layout else user_features_from_pairs(pairs)), "features")
         models, users = {}, features
         if assignments is None:
             users = scaled = persisted(scale_features(features))
@@ -270,7 +280,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
             users = users.withColumn(f"cluster_{k}", F.col("cluster").cast("bigint")).drop("cluster")
         columns = tuple(f"cluster_{k}" for k in pending)
         users = stored(users.select("userId", "movies_rated", "avg_rating", *columns), "users")
-        tagged = persisted(with_clusters(pairs, users, columns))
+        tagged = persisted(layout.with_clusters(users, columns) if layout else with_clusters(pairs, users, columns))
         for k in pending:
             user_clusters = users.select("userId", F.col(f"cluster_{k}").alias("cluster"), "movies_rated", "avg_rating")
             result = runs[k] = run_k(pairs, test, user_clusters, k, items, item_genres, cfg, model=models.get(k),
@@ -302,7 +312,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     return PipelineResult(profile=profile(ratings, items), rating_distribution=rating_distribution(ratings),
                           split_profile=split_profile(train, test), metrics=all_metrics, summary=summary,
                           best=best_k(all_metrics), best_sample=runs[best].sample_recommendations,
-                          quarantine=quarantine, runs=runs, written=written, _cached=kept)
+                          quarantine=quarantine, runs=runs, written=written, _cached=kept, _layouts=layouts)
 
 
 def _table_names(stage: StagedOutput, k: int) -> list[str]:

@@ -1,0 +1,102 @@
+"""Pairs stored by user: no exchange of the stored side, a hot user split, nothing left behind."""
+
+import os
+import random
+
+import pytest
+from plan_metrics import nodes
+from pyspark.sql import functions as F
+from table_dirs import SF_SMALL
+
+from segrec.config import RunConfig
+from segrec.operators.layout import UserLayout
+from segrec.operators.scoring import user_features_from_pairs, with_clusters
+from segrec.plans.pipeline import run_pipeline
+from segrec.session import stored
+from segrec.sources import TABLE_GENRES, items_from_tables, ratings_from_tables
+
+CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+
+
+@pytest.fixture
+def large_plans(spark):
+    """Plans as large tables get them: no broadcast, small bounds for skew."""
+    usual = {k: spark.conf.get(k) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in usual.items():
+        spark.conf.set(k, v)
+
+
+@pytest.fixture
+def pairs(spark):
+    rng = random.Random(1)
+    rows = [(u, m, float(rng.randrange(1, 6)), 1, 1) for u in range(300) for m in range(rng.randrange(1, 12))]
+    rows += [(7_000, m, 3.0, 1, 1) for m in range(8_000)]  # a hot user, most of all rows
+    return spark.createDataFrame(rows, "userId bigint, movieId bigint, rating_sum double, rating_n bigint, rows bigint").repartition(6, "movieId")
+
+
+@pytest.fixture
+def users(spark, pairs):
+    return stored(pairs.select("userId").distinct().select("userId", (F.col("userId") % 3).alias("cluster"), (F.col("userId") % 5).alias("cluster_5")), "users")
+
+
+def rows(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+
+
+def test_same_rows_and_no_exchange_of_the_stored_side(spark, pairs, users, large_plans):
+    with UserLayout.store(pairs, buckets=4, hot_rows=1000) as layout:
+        assert layout.hot.select("userId").distinct().collect()[0][0] == 7_000 and layout.cold.filter("userId = 7000").count() == 0
+        assert rows(layout.pairs()) == rows(pairs)
+        assert rows(layout.features()) == rows(user_features_from_pairs(pairs))
+        tagged = layout.with_clusters(users, ("cluster", "cluster_5"))
+        assert rows(tagged) == rows(with_clusters(pairs, users, ("cluster", "cluster_5")))
+
+        same = spark.table(layout._names[-1])
+        cold = with_clusters(layout.cold, same, ("cluster", "cluster_5"))
+        cold.collect()
+        names = [n.nodeName() for n in nodes(cold._jdf.queryExecution().executedPlan())]
+        assert "SortMergeJoin" in names and not any("Exchange" in n for n in names)
+        features = user_features_from_pairs(layout.cold)
+        features.collect()
+        assert not any("Exchange" in n.nodeName() for n in nodes(features._jdf.queryExecution().executedPlan()))
+
+        # a hot user's partition is cut by AQE
+        tagged.collect()
+        plan = tagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in plan and "SortMergeJoin [" in plan
+
+
+def test_nothing_is_left_behind(spark, pairs, users):
+    before = {t.name for t in spark.catalog.listTables()}
+    with UserLayout.store(pairs, buckets=3, hot_rows=1000) as layout:
+        layout.with_clusters(users).count()
+        paths = [p.removeprefix("file:") for p in layout._paths]
+        assert len({t.name for t in spark.catalog.listTables()} - before) == 2 and all(map(os.path.exists, paths))
+    assert {t.name for t in spark.catalog.listTables()} == before and not any(map(os.path.exists, paths))
+
+
+def test_edges(spark, pairs, users):
+    with UserLayout.store(pairs.limit(0), buckets=2) as layout:
+        assert layout.pairs().count() == layout.features().count() == layout.with_clusters(users).count() == 0
+    with UserLayout.store(pairs, buckets=2, hot_rows=0) as layout:
+        assert layout.cold.count() == 0 and rows(layout.with_clusters(users)) == rows(with_clusters(pairs, users))
+    for buckets in (0, 10**6):
+        with pytest.raises(ValueError):
+            UserLayout.store(pairs, buckets)
+
+
+def test_sweep_over_the_layout(spark):
+    ratings, items = ratings_from_tables(spark, SF_SMALL), items_from_tables(spark, SF_SMALL)
+    metrics = []
+    tables = {t.name for t in spark.catalog.listTables()}
+    for buckets in (0, 4):
+        cfg = RunConfig(k_values=(3,), genre_vocabulary=TABLE_GENRES, user_buckets=buckets, hot_user_rows=40)
+        result = run_pipeline(ratings, items, cfg)
+        metrics.append([(r.k, round(r.precision_at_k, 6), round(r.recall_at_k, 6), r.evaluated_users) for r in result.summary.collect()])
+        result.release()
+    assert metrics[0] == metrics[1]
+    assert {t.name for t in spark.catalog.listTables()} == tables
