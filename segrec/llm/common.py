@@ -99,11 +99,22 @@ def chunk_table(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUN
 
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """``df`` as a written table bucketed and sorted by ``key``: it is grouped, joined or
-    cogrouped by that key without a shuffle, as often as needed."""
+    cogrouped by that key without a shuffle, as often as needed.
+
+    Spark has an upper bound of buckets; beyond it a bucket holds the rows of several keys, which are
+    groups of their own all the same. Buckets are known through the catalog only; its entry goes as
+    soon as the DataFrame, which keeps what it said, is made. The files stay, below the scratch folder."""
+    spark = df.sparkSession
     name = f"{name}_{uuid.uuid4().hex}"
-    (df.write.option("path", scratch_path(df.sparkSession, name)).option("compression", "zstd")
-     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
-    return df.sparkSession.table(name)
+    (df.write.option("path", scratch_path(spark, name)).option("compression", "zstd")
+     .bucketBy(bucket_count(spark, buckets), key).sortBy(key).saveAsTable(name))
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def bucket_count(spark: SparkSession, wanted: int) -> int:
+    return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
-__all__ = ["CHUNK_BYTES", "arrow_schema", "bucketed", "chunk_table", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick"]
+__all__ = ["CHUNK_BYTES", "arrow_schema", "bucket_count", "bucketed", "chunk_table", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick"]

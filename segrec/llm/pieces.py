@@ -9,9 +9,12 @@ it is loaded, and a vocabulary or normaliser for which they fail is refused.
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
+import numpy as np
+
 BLANK = "▁"
 _UNITS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _PROBE = "ﬁ ½ 　  é\tA\r\n x "
@@ -85,6 +88,96 @@ class PieceVocab:
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
+class MergeEncoder:
+    """The model's own encoding: pieces by merging, best score first and the leftmost of equals.
+
+    A unit that is met again is not merged again: encodings of short ones are kept, in a memo with a bound in bytes.
+    Long ones are cut into segments, and segments beyond ``SCANNED`` characters take their merges from a heap,
+    so work does not grow with the square of a run without blanks."""
+
+    SCANNED = 200          # characters of a segment whose scores are scanned for the best
+    KEPT = 40              # characters of a unit that is kept
+    MEMO_BYTES = 48 << 20
+
+    def __init__(self, pieces: PieceVocab):
+        self.vocab = pieces
+        self._memo: dict[str, bytes] = {}
+        self._bytes = 0
+
+    def forget(self) -> None:
+        self._memo.clear()
+        self._bytes = 0
+
+    def _scan(self, parts: list[str]) -> list[str]:
+        get, none = self.vocab.scores.get, -(1 << 62)
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]  # noqa: B905
+        while scores and (best := max(scores)) > none:
+            k = scores.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            if k < len(scores):
+                scores[k] = get(parts[k] + parts[k + 1], none)
+            if k:
+                scores[k - 1] = get(parts[k - 1] + parts[k], none)
+        return parts
+
+    def _merge_long(self, segment: str) -> list[str]:
+        get = self.vocab.scores.get
+        parts: list[str | None] = list(segment)
+        n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue: list[tuple[int, int, str]] = []
+
+        def offer(k: int) -> None:
+            if k >= 0 and after[k] < n and (score := get(whole := parts[k] + parts[after[k]])) is not None:
+                heapq.heappush(queue, (-score, k, whole))
+
+        for k in range(n - 1):
+            offer(k)
+        while queue:
+            _, k, whole = heapq.heappop(queue)
+            if parts[k] is None or after[k] >= n or parts[k] + parts[after[k]] != whole:
+                continue  # one of the two has been merged with another since
+            gone = after[k]
+            parts[k], parts[gone], after[k] = whole, None, after[gone]
+            if after[k] < n:
+                before[after[k]] = k
+            offer(before[k])
+            offer(k)
+        return [p for p in parts if p is not None]
+
+    def _unit(self, unit: str) -> bytes:
+        ids, byte_ids = self.vocab.ids, self.vocab.byte_ids
+        out: list[int] = []
+        for segment in [unit] if len(unit) <= self.KEPT else self.vocab.segments(unit):
+            for piece in self._scan(list(segment)) if len(segment) <= self.SCANNED else self._merge_long(segment):
+                if piece in ids:
+                    out.append(ids[piece])
+                else:
+                    out += [byte_ids[x] for x in piece.encode("utf-8", "surrogatepass")]
+        return np.array(out, dtype="<i4").tobytes()
+
+    def encode(self, units: list[str]) -> bytes:
+        """The piece ids of a text's units, packed as 32-bit integers."""
+        memo, out = self._memo, []
+        for unit in units:
+            found = memo.get(unit)
+            if found is None:
+                found = self._unit(unit)
+                if len(unit) <= self.KEPT:
+                    if self._bytes > self.MEMO_BYTES:
+                        self.forget()
+                    memo[unit] = found
+                    self._bytes += 200 + 4 * len(unit) + len(found)
+            out.append(found)
+        return b"".join(out)
+
+
+@lru_cache(maxsize=4)
+def merge_encoder(model_path: str) -> MergeEncoder:
+    return MergeEncoder(vocab(model_path))
+
+
 @lru_cache(maxsize=4)
 def vocab(model_path: str) -> PieceVocab:
     """One vocabulary per Python worker and model file."""
@@ -105,4 +198,4 @@ class Cache(dict):
         return value
 
 
-__all__ = ["BLANK", "Cache", "PieceVocab", "vocab"]
+__all__ = ["BLANK", "Cache", "MergeEncoder", "PieceVocab", "merge_encoder", "vocab"]

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from segrec.llm.common import CHUNK_BYTES, bucketed, chunk_table, materialise, pick
+from segrec.llm.common import CHUNK_BYTES, bucket_count, bucketed, chunk_table, materialise, pick
 
 SHARD_GRAMS = 1 << 20
 SALTS = 64
@@ -237,7 +237,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
     sent = chunks.select("chunk", "nth", "text").groupBy("chunk").cogroup(labelled.groupBy("chunk")).applyInArrow(
         fragments, "chunk long, fold long, shard long, grams binary, counts binary, toxic binary")
     # merged once and answered once: dealt by shard and written, so both read it without a shuffle
-    sent = bucketed(sent.repartition(shards, "shard"), "grams", "shard", shards)
+    buckets = bucket_count(docs.sparkSession, shards)
+    sent = bucketed(sent.repartition(buckets, "shard"), "grams", "shard", buckets)
 
     def merge(key, table):
         grams = [np.cumsum(unpack_numbers(x)) for x in table["grams"].to_pylist()]

@@ -1,11 +1,15 @@
+import functools
 import random
 import tracemalloc
 
+import numpy as np
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from segrec.llm import nbest, tokencount
+from segrec.llm import nbest, pieces, tokencount
 from segrec.llm.pieces import BLANK
 from segrec.llm.queries import op4_sentencepiece_nbest, op8_token_counts
 
@@ -154,3 +158,27 @@ def test_encoding_query_and_odd_rows(spark, frame, model):
     assert sorted((str(r["doc_id"]), r["n_pieces"], r["nbest_scores"][:1] == [0], r["decoded"]) for r in got) == [
         ("1", 0, True, ""), ("1", 0, True, ""), ("3", 2, False, "a b"), ("None", 0, True, "")]
     assert nbest.encode_documents(frame([], schema), model).count() == 0
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "the", "ing", " ", "  ", "▁", "é", "日", "\n", "\t", "🙂", "\0", "<s>", "</s>", "1", "qu", "ick"]), max_size=30).map("".join)
+       | st.text(max_size=20))
+def test_merging_matches_the_library(text):
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("piece_bpe_32k.model"))
+    coder = pieces.merge_encoder(path)
+    assert np.frombuffer(coder.encode(coder.vocab.units(text)), "<i4").tolist() == _library(path).encode(text)
+
+
+@pytest.mark.parametrize("letters", ["ab", "etaoinshr", "a", "1", "日本"])
+def test_merging_of_long_runs(model, letters):
+    rng = random.Random(7)
+    text = "".join(rng.choice(letters) for _ in range(30_000))
+    coder = pieces.merge_encoder(model)
+    assert np.frombuffer(coder.encode(coder.vocab.units(text)), "<i4").tolist() == _library(model).encode(text)
+
+
+@functools.lru_cache(maxsize=1)
+def _library(path):
+    return sentencepiece.SentencePieceProcessor(model_file=path)
