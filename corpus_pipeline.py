@@ -5,21 +5,21 @@ DataFrame that is written as Parquet and read again as the next one's docs. All
 return the columns of ``documents``.
 
 Decisions: the quality classifier drops what it rejects; of a group of near-duplicates (five
-words, similarity 0.8) the document with the smallest id stays; passages of 50 words that occur
+words, similarity 0.8) the row with the smallest id stays (a null id is the largest); passages of 50 words that occur
 more than once are cut from what is left (a document of which nothing remains goes); documents
 that overlap a benchmark item go; the last stage gives the piece ids of what was kept.
 
-A null doc_id cannot be matched and is kept by the stages that decide by id. Rows that repeat
-the smallest id of a group are one document, of which one row stays.
+Every stage judges rows, not ids: a null doc_id is judged like any other, and rows that share one are
+judged each by its own text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrec.llm import decontam, minhash, nbest, quality, substring
-from segrec.llm.common import ensure_importable
+from segrec.llm.common import ensure_importable, materialise
 from segrec.llm.queries import piece_model, table
 from segrec.session import scratch_path
 
@@ -36,13 +36,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where("kept").select("row.doc_id", "text", "row.lang", "row.source", "row.n_chars")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows of a stage's input with a number of their own, written: it must not change between uses."""
+    return materialise(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()), "stage-rows")
+
+
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = minhash.near_duplicates(docs, shingle=5, percent=80)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    # repeated rows of one id and text are copies too; the join has put them together already
-    nth = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars"))
-    return kept.withColumn("nth", nth).where("nth = 1 or doc_id is null").select(*COLUMNS)
+    rows = _numbered(docs)
+    groups = minhash.near_duplicates(rows.select("row_key", "text"), shingle=5, percent=80, id_col="row_key")
+    # a group is as large as it may be: its first row is found by a minimum, combined in the map tasks
+    named = groups.select(F.col("doc_id").alias("row_key"), "component_id").join(rows.select("row_key", "doc_id"), "row_key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key"))
+    stays = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row_key").alias("row_key"))
+    return rows.join(stays, "row_key", "left_semi").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +57,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    overlaps = decontam.find_overlaps(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return docs.select(*COLUMNS).join(overlaps.select("row.doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    rows = _numbered(docs)
+    overlaps = decontam.find_overlaps(rows.select("row_key", "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(overlaps.select("row.row_key").distinct(), "row_key", "left_anti").select(*COLUMNS)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     encoded = nbest.encode_documents(docs, piece_model(), n_best=4)
-    return encoded.select("doc_id", "n_pieces", "piece_ids", "nbest_scores", "round_trip")
+    return encoded.select("doc_id", "n_pieces", "piece_ids", "best_ids", "nbest_scores", "round_trip")
 
 
 STAGES = [
