@@ -5,9 +5,10 @@ a bounded sample; a vector within ``spill`` of the split goes to both sides. For
 cosine 0.93 in 64 dimensions a split parts the two with probability about 0.03, so eight trees
 miss it with probability 1e-6 three levels deep and 1e-4 eleven levels deep (billions of
 vectors); closer pairs are missed far less. Leaves are made
-per label (links need equal labels). The trees are fitted on a sample of at most
-``sample_rows`` distinct vectors (a parameter; the sample only places the split points), and
-all vectors are indexed. Vectors meet in a leaf, are compared there in double precision, and
+per label (links need equal labels). The first trees are fitted on a sample of at most
+``sample_rows`` distinct vectors (a parameter; samples only place the split points), and
+all vectors are indexed. Leaves that are too large are split on by trees fitted on samples of their own, in
+rounds, so the size of a leaf does not grow with the table. Vectors meet in a leaf, are compared there in double precision, and
 links are united. Equal vectors of one label are one class with a count throughout, so copies
 cost nothing and lose nothing.
 
@@ -32,6 +33,7 @@ and kept true; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -40,11 +42,14 @@ from pyspark.sql import functions as F
 
 from segrec.llm.common import materialise, pick
 from segrec.llm.components import connected_components
+from segrec.llm.hashing import mix
 
 LEAF = 2048     # a node of at most so many vectors (in proportion: of the sample) is not split further
 BLOCK = 4096    # vectors of a leaf in one block
 OVERLAP = 0.45  # share of a split's smaller side that may be on both sides
 CUTS = (0.5, 0.5, 0.3, 0.7, 0.15, 0.85, 0.5, 0.3, 0.7, 0.15, 0.85)  # tried in turn, each along a new direction
+DEEPEN = 2      # leaves of more than so many times the wanted size are split on
+LEAF_SAMPLE = 4096  # vectors of such a leaf that its own tree is fitted on, and that one task places, about
 TILE = 1024     # side of the dot-product tiles within a block pair
 
 
@@ -156,20 +161,8 @@ def _compare_blocks(threshold: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int = 8, spill: float = 0.02,
-                    leaf: int = LEAF, sample_rows: int = 50_000, seed: int = 17, id_col: str = "vec_id",
-                    vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept."""
-    rows = pick(vectors, vec_id=id_col, v=vector_col, label=label_col)
-    rows = rows.withColumn("label", F.col("label").cast("long"))
-    rows = rows.withColumn("valid", _usable("v") & F.col("label").isNotNull())
-    # -0.0 and 0.0 are one value; a class is one label and one vector, kept in the input's type
-    rows = rows.withColumn("v", F.when(F.col("valid"), F.transform("v", lambda x: F.when(x == 0, F.abs(x)).otherwise(x))))
-    rows = rows.withColumn("class_key", F.when(F.col("valid"), F.sha2(F.to_json(F.struct("label", "v")), 256)))
-    rows = materialise(rows, "vectors")
-    classes = (rows.where("valid").groupBy("class_key").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id"),
-                                                            F.first("v").alias("v"), F.first("label").alias("label")))
-    classes = materialise(classes.withColumn("class_id", F.monotonically_increasing_id()), "vector-classes")
+def place_vectors(classes: DataFrame, n_trees: int, spill: float, leaf: int, sample_rows: int, seed: int) -> DataFrame:
+    """class_id, label, n, v and places: the leaves of every vector, over all trees."""
     total = classes.count()
 
     sampled = classes.select("label", "v")
@@ -201,7 +194,79 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int =
     vector = classes.schema["v"].dataType.simpleString()
     placed = classes.select("class_id", "label", "n", "v").mapInPandas(
         place, f"class_id long, label long, n long, v {vector}, places array<long>")
-    placed = materialise(placed, "vector-leaves")
+    return _deepened(materialise(placed, "vector-leaves"), leaf, spill, seed)
+
+
+def _deepened(placed: DataFrame, leaf: int, spill: float, seed: int) -> DataFrame:
+    """``placed`` with leaves of more than ``DEEPEN * leaf`` vectors split on, by trees of their own.
+
+    A tree of a sample can be no deeper than the sample, so its leaves grow with the table. Such a
+    leaf is split by a tree that is fitted on a sample of the leaf itself (``LEAF_SAMPLE`` vectors, chosen by
+    hash), and so on until every leaf is small or no split of it pays. Fitting is one task
+    per leaf over its sample; placing is dealt over ``(leaf, part)``, so no task holds a whole large leaf."""
+    where = ["label", "length", "place"]
+    vectors = placed.select("class_id", "label", "n", "v")
+    entries, rounds = placed.select("class_id", "label", F.size("v").alias("length"), F.explode("places").alias("place"),
+                                    F.lit(False).alias("settled")), 0
+    schema = vectors.schema["v"].dataType.simpleString()
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        key = [int(group[c].iloc[0]) for c in where]
+        size, rows = int(group["size"].iloc[0]), _units(group["v"])
+        tree = Tree(rows, np.random.default_rng([seed, rounds, *(x % 2**32 for x in key)]), max(8, leaf * len(rows) // size), spill)
+        return pd.DataFrame({**{c: [k] for c, k in zip(where, key, strict=True)},
+                             "tree": [pickle.dumps(tree) if tree.nodes[0] is not None else None], "parts": [1 + size // LEAF_SAMPLE]})
+
+    def deal(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in ("class_id", *where)}, dtype="int64")
+        found = pickle.loads(right["tree"].iloc[0]).leaves(_units(left["v"]))
+        counts = [len(x) for x in found]
+        below = np.array([y for x in found for y in x], dtype=np.uint64)
+        # a leaf of the new tree is named by its parent's name and its own, mixed
+        name = mix(np.uint64(int(left["place"].iloc[0]) % 2**64) ^ mix(below + np.uint64(1))).view(np.int64)
+        return pd.DataFrame({"class_id": np.repeat(left["class_id"].to_numpy(), counts), "label": left["label"].iloc[0],
+                             "length": left["length"].iloc[0], "place": name})
+
+    while True:
+        large = materialise(entries.where("not settled").groupBy(*where).agg(F.count(F.lit(1)).alias("size"))
+                            .where(F.col("size") > DEEPEN * leaf), "large-leaves")
+        if not large.head(1):
+            break
+        chosen = F.pmod(F.xxhash64("class_id", "place", F.lit(seed + rounds)), F.lit(1 << 30)) < LEAF_SAMPLE / F.col("size") * (1 << 30)
+        sample = entries.join(large, where).where(chosen).join(vectors.select("class_id", "v"), "class_id")
+        trees = materialise(sample.select(*where, "size", "v").groupBy(*where).applyInPandas(
+            fit, "label long, length int, place long, tree binary, parts int"), "leaf-trees")
+        split = trees.where("tree is not null")
+        marked = entries.join(trees.select(*where, F.col("tree").isNotNull().alias("goes"), "parts"), where, "left")
+        stays = marked.where("not coalesce(goes, false)").select("class_id", *where, (F.col("settled") | F.col("goes").isNotNull()).alias("settled"))
+        moved = (marked.where("goes").withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")).cast("int"))
+                 .join(vectors.select("class_id", "v"), "class_id"))
+        copies = split.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*where, "part", "tree")
+        new = (moved.select("class_id", *where, "part", "v").groupBy(*where, "part").cogroup(copies.groupBy(*where, "part"))
+               .applyInPandas(deal, "class_id long, label long, length int, place long").withColumn("settled", F.lit(False)))
+        entries, rounds = materialise(stays.unionByName(new), "deeper-leaves"), rounds + 1
+    if not rounds:
+        return placed
+    places = entries.groupBy("class_id").agg(F.collect_set("place").alias("places"))  # some per tree
+    return materialise(vectors.join(places, "class_id").select("class_id", "label", "n", F.col("v").cast(schema).alias("v"), "places"), "vector-leaves")
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_trees: int = 8, spill: float = 0.02,
+                    leaf: int = LEAF, sample_rows: int = 50_000, seed: int = 17, id_col: str = "vec_id",
+                    vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id, kept."""
+    rows = pick(vectors, vec_id=id_col, v=vector_col, label=label_col)
+    rows = rows.withColumn("label", F.col("label").cast("long"))
+    rows = rows.withColumn("valid", _usable("v") & F.col("label").isNotNull())
+    # -0.0 and 0.0 are one value; a class is one label and one vector, kept in the input's type
+    rows = rows.withColumn("v", F.when(F.col("valid"), F.transform("v", lambda x: F.when(x == 0, F.abs(x)).otherwise(x))))
+    rows = rows.withColumn("class_key", F.when(F.col("valid"), F.sha2(F.to_json(F.struct("label", "v")), 256)))
+    rows = materialise(rows, "vectors")
+    classes = (rows.where("valid").groupBy("class_key").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id"),
+                                                            F.first("v").alias("v"), F.first("label").alias("label")))
+    classes = materialise(classes.withColumn("class_id", F.monotonically_increasing_id()), "vector-classes")
+    placed = place_vectors(classes, n_trees, spill, leaf, sample_rows, seed)
     entries = placed.withColumn("place", F.explode("places"))
     sizes = (entries.groupBy("label", F.size("v").alias("length"), "place").agg(F.count(F.lit(1)).alias("size"))
              .where("size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")))

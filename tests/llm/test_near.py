@@ -123,6 +123,52 @@ def test_forest_fitted_on_a_small_sample(frame):
     assert found >= 0.99 * all_links and all(r["n_links"] <= want[r["vec_id"]][0] for r in got)
 
 
+def planted(n, dims=64, seed=6):
+    """Scattered vectors; every third has a near copy (cosine 0.93 and more), some have several."""
+    rng = np.random.default_rng(seed)
+    rows = rng.standard_normal((n, dims))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    for i in range(0, n, 3):
+        for j in range(i + 1, min(i + 1 + (4 if i % 30 == 0 else 1), n)):
+            aside = rng.standard_normal(dims)
+            aside -= rows[i] * (aside @ rows[i])
+            cosine = rng.uniform(0.931, 0.999)
+            rows[j] = cosine * rows[i] + np.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside)
+    order = rng.permutation(n)
+    return [(int(k), rows[i].tolist(), int(i % 40 == 0)) for k, i in enumerate(order)]
+
+
+def test_leaves_stay_small_beyond_the_sample(spark, frame, monkeypatch):
+    """A table of ten times the sample: the size of leaves is bounded and links are found."""
+    monkeypatch.setattr(rpforest, "LEAF_SAMPLE", 200)
+    rows = planted(4000)
+    df = frame([(*r, "x", 1) for r in rows], VECTOR)
+    sizes = []
+    real = rpforest.place_vectors
+
+    def watched(*args):
+        out = real(*args)
+        sizes.extend(r["count"] for r in out.selectExpr("label", "explode(places) AS place").groupBy("label", "place").count().collect())
+        return out
+
+    monkeypatch.setattr(rpforest, "place_vectors", watched)
+    got = rpforest.near_duplicates(df, leaf=60, sample_rows=400).collect()
+    want = brute.cosines(rows)
+    found, all_links = sum(r["n_links"] for r in got), sum(n for n, _ in want.values())
+    assert all_links > 1500 and found >= 0.99 * all_links
+    assert all(r["n_links"] <= want[r["vec_id"]][0] for r in got)
+    assert max(sizes) <= rpforest.DEEPEN * 60 and len(sizes) > 4000 / 60
+
+
+def test_a_dense_label_ends_the_rounds(frame, monkeypatch):
+    monkeypatch.setattr(rpforest, "LEAF_SAMPLE", 150)
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(dense(1200, 0.97, rng))]
+    got = rpforest.near_duplicates(frame([(*r, "x", 1) for r in rows], VECTOR), leaf=50, sample_rows=200).collect()
+    want = brute.cosines(rows)
+    assert sum(r["n_links"] for r in got) >= 0.99 * sum(n for n, _ in want.values())
+
+
 def dense(n, cosine, rng, dims=64):
     centre = rng.standard_normal(dims)
     rows = centre / np.linalg.norm(centre) + rng.standard_normal((n, dims)) * np.sqrt((1 / cosine - 1) / dims)
