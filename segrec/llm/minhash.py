@@ -1,5 +1,7 @@
 """MinHash near-duplicates with b-bit signatures.
 
+Texts are written once as chunks, bucketed by chunk, and read from there: no step shuffles text.
+
 1. Per text: the set of word shingles (64-bit hashes), ``hashes`` minima, the keys of the
    ``bands`` (from full minima) and a signature of the low ``bits`` bits of every minimum,
    packed into bit planes. Texts with equal sets are one class from here on.
@@ -7,7 +9,7 @@
    its bucket only, so a bucket of n classes gives n - 1 candidates. Candidates pass if the
    similarity estimated from the signatures by bit counts, corrected for chance collisions of
    the low bits, is within ``slack`` standard errors of the threshold; what passes is verified
-   on the full sets, fetched for those texts alone, and links are united.
+   on the full sets, made again for those texts alone in the tasks of their chunks, and links are united.
 3. What is left are buckets whose classes lie in several components. Their classes, with their
    full sets, are dealt into blocks of bounded bytes by hash. A task compares one pair of
    blocks by bit counts, verifies what passes the estimate and joins components not yet joined
@@ -31,10 +33,11 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segrec.llm.common import map_rows, materialise, pick
+from segrec.llm.common import chunk_table, map_rows, materialise, pick
 from segrec.llm.components import connected_components
 from segrec.llm.hashing import Windows, mix, shingle_set, word_hashes
 
@@ -100,15 +103,15 @@ def similarity_estimate(a: Column, b: Column, hashes: int, bits: int) -> Column:
     return (matches(a, b, hashes, bits) / F.lit(hashes) - F.lit(chance)) / F.lit(1 - chance)
 
 
-def _lower_words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def _lower_words(text: bytes | None) -> list[bytes]:
+    return text.lower().split() if text else []
 
 
-def _features(docs: DataFrame, shingle: int, signer: Signer) -> DataFrame:
+def _features(chunks: DataFrame, shingle: int, signer: Signer) -> DataFrame:
     def work(batches):
         windows = Windows(shingle)
         for b in batches:
-            out = {"doc_id": b["doc_id"], "n_shingles": [], "set_key": [], "signature": [], "bands": []}
+            out = {"chunk": b["chunk"], "nth": b["nth"], "doc_id": b["doc_id"], "n_shingles": [], "set_key": [], "signature": [], "bands": []}
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 shingles = shingle_set(word_hashes(_lower_words(text)), windows)
                 out["n_shingles"].append(len(shingles))
@@ -122,7 +125,7 @@ def _features(docs: DataFrame, shingle: int, signer: Signer) -> DataFrame:
                 out["bands"].append(signer.band_keys(minima))
             yield out
 
-    return map_rows(docs, "doc_id long, n_shingles long, set_key binary, signature array<long>, bands array<long>", work)
+    return map_rows(chunks, "chunk long, nth long, doc_id long, n_shingles long, set_key binary, signature array<long>, bands array<long>", work)
 
 
 def _set_key(shingles: np.ndarray) -> bytes:
@@ -197,10 +200,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     signer = Signer(hashes, bands, bits)
     least = least_matches(percent / 100, hashes, bits, slack)
-    features = materialise(_features(rows, shingle, signer), "minhash-features")
+    # written once by chunk: full sets are made again where the texts lie, without a shuffle of text
+    chunks, _ = chunk_table(rows)
+    features = materialise(_features(chunks.select("chunk", "nth", "row.doc_id", "text"), shingle, signer), "minhash-features")
     classes = (features.where("set_key is not null").groupBy("set_key")
-               .agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n"),
+               .agg(F.min(F.struct("doc_id", "chunk", "nth")).alias("least"), F.first("n_shingles").alias("n"),
                     F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+               .select("set_key", F.col("least.doc_id").alias("least_id"), F.struct("least.chunk", "least.nth").alias("place"), "n", "signature", "bands")
                .withColumn("class_id", F.monotonically_increasing_id()))
     classes = materialise(classes, "minhash-classes")
     members = classes.select("class_id", F.explode("bands").alias("key"))
@@ -217,7 +223,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
         matches(F.col("ga"), F.col("gb"), hashes, bits) >= least)
     star = materialise(star.join(sa, "a").join(sb, "b").where(near).select("a", "b"), "minhash-star")
     met = star.select(F.col("a").alias("class_id")).unionByName(star.select(F.col("b").alias("class_id"))).distinct()
-    sets = _full_sets(rows, classes, met, shingle)
+    sets = _full_sets(chunks, classes, met, shingle)
     links = materialise(_verified(star, sets, percent), "minhash-links")
     component = materialise(connected_components(classes.select(F.col("class_id").alias("node")), links), "minhash-components")
 
@@ -231,7 +237,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
                      .cast("int").alias("blocks")))
     crowded = materialise(crowded.join(mixed, "key"), "minhash-crowded")
     keys = crowded.groupBy("class_id").agg(F.collect_set("key").alias("keys"))  # at most one per band
-    sets = _full_sets(rows, classes, crowded.select("class_id").distinct(), shingle)
+    sets = _full_sets(chunks, classes, crowded.select("class_id").distinct(), shingle)
     dealt = (crowded.join(signed.join(keys, "class_id").join(sets, "class_id"), "class_id")
              .withColumn("block", F.pmod(F.xxhash64("class_id", "key"), F.col("blocks")).cast("int"))
              .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -250,23 +256,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
                       F.coalesce(found == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _full_sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def _full_sets(chunks: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """class_id and full shingle set of the wanted classes, from one text of each."""
-    wanted = classes.select("class_id", "set_key", F.col("least_id").alias("doc_id")).join(wanted, "class_id")
-
-    def work(batches):
-        windows = Windows(shingle)
-        for b in batches:
-            kept = {"class_id": [], "shingles": []}
-            for class_id, key, text in zip(b["class_id"], b["set_key"], b["text"], strict=True):
-                shingles = shingle_set(word_hashes(_lower_words(text)), windows)
-                if _set_key(shingles) == key:  # else another text under a repeated id
-                    kept["class_id"].append(class_id)
-                    kept["shingles"].append(shingles.tobytes())
-            yield kept
-
-    found = map_rows(rows.join(wanted, "doc_id").select("class_id", "set_key", "text"), "class_id long, shingles binary", work)
-    return materialise(found.dropDuplicates(["class_id"]), "minhash-sets")
+    wanted = classes.select("class_id", "place.chunk", "place.nth").join(wanted, "class_id")
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, sets = [], []
+        if left.num_rows:
+            nth = right["nth"].to_numpy()
+            order = np.argsort(nth)
+            windows = Windows(shingle)
+            places = order[np.searchsorted(nth[order], left["nth"].to_numpy())].tolist()
+            for class_id, place in zip(left["class_id"].to_pylist(), places, strict=True):
+                ids.append(class_id)
+                sets.append(shingle_set(word_hashes(_lower_words(right["text"][place].as_py())), windows).tobytes())
+        return pa.table([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["class_id", "shingles"])
+
+    found = wanted.groupBy("chunk").cogroup(chunks.select("chunk", "nth", "text").groupBy("chunk")).applyInArrow(
+        work, "class_id long, shingles binary")
+    return materialise(found, "minhash-sets")
 
 
 __all__ = ["Signer", "least_matches", "matches", "near_duplicates", "similarity_estimate"]
