@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 import uuid
@@ -47,6 +48,15 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps idle Python workers, and what their allocators
+    hold for later is memory that the tasks of other workers lack."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc has it
+        trim(0)
+
+
 def partitions_for(total_bytes: float, per_partition: int = 16 << 20, least: int = 1) -> int:
     return max(least, math.ceil((total_bytes or 0) / per_partition))
 
@@ -117,4 +127,4 @@ def bucket_count(spark: SparkSession, wanted: int) -> int:
     return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
-__all__ = ["CHUNK_BYTES", "arrow_schema", "bucket_count", "bucketed", "chunk_table", "ensure_importable", "map_rows", "materialise", "partitions_for", "pick"]
+__all__ = ["CHUNK_BYTES", "arrow_schema", "bucket_count", "bucketed", "chunk_table", "ensure_importable", "give_back", "map_rows", "materialise", "partitions_for", "pick"]

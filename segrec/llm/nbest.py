@@ -42,7 +42,7 @@ from operator import itemgetter
 import numpy as np
 from pyspark.sql import DataFrame
 
-from segrec.llm.common import map_rows, pick
+from segrec.llm.common import give_back, map_rows, pick
 from segrec.llm.pieces import BLANK, Cache, merge_encoder, vocab
 
 # Entries of the memo of a task (about 300 bytes each): it saves work, results do not depend on it.
@@ -50,6 +50,7 @@ CACHE = 500_000
 # a solved unit: best score, its piece ids (32-bit, packed), loss of the second best, decoded text
 _SCORE, _IDS, _LOSS, _TEXT = map(itemgetter, range(4))
 NONE = 1 << 62       # loss of a unit with a single segmentation
+ROWS = 500  # texts whose units are solved together, and rows of a result batch
 LONGEST_BATCHED = 40  # units up to this length are solved together, longer ones one by one
 UNSCORED = -10**8  # pieces at or below (runs of blanks in some vocabularies) do not set the byte score
 
@@ -376,28 +377,32 @@ def _mapped(docs, model_path, n_best, id_col, text_col, more, result, own=False)
         coder = lattice(model_path)
         merges = merge_encoder(model_path) if own else None
         for b in batches:
-            out = {"doc_id": b["doc_id"], "n_pieces": [], "nbest_scores": [], "round_trip": [], **{n: [] for n in names}}
-            for k, text in enumerate(b["text"]):
-                if k % 500 == 0:
-                    units = [coder.vocab.units(t or "") for t in b["text"][k:k + 500]]
-                    coder.prepare(chain.from_iterable(units))
-                ids, scores, decoded = coder.best(units[k % 500], n_best)
-                decoded = decoded.removeprefix(b" ")
-                expected = (text or "").replace(BLANK, " ").encode("utf-8", "surrogatepass")
-                same, taken = decoded == expected, ids
-                if own:
-                    taken = merges.encode(units[k % 500])
-                    decoded = b"".join([coder.vocab.texts[i] for i in np.frombuffer(taken, "<i4").tolist()]).removeprefix(b" ")
-                    same &= decoded == expected
-                out["n_pieces"].append(len(taken) // 4)
-                out["nbest_scores"].append(scores)
-                out["round_trip"].append(same)
-                for name, value in zip(names, result(ids, decoded, taken), strict=True):
-                    out[name].append(value)
-            yield out
+            for at in range(0, len(b["text"]), ROWS):
+                yield part(coder, merges, b["doc_id"][at:at + ROWS], b["text"][at:at + ROWS])
         coder.forget()
         if own:
             merges.forget()
+        give_back()
+
+    def part(coder, merges, doc_ids, texts):
+        out = {"doc_id": doc_ids, "n_pieces": [], "nbest_scores": [], "round_trip": [], **{n: [] for n in names}}
+        units = [coder.vocab.units(t or "") for t in texts]
+        coder.prepare(chain.from_iterable(units))
+        for text, own_units in zip(texts, units, strict=True):
+            best, scores, decoded = coder.best(own_units, n_best)
+            decoded, taken = decoded.removeprefix(b" "), best
+            expected = (text or "").replace(BLANK, " ").encode("utf-8", "surrogatepass")
+            same = decoded == expected
+            if own:
+                taken = merges.encode(own_units)
+                decoded = b"".join([coder.vocab.texts[i] for i in np.frombuffer(taken, "<i4").tolist()]).removeprefix(b" ")
+                same &= decoded == expected
+            out["n_pieces"].append(len(taken) // 4)
+            out["nbest_scores"].append(scores)
+            out["round_trip"].append(same)
+            for name, value in zip(names, result(best, decoded, taken), strict=True):
+                out[name].append(value)
+        return out
 
     return map_rows(pick(docs, doc_id=id_col, text=text_col), f"doc_id {docs.schema[id_col].dataType.simpleString()}, "
                     f"n_pieces long, nbest_scores array<long>, round_trip boolean, {more}", work)

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from segrec.llm.common import CHUNK_BYTES, bucket_count, bucketed, chunk_table, materialise, pick
+from segrec.llm.common import CHUNK_BYTES, bucket_count, bucketed, chunk_table, give_back, materialise, pick
 
 SHARD_GRAMS = 1 << 20
 SALTS = 64
@@ -229,6 +229,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
         grams = w.distinct & gram_mask
         rows = [(key[0].as_py(), fold, shard, pack_numbers(np.diff(grams[places], prepend=0)), pack_numbers(counts[places]), pack_numbers(toxic[places]))
                 for (fold, shard), places in _by_shard(w.distinct, order, shards)]
+        del w, counts, toxic, grams
+        give_back()
         columns = zip(*rows, strict=True) if rows else [()] * 6
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["chunk", "fold", "shard", "grams", "counts", "toxic"])
@@ -298,6 +300,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, order: int = 5, z: float
         with np.errstate(invalid="ignore", divide="ignore"):
             mean = total / n
             error = np.sqrt(np.maximum(square / n - mean * mean, 0) / n)
+        del each, ratios, values, got
+        give_back()
         empty = n == 0
         is_trusted = np.isin(order_, right.filter(pc.equal(right["shard"], -1))["nth"].to_numpy())
         unscored = empty | np.isin(w.fold, list(unknown))
