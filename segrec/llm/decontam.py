@@ -3,10 +3,10 @@
 Words are lower-cased runs without ASCII punctuation or white space. A fixed mask takes some
 words of a window and ignores the others, so a seed still matches when ignored words were
 substituted; five masks of weight five and spans of 5 to 9 find 97 % of 15-word passages with
-every fifth word substituted at random, and all with fewer. Items shorter than the longest
-mask are also found by masks that fit them (of five-word items only equal copies, of six-word
-items those and copies whose first, third or last word was substituted); items below ``least_words`` words are too short to
-identify a leak and have no seeds.
+every fifth word substituted at random, and all with fewer. Items of up to six words have masks of
+their own (``SHORT_MASKS``), which find every copy that the rule asks for: one word of five or six
+may differ, none of four or less. They are taken over the documents only if the benchmark has such items.
+Items below ``least_words`` words (5, down to 1) are too short to identify a leak and have no seeds.
 
 1. The seeds of all benchmark items set bits in one bitmap of a fixed size (2^25 bits, built by
    an aggregate, 4 MB), which is broadcast. Documents without a seed in the bitmap end here; a
@@ -38,6 +38,10 @@ from segrec.llm.hashing import mix, word_hashes
 
 # The masks; 1 takes a word, 0 ignores it.
 MASKS = ("11111", "110111", "1011011", "11001011", "110100101")
+# Words that items of so many words have seeds of: with any one of five or six words substituted a mask
+# misses it, of fewer all must be equal.
+SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("111", "11011"), 6: ("111",)}
+_SALTED = tuple(dict.fromkeys([*MASKS, *(m for masks in SHORT_MASKS.values() for m in masks)]))
 BITMAP_BITS = 25
 # Fixed rule: ASCII punctuation and control characters separate words.
 _BLANKS = bytes(range(128)).translate(None, b"0123456789abcdefghijklmnopqrstuvwxyz")
@@ -54,9 +58,9 @@ class Seeds:
     def __init__(self, masks: tuple[str, ...] = MASKS):
         self.masks = [np.flatnonzero(np.array([*m]) == "1") for m in masks]
         self.spans = [len(m) for m in masks]
-        longest = max(map(len, masks))
+        longest = max(map(len, _SALTED))
         self.factors = mix(np.arange(1, longest + 1, dtype=np.uint64)) | np.uint64(1)
-        self.salts = mix(np.arange(101, 101 + len(masks), dtype=np.uint64))
+        self.salts = mix(np.array([101 + _SALTED.index(m) for m in masks], dtype=np.uint64))
 
     def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(seed, word position) of every window."""
@@ -80,13 +84,13 @@ def bitmap_positions(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _item_seeds(items: DataFrame, least_words: int) -> DataFrame:
     """item_id, words (hashes), seeds and their places, of every item long enough."""
     def work(batches):
-        find = Seeds()
+        long, short = Seeds(), {n: Seeds(masks) for n, masks in SHORT_MASKS.items()}
         for b in batches:
             out = {"item_id": [], "words": [], "seeds": [], "places": []}
             for item_id, text in zip(b["item_id"], b["text"], strict=True):
                 hashes = word_hashes(normal_words(text))
                 if len(hashes) >= least_words:
-                    seeds, places = find(hashes)
+                    seeds, places = short.get(len(hashes), long)(hashes)
                     for k, v in zip(out, (item_id, hashes.view(np.int64).tolist(), seeds.view(np.int64).tolist(),
                                           places.tolist()), strict=True):
                         out[k].append(v)
@@ -135,12 +139,17 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, span: int = 13, agree:
                   text_col: str = "text") -> DataFrame:
     """One row per document, item and diagonal with an overlap: ``row`` (the document's other
     columns), item_id, doc_word, item_word, n_words, n_equal."""
+    if least_words < 1:
+        raise ValueError("least_words must be >= 1")
     spark = docs.sparkSession
     items = pick(benchmark, item_id="item_id", text="text").withColumn("item_id", F.col("item_id").cast("long"))
     items = materialise(_item_seeds(items, least_words).withColumn("item", F.monotonically_increasing_id()), "leak-items")
     item_seeds = items.select("item", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
         "item", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_place"))
     bitmap = spark.sparkContext.broadcast(_bitmap(item_seeds))
+    # the numbers of words that short items have: six at most
+    lengths = [r["n"] for r in items.select(F.size("words").alias("n")).where(F.col("n") <= max(SHORT_MASKS)).distinct().collect()]
+    masks = tuple(dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in SHORT_MASKS[n])]))
 
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     carried = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
@@ -149,7 +158,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, span: int = 13, agree:
                          StructField("seeds", ArrayType(LongType())), StructField("places", ArrayType(IntegerType()))])
 
     def candidates(batches):
-        find, bits = Seeds(), bitmap.value
+        find, bits = Seeds(masks), bitmap.value
         for batch in batches:
             at, words, seeds, places = [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -199,4 +208,4 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, span: int = 13, agree:
     return found.select("doc", "row").join(overlaps, "doc").drop("doc")
 
 
-__all__ = ["MASKS", "Seeds", "find_overlaps", "longest_span", "normal_words"]
+__all__ = ["MASKS", "SHORT_MASKS", "Seeds", "find_overlaps", "longest_span", "normal_words"]

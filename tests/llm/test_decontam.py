@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from hypothesis import given, settings
@@ -84,6 +85,36 @@ def test_substituted_ends_are_found(frame):
     assert sorted((r["row"]["doc_id"], r["item_id"]) for r in got) == [(k, k) for k in range(len(cases))]
 
 
+def test_recall_by_item_length(frame):
+    """Copies of items of 1 to 20 words with every pattern of substitutions that the rule allows (of long ones many)."""
+    rng = random.Random(12)
+    items, docs, wrong = [], [], []
+    for n in range(1, 21):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item), ""))
+        most = n - next(e for e in range(n + 1) if e >= 0.8 * n - 1e-9)
+        patterns = set()
+        if most <= 2:
+            patterns = {frozenset(c) for m in range(most + 1) for c in combinations(range(n), m)}
+        while len(patterns) < 60 and most > 2:
+            patterns.add(frozenset(rng.sample(range(n), rng.randrange(most + 1))))
+        for gone in patterns:
+            docs.append((n * 1000 + len(docs), "so " + " ".join("other" if k in gone else w for k, w in enumerate(item)) + " end", "", 0))
+        wrong.append((n, "so " + " ".join("other" if k < most + 1 else w for k, w in enumerate(item)) + " end"))
+    got = {(r["row"]["doc_id"], r["item_id"]) for r in decontam.find_overlaps(frame(docs, SCHEMA), frame(items, ITEM), least_words=1).collect()}
+    by_length = Counter(d[0] // 1000 for d in docs)
+    for n in range(1, 21):
+        ours = {i for i, item in got if item == n}
+        assert {i // 1000 for i in ours} <= {n}
+        assert len(ours) >= (1.0 if n <= 6 else 0.9) * by_length[n], (n, len(ours), by_length[n])
+    # one word more substituted than the rule allows: no overlap of the whole item (spans of 13 words count)
+    short = [(n, t, "", 0) for n, t in wrong if n <= 13]
+    assert decontam.find_overlaps(frame(short, SCHEMA), frame(items, ITEM), least_words=1).count() == 0
+    # items below the least number of words are left out
+    got = decontam.find_overlaps(frame(docs, SCHEMA), frame(items, ITEM)).collect()
+    assert {r["item_id"] for r in got} == set(range(5, 21))
+
+
 def test_query_finds_verbatim_passages(spark):
     sf = "/root/testdata/sf0.01"
     flat = lambda t: " ".join(t.split())
