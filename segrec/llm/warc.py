@@ -2,7 +2,7 @@
 
 Writing: every page becomes one record, ``response`` with the payload or ``revisit`` of the
 response with an equal payload. Payloads are cut into (record, chunk number) rows by DataFrame
-functions; the writer streams those rows into gzip members (one per record, as the format
+functions and written once as that table; equal ones are found by digest. The writer streams those rows into gzip members (one per record, as the format
 asks) of archive files in the shared scratch folder. A file counts only if the manifest row
 that its task returned is in the committed manifest, so files of lost or repeated attempts
 are ignored.
@@ -34,10 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segrec.llm.common import materialise, pick
+from segrec.llm.common import bucketed, materialise, partitions_for, pick
 from segrec.session import scratch_path
 
 CHUNK = 1 << 18
+GROUP = 256  # records whose rows are handed the list of first pages together
 FILE_BYTES = 64 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -61,27 +62,42 @@ def record_id(page_id: int | None, url: str | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id} {url} {digest}')}>"
 
 
-def plan_records(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
-    """Pages with payload size, digest, and the first page (id and url) of an equal payload."""
+def record_pieces(pages: DataFrame) -> DataFrame:
+    """The chunked record table of pages, written: chunk, nth (which record), chunk_no, page_id, url, n, digest, piece.
+
+    A payload is cut before its rows are made, so no row but the page's own ever holds it whole. The
+    table is bucketed by ``chunk``, ``GROUP`` records of one scan task, and read by it without a shuffle."""
     p = pick(pages, page_id="page_id", url="url", html="html").select(
         F.col("page_id").cast("long").alias("page_id"), "url",
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    p = p.withColumn("n", F.octet_length("payload").cast("long")).withColumn("digest", F.sha2("payload", 256))
-    first = (p.where((F.col("n") >= min_revisit) & F.col("page_id").isNotNull()).groupBy("digest")
-             .agg(F.min(F.struct("page_id", "url")).alias("first")))
-    return p.join(first, "digest", "left").select(
-        "page_id", "url", "payload", "n", "digest",
-        F.when(F.col("first.page_id") < F.coalesce("page_id", F.lit(2**63 - 1)), F.col("first")).alias("first"))
+    total = p.agg(F.sum(F.octet_length("payload"))).first()[0]
+    p = p.withColumns({"record": F.monotonically_increasing_id(), "n": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
+    last = F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK)).cast("int") - 1
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(
+        k.alias("chunk_no"), F.substring("payload", k * CHUNK + 1, F.lit(CHUNK)).alias("piece")))
+    rows = p.select("record", "page_id", "url", "n", "digest", F.explode(pieces).alias("c"))
+    rows = rows.select(F.floor(F.col("record") / GROUP).alias("chunk"), (F.col("record") % GROUP).cast("int").alias("nth"),
+                       "c.chunk_no", "page_id", "url", "n", "digest", "c.piece")
+    return bucketed(rows, "records", "chunk", partitions_for(total, least=4))
 
 
-def _chunk_rows(records: DataFrame) -> DataFrame:
-    """(record, chunk number) rows; the rows of a record follow each other in one task."""
-    chunks = F.when(F.col("first").isNotNull(), F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK))).cast("int")
-    rows = records.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    piece = F.when(F.col("first").isNull(), F.substring("payload", F.col("chunk_no") * CHUNK + 1, F.lit(CHUNK)))
-    return rows.select("page_id", "url", "n", "digest", "chunk_no", F.col("first.page_id").alias("first_id"),
-                       F.col("first.url").alias("first_url"), piece.alias("piece"))
+def plan_records(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
+    """The pieces to write, those of a record one after the other, with the first page (id and url) of an
+    equal payload for revisits, which have one row without a piece.
+
+    Equal payloads are found by their digests alone; what was found returns as one list for every group of
+    records, so no payload is shuffled."""
+    pieces = record_pieces(pages)
+    records = pieces.where("chunk_no = 0").select("chunk", "nth", "page_id", "url", "n", "digest")
+    first = (records.where((F.col("n") >= min_revisit) & F.col("page_id").isNotNull()).groupBy("digest")
+             .agg(F.min(F.struct("page_id", "url")).alias("first")))
+    found = F.when(F.col("first.page_id") < F.coalesce("page_id", F.lit(2**63 - 1)), F.col("first")).alias("first")
+    lists = (records.join(first, "digest", "left").select("chunk", "nth", found).groupBy("chunk")
+             .agg(F.sort_array(F.collect_list(F.struct("nth", "first"))).alias("firsts")))  # GROUP entries at most
+    planned = pieces.join(lists, "chunk").withColumn("first", F.get("firsts", F.col("nth"))["first"]).where("first is null or chunk_no = 0")
+    return planned.select("chunk", "nth", "chunk_no", "page_id", "url", "n", "digest", F.col("first.page_id").alias("first_id"),
+                          F.col("first.url").alias("first_url"), F.when(F.col("first").isNull(), F.col("piece")).alias("piece")
+                          ).sortWithinPartitions("chunk", "nth", "chunk_no")
 
 
 def _head(row: dict) -> bytes:
@@ -161,7 +177,7 @@ def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES
         yield pa.RecordBatch.from_pydict({"file": pa.array([f"{folder}/{x}" for x in names], pa.string()),
                                           "records": pa.array(counts, pa.int64()), "bytes": pa.array(sizes, pa.int64())})
 
-    return materialise(_chunk_rows(records).mapInArrow(run, "file string, records long, bytes long"), "warc-manifest")
+    return materialise(records.mapInArrow(run, "file string, records long, bytes long"), "warc-manifest")
 
 
 class _Stream:
@@ -281,4 +297,4 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit: int
     return write_archives(plan_records(pages, min_revisit), folder, file_bytes)
 
 
-__all__ = ["archive_pages", "file_system", "plan_records", "read_chunks", "record_id", "write_archives"]
+__all__ = ["archive_pages", "file_system", "plan_records", "read_chunks", "record_id", "record_pieces", "write_archives"]

@@ -55,3 +55,19 @@ def test_damage_is_noticed(frame):
             f.write(data[:-10])
     with pytest.raises(Exception, match="ends within a record"):
         warc.read_chunks(manifest).collect()
+
+
+def test_no_payload_is_shuffled(spark, frame):
+    from plan_metrics import nodes
+
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = frame([(i, f"u{i}", f"body {i % 7} " * 60, "clash", 1, "x") for i in range(700)], SCHEMA)
+        planned = warc.plan_records(pages)
+        assert planned.count() == 700
+        planned.collect()
+        exchanges = [n.output().toString() for n in nodes(planned._jdf.queryExecution().executedPlan()) if "Exchange" in n.nodeName()]
+        assert exchanges and not any("piece" in x for x in exchanges)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
