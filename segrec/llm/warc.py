@@ -78,7 +78,9 @@ def record_pieces(pages: DataFrame) -> DataFrame:
     rows = p.select("record", "page_id", "url", "n", "digest", F.explode(pieces).alias("c"))
     rows = rows.select(F.floor(F.col("record") / GROUP).alias("chunk"), (F.col("record") % GROUP).cast("int").alias("nth"),
                        "c.chunk_no", "page_id", "url", "n", "digest", "c.piece")
-    return bucketed(rows, "records", "chunk", partitions_for(total, least=4))
+    # with fewer buckets than shuffle partitions Spark would shuffle the pieces for more parallelism
+    least = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed(rows, "records", "chunk", partitions_for(total, least=least))
 
 
 def plan_records(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
