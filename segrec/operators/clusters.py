@@ -32,8 +32,10 @@ def fit_sweep(scaled: DataFrame, ks: Sequence[int], seed: int = 42, features_col
     """One K-Means model per k. With ``parallelism`` > 1 the fits are submitted from a thread
     pool (as Spark ML's CrossValidator does), so their small per-iteration jobs share the
     cluster instead of running one after another; models do not depend on the order.
-    ``scaled`` should be persisted."""
+    ``scaled`` should be persisted; it is filled first, or else each fit would compute it."""
     ks = list(dict.fromkeys(ks))
+    if parallelism > 1 and (scaled.storageLevel.useMemory or scaled.storageLevel.useDisk):
+        scaled.count()
     if parallelism <= 1 or len(ks) == 1:
         return {k: fit_clusters(scaled, k, seed, features_col) for k in ks}
     from concurrent.futures import ThreadPoolExecutor

@@ -31,6 +31,8 @@ def parse_args(argv=None):
     p.add_argument("--items-encoding", default="ISO-8859-1")
     p.add_argument("--format", choices=("json", "parquet"), default="json")
     p.add_argument("--checkpoint", action="store_true")
+    p.add_argument("--user-buckets", type=int, default=cfg.user_buckets, help="store the pairs by user in so many buckets")
+    p.add_argument("--no-resume", action="store_true", help="begin anew where an earlier attempt broke off")
     p.add_argument("--documents-k", default=None,
                    help="pack this K's recommendations (or 'best') into <output-dir>/documents")
     p.add_argument("--master", default=None)
@@ -51,12 +53,12 @@ def main(argv=None, stop: bool = True) -> None:
     cfg = RunConfig(k_values=parse_k_values(args.k_values), top_n=args.top_n,
                     relevance_threshold=args.relevance_threshold, seed=args.seed, split=args.split,
                     train_fraction=args.train_fraction, split_buckets=args.split_buckets,
-                    genre_vocabulary=vocabulary)
+                    genre_vocabulary=vocabulary, user_buckets=args.user_buckets)
     documents_k = args.documents_k
     if documents_k not in (None, "best"):
         documents_k = int(documents_k)
     result = run_pipeline(ratings, items, cfg, out=args.output_dir, fmt=args.format,
-                          checkpoint=args.checkpoint, documents_k=documents_k)
+                          checkpoint=args.checkpoint, documents_k=documents_k, resume=not args.no_resume)
     result.summary.show(truncate=False)
     result.best.show(truncate=False)
     result.release()

@@ -273,7 +273,6 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
         models, users = {}, features
         if assignments is None:
             users = scaled = persisted(scale_features(features))
-            scaled.count()  # filled once, before several fits read it at a time
             models = fit_sweep(scaled, pending, cfg.seed, parallelism=cfg.fit_parallelism)
         for k in pending:
             users = (models[k].transform(users).withColumnRenamed("prediction", "cluster") if models else assignments[k](users))
