@@ -170,6 +170,14 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
                     "n_bytes long, n_tokens long, over_limit boolean, fit_chars long", work)
 
 
+def _signed_bytes(changes: np.ndarray) -> bytes:
+    """A byte each. A character changes the count by its bytes at most, or by the characters of the
+    piece that it completes; a vocabulary with longer pieces than a byte can say is refused, not cut off."""
+    if len(changes) and (changes.min() < -128 or changes.max() > 127):
+        raise ValueError("a character changes the token count by more than a signed byte holds")
+    return changes.astype(np.int8).tobytes()
+
+
 def prefix_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_tokens, count_deltas (binary, a signed byte per character)."""
     def work(batches):
@@ -177,7 +185,7 @@ def prefix_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         for b in batches:
             counts = [c.prefix_counts(t) for t in b["text"]]
             yield {"doc_id": b["doc_id"], "n_tokens": [int(x[-1]) for x in counts],
-                   "count_deltas": [np.diff(x).astype(np.int8).tobytes() for x in counts]}
+                   "count_deltas": [_signed_bytes(np.diff(x)) for x in counts]}
 
     return map_rows(pick(docs, doc_id=id_col, text=text_col), f"doc_id {docs.schema[id_col].dataType.simpleString()}, "
                     "n_tokens long, count_deltas binary", work)

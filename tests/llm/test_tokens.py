@@ -182,3 +182,10 @@ def test_merging_of_long_runs(model, letters):
 @functools.lru_cache(maxsize=1)
 def _library(path):
     return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def test_changes_beyond_a_byte_are_refused():
+    assert tokencount._signed_bytes(np.array([-128, 127, 0])) == bytes([128, 127, 0]) and tokencount._signed_bytes(np.array([], np.int64)) == b""
+    for change in (-129, 128):
+        with pytest.raises(ValueError):
+            tokencount._signed_bytes(np.array([0, change]))
