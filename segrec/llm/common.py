@@ -8,10 +8,11 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -107,6 +108,24 @@ def chunk_table(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUN
     return bucketed(rows.mapInArrow(run, schema), "chunks", "chunk", partitions_for(source_bytes, chunk_bytes, 4)), source_bytes
 
 
+def row_number_in_chunks() -> Column:
+    """A number of its own for every row of a ``chunk_table``, ascending with chunk and nth: 25 bits of
+    the task, 20 of its chunks, 18 of a chunk's rows (a row counts 64 bytes at least of ``CHUNK_BYTES``)."""
+    task, chunk = F.shiftright("chunk", 32), F.col("chunk").bitwiseAND((1 << 32) - 1)
+    return F.shiftleft(task, 38).bitwiseOR(F.shiftleft(chunk, 18)).bitwiseOR(F.col("nth"))
+
+
+def rows_of_chunks(chunks: DataFrame, wanted: DataFrame, columns: StructType) -> DataFrame:
+    """The rows of a ``chunk_table`` that ``wanted`` (chunk, nth) names, as ``columns`` (text and fields of row).
+    The chunks stay where they are."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.filter(pa.array(np.isin(left["nth"].to_numpy(), right["nth"].to_numpy())))
+        row = rows["row"].combine_chunks()
+        return pa.table([rows["text"].cast(pa.string()) if f.name == "text" else pc.struct_field(row, f.name) for f in columns], names=columns.names)
+
+    return chunks.groupBy("chunk").cogroup(wanted.select("chunk", "nth").groupBy("chunk")).applyInArrow(run, columns)
+
+
 def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """``df`` as a written table bucketed and sorted by ``key``: it is grouped, joined or
     cogrouped by that key without a shuffle, as often as needed.
@@ -127,4 +146,4 @@ def bucket_count(spark: SparkSession, wanted: int) -> int:
     return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
-__all__ = ["CHUNK_BYTES", "arrow_schema", "bucket_count", "bucketed", "chunk_table", "ensure_importable", "give_back", "map_rows", "materialise", "partitions_for", "pick"]
+__all__ = ["CHUNK_BYTES", "arrow_schema", "bucket_count", "bucketed", "chunk_table", "ensure_importable", "give_back", "map_rows", "materialise", "partitions_for", "pick", "row_number_in_chunks", "rows_of_chunks"]

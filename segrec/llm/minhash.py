@@ -198,11 +198,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
                     bits: int = 2, slack: float = 7.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    signer = Signer(hashes, bands, bits)
-    least = least_matches(percent / 100, hashes, bits, slack)
     # written once by chunk: full sets are made again where the texts lie, without a shuffle of text
     chunks, _ = chunk_table(rows)
-    features = materialise(_features(chunks.select("chunk", "nth", "row.doc_id", "text"), shingle, signer), "minhash-features")
+    return grouped_rows(chunks, F.col("row.doc_id"), shingle, percent, hashes, bands, bits, slack).drop("chunk", "nth")
+
+
+def grouped_rows(chunks: DataFrame, row_id: Column, shingle: int = 5, percent: int = 80, hashes: int = 128, bands: int = 32,
+                 bits: int = 2, slack: float = 7.0) -> DataFrame:
+    """``near_duplicates`` of a ``chunk_table``, whose rows are named by ``row_id`` (long), with their chunk and nth."""
+    signer = Signer(hashes, bands, bits)
+    least = least_matches(percent / 100, hashes, bits, slack)
+    features = materialise(_features(chunks.select("chunk", "nth", row_id.alias("doc_id"), "text"), shingle, signer), "minhash-features")
     classes = (features.where("set_key is not null").groupBy("set_key")
                .agg(F.min(F.struct("doc_id", "chunk", "nth")).alias("least"), F.first("n_shingles").alias("n"),
                     F.first("signature").alias("signature"), F.first("bands").alias("bands"))
@@ -250,9 +256,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, hashes
     named = classes.select("class_id", "set_key", "least_id").join(component.withColumnRenamed("node", "class_id"), "class_id")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = named.join(ids, "component").select("set_key", "component_id")
-    out = features.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    out = features.select("chunk", "nth", "doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     found = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", found.alias("component_id"),
+    return out.select("chunk", "nth", "doc_id", "n_shingles", found.alias("component_id"),
                       F.coalesce(found == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
@@ -277,4 +283,4 @@ def _full_sets(chunks: DataFrame, classes: DataFrame, wanted: DataFrame, shingle
     return materialise(found, "minhash-sets")
 
 
-__all__ = ["Signer", "least_matches", "matches", "near_duplicates", "similarity_estimate"]
+__all__ = ["Signer", "grouped_rows", "least_matches", "matches", "near_duplicates", "similarity_estimate"]
