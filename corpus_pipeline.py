@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segrec.llm import decontam, minhash, nbest, quality, substring
-from segrec.llm.common import ensure_importable, materialise
+from segrec.llm.common import chunk_table, ensure_importable, materialise, row_number_in_chunks, rows_of_chunks
 from segrec.llm.queries import piece_model, table
 from segrec.session import scratch_path
 
@@ -36,19 +36,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where("kept").select("row.doc_id", "text", "row.lang", "row.source", "row.n_chars")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows of a stage's input with a number of their own, written: it must not change between uses."""
-    return materialise(docs.select(*COLUMNS).withColumn("row_key", F.monotonically_increasing_id()), "stage-rows")
-
-
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    groups = minhash.near_duplicates(rows.select("row_key", "text"), shingle=5, percent=80, id_col="row_key")
+    columns = docs.select(*COLUMNS).schema
+    chunks, _ = chunk_table(docs.select(*COLUMNS))
+    groups = minhash.grouped_rows(chunks, row_number_in_chunks(), shingle=5, percent=80)
     # a group is as large as it may be: its first row is found by a minimum, combined in the map tasks
-    named = groups.select(F.col("doc_id").alias("row_key"), "component_id").join(rows.select("row_key", "doc_id"), "row_key")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key"))
-    stays = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row_key").alias("row_key"))
-    return rows.join(stays, "row_key", "left_semi").select(*COLUMNS)
+    named = groups.select("chunk", "nth", "component_id").join(chunks.select("chunk", "nth", "row.doc_id"), ["chunk", "nth"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "chunk", "nth"))
+    stays = named.groupBy("component_id").agg(first.alias("first")).select("first.chunk", "first.nth")
+    return rows_of_chunks(chunks, stays, columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +53,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    overlaps = decontam.find_overlaps(rows.select("row_key", "text"), table(spark, sf_dir, "benchmark"))
-    return rows.join(overlaps.select("row.row_key").distinct(), "row_key", "left_anti").select(*COLUMNS)
+    # what is decided depends on the text alone, so rows are told by its digest
+    digest = F.unhex(F.md5(F.col("text"))).alias("digest")
+    overlaps = decontam.find_overlaps(docs.select(digest, "text"), table(spark, sf_dir, "benchmark"))
+    # written first: its size is known when the join is planned
+    gone = materialise(overlaps.select("row.digest").distinct(), "leaked")
+    return docs.select(*COLUMNS).withColumn("digest", digest).join(gone, "digest", "left_anti").select(*COLUMNS)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
