@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
 from segrec.config import RunConfig
-from segrec.operators.clusters import describe_clusters, fit_sweep, training_cost
+from segrec.operators.clusters import cost_agreement, describe_clusters, fit_sweep, training_cost
 from segrec.operators.evaluate import evaluate, global_metrics, relevant_items
 from segrec.operators.features import clusterable, scale_features
 from segrec.operators.layout import UserLayout
@@ -144,6 +144,7 @@ class PipelineResult:
     best_sample: DataFrame
     quarantine: DataFrame
     runs: dict[int, RunResult]
+    costs: DataFrame | None = None  # ``cost_agreement`` of the K's that were fitted
     written: list = field(default_factory=list)
     _cached: list = field(default_factory=list)
     _layouts: list = field(default_factory=list)
@@ -251,6 +252,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     runs: dict[int, RunResult] = {k: _written_run(spark, k, found, stage.path, fmt) for k, found in done.items()}
     # metrics are tiny: keep them as checkpoints so the summary does not replay the runs
     metrics = {k: cut_lineage(run.global_metrics) for k, run in runs.items()}
+    costs = None
     if pending:
         item_genres = persisted(explode_genres(items, cfg.genre_vocabulary, cfg.normalize_genres))
         # a staged sweep keeps the tables that it could not (random split) or should not compute again
@@ -274,6 +276,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
         if assignments is None:
             users = scaled = persisted(scale_features(features))
             models = fit_sweep(scaled, pending, cfg.seed, parallelism=cfg.fit_parallelism)
+            costs = cost_agreement(models, scaled)
         for k in pending:
             users = (models[k].transform(users).withColumnRenamed("prediction", "cluster") if models else assignments[k](users))
             users = users.withColumn(f"cluster_{k}", F.col("cluster").cast("bigint")).drop("cluster")
@@ -311,7 +314,7 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
     return PipelineResult(profile=profile(ratings, items), rating_distribution=rating_distribution(ratings),
                           split_profile=split_profile(train, test), metrics=all_metrics, summary=summary,
                           best=best_k(all_metrics), best_sample=runs[best].sample_recommendations,
-                          quarantine=quarantine, runs=runs, written=written, _cached=kept, _layouts=layouts)
+                          quarantine=quarantine, runs=runs, costs=costs, written=written, _cached=kept, _layouts=layouts)
 
 
 def _table_names(stage: StagedOutput, k: int) -> list[str]:
