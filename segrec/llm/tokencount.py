@@ -70,7 +70,7 @@ class PrefixCounter:
         self._compatible = Cache(self._keeps_border, CACHE)
         self._states: dict[str, tuple[str, int]] = {"": ("", 0)}
         self._states_bytes = 0
-        self.unit_total = _UnitTotals(lambda unit: sum(self.segment_states(x)[-1][1] for x in self._parts(unit)))
+        self.unit_total = _UnitTotals(lambda unit: self._count(unit) if len(unit) <= SHORT else sum(map(self._count, self._parts(unit))))
 
     def _merge(self, symbols: list[str]) -> list[str]:
         """The tokens of a short string: best-scored neighbours first, the leftmost of equals."""
@@ -107,26 +107,44 @@ class PrefixCounter:
     def _parts(self, unit: str) -> list[str]:
         return [unit] if len(unit) <= SHORT else self.vocab.segments(unit)
 
+    def _count(self, segment: str) -> int:
+        """Tokens of a segment or short unit. The states of a short one's prefixes are kept, so it costs only the
+        characters after its longest prefix that was met before, and of that no more than the states in reach."""
+        size = len(segment)
+        if size > SHORT:
+            return self.segment_states(segment)[-1][1]
+        states, fits, ending = self._states, self._compatible, self.vocab.ending
+        if self._states_bytes > CACHE_BYTES:
+            states.clear()
+            states[""], self._states_bytes = ("", 0), 0
+        known = size
+        while (found := states.get(segment[:known])) is None:
+            known -= 1
+        for end in range(known + 1, size + 1):
+            node, at, tokens = ending, end, []
+            while at and (node := node.get(segment[at - 1])) is not None:
+                at -= 1
+                if "" in node:
+                    tokens.append((at, node[""]))
+            for start, token in reversed(tokens):
+                before, count = found if start == end - 1 else states[segment[:start]]
+                if fits[before, token]:
+                    break
+            else:  # a character outside the vocabulary: its bytes
+                token = segment[end - 1]
+                count = found[1] + len(token.encode("utf-8", "surrogatepass")) - 1
+            found = states[segment[:end]] = (token, count + 1)
+            self._states_bytes += ENTRY + 4 * end
+        return found[1]
+
     def segment_states(self, segment: str) -> list[tuple[str, int]]:
-        """(last token, token count) of every prefix of a segment or short unit. Those of a short one are kept, so
-        it costs only the characters after its longest prefix that was met before."""
+        """(last token, token count) of every prefix of a segment or short unit."""
         if len(segment) > SHORT:
             found = [("", 0)]
             self._extend(segment, found)
             return found
-        states = self._states
-        if self._states_bytes > CACHE_BYTES:
-            states.clear()
-            states[""], self._states_bytes = ("", 0), 0
-        known = len(segment)
-        while segment[:known] not in states:
-            known -= 1
-        found = [states[segment[:k]] for k in range(known + 1)]
-        self._extend(segment, found)
-        for k in range(known + 1, len(segment) + 1):
-            states[segment[:k]] = found[k]
-            self._states_bytes += ENTRY + 4 * k
-        return found
+        self._count(segment)
+        return [self._states[segment[:k]] for k in range(len(segment) + 1)]
 
     def total(self, text: str | None) -> int:
         return sum(map(self.unit_total.__getitem__, self.vocab.units(text))) if text else 0
@@ -142,9 +160,29 @@ class PrefixCounter:
         return np.array([0, *out[2:]], dtype=np.int64) if len(out) > 1 else np.zeros(1, np.int64)
 
     def longest_prefix(self, text: str | None, budget: int) -> int:
-        """Characters of the longest prefix of at most ``budget`` tokens."""
-        counts = self.prefix_counts(text)
-        return int(np.flatnonzero(counts <= budget)[-1])
+        """Characters of the longest prefix of at most ``budget`` tokens.
+
+        Every unit adds a token at least, so it ends within the last unit that begins below the budget, or
+        where that one begins: only this unit is looked at character by character."""
+        base = at = 0          # tokens and characters before the unit
+        last = None
+        for unit in self.vocab.units(text or ""):
+            if base >= budget:
+                break
+            last = base, at, unit
+            base += self.unit_total[unit]
+            at += len(unit)
+        if last is None:
+            return 0
+        base, at, unit = last
+        end = at
+        for segment in self._parts(unit):
+            states = self.segment_states(segment)
+            end = max((at + k for k in range(1, len(states)) if base + states[k][1] <= budget), default=end)
+            base += states[-1][1]
+            at += len(segment)
+        # the leading blank that encoding adds is no character of the text
+        return max(end - 1, 0)
 
 
 @lru_cache(maxsize=4)

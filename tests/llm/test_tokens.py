@@ -47,6 +47,19 @@ def test_table_answers_budget_questions(frame, model, library):
         assert (r["n_tokens"], r["fit"], r["five"]) == (counts[-1], max(i for i, n in enumerate(counts) if n <= 7), counts[min(5, len(text))])
 
 
+def test_longest_prefix_looks_at_one_unit(model, library, monkeypatch):
+    counter = tokencount.PrefixCounter(model)
+    for text in texts()[:80]:
+        counts = [len(library.encode(text[:i])) for i in range(len(text) + 1)]
+        for budget in (0, 1, 2, 7, 30):
+            assert counter.longest_prefix(text, budget) == max(i for i, n in enumerate(counts) if n <= budget)
+    looked = []
+    states = counter.segment_states
+    monkeypatch.setattr(counter, "segment_states", lambda segment: looked.append(segment) or states(segment))
+    counter.longest_prefix("some words of a long text " * 2000, 4096)
+    assert len(looked) == 1
+
+
 def test_counts_query(spark, library):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in op8_token_counts(spark, SF).collect():
