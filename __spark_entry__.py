@@ -33,6 +33,7 @@ from segrec.operators.layout import UserLayout
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
 from segrec.operators.recommend import (
     candidate_counts,
+    longest_history,
     rank_items,
     recommend,
     sample_recommendations,
@@ -218,11 +219,11 @@ def q_kmeans_sweep_metrics(spark, sf_dir):
     columns = tuple(f"cluster_{k}" for k in models)
     users = stored(users.select("userId", "movies_rated", "avg_rating", *columns), "users")
     tagged = with_clusters(w.pairs, users, columns).persist()
-    metrics = []
+    metrics, longest = [], longest_history(tagged)
     for k in SWEEP_KS:
         user_clusters = users.select("userId", F.col(f"cluster_{k}").alias("cluster"), "movies_rated", "avg_rating")
         result = run_k(w.pairs, w.test, user_clusters, k, w.items, None, w.cfg, cost=training_cost(models[k]),
-                       relevant=w.relevant, rated=clusters_of(tagged, f"cluster_{k}"))
+                       relevant=w.relevant, rated=clusters_of(tagged, f"cluster_{k}"), longest=longest)
         metrics.append(result.global_metrics)
     return _checked_metrics(metrics_summary(union_metrics(metrics)), cost_agreement(models, w.scaled))
 

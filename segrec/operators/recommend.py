@@ -15,6 +15,11 @@ positions so that no task holds a whole user history. The j-th item is then an
 equi-join on (cluster, position r_j). Work is O(rated pairs + users * N); no candidate pair
 that ends up discarded is ever built, and no anti join is needed.
 
+Since ``i`` is at most the number of items that the user has rated, a gap below N lies at
+``s_i < N + n`` and every ``r_j <= N + n``, with ``n`` the longest history. Only this head of each
+cluster order (``head_of``) meets the rated pairs and the users; if it is small it is broadcast and
+the pairs are not shuffled again. A history as long as the catalogue leaves the whole order.
+
 Every rated item of a user is in the user's cluster table (the table is built from the train
 rows of the cluster's members), which is what makes the counting exact.
 """
@@ -27,6 +32,9 @@ from pyspark.sql import functions as F
 from segrec.operators.ranking import rank_within_groups
 from segrec.operators.scoring import score_order
 
+# Rows of the head of the cluster orders up to which it is broadcast (twice a run, once with titles).
+HEAD_ROWS = 100_000
+
 # The columns of the flat recommendation rows.
 RECOMMENDATION_COLUMNS = ("userId", "cluster", "movieId", "title", "genres",
                           "cluster_avg_movie_rating", "cluster_rating_count",
@@ -44,6 +52,18 @@ def rank_items(scores: DataFrame) -> DataFrame:
     return rank_within_groups(scores, ["cluster"], score_order(), "cluster_rank")
 
 
+def longest_history(rated: DataFrame) -> int:
+    """The most rows that a user has in ``rated``; the same for every clustering of the same users."""
+    history = rated.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+    return history.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"]
+
+
+def head_of(ranked: DataFrame, top_n: int, longest: int) -> tuple[DataFrame, int]:
+    """The rows of ``ranked`` that any list of ``top_n`` can depend on, and how many they are."""
+    head = ranked.filter(F.col("cluster_rank") <= F.lit(top_n + longest))
+    return head, head.count()
+
+
 def attach_items(ranked: DataFrame, items: DataFrame | None) -> DataFrame:
     """Title and genres on the ranked (cluster, item) table, before users are involved: the
     ranked table has one row per (cluster, item), far fewer than users x N, and a popular item
@@ -121,22 +141,26 @@ def items_at(wanted: DataFrame, catalog: DataFrame, top_n: int, salts: int = 16,
 
 def recommend(rated: DataFrame, user_clusters: DataFrame, scores: DataFrame,
               items: DataFrame | None = None, top_n: int = 10, ranked: DataFrame | None = None,
-              block_size: int = 1024, salts: int = 16, join_hint: str | None = None) -> DataFrame:
+              block_size: int = 1024, salts: int = 16, join_hint: str | None = None, longest: int | None = None) -> DataFrame:
     """Top-``top_n`` unseen items per user, ranked by (score desc, count desc, movieId asc).
 
     rated: ``with_clusters`` output; user_clusters: (userId, cluster); scores:
     ``cluster_item_scores(rated)``; items: (movieId, title, genres) or None. A user whose
     cluster has fewer unseen items gets fewer rows. ``ranked`` may pass a persisted
-    ``rank_items(scores)``. Whether a side is broadcast is left to its bytes at run time;
-    ``join_hint`` ("merge") forces the plan of large tables.
+    ``rank_items(scores)``. A head of the cluster orders of at most ``HEAD_ROWS`` rows is broadcast; else it
+    is left to the bytes at run time. ``join_hint`` ("merge") forces the plan of large tables. ``longest`` may
+    pass ``longest_history(rated)``, which a sweep counts once; the head is counted in any case.
     """
     if top_n < 1:
         raise ValueError("top_n must be >= 1")
     if ranked is None:
         ranked = rank_items(scores)
-    hist = gap_histogram(rated, ranked, top_n, block_size=block_size, join_hint=join_hint)
+    head, rows = head_of(ranked, top_n, longest_history(rated) if longest is None else longest)
+    if join_hint is None and rows <= HEAD_ROWS:
+        join_hint, salts = "broadcast", 1
+    hist = gap_histogram(rated, head, top_n, block_size=block_size, join_hint=join_hint)
     wanted = wanted_positions(user_clusters, hist, top_n)
-    catalog = attach_items(ranked, items).select(
+    catalog = attach_items(head, items).select(
         "cluster", "cluster_rank", "movieId", "title", "genres",
         "cluster_avg_movie_rating", "cluster_rating_count", "recommendation_score")
     return items_at(wanted, catalog, top_n, salts, join_hint).select(*RECOMMENDATION_COLUMNS)

@@ -34,7 +34,7 @@ from segrec.operators.evaluate import evaluate, global_metrics, relevant_items
 from segrec.operators.features import clusterable, scale_features
 from segrec.operators.layout import UserLayout
 from segrec.operators.prepare import explode_genres, hash_split, profile, random_split, rating_distribution, split_profile
-from segrec.operators.recommend import rank_items, recommend, sample_recommendations
+from segrec.operators.recommend import longest_history, rank_items, recommend, sample_recommendations
 from segrec.operators.scoring import (
     cluster_genres,
     cluster_item_scores,
@@ -101,17 +101,19 @@ class RunResult:
 def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
           items: DataFrame | None = None, item_genres: DataFrame | None = None,
           cfg: RunConfig = RunConfig(), model=None, cost: float | None = None,
-          relevant: DataFrame | None = None, rated: DataFrame | None = None) -> RunResult:
+          relevant: DataFrame | None = None, rated: DataFrame | None = None, longest: int | None = None) -> RunResult:
     """Everything that follows a cluster assignment (``user_clusters``: userId, cluster,
     movies_rated, avg_rating). Taking the assignment as input lets tests inject one.
     ``train`` may be the rating rows or their ``user_item_pairs`` (shared across a sweep);
     ``relevant`` may pass the persisted relevant test pairs and ``rated`` the run's
-    ``with_clusters`` table (``clusters_of`` a sweep's)."""
+    persisted ``with_clusters`` table (``clusters_of`` a sweep's, which is kept once for all runs),
+    ``longest`` its ``longest_history``."""
+    cached = []
     if rated is None:
-        rated = with_clusters(train, user_clusters)
-    rated = rated.persist(_LEVEL)
+        rated = with_clusters(train, user_clusters).persist(_LEVEL)
+        cached.append(rated)
     ranked = rank_items(cluster_item_scores(rated)).persist(_LEVEL)
-    recs = recommend(rated, user_clusters, ranked, items, cfg.top_n, ranked=ranked).persist(_LEVEL)
+    recs = recommend(rated, user_clusters, ranked, items, cfg.top_n, ranked=ranked, longest=longest).persist(_LEVEL)
     global_m, per_user = evaluate(recs, test, cfg.top_n, cfg.relevance_threshold, relevant=relevant)
     per_user = per_user.persist(_LEVEL)
     global_m = (global_metrics(per_user).withColumn("k", F.lit(k).cast("bigint"))
@@ -125,7 +127,7 @@ def run_k(train: DataFrame, test: DataFrame, user_clusters: DataFrame, k: int,
         scores=ranked, recommendations=recs,
         sample_recommendations=sample_recommendations(recs, cfg.sample_users),
         per_user_metrics=per_user, global_metrics=global_m, model=model, cost=cost,
-        _cached=[rated, ranked, recs, per_user],
+        _cached=[*cached, ranked, recs, per_user],
     )
 
 
@@ -283,11 +285,12 @@ def run_pipeline(ratings: DataFrame, items: DataFrame, cfg: RunConfig = RunConfi
         columns = tuple(f"cluster_{k}" for k in pending)
         users = stored(users.select("userId", "movies_rated", "avg_rating", *columns), "users")
         tagged = persisted(layout.with_clusters(users, columns) if layout else with_clusters(pairs, users, columns))
+        longest = longest_history(tagged)
         for k in pending:
             user_clusters = users.select("userId", F.col(f"cluster_{k}").alias("cluster"), "movies_rated", "avg_rating")
             result = runs[k] = run_k(pairs, test, user_clusters, k, items, item_genres, cfg, model=models.get(k),
                                      cost=training_cost(models[k]) if models else None, relevant=relevant,
-                                     rated=clusters_of(tagged, f"cluster_{k}"))
+                                     rated=clusters_of(tagged, f"cluster_{k}"), longest=longest)
             if stage:
                 _write_run(result, stage, fmt, cfg.write_parallelism)
             metrics[k] = cut_lineage(result.global_metrics)

@@ -24,7 +24,7 @@ from segrec.operators.clusters import assign_by_thresholds, assign_clusters, fit
 from segrec.operators.evaluate import per_user_metrics
 from segrec.operators.features import clusterable, scale_features
 from segrec.operators.prepare import explode_genres, hash_split
-from segrec.operators.recommend import rank_items, recommend
+from segrec.operators.recommend import longest_history, rank_items, recommend
 from segrec.operators.scoring import (
     cluster_item_scores,
     clusters_of,
@@ -114,10 +114,14 @@ class TableWorkload:
     def ranked(self) -> DataFrame:
         return rank_items(self.scores).persist(_LEVEL)
 
+    @cached_property
+    def longest(self) -> int:
+        return longest_history(self.rated)
+
     @cached_property
     def recommendations(self) -> DataFrame:
         return recommend(self.rated, self.user_clusters, self.scores, self.items, self.cfg.top_n,
-                         ranked=self.ranked).persist(_LEVEL)
+                         ranked=self.ranked, longest=self.longest).persist(_LEVEL)
 
     @cached_property
     def relevant(self) -> DataFrame:
@@ -154,12 +158,13 @@ class TableWorkload:
             columns.append(f"cluster_{i}")
             users = assign_by_thresholds(users, thresholds, out=columns[-1])
         tagged = with_clusters(self.pairs, users, tuple(columns)).persist(_LEVEL)
-        out = []
+        longest, out = longest_history(tagged), []
         for thresholds, column in zip(assignments, columns):
             other = TableWorkload(self.spark, self.sf_dir, self.cfg, thresholds)
             for name in ("ratings", "items", "split", "split_table", "pairs", "features", "relevant"):
                 other.__dict__[name] = getattr(self, name)
             other.__dict__["rated"] = clusters_of(tagged, column)
             other.__dict__["tagged"] = tagged
+            other.__dict__["longest"] = longest
             out.append(other)
         return out

@@ -1,5 +1,7 @@
 """Exact recommender vs the brute-force candidate fan-out on random fixtures, plus ranking."""
 
+import importlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -82,6 +84,33 @@ def test_large_plan_joins_rated_and_ranked_once(spark):
     assert not [j for j in joins if "Broadcast" in j and "cluster" in j], plan
 
 
+@pytest.mark.parametrize("head_rows", [100_000, 0])
+def test_only_the_head_of_a_cluster_meets_the_pairs(spark, monkeypatch, head_rows):
+    module = importlib.import_module("segrec.operators.recommend")
+    monkeypatch.setattr(module, "HEAD_ROWS", head_rows)
+    train_pd, clusters_pd = _random_fixture(11, users=60, items=400, rows=900, hot_user=False)
+    clusters = spark.createDataFrame(clusters_pd)
+    rated = with_clusters(spark.createDataFrame(train_pd), clusters)
+    longest = int(train_pd.drop_duplicates(["userId", "movieId"]).groupby("userId").size().max())
+    assert module.longest_history(rated) == longest
+    scores = cluster_item_scores(rated)
+    head, n = module.head_of(module.rank_items(scores), 4, longest)
+    assert n == head.count() <= 3 * (4 + longest) < scores.count()
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        recs = recommend(rated, clusters, scores, None, 4)
+        plan = _final_plan(recs)
+        got = sorted((r.userId, r.rank, r.movieId) for r in recs.collect())
+    finally:
+        spark.conf.set(setting, usual)
+    joins = [line for line in plan if "Join" in line and "[cluster, movieId], [cluster, movieId]" in line]
+    assert joins and all(("Broadcast" in j) == bool(head_rows) for j in joins), plan
+    want = brute_recommend(train_pd, clusters_pd, 4)
+    assert got == sorted(zip(want.userId.astype(int), want["rank"].astype(int), want.movieId.astype(int)))
+
+
 def test_hot_user_is_split(spark, monkeypatch):
     from segrec.session import stored
 
