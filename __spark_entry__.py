@@ -509,9 +509,10 @@ def q_roundtrip_documents(spark, sf_dir):
 
 
 def q_roundtrip_json_array(spark, sf_dir):
-    # two files of one array each, read in ranges of 64 KB; written while that setting holds
+    # files of one array each, two and one more per 200,000 users, read in ranges of 64 KB; written while that setting holds
     path, setting = scratch_path(spark, "documents-array"), "spark.sql.files.maxPartitionBytes"
-    write_json_array(_w(spark, sf_dir).documents.repartition(2, "user_id"), path)
+    w = _w(spark, sf_dir)
+    write_json_array(w.documents.repartition(2 + w.features.count() // 200_000, "user_id"), path)
     usual = spark.conf.get(setting)
     spark.conf.set(setting, 64 << 10)
     try:

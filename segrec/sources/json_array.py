@@ -15,6 +15,10 @@ The state at a place does not depend on how the file was cut, so a range of any
 right if its begin is known; one that begins elsewhere (split sizes changed after the file was opened)
 is an error, never a wrong row.
 
+Small ranges share tasks, up to ``TASK_BYTES`` of them each once every core has its tasks, so neither tasks nor
+the files that a result is written to grow with the number of ranges. A task takes its ranges one after
+another, each from its own state.
+
 Elements of the array that are no objects are passed over. A file that is no array, or ends within
 one, is an error. Compressed files are one range each.
 """
@@ -29,6 +33,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Bytes of ranges that a task reads at most, if a range is smaller.
+TASK_BYTES = 64 << 20
+
 _QUOTE, _ESCAPE, _OPEN, _CLOSE = 34, 92, (123, 91), (125, 93)  # " \ { [ } ]
 
 
@@ -168,11 +175,18 @@ def _records(whole: bool):
 _PIECES = pa.schema([("file", pa.string()), ("start", pa.int64()), ("opens", pa.bool_()), ("value", pa.binary())])
 
 
+def _tasks(spark: SparkSession, ranges: int) -> int:
+    """How many tasks read so many ranges."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return max(4 * spark.sparkContext.defaultParallelism, -(-ranges // max(1, TASK_BYTES // size)))
+
+
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The objects of JSON array files as rows of ``schema``. Runs the first pass when called."""
     pieces = spark.read.option("lineSep", "}").text(path).select(
         F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"))
+    pieces = pieces.coalesce(_tasks(spark, pieces.rdd.getNumPartitions()))  # a range stays whole and in order
     # one row per range (and batch of it): what Spark's driver keeps of a scan anyway
     sums = pieces.mapInArrow(_sums, _SUMS_DDL).withColumn("nth", F.monotonically_increasing_id())
     rows = sums.collect()

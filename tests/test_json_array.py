@@ -114,3 +114,18 @@ def test_written_arrays_and_documents(spark, tmp_path, split_bytes):
     assert sorted(read_documents(spark, str(tmp_path / "docs"), multiline=True).collect(), key=key) == sorted(docs.collect(), key=key)
     write_json_array(docs.limit(0).coalesce(1), str(tmp_path / "none"))
     assert read_documents(spark, str(tmp_path / "none"), multiline=True).count() == 0
+
+
+def test_many_ranges_share_few_tasks(spark, tmp_path, split_bytes):
+    elements = [{"id": i, "s": "}\"{" * (i % 5), "l": []} for i in range(3000)]
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps(elements), encoding="utf-8")
+    split_bytes(200)
+    ranges = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    got = read_json_array(spark, str(tmp_path), SCHEMA)
+    few = 4 * spark.sparkContext.defaultParallelism
+    assert ranges > 8 * few
+    assert rows(got) == plain(elements + elements)
+    got.write.parquet(str(tmp_path / "out"))
+    # the objects of the ranges, and those put together, of a shuffle
+    assert len(list((tmp_path / "out").glob("part-*"))) <= few + int(spark.conf.get("spark.sql.shuffle.partitions"))
